@@ -4,28 +4,27 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quotemill.functions import readiness
+from quotemill.functions.once import with_computed
 from quotemill.functions.parsing import fits_int, parse_message, payload_text
-from quotemill.functions.readiness import VALID, classify
+from quotemill.functions.readiness import VALID
 from quotemill.sources.feeds import Feed
 
 LOSSY_VOLUME = "volume_lossy"
 BAD_TIME = "time_unreadable"
 
 
-def outcome(feed: Feed) -> Column:
-    return classify(payload_text(), feed.symbol_key, feed.volume_key)
-
-
 def with_outcome(messages: DataFrame, feed: Feed) -> DataFrame:
-    return messages.withColumn("outcome", outcome(feed))
+    return readiness.with_outcome(messages, payload_text(), feed.symbol_key, feed.volume_key)
 
 
 def valid_messages(messages: DataFrame, feed: Feed) -> DataFrame:
     """Messages the readiness rule accepts."""
-    return messages.where(outcome(feed) == VALID)
+    return with_outcome(messages, feed).where(F.col("outcome") == VALID).drop("outcome")
 
 
 def with_reason(messages: DataFrame, feed: Feed) -> DataFrame:
@@ -34,18 +33,15 @@ def with_reason(messages: DataFrame, feed: Feed) -> DataFrame:
     The readiness outcome comes first. A valid message is still held back when
     its volume is not a whole number an int holds, or its time is unreadable.
     """
-    data = parse_message(payload_text(), feed.message)
-    return (
-        messages.withColumn("_outcome", outcome(feed))
-        .withColumn("_data", data)
-        .withColumn(
-            "reason",
-            F.when(F.col("_outcome") != VALID, F.col("_outcome"))
-            .when(~F.coalesce(fits_int(F.col(f"_data.{feed.volume_key}")), F.lit(False)), LOSSY_VOLUME)
-            .when(feed.moment("_data").isNull(), BAD_TIME),
-        )
-        .drop("_outcome", "_data")
+    checked = T.StructType([feed.message[feed.volume_key], feed.message[feed.time_key]])
+    whole = F.coalesce(fits_int(F.col(f"_data.{feed.volume_key}")), F.lit(False))
+    reason = (
+        F.when(F.col("outcome") != VALID, F.col("outcome"))
+        .when(~whole, LOSSY_VOLUME)
+        .when(feed.moment(F.col(f"_data.{feed.time_key}")).isNull(), BAD_TIME)
     )
+    parsed = with_outcome(messages, feed).withColumn("_data", parse_message(payload_text(), checked))
+    return with_computed(parsed, "reason", reason).drop("outcome", "_data")
 
 
 def accepted(reasoned: DataFrame) -> DataFrame:

@@ -212,17 +212,26 @@ def lookup(
     keys: list[str],
     how: str = "left",
     *,
+    null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join to a table that has one row per key, also when keys of ``df`` are hot.
 
     Rows of hot keys are not shuffled: the table's rows for those keys, at most
     one per hot key, are broadcast to them. All other rows join on the key and
-    the optimizer picks the strategy from the measured sizes.
+    the optimizer picks the strategy from the measured sizes. ``null_safe``
+    lets a null key match a null key.
     """
+
+    def match(left: DataFrame, right: DataFrame) -> DataFrame:
+        if not null_safe:
+            return left.join(right, keys, how)
+        other = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        same = same_key("l", "r", keys, renamed="_k_")
+        return left.alias("l").join(other.alias("r"), same, how).drop(*[f"_k_{k}" for k in keys])
+
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
-        return df.join(table, keys, how)
-    few = with_keys(table, hot, keys)
-    usual = without_keys(df, hot, keys).join(table, keys, how)
-    return usual.unionByName(with_keys(df, hot, keys).join(F.broadcast(few), keys, how))
+        return match(df, table)
+    few = F.broadcast(with_keys(table, hot, keys))
+    return match(without_keys(df, hot, keys), table).unionByName(match(with_keys(df, hot, keys), few))

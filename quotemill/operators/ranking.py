@@ -57,7 +57,7 @@ def ranks(
     ).select(group, score, "rank", "dense_rank")
     numbered = cut(rows, [group], [score, *ties], descending=True, hot_rows=hot_rows)
     numbered = numbered.positions("row_number").rows().drop(PIECE)
-    return lookup(numbered, scores, [group, score], "inner", hot_rows=hot_rows)
+    return lookup(numbered, scores, [group, score], "inner", null_safe=True, hot_rows=hot_rows)
 
 
 def latest(rows: DataFrame, key: str, *, order: Sequence[str] = ("datetime", "id")) -> DataFrame:

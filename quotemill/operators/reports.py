@@ -111,7 +111,7 @@ def percentiles(
     covered = pieces.rows().select(
         F.col(key), F.col(value), (running + F.coalesce("_below", F.lit(0))).alias("_covered"))
     totals = counted.groupBy(key).agg(F.sum("_n").alias("_total"))
-    joined = lookup(covered, totals, [key], "inner", hot_rows=hot_rows)
+    joined = lookup(covered, totals, [key], "inner", null_safe=True, hot_rows=hot_rows)
     return joined.groupBy(key).agg(*[
         F.min(F.when(F.col("_covered") * 100 >= F.col("_total") * p, F.col(value))).alias(f"p{p}")
         for p in percents
@@ -131,7 +131,7 @@ def zscores(
         F.stddev_samp(value).alias("_dev"),
     )
     return (
-        lookup(rows, stats, [key], hot_rows=hot_rows)
+        lookup(rows, stats, [key], null_safe=True, hot_rows=hot_rows)
         .withColumn("zscore", (F.col(value) - F.col("_mean")) / F.nullif(F.col("_dev"), F.lit(0.0)))
         .drop("_mean", "_dev")
     )

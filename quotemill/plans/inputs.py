@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.functions.identity import message_id
+from quotemill.functions.once import with_computed
 from quotemill.operators.bars import ohlcv
 from quotemill.schemas import BAR_MESSAGE, TRADE_MESSAGE
 from quotemill.sources.feeds import BARS, TRADES
@@ -70,7 +71,7 @@ def flawed_messages(events: DataFrame) -> DataFrame:
         .withColumn("s", F.when(kind == "signup", F.lit("")).otherwise(F.col("s")))
         .withColumn("t", F.when((kind == "purchase") & even, F.lit(2**62)).otherwise(F.col("t")))
     )
-    rows = rows.withColumn("body", F.to_json(F.struct(*TRADE_MESSAGE.names)))
+    rows = with_computed(rows, "body", F.to_json(F.struct(*TRADE_MESSAGE.names)))
     quoted_volume = F.col("v").cast("string").alias("v")
     text = (
         F.when(kind == "error", F.expr("left(body, length(body) - 1)"))
@@ -80,7 +81,7 @@ def flawed_messages(events: DataFrame) -> DataFrame:
         )
         .otherwise(F.col("body"))
     )
-    rows = rows.withColumn("text", text)
+    rows = with_computed(rows, "text", text)
     return payload(rows, F.col("text"), TRADES.topic, **_trade_place())
 
 

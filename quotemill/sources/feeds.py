@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill import schemas
@@ -26,7 +25,8 @@ class Feed:
     symbol_key: str
     volume_key: str
     projection: Callable[[DataFrame, Column], DataFrame]
-    moment: Callable[[str], Column]
+    time_key: str
+    moment: Callable[[Column], Column]
 
     @property
     def full_table(self) -> str:
@@ -43,7 +43,8 @@ TRADES = Feed(
     symbol_key="s",
     volume_key="v",
     projection=project.trades,
-    moment=lambda data: epoch_ms_to_time(F.col(f"{data}.t")),
+    time_key="t",
+    moment=epoch_ms_to_time,
 )
 
 BARS = Feed(
@@ -55,7 +56,8 @@ BARS = Feed(
     symbol_key="ticker",
     volume_key="Volume",
     projection=project.bars,
-    moment=lambda data: text_to_time(F.col(f"{data}.Datetime")),
+    time_key="Datetime",
+    moment=text_to_time,
 )
 
 FEEDS = {feed.name: feed for feed in (TRADES, BARS)}

@@ -11,7 +11,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotemill.sources.feeds import Feed
@@ -37,12 +36,12 @@ class CatalogTable:
     table: str
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        columns = [name for name in batch.sparkSession.table(self.table).columns if name != "batch_id"]
-        (
-            batch.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.table)
+        spark = batch.sparkSession
+        columns = [f"`{name}`" for name in spark.table(self.table).columns if name != "batch_id"]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} PARTITION (batch_id = {int(batch_id)}) "
+            f"SELECT {', '.join(columns)} FROM {{batch}}",
+            batch=batch,
         )
 
 
