@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from quotemill.operators import bars, gate, joins, ranking, records, reports, series
 from quotemill.plans import inputs
 from quotemill.plans.inputs import FILL_TIES, wall_time
-from quotemill.sources.feeds import TRADES
-from quotemill.streaming.jobs import table_rows
+from quotemill.session import scratch_path
+from quotemill.sources.feeds import BARS, TRADES
+from quotemill.sources.topics import FileTopics
+from quotemill.streaming import sinks, windows
+from quotemill.streaming.jobs import run, table_rows
 
 # Bars built here hold one row per symbol and hour or day, so a symbol has at
 # most 8,784 rows a year and its window needs no split.
@@ -29,6 +32,13 @@ def _closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).select("symbol", "datetime", "close", "volume")
 
 
+def _streamed(spark: SparkSession, rows: DataFrame, mode: str) -> DataFrame:
+    """Runs a stream to the end of its input and reads what it wrote."""
+    sink = sinks.BatchDirectory(scratch_path(spark, "stream"))
+    run(windows.start(rows, sink, scratch_path(spark, "offsets"), mode=mode))
+    return sink.read(spark, rows.schema)
+
+
 def g01_encode_messages(spark, sf_dir):
     messages = inputs.trade_messages(inputs.events(spark, sf_dir))
     return messages.select("topic", "offset", F.col("value").cast("string").alias("message"))
@@ -47,6 +57,15 @@ def g03_unique_trades(spark, sf_dir):
     return wall_time(records.unique(trades.unionByName(trades)))
 
 
+def g03_unique_trades_stream(spark, sf_dir):
+    """The trade stream joined by a copy of itself; each trade is kept once."""
+    events = inputs.event_stream(spark, sf_dir)
+    trades = inputs.trades(events).drop("trade_conditions")
+    again = inputs.trades(inputs.event_stream(spark, sf_dir)).drop("trade_conditions")
+    rows = records.unique(trades.unionByName(again), "1 hour")
+    return wall_time(_streamed(spark, rows, "append").drop("batch_id"))
+
+
 def g04_unified_quotes(spark, sf_dir):
     trades = _trades(spark, sf_dir, "event_type")
     provided = bars.ohlcv(trades, "1 hour").withColumnRenamed("symbol", "ticker").withColumn(
@@ -58,6 +77,12 @@ def g05_ohlcv_bars(spark, sf_dir):
     return wall_time(_hourly(spark, sf_dir))
 
 
+def g05_ohlcv_bars_stream(spark, sf_dir):
+    """Hourly bars kept up to date by the stream; the last version of each."""
+    rows = windows.bars(inputs.trades(inputs.event_stream(spark, sf_dir)), "1 hour")
+    return wall_time(windows.current(_streamed(spark, rows, "update"), ["symbol", "datetime"]))
+
+
 def g05_ohlcv_bars_daily_fills(spark, sf_dir):
     return wall_time(bars.ohlcv(inputs.fills(spark, sf_dir), "1 day", ties=FILL_TIES))
 
@@ -71,6 +96,12 @@ def g07_sessions(spark, sf_dir):
     return wall_time(bars.sessions(_trades(spark, sf_dir), 10_800, hot_rows=BOUNDED))
 
 
+def g07_sessions_stream(spark, sf_dir):
+    trades = inputs.trades(inputs.event_stream(spark, sf_dir)).drop("trade_conditions")
+    rows = windows.sessions(trades, "3 hours")
+    return wall_time(windows.newest(_streamed(spark, rows, "complete")))
+
+
 def g08_resample_bars(spark, sf_dir):
     return wall_time(bars.resample(_hourly(spark, sf_dir), "1 day"))
 
@@ -175,6 +206,18 @@ def g19_trades_to_bar(spark, sf_dir):
     return wall_time(joins.to_bar(trades, _provided(spark, sf_dir), "1 hour"))
 
 
+def g19_trades_to_bar_stream(spark, sf_dir):
+    """The trade stream joined to the stream of stored bar messages."""
+    topic = scratch_path(spark, "topic")
+    inputs.bar_messages(inputs.events(spark, sf_dir)).write.parquet(topic)
+    bar_rows = table_rows(FileTopics(topic).read_stream(spark, BARS.topic), BARS).withColumnRenamed(
+        "ticker", "symbol")
+    trades = inputs.trades(inputs.event_stream(spark, sf_dir), "event_type").select(
+        "id", "symbol", "datetime", "last_price")
+    rows = windows.to_bar(trades, bar_rows, "1 hour", "2 hours")
+    return wall_time(_streamed(spark, rows, "append").drop("batch_id"))
+
+
 def g20_reconcile_bars(spark, sf_dir):
     kept = inputs.events(spark, sf_dir).where(F.col("event_type") != "signup")
     ours = bars.ohlcv(inputs.trades(kept, "event_type"), "1 hour")

@@ -257,3 +257,12 @@ SQL = {
           FROM trades JOIN s USING (symbol))
         SELECT id, symbol, last_price, round(zscore, 6) AS zscore FROM z WHERE abs(zscore) > 2.5""",
 }
+
+SQL |= {
+    "g03_unique_trades_stream": SQL["g03_unique_trades"],
+    "g05_ohlcv_bars_stream": SQL["g05_ohlcv_bars"],
+    "g07_sessions_stream": SQL["g07_sessions"],
+    "g19_trades_to_bar_stream": f"""{TYPED_HOURLY} SELECT t.id, t.symbol, t.datetime, t.last_price,
+          b.datetime AS bar_start, CAST(b.open AS FLOAT) AS bar_open, CAST(b.close AS FLOAT) AS bar_close
+        FROM trades t JOIN bars b ON t.symbol = b.symbol AND date_trunc('hour', t.datetime) = b.datetime""",
+}

@@ -26,7 +26,9 @@ class BatchDirectory:
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).parquet(self.path)
+        """All batches, with their ``batch_id``."""
+        whole = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        return spark.read.schema(whole).parquet(self.path)
 
 
 @dataclass(frozen=True)
