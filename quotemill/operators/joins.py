@@ -77,15 +77,23 @@ def positions(orders: DataFrame, fills: DataFrame, *, hot_rows: int = HOT_ROWS)
     """
     filled = fills.groupBy("order_id", "symbol").agg(F.sum(money("quantity")).alias("q"))
     return (
-        lookup(filled, orders.select("order_id", "holder"), ["order_id"], "inner", hot_rows=hot_rows)
+        lookup(filled, orders.select("order_id", "holder"), ["order_id"], "inner",
+               hot_rows=hot_rows, probe=fills)
         .groupBy("holder", "symbol")
         .agg(F.sum("q").cast("double").alias("quantity"))
     )
 
 
-def valuation(positions: DataFrame, quotes: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Value per holder at the latest quote; positions without one are counted."""
-    priced = lookup(positions, quotes.select("symbol", "price"), ["symbol"], hot_rows=hot_rows)
+def valuation(
+    positions: DataFrame, quotes: DataFrame, *,
+    hot_rows: int = HOT_ROWS, probe: DataFrame | None = None,
+) -> DataFrame:
+    """Value per holder at the latest quote; positions without one are counted.
+
+    ``probe`` may be the fills the positions were added up from.
+    """
+    priced = lookup(
+        positions, quotes.select("symbol", "price"), ["symbol"], hot_rows=hot_rows, probe=probe)
     return priced.groupBy("holder").agg(
         F.count(F.lit(1)).alias("positions"),
         F.count_if(F.col("price").isNull()).alias("unquoted"),

@@ -179,15 +179,18 @@ def cut(
     *,
     descending: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> Pieces:
     """Rows of ``df`` in pieces that one task can order.
 
     ``order`` should be unique within a key, so that even rows of equal time
     can be split. ``hot_rows=None`` states that the groups are bounded by
     construction, such as one row per key and hour, and skips the count.
+    ``probe`` is a cheaper frame to count: one that holds, for every key, at
+    least as many rows as ``df``.
     """
     whole = df.withColumn(PIECE, F.lit(0))
-    hot = hot_keys(df, keys, hot_rows) if hot_rows is not None else None
+    hot = hot_keys(df if probe is None else probe, keys, hot_rows) if hot_rows is not None else None
     if hot is None:
         return Pieces(whole, None, keys, order, descending, hot_rows or HOT_ROWS)
     total = hot.agg(F.sum("_rows")).first()[0]
@@ -214,13 +217,14 @@ def lookup(
     *,
     null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a table that has one row per key, also when keys of ``df`` are hot.
 
     Rows of hot keys are not shuffled: the table's rows for those keys, at most
     one per hot key, are broadcast to them. All other rows join on the key and
     the optimizer picks the strategy from the measured sizes. ``null_safe``
-    lets a null key match a null key.
+    lets a null key match a null key; ``probe`` is as in ``cut``.
     """
 
     def match(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -230,7 +234,7 @@ def lookup(
         same = same_key("l", "r", keys, renamed="_k_")
         return left.alias("l").join(other.alias("r"), same, how).drop(*[f"_k_{k}" for k in keys])
 
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df if probe is None else probe, keys, hot_rows)
     if hot is None:
         return match(df, table)
     few = F.broadcast(with_keys(table, hot, keys))

@@ -32,15 +32,15 @@ def top_per_group(rows: DataFrame, k: int, group: str, score: str, ties: Sequenc
 
 def ranks(
     rows: DataFrame, group: str, score: str, ties: Sequence[str], *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, probe: DataFrame | None = None,
 ) -> DataFrame:
     """Rank, dense rank and row number by descending score in each group.
 
     Rows with the same score share both ranks; ``ties`` order the row numbers
-    and should make a row unique in its group.
+    and should make a row unique in its group. ``probe`` is as in ``cut``.
     """
     order = Window.partitionBy(group).orderBy(F.col(score).desc())
-    if hot_keys(rows, [group], hot_rows) is None:
+    if hot_keys(rows if probe is None else probe, [group], hot_rows) is None:
         return (
             rows.withColumn("rank", F.rank().over(order).cast("bigint"))
             .withColumn("dense_rank", F.dense_rank().over(order).cast("bigint"))

@@ -102,16 +102,16 @@ def percentiles(
     Equal values are counted together, then the counts are added up in value
     order, so no key's values are ever held in one buffer. Nulls are left out.
     """
-    counted = (
-        rows.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    pieces = cut(counted, [key], [value], hot_rows=hot_rows)
+    known = rows.where(F.col(value).isNotNull())
+    counted = known.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = cut(counted, [key], [value], hot_rows=hot_rows, probe=known)
     pieces = pieces.carry(_below=(F.sum("_n"), "sum"))
     running = F.sum("_n").over(pieces.window.rowsBetween(Window.unboundedPreceding, 0))
     covered = pieces.rows().select(
         F.col(key), F.col(value), (running + F.coalesce("_below", F.lit(0))).alias("_covered"))
-    totals = counted.groupBy(key).agg(F.sum("_n").alias("_total"))
-    joined = lookup(covered, totals, [key], "inner", null_safe=True, hot_rows=hot_rows)
+    totals = known.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
+    joined = lookup(
+        covered, totals, [key], "inner", null_safe=True, hot_rows=hot_rows, probe=known)
     return joined.groupBy(key).agg(*[
         F.min(F.when(F.col("_covered") * 100 >= F.col("_total") * p, F.col(value))).alias(f"p{p}")
         for p in percents

@@ -140,9 +140,11 @@ def g12_running_totals(spark, sf_dir):
 
 def g13_ranks(spark, sf_dir):
     """Users ranked by the day's change."""
-    daily = ranking.movers(bars.ohlcv(_trades(spark, sf_dir), "1 day"))
+    trades = _trades(spark, sf_dir)
+    daily = ranking.movers(bars.ohlcv(trades, "1 day"))
     rows = daily.select("symbol", F.to_date("datetime").alias("day"), "change")
-    return ranking.ranks(rows, "day", "change", ["symbol"])
+    probe = trades.select(F.to_date("datetime").alias("day"))
+    return ranking.ranks(rows, "day", "change", ["symbol"], probe=probe)
 
 
 def g13_top_movers(spark, sf_dir):
@@ -235,7 +237,7 @@ def g21_valuation(spark, sf_dir):
         "symbol", "datetime", *FILL_TIES)
     quotes = ranking.latest(quoted, "symbol", order=("datetime", *FILL_TIES)).select(
         "symbol", F.col("last_price").alias("price"))
-    return joins.valuation(held, quotes).withColumn("value", F.round("value", 2))
+    return joins.valuation(held, quotes, probe=fills).withColumn("value", F.round("value", 2))
 
 
 def g22_adjusted_closes(spark, sf_dir):

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quotemill.__main__ import main
 from quotemill.functions import parsing
 from quotemill.functions.identity import message_id, random_id
 from quotemill.operators import gate
@@ -256,3 +257,18 @@ def test_bar_schema_reads_spaced_names(spark):
     df = parsing.decode(messages(spark, ['{"Adj Close":1.0,"Stock Splits":2.0}']), BAR_MESSAGE)
     row = df.select(F.col("Adj Close").alias("a"), F.col("Stock Splits").alias("s")).first()
     assert (row.a, row.s) == (1.0, 2.0)
+
+
+def test_job(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    write_files(spark, topic)
+    common = ["trades", "--files", topic, "--checkpoint", str(tmp_path / "cp")]
+    held = str(tmp_path / "held")
+    assert main([*common, "--directory", out, "--quarantine", held], spark) == 0
+    assert sinks.BatchDirectory(out).read(spark, TRADE).count() == 42
+    assert spark.read.parquet(held).count() == 8
+    other = ["--checkpoint", str(tmp_path / "cp2"), "--database", "job_test", "--table"]
+    assert main(["trades", "--files", topic, *other], spark) == 0
+    assert spark.table("job_test.stock_trade").count() == 50
+    empty = ["bars", "--files", topic, "--checkpoint", str(tmp_path / "cp3"), "--directory", out]
+    assert main([*empty, "--poll-timeout", "0"], spark) == 1
