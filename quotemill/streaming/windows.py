@@ -71,21 +71,30 @@ def sessions(trades: DataFrame, gap: str, lateness: str | None = None) -> DataFr
 
 
 def to_bar(
-    trades: DataFrame, bars: DataFrame, width: str, lateness: str, values: Sequence[str] = ("open", "close"),
+    trades: DataFrame, bars: DataFrame, width: str, lateness: str, *,
+    values: Sequence[str] = ("open", "close"), salts: int = 16,
 ) -> DataFrame:
     """Trades of one stream with the bar of another whose interval holds them.
 
     The bar's start is part of the join key, so a trade only meets bars of its
-    own interval. The time condition tells Spark when state can go.
+    own interval. A stream cannot count keys ahead, so every interval is spread
+    over ``salts`` tasks: trades by their id, bars as one copy each. The time
+    condition tells Spark when state can go.
     """
-    left = trades.withWatermark("datetime", lateness).withColumn(
-        "bar_start", F.window("datetime", width)["start"]).alias("t")
+    left = trades.withWatermark("datetime", lateness).withColumns({
+        "bar_start": F.window("datetime", width)["start"],
+        "_salt": F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"),
+    }).alias("t")
     right = bars.withWatermark("datetime", lateness).select(
-        "symbol", "datetime", *[F.col(v).alias(f"bar_{v}") for v in values]).alias("b")
+        "symbol", "datetime", *[F.col(v).alias(f"bar_{v}") for v in values],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    ).alias("b")
     inside = (
         (F.col("t.symbol") == F.col("b.symbol"))
+        & (F.col("t._salt") == F.col("b._salt"))
         & (F.col("t.bar_start") == F.col("b.datetime"))
         & (F.col("t.datetime") >= F.col("b.datetime"))
         & (F.col("t.datetime") < F.col("b.datetime") + F.expr(f"INTERVAL {width}"))
     )
-    return left.join(right, inside).select("t.*", *[f"b.bar_{v}" for v in values])
+    columns = [*[f"t.{c}" for c in trades.columns], "t.bar_start", *[f"b.bar_{v}" for v in values]]
+    return left.join(right, inside).select(*columns)
