@@ -6,7 +6,6 @@ import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotemill.functions import readiness
 from quotemill.functions.once import with_computed
@@ -28,28 +27,29 @@ def valid_messages(messages: DataFrame, feed: Feed) -> DataFrame:
 
 
 def with_reason(messages: DataFrame, feed: Feed) -> DataFrame:
-    """Adds ``reason``: null for a message that can be stored without loss.
+    """Adds the parsed ``data`` and a ``reason`` to hold the message back, or null.
 
     The readiness outcome comes first. A valid message is still held back when
     its volume is not a whole number an int holds, or its time is unreadable.
     """
-    checked = T.StructType([feed.message[feed.volume_key], feed.message[feed.time_key]])
-    whole = F.coalesce(fits_int(F.col(f"_data.{feed.volume_key}")), F.lit(False))
+    whole = F.coalesce(fits_int(F.col(f"data.{feed.volume_key}")), F.lit(False))
     reason = (
         F.when(F.col("outcome") != VALID, F.col("outcome"))
         .when(~whole, LOSSY_VOLUME)
-        .when(feed.moment(F.col(f"_data.{feed.time_key}")).isNull(), BAD_TIME)
+        .when(feed.moment(F.col(f"data.{feed.time_key}")).isNull(), BAD_TIME)
     )
-    parsed = with_outcome(messages, feed).withColumn("_data", parse_message(payload_text(), checked))
-    return with_computed(parsed, "reason", reason).drop("outcome", "_data")
+    parsed = with_outcome(messages, feed).withColumn("data", parse_message(payload_text(), feed.message))
+    return with_computed(parsed, "reason", reason).drop("outcome")
 
 
 def accepted(reasoned: DataFrame) -> DataFrame:
+    """Parsed messages that can be stored without loss."""
     return reasoned.where(F.col("reason").isNull()).drop("reason")
 
 
 def quarantined(reasoned: DataFrame) -> DataFrame:
-    return reasoned.where(F.col("reason").isNotNull())
+    """Raw messages that are held back, with the reason."""
+    return reasoned.where(F.col("reason").isNotNull()).drop("data")
 
 
 def first_valid(messages: DataFrame, feed: Feed) -> DataFrame:

@@ -71,17 +71,12 @@ def reconcile(
 
 
 def positions(orders: DataFrame, fills: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Quantity per holder and symbol from fills of orders.
-
-    Fills of one order and symbol are added up before the join.
-    """
-    filled = fills.groupBy("order_id", "symbol").agg(F.sum(money("quantity")).alias("q"))
-    return (
-        lookup(filled, orders.select("order_id", "holder"), ["order_id"], "inner",
-               hot_rows=hot_rows, probe=fills)
-        .groupBy("holder", "symbol")
-        .agg(F.sum("q").cast("double").alias("quantity"))
-    )
+    """Quantity per holder and symbol from fills of orders."""
+    owned = lookup(
+        fills.select("order_id", "symbol", "quantity"), orders.select("order_id", "holder"),
+        ["order_id"], "inner", hot_rows=hot_rows)
+    return owned.groupBy("holder", "symbol").agg(
+        F.sum(money("quantity")).cast("double").alias("quantity"))
 
 
 def valuation(

@@ -16,7 +16,7 @@ from quotemill.session import scratch_path
 from quotemill.sources.feeds import BARS, TRADES
 from quotemill.sources.topics import FileTopics, of_topics
 from quotemill.streaming import sinks
-from quotemill.streaming.jobs import ingest, run, table_rows
+from quotemill.streaming.jobs import accepted_rows, ingest, run, table_rows
 
 
 def flat(rows: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def valid_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accepted_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     reasoned = gate.with_reason(flawed_messages(spark, sf_dir), TRADES)
-    return flat(table_rows(gate.accepted(reasoned), TRADES))
+    return flat(accepted_rows(reasoned, TRADES))
 
 
 def quarantined_trades(spark: SparkSession, sf_dir: str) -> DataFrame:

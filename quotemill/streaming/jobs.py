@@ -22,6 +22,12 @@ def table_rows(messages: DataFrame, feed: Feed, row_id: Column | None = None) ->
     return feed.projection(decoded, message_id() if row_id is None else row_id)
 
 
+def accepted_rows(reasoned: DataFrame, feed: Feed, row_id: Column | None = None) -> DataFrame:
+    """Rows of the feed's table for the messages that passed the checks."""
+    decoded = gate.accepted(reasoned).select(*POSITION, "data.*")
+    return feed.projection(decoded, message_id() if row_id is None else row_id)
+
+
 def ingest(
     messages: DataFrame,
     feed: Feed,
@@ -55,7 +61,7 @@ def ingest(
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.persist()
             try:
-                sink.write(table_rows(gate.accepted(batch), feed, row_id), batch_id)
+                sink.write(accepted_rows(batch, feed, row_id), batch_id)
                 quarantine.write(gate.quarantined(batch), batch_id)
             finally:
                 batch.unpersist()
