@@ -192,9 +192,9 @@ def g17_approx_distinct_symbols(spark, sf_dir):
 
 
 def _provided(spark, sf_dir):
-    """Bars of a provider that leaves out errors and trades under 50."""
-    kept = inputs.events(spark, sf_dir).where((F.col("event_type") != "error") & (F.col("value") >= 50))
-    return bars.ohlcv(inputs.trades(kept, "event_type"), "1 hour")
+    """Bars of a provider that only sees trades with a volume."""
+    trades = _trades(spark, sf_dir, "event_type").where(F.col("volume") > 0)
+    return bars.ohlcv(trades, "1 hour")
 
 
 def g18_as_of_bar(spark, sf_dir):
@@ -221,9 +221,7 @@ def g19_trades_to_bar_stream(spark, sf_dir):
 
 
 def g20_reconcile_bars(spark, sf_dir):
-    kept = inputs.events(spark, sf_dir).where(F.col("event_type") != "signup")
-    ours = bars.ohlcv(inputs.trades(kept, "event_type"), "1 hour")
-    rows = joins.reconcile(ours, _provided(spark, sf_dir))
+    rows = joins.reconcile(_hourly(spark, sf_dir, "event_type"), _provided(spark, sf_dir))
     return wall_time(rows.select(
         "symbol", "datetime", "missing",
         *[F.round(f"{v}_diff", 4).alias(f"{v}_diff") for v in ("open", "high", "low", "close")],
@@ -231,13 +229,12 @@ def g20_reconcile_bars(spark, sf_dir):
 
 
 def g21_valuation(spark, sf_dir):
+    """Holdings from fills, valued at the last trade of the symbol."""
     fills = inputs.fills(spark, sf_dir)
     held = joins.positions(inputs.orders(spark, sf_dir), fills)
-    quoted = fills.where((F.col("flag") == "R") & (F.col("line") >= 6)).select(
-        "symbol", "datetime", *FILL_TIES)
-    quotes = ranking.latest(quoted, "symbol", order=("datetime", *FILL_TIES)).select(
+    quotes = ranking.latest(_trades(spark, sf_dir), "symbol").select(
         "symbol", F.col("last_price").alias("price"))
-    return joins.valuation(held, quotes, probe=fills).withColumn("value", F.round("value", 2))
+    return joins.valuation(held, quotes, probe=fills)
 
 
 def g22_adjusted_closes(spark, sf_dir):
@@ -262,21 +259,16 @@ def _universe(spark, sf_dir):
     return inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("symbol"))
 
 
-def _heavy(spark, sf_dir):
-    """Fills of 45 or more at line 5 and above, so that some parts have none."""
-    return inputs.fills(spark, sf_dir).where((F.col("quantity") >= 45) & (F.col("line") >= 5))
-
-
 def g24_never_traded(spark, sf_dir):
-    return joins.never_traded(_universe(spark, sf_dir), _heavy(spark, sf_dir))
+    return joins.never_traded(_universe(spark, sf_dir), _trades(spark, sf_dir))
 
 
 def g24_traded(spark, sf_dir):
-    return joins.traded(_universe(spark, sf_dir), _heavy(spark, sf_dir))
+    return joins.traded(_universe(spark, sf_dir), _trades(spark, sf_dir))
 
 
 def g24_both_sources(spark, sf_dir):
-    return joins.in_both(_trades(spark, sf_dir), _heavy(spark, sf_dir))
+    return joins.in_both(_trades(spark, sf_dir), inputs.fills(spark, sf_dir))
 
 
 def g24_surplus_rows(spark, sf_dir):

@@ -108,7 +108,6 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("last_price"),
         F.col("l_quantity").cast("int").alias("volume"),
         F.col("l_quantity").alias("quantity"),
-        F.col("l_returnflag").alias("flag"),
     )
 
 

@@ -26,7 +26,7 @@ TYPED_TRADES = f"""trades AS (
 FILLS = """fills AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line, CAST(l_partkey AS VARCHAR) AS symbol,
          l_shipdate AS datetime, l_extendedprice / l_quantity AS last_price,
-         CAST(l_quantity AS INTEGER) AS volume, l_quantity AS quantity, l_returnflag AS flag
+         CAST(l_quantity AS INTEGER) AS volume, l_quantity AS quantity
   FROM lineitem)"""
 
 
@@ -44,7 +44,7 @@ DAILY = f"WITH {TRADES}, {_bars('bars', 'trades', 'day')}"
 TYPED_HOURLY = f"WITH {TYPED_TRADES}, {_bars('bars', 'trades', 'hour')}"
 PROVIDED = (
     f"WITH {TYPED_TRADES}, "
-    + _bars("provided", "trades", "hour", where="symbol <> 'error' AND last_price >= 50")
+    + _bars("provided", "trades", "hour", where="volume > 0")
 )
 FILL_TIES = "order_id, line, last_price, volume"
 
@@ -190,20 +190,19 @@ SQL = {
           p.datetime AS bar_start, p.open AS bar_open, p.close AS bar_close
         FROM trades t JOIN provided p ON t.symbol = p.symbol
           AND t.datetime >= p.datetime AND t.datetime < p.datetime + INTERVAL 1 HOUR""",
-    "g20_reconcile_bars": f"""{PROVIDED}, {_bars('ours', 'trades', 'hour', where="symbol <> 'signup'")}
+    "g20_reconcile_bars": f"""{PROVIDED}, {_bars('ours', 'trades', 'hour')}
         SELECT coalesce(o.symbol, p.symbol) AS symbol, coalesce(o.datetime, p.datetime) AS datetime,
           CASE WHEN p.symbol IS NULL THEN 'theirs' WHEN o.symbol IS NULL THEN 'ours' END AS missing,
           round(o.open - p.open, 4) AS open_diff, round(o.high - p.high, 4) AS high_diff,
           round(o.low - p.low, 4) AS low_diff, round(o.close - p.close, 4) AS close_diff,
           o.volume - p.volume AS volume_diff
         FROM ours o FULL JOIN provided p ON o.symbol = p.symbol AND o.datetime = p.datetime""",
-    "g21_valuation": f"""WITH {FILLS}, quotes AS (
-          SELECT symbol, last(last_price ORDER BY datetime, {FILL_TIES}) AS price
-          FROM fills WHERE flag = 'R' AND line >= 6 GROUP BY symbol),
+    "g21_valuation": f"""WITH {FILLS}, {TRADES}, quotes AS (
+          SELECT symbol, last(last_price ORDER BY datetime, id) AS price FROM trades GROUP BY symbol),
         held AS (SELECT o_custkey AS holder, symbol, sum(quantity) AS quantity
           FROM fills JOIN orders ON o_orderkey = order_id GROUP BY ALL)
         SELECT holder, count(*) AS positions, count(*) FILTER (price IS NULL) AS unquoted,
-          round(CAST(sum(CAST(quantity * price AS DECIMAL(28,8))) AS DOUBLE), 2) AS value
+          CAST(sum(CAST(quantity * price AS DECIMAL(28,8))) AS DOUBLE) AS value
         FROM held LEFT JOIN quotes USING (symbol) GROUP BY holder""",
     "g22_adjusted_closes": f"""WITH {FILLS}, bars AS (
           SELECT symbol, datetime, last(last_price ORDER BY {FILL_TIES}) AS close,
@@ -231,12 +230,12 @@ SQL = {
           last_value(b.close IGNORE NULLS) OVER (PARTITION BY s.symbol ORDER BY s.datetime) AS close,
           coalesce(b.volume, 0) AS volume, b.symbol IS NULL AS filled
         FROM spine s LEFT JOIN bars b ON s.symbol = b.symbol AND s.datetime = b.datetime""",
-    "g24_never_traded": f"""WITH {FILLS} SELECT CAST(p_partkey AS VARCHAR) AS symbol FROM part
-        EXCEPT SELECT symbol FROM fills WHERE quantity >= 45 AND line >= 5""",
-    "g24_traded": f"""WITH {FILLS} SELECT CAST(p_partkey AS VARCHAR) AS symbol FROM part
-        INTERSECT SELECT symbol FROM fills WHERE quantity >= 45 AND line >= 5""",
+    "g24_never_traded": f"""WITH {TRADES} SELECT CAST(p_partkey AS VARCHAR) AS symbol FROM part
+        EXCEPT SELECT symbol FROM trades""",
+    "g24_traded": f"""WITH {TRADES} SELECT CAST(p_partkey AS VARCHAR) AS symbol FROM part
+        INTERSECT SELECT symbol FROM trades""",
     "g24_both_sources": f"""WITH {TRADES}, {FILLS} SELECT symbol FROM trades
-        INTERSECT SELECT symbol FROM fills WHERE quantity >= 45 AND line >= 5""",
+        INTERSECT SELECT symbol FROM fills""",
     "g24_surplus_rows": f"""WITH {TRADES} SELECT symbol, CAST(datetime AS DATE) AS day FROM trades
         EXCEPT ALL SELECT symbol, CAST(datetime AS DATE) FROM trades WHERE event_type = 'purchase'""",
     "g25_bar_quality": f"""{HOURLY} SELECT count(*) AS rows,

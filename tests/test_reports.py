@@ -1,0 +1,169 @@
+"""Edge rules of the reports on small literal rows."""
+
+import datetime as dt
+import math
+
+import pytest
+
+from quotemill.operators import bars, joins, ranking, records, reports, series
+
+DAY = dt.datetime(2024, 3, 1)
+
+
+def at(minutes, seconds=0):
+    return DAY + dt.timedelta(minutes=minutes, seconds=seconds)
+
+
+def trades_of(spark, rows):
+    return spark.createDataFrame(
+        rows, "id string, symbol string, datetime timestamp, last_price double, volume int")
+
+
+def bars_of(spark, rows):
+    return spark.createDataFrame(
+        rows, "symbol string, datetime timestamp, open double, high double, low double, close double, volume bigint")
+
+
+def flat(minute, price, symbol="A"):
+    return (symbol, at(minute), price, price, price, price, 1)
+
+
+def test_windows_are_half_open_and_ties_go_by_id(spark):
+    rows = [("2", "A", at(0), 5.0, 1), ("1", "A", at(0), 4.0, 1), ("4", "A", at(0, 59), 6.0, 1),
+            ("3", "A", at(0, 59), 7.0, 1), ("5", "A", at(1), 9.0, 2)]
+    first, second = bars.ohlcv(trades_of(spark, rows), "1 minute").orderBy("datetime").collect()
+    assert (first.open, first.high, first.low, first.close, first.volume, first.trades) == (4.0, 7.0, 4.0, 6.0, 4, 4)
+    assert (second.datetime, second.open, second.trades) == (at(1), 9.0, 1)
+
+
+def test_sliding_windows_overlap(spark):
+    rows = [("1", "A", at(7), 2.0, 1), ("2", "A", at(12), 4.0, 3)]
+    found = {r.window_start: (r.trades, r.avg_price, r.volume)
+             for r in bars.sliding_stats(trades_of(spark, rows), 600, 300).collect()}
+    assert found == {at(0): (1, 2.0, 1), at(5): (2, 3.0, 4), at(10): (1, 4.0, 3)}
+    with pytest.raises(ValueError):
+        bars.sliding_stats(trades_of(spark, rows), 600, 400)
+
+
+def test_sessions_before_the_epoch(spark):
+    early = [("1", "A", dt.datetime(1969, 12, 31, 23, 59, 50), 1.0, 1), ("2", "A", dt.datetime(1970, 1, 1), 1.0, 1),
+             ("3", "A", dt.datetime(1970, 1, 1, 0, 0, 11), 1.0, 1)]
+    found = bars.sessions(trades_of(spark, early), 10).orderBy("session_start").collect()
+    assert [r.trades for r in found] == [2, 1]
+
+
+def test_vwap_of_no_volume_is_null(spark):
+    rows = [("1", "A", at(0), 2.0, 0), ("2", "B", at(0), 2.0, 1), ("3", "B", at(1), 5.0, 2)]
+    found = {r.symbol: r.vwap for r in bars.vwap(trades_of(spark, rows), "symbol").collect()}
+    assert found == {"A": None, "B": 4.0}
+
+
+def test_returns_need_a_positive_past(spark):
+    rows = [flat(0, 2.0), flat(1, 3.0), flat(2, 0.0), flat(3, 1.0)]
+    found = series.returns(bars_of(spark, rows), "symbol", price="close").orderBy("datetime").collect()
+    assert [r.simple_return for r in found] == [None, 0.5, -1.0, None]
+    assert found[1].log_return == pytest.approx(math.log(1.5))
+    assert [r.log_return for r in found][2:] == [None, None]
+
+
+def test_moving_uses_short_history(spark):
+    found = series.moving(bars_of(spark, [flat(n, float(n)) for n in range(4)]), "symbol", 3)
+    rows = found.orderBy("datetime").collect()
+    assert [r.moving_avg for r in rows] == [0.0, 0.5, 1.0, 2.0]
+    assert rows[0].volatility is None and rows[3].volatility == pytest.approx(1.0)
+
+
+def test_running_starts_over_per_key(spark):
+    rows = [("1", "A", at(0), 4.0, 1), ("2", "A", at(1), 2.0, 2), ("3", "A", at(2000), 0.0, 5)]
+    days = trades_of(spark, rows).selectExpr("*", "to_date(datetime) AS day")
+    found = series.running(days, ["symbol", "day"]).orderBy("datetime").collect()
+    assert [(r.cumulative_volume, r.running_high, r.drawdown) for r in found] == [
+        (1, 4.0, 0.0), (3, 4.0, -0.5), (5, 0.0, None)]
+
+
+def test_adjustment(spark):
+    rows = spark.createDataFrame([
+        ("A", at(0), 100.0, 0.0, 0.0), ("A", at(1), 50.0, 2.0, 0.0), ("A", at(2), 45.0, 0.0, 5.0)],
+        "symbol string, datetime timestamp, close double, stock_splits double, dividends double")
+    found = series.adjust(rows, "symbol").orderBy("datetime").collect()
+    assert [r.adjustment for r in found] == pytest.approx([0.45, 0.9, 1.0])
+    assert [r.adjusted_close for r in found] == pytest.approx([45.0, 45.0, 45.0])
+    assert [r.total_return for r in found] == [None, 0.0, 0.0]
+
+
+def test_gaps_and_fill(spark):
+    df = bars_of(spark, [flat(0, 1.0), flat(1, 2.0), flat(4, 3.0), flat(9, 1.0, "B")])
+    (gap,) = series.gaps(df, "symbol", 60).collect()
+    assert (gap.symbol, gap.gap_start, gap.gap_end, gap.missing_bars) == ("A", at(2), at(4), 2)
+    filled = series.fill(df, "symbol", 60).orderBy("symbol", "datetime").collect()
+    assert [(r.close, r.volume, r.filled) for r in filled] == [
+        (1.0, 1, False), (2.0, 1, False), (2.0, 0, True), (2.0, 0, True), (3.0, 1, False), (1.0, 1, False)]
+
+
+def test_as_of_takes_an_equal_time_and_leaves_the_first_empty(spark):
+    trades = trades_of(spark, [("1", "A", at(0), 1.0, 1), ("2", "A", at(1), 1.0, 1), ("3", "A", at(5), 1.0, 1),
+                               ("4", "B", at(5), 1.0, 1)])
+    found = joins.as_of(trades, bars_of(spark, [flat(1, 7.0), flat(4, 8.0)])).orderBy("id").collect()
+    assert [r.bar_close for r in found] == [None, 7.0, 8.0, None]
+    assert found[1].bar_datetime == at(1)
+
+
+def test_reconcile_marks_the_missing_side(spark):
+    ours = bars_of(spark, [flat(0, 1.0), flat(1, 2.0), (None, at(3), 1.0, 1.0, 1.0, 1.0, 1)])
+    theirs = bars_of(spark, [flat(1, 1.5), flat(2, 2.0), (None, at(3), 2.0, 2.0, 2.0, 2.0, 1)])
+    found = joins.reconcile(ours, theirs).orderBy("datetime").collect()
+    assert [(r.missing, r.close_diff) for r in found] == [
+        ("theirs", None), (None, 0.5), ("ours", None), (None, -1.0)]
+
+
+def test_latest_breaks_ties_by_id(spark):
+    rows = [("1", "A", at(1), 1.0, 1), ("9", "A", at(1), 2.0, 1), ("5", "A", at(0), 3.0, 1)]
+    (found,) = ranking.latest(trades_of(spark, rows), "symbol").collect()
+    assert (found.id, found.last_price) == ("9", 2.0)
+
+
+def test_conditions_keep_empty_lists(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (4, None)], "volume int, trade_conditions array<string>")
+    found = {r.condition: (r.trades, r.volume) for r in reports.condition_breakdown(df).collect()}
+    assert found == {"a": (1, 1), "b": (1, 1), None: (2, 6)}
+    assert reports.with_condition(df, "a", least=2).count() == 1
+    assert reports.with_condition(df, "a", least=3).count() == 0
+
+
+def test_rollup_tells_totals_from_null_symbols(spark):
+    rows = [("1", "A", at(0), 1.0, 1), ("2", None, at(0), 2.0, 2)]
+    found = {(r.symbol, r.level): r.volume for r in reports.rollup_report(trades_of(spark, rows)).collect()}
+    assert found == {("A", 0): 1, (None, 0): 2, ("A", 1): 1, (None, 1): 2, (None, 3): 3}
+
+
+def test_quality_counts(spark):
+    rows = [("1", "A", at(0), 1.0, 1), ("2", "", None, -1.0, 0), ("3", None, at(0), None, None)]
+    (found,) = reports.trade_quality(trades_of(spark, rows)).collect()
+    assert tuple(found) == (3, 2, 1, 2, 2)
+    broken = ("A", at(0), 5.0, 1.0, 2.0, 1.5, 0)
+    (found,) = reports.bar_quality(bars_of(spark, [flat(0, 1.0), broken])).collect()
+    assert tuple(found) == (2, 0, 1, 1, 1)
+
+
+def test_zscore_of_equal_values_is_null(spark):
+    rows = [("1", "A", at(0), 1.0, 1), ("2", "A", at(0), 1.0, 1), ("3", "B", at(0), 1.0, 1), ("4", "B", at(0), 3.0, 1)]
+    found = {r.id: r.zscore for r in reports.zscores(trades_of(spark, rows), "symbol", "last_price").collect()}
+    assert found["1"] is None and found["3"] == pytest.approx(-math.sqrt(0.5))
+
+
+def test_quotes_keep_duplicates(spark):
+    trades = trades_of(spark, [("1", "A", at(0), 1.0, 1)] * 2)
+    provided = bars_of(spark, [flat(0, 1.0)]).selectExpr("'b' AS id", "symbol AS ticker", "* EXCEPT (symbol)")
+    found = records.quotes(trades, provided).orderBy("feed").collect()
+    assert [(r.feed, r.price, r.high) for r in found] == [
+        ("bars", 1.0, 1.0), ("trades", 1.0, None), ("trades", 1.0, None)]
+
+
+def test_symbol_sets(spark):
+    left = trades_of(spark, [("1", s, at(0), 1.0, 1) for s in "AABC"])
+    right = trades_of(spark, [("1", s, at(0), 1.0, 1) for s in "ABBD"])
+    assert sorted(r.symbol for r in joins.in_both(left, right).collect()) == ["A", "B"]
+    assert sorted(r.symbol for r in joins.never_traded(left, right).collect()) == ["C"]
+    assert sorted(r.symbol for r in joins.traded(left, right).collect()) == ["A", "B"]
+    found = joins.surplus(left.select("symbol"), right.select("symbol"))
+    assert sorted(r.symbol for r in found.collect()) == ["A", "C"]
