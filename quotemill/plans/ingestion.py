@@ -177,6 +177,26 @@ def ingest_bars_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _catalog_table(spark, sf_dir, BARS, bar_messages(spark, sf_dir))
 
 
+def table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of both stored tables, with how many values arrived."""
+    found = None
+    for feed, messages in ((TRADES, trade_messages), (BARS, bar_messages)):
+        counts = table_rows(messages(spark, sf_dir), feed).agg(
+            *[F.count(c).alias(c) for c in feed.row.names])
+        columns = F.array(*[
+            F.struct(
+                F.lit(feed.table).alias("table_name"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("type"),
+                F.col(f.name).alias("filled"),
+            )
+            for f in feed.row
+        ])
+        part = counts.select(F.inline(columns))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -184,6 +204,6 @@ QUERIES = {
         epoch_to_timestamp, deterministic_id, random_ids, topic_routing, message_outcomes,
         valid_trades, valid_bars, accepted_trades, quarantined_trades, quarantined_bars,
         first_valid_message, ingest_trades_stream, ingest_bars_stream, ingest_split_stream,
-        ingest_trades_table, ingest_bars_table,
+        ingest_trades_table, ingest_bars_table, table_contract,
     )
 }

@@ -257,7 +257,29 @@ SQL = {
         SELECT id, symbol, last_price, round(zscore, 6) AS zscore FROM z WHERE abs(zscore) > 2.5""",
 }
 
+TRADE_TYPES = {
+    "id": "string", "trade_conditions": "array<string>", "last_price": "float", "symbol": "string",
+    "datetime": "timestamp", "volume": "int",
+}
+BAR_TYPES = {
+    "id": "string", "datetime": "timestamp", "open": "float", "high": "float", "low": "float",
+    "close": "float", "adj_close": "float", "volume": "int", "dividends": "float",
+    "stock_splits": "float", "ticker": "string",
+}
+
+
+def _contract(table: str, types: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS type, count({name}) AS filled "
+        f"FROM {table}"
+        for name, kind in types.items()
+    )
+
+
 SQL |= {
+    "table_contract": f"""{TYPED_HOURLY}, stock_trade AS ({STORED_TRADES}),
+        stock_data AS (SELECT {BAR_ROW} FROM bars)
+        {_contract("stock_trade", TRADE_TYPES)} UNION ALL {_contract("stock_data", BAR_TYPES)}""",
     "g03_unique_trades_stream": SQL["g03_unique_trades"],
     "g05_ohlcv_bars_stream": SQL["g05_ohlcv_bars"],
     "g07_sessions_stream": SQL["g07_sessions"],
