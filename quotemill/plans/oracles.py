@@ -238,6 +238,14 @@ SQL = {
         INTERSECT SELECT symbol FROM fills""",
     "g24_surplus_rows": f"""WITH {TRADES} SELECT symbol, CAST(datetime AS DATE) AS day FROM trades
         EXCEPT ALL SELECT symbol, CAST(datetime AS DATE) FROM trades WHERE event_type = 'purchase'""",
+    # A cut-off document gives an all-null row; a quoted or fractional volume is null.
+    "g25_trade_quality": """SELECT count(*) AS rows,
+          count(*) FILTER (event_type IN ('error', 'signup')) AS no_symbol,
+          count(*) FILTER (event_type = 'error' OR (event_type = 'purchase' AND event_id % 2 = 0)) AS no_time,
+          count(*) FILTER (event_type = 'error' OR value <= 0) AS no_positive_price,
+          count(*) FILTER (event_type IN ('error', 'view') OR (event_type = 'purchase' AND event_id % 2 <> 0)
+            OR floor(value) <= 0) AS no_positive_volume
+        FROM events""",
     "g25_bar_quality": f"""{HOURLY} SELECT count(*) AS rows,
           count(*) FILTER (symbol IS NULL OR datetime IS NULL) AS no_key,
           count(*) FILTER (NOT high >= low) AS high_below_low,

@@ -5,8 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-# Estimates, and a count over messages that SQL cannot parse the same way.
-WITHOUT_SQL = {"g17_approx_distinct_symbols", "g25_trade_quality", "g26_approx_percentiles"}
+# Estimates.
+WITHOUT_SQL = {"g17_approx_distinct_symbols", "g26_approx_percentiles"}
 
 
 @pytest.fixture(scope="module")
