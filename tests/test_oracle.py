@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from quotemill.plans import analytics, ingestion, oracles
 
 # Estimates.
 WITHOUT_SQL = {"g17_approx_distinct_symbols", "g26_approx_percentiles"}
@@ -15,18 +16,20 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    own = set(ingestion.QUERIES | analytics.QUERIES)
+    assert own - set(oracles.SQL) == WITHOUT_SQL
+    assert own <= set(entry.queries())
     assert not set(entry.oracle_sql()) - set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles.SQL))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert slow not in plan
     ours = oracle.spark_rows(df)
-    theirs = oracle.duck_rows(duck, entry.oracle_sql()[name])
+    theirs = oracle.duck_rows(duck, oracles.SQL[name])
     assert ours == theirs
 
 
