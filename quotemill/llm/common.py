@@ -26,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id and quality label of the labelled documents."""
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Gives this package to the executors' Python, once per context.
 

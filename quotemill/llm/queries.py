@@ -5,17 +5,79 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, token_counts
-from quotemill.llm.common import documents
+from quotemill.llm import bpe, cascade, licenses, pii, quality, token_counts
+from quotemill.llm.common import documents, labels
 from quotemill.llm.sql import SQL  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the field adds."""
+    docs = documents(spark, sf_dir)
+    find = pii.finder(spark, pii.estimated(docs))
+    found = docs.select("doc_id", find("text").alias("spans"))
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: ~s["added"])
+    return found.select(
+        "doc_id",
+        *[of_kind(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every document."""
+    scan = licenses.scanner()
+    found = documents(spark, sf_dir).select("doc_id", scan("text").alias("s"))
+
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    starts = F.transform("s.places", lambda place: place["start"])
+    base = F.transform("s.places", lambda place: place["label"])
+    own = F.transform("s.detections", lambda found: found["label"])
+    return found.select(
+        "doc_id", "s.n_words",
+        F.size("s.places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, own)).alias("labels"),
+        "s.score",
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    score = quality.classifier(spark, quality.fit(docs, labels(spark, sf_dir)))
+    scored = docs.select("doc_id", score("text").alias("score"))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of the rule cascade for every document."""
+    docs = documents(spark, sf_dir)
+    judge = cascade.cascade(cascade.estimated_order(docs))
+    return docs.select("doc_id", judge("text").alias("j")).select("doc_id", "j.*")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token count of every document and the longest prefix within the limit."""
     count = token_counts.prefix_counter(spark, public_tokenizers.path(TOKENIZER), budgets=[TOKEN_LIMIT])
@@ -41,6 +103,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_license_scan": op2_license_scan,
+    "op3_quality": op3_quality,
+    "op6_rule_cascade": op6_rule_cascade,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
 }
