@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, cascade, licenses, pii, quality, token_counts
+from quotemill.llm import bpe, cascade, licenses, line_dedup, pii, quality, token_counts
 from quotemill.llm.common import documents, labels
 from quotemill.llm.sql import SQL  # noqa: F401
 
@@ -71,6 +71,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on many sources."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    return line_dedup.without_boilerplate(docs)
+
+
 def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of the rule cascade for every document."""
     docs = documents(spark, sf_dir)
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_license_scan": op2_license_scan,
     "op3_quality": op3_quality,
+    "op4_line_spread": op4_line_spread,
     "op6_rule_cascade": op6_rule_cascade,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,

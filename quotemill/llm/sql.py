@@ -2,4 +2,36 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+# Space and the five control characters that part words, as SQL.
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
+
+LINE_SPREAD = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, text, source FROM documents
+), parts AS (
+  SELECT r, source, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS number FROM docs
+), lines AS (
+  SELECT r, source, raw, number, trim(raw, {BLANKS}) AS line FROM parts
+), boilerplate AS (
+  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10
+), marked AS (
+  SELECT l.*, line <> '' AS worded, b.line IS NOT NULL AS hit FROM lines l LEFT JOIN boilerplate b USING (line)
+), counted AS (
+  SELECT r, count(*) FILTER (worded) AS n_lines, count(*) FILTER (hit) AS n_hits,
+    coalesce(sum({WORDS.format("raw")}) FILTER (hit), 0) AS hit_words, sum({WORDS.format("raw")}) AS words,
+    coalesce(string_agg(raw, chr(10) ORDER BY number) FILTER (NOT hit), '') AS cleaned
+  FROM marked GROUP BY r
+)
+SELECT doc_id,
+  CASE WHEN n_hits = 0 OR 100 * hit_words > 50 * words THEN text ELSE cleaned END AS text,
+  n_lines, n_hits AS n_boilerplate,
+  CASE WHEN 100 * hit_words > 50 * words THEN 0 ELSE n_hits END AS n_removed,
+  100 * hit_words > 50 * words AS is_copy
+FROM docs JOIN counted USING (r)
+"""
+
+SQL: dict[str, str] = {
+    "op4_line_spread": LINE_SPREAD,
+}
