@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bpe, cascade, licenses, line_dedup, pii, quality, token_counts
-from quotemill.llm.common import documents, labels
+from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, pii, quality, token_counts
+from quotemill.llm.common import documents, labels, ship_package
 from quotemill.llm.sql import SQL  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+TOP = 5
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,13 @@ def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_boilerplate(docs)
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every fiftieth vector among all others."""
+    ship_package(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return bit_slices.top_k(vectors, F.col("vec_id") % 50 == 0, TOP)
+
+
 def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of the rule cascade for every document."""
     docs = documents(spark, sf_dir)
@@ -113,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_quality": op3_quality,
     "op4_line_spread": op4_line_spread,
+    "op5_top_k": op5_top_k,
     "op6_rule_cascade": op6_rule_cascade,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
