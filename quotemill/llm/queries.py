@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, pii, quality, token_counts
-from quotemill.llm.common import documents, labels, ship_package
+from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, mixing, pii, quality, token_counts
+from quotemill.llm.common import documents, labels, ship_package, words_of
 from quotemill.llm.sql import SQL  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -92,6 +92,19 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", judge("text").alias("j")).select("doc_id", "j.*")
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, with its source's size and target."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    mix, targets, sizes = mixing.mixed(docs, F.array("source"), words_of(F.col("text")), mixing.cycled)
+    # One row per source, as many as the mix has quotas.
+    sources = spark.createDataFrame(
+        [([name], sizes[name], float(targets[name])) for name in targets],
+        "members array<string>, source_size bigint, target double")
+    return mix.join(F.broadcast(sources), "members").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("readings")).alias("taken"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token count of every document and the longest prefix within the limit."""
     count = token_counts.prefix_counter(spark, public_tokenizers.path(TOKENIZER), budgets=[TOKEN_LIMIT])
@@ -123,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_spread": op4_line_spread,
     "op5_top_k": op5_top_k,
     "op6_rule_cascade": op6_rule_cascade,
+    "op7_source_mix": op7_source_mix,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
 }
