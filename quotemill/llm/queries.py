@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, mixing, pii, quality, token_counts
+from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, mixing, near_dups, pii, quality, token_counts
 from quotemill.llm.common import documents, labels, ship_package, words_of
 from quotemill.llm.sql import SQL  # noqa: F401
 
@@ -105,6 +105,11 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("readings")).alias("taken"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return near_dups.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token count of every document and the longest prefix within the limit."""
     count = token_counts.prefix_counter(spark, public_tokenizers.path(TOKENIZER), budgets=[TOKEN_LIMIT])
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_top_k": op5_top_k,
     "op6_rule_cascade": op6_rule_cascade,
     "op7_source_mix": op7_source_mix,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
 }
