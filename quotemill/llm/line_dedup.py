@@ -42,13 +42,6 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, text hashes: what tells rows apart."""
-    text = F.col(text_col)
-    return docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
-
-
 def lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """One row per line with a word: its document, number, hashes, words and site."""
     site = F.col(site_col).alias("site")
@@ -82,6 +75,53 @@ def boilerplate(found: DataFrame, min_sites: int) -> DataFrame:
     return clear.unionByName(exact)
 
 
+# Names the documents' own columns cannot have by chance.
+OWN = "__line_dedup_{}"
+
+
+def marked(
+    docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int,
+) -> DataFrame:
+    """The documents with the numbers of their boilerplate lines and the words in them, null if none."""
+    found = lines(docs, id_col, text_col, site_col)
+    row = ["id", "t1", "t2"]
+    own = {name: OWN.format(name) for name in [*row, "numbers", "hit_words"]}
+    hits = (
+        found.join(boilerplate(found, min_sites), ["h1", "h2"])
+        # A repeated row has the same lines; its numbers count once.
+        .groupBy(*row, "number").agg(F.first("words").alias("words"))
+        .groupBy(*row).agg(F.collect_list("number").alias("numbers"), F.sum("words").alias("hit_words"))
+        .withColumnsRenamed(own))
+    text = F.col(text_col)
+    same = (
+        F.col(id_col).eqNullSafe(F.col(own["id"])) & (F.xxhash64(text) == F.col(own["t1"]))
+        & (F.xxhash64(F.lit(1), text) == F.col(own["t2"])))
+    return docs.join(hits, same, "left").drop(*[own[name] for name in row])
+
+
+def is_copy(text: Column, copy_share: int) -> Column:
+    """Whether most words of a marked document are boilerplate."""
+    return F.coalesce(100 * F.col(OWN.format("hit_words")) > copy_share * words_of(text), F.lit(False))
+
+
+def cleaned(text: Column, copy_share: int) -> Column:
+    """Text of a marked document without its boilerplate lines; copies stay whole."""
+    numbers = F.col(OWN.format("numbers"))
+    rest = F.array_join(
+        F.filter(text_lines(text), lambda _, number: ~F.array_contains(numbers, number)), "\n")
+    return F.when(numbers.isNull() | is_copy(text, copy_share), text).otherwise(rest)
+
+
+def with_clean_text(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
+    min_sites: int = MIN_SITES, copy_share: int = COPY_SHARE,
+) -> DataFrame:
+    """The documents with their text cleaned and all other columns as they were."""
+    return (
+        marked(docs, id_col, text_col, site_col, min_sites)
+        .withColumn(text_col, cleaned(F.col(text_col), copy_share)).select(*docs.columns))
+
+
 def without_boilerplate(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
     min_sites: int = MIN_SITES, copy_share: int = COPY_SHARE,
@@ -91,30 +131,14 @@ def without_boilerplate(
     Columns: the id, ``text``, ``n_lines`` (lines with a word), ``n_boilerplate``
     (of them on ``min_sites`` sites or more), ``n_removed`` and ``is_copy``.
     """
-    found = lines(docs, id_col, text_col, site_col)
-    row = ["id", "t1", "t2"]
-    hits = (
-        found.join(boilerplate(found, min_sites), ["h1", "h2"])
-        # A repeated row has the same lines; its numbers count once.
-        .groupBy(*row, "number").agg(F.first("words").alias("words"))
-        .groupBy(*row).agg(F.collect_list("number").alias("numbers"), F.sum("words").alias("hit_words"))
-        .withColumnsRenamed({name: f"r_{name}" for name in row}))
-    whole = keyed(docs, id_col, text_col).alias("d").join(
-        hits, (F.col("d.id").eqNullSafe(F.col("r_id"))) & (F.col("d.t1") == F.col("r_t1"))
-        & (F.col("d.t2") == F.col("r_t2")), "left")
-    text = F.col("d.text")
-    all_lines = text_lines(text)
-    is_copy = F.coalesce(100 * F.col("hit_words") > copy_share * words_of(text), F.lit(False))
-    cleaned = F.array_join(
-        F.filter(all_lines, lambda _, number: ~F.array_contains(F.col("numbers"), number)), "\n")
-    n_hits = F.coalesce(F.size("numbers"), F.lit(0)).cast("bigint")
-    n_hits = F.when(F.col("numbers").isNull(), F.lit(0).cast("bigint")).otherwise(n_hits)
-    with_word = F.filter(all_lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")
-    return whole.select(
-        F.col("d.id").alias(id_col),
-        F.when(F.col("numbers").isNull() | is_copy, text).otherwise(cleaned).alias("text"),
-        F.size(with_word).cast("bigint").alias("n_lines"),
-        n_hits.alias("n_boilerplate"),
-        F.when(is_copy, F.lit(0).cast("bigint")).otherwise(n_hits).alias("n_removed"),
-        is_copy.alias("is_copy"),
-    )
+    few = docs.select(id_col, text_col, site_col)
+    text = F.col(text_col)
+    numbers = F.col(OWN.format("numbers"))
+    copy = is_copy(text, copy_share)
+    none = F.lit(0).cast("bigint")
+    hits = F.when(numbers.isNull(), none).otherwise(F.size(numbers).cast("bigint"))
+    worded = F.filter(text_lines(text), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+    return marked(few, id_col, text_col, site_col, min_sites).select(
+        F.col(id_col), cleaned(text, copy_share).alias("text"),
+        F.size(worded).cast("bigint").alias("n_lines"), hits.alias("n_boilerplate"),
+        F.when(copy, none).otherwise(hits).alias("n_removed"), copy.alias("is_copy"))

@@ -148,67 +148,83 @@ def cycled(names: Sequence[object], weights: Sequence[float] = (1, 2, 3)) -> dic
     return {name: weights[k % len(weights)] for k, name in enumerate(ordered)}
 
 
-def mixed(
-    docs: DataFrame, members: Column, size: Column, weights: Callable[[Sequence[object]], Mapping[object, float]],
-    *, id_col: str = "doc_id", max_repeats: int = MAX_REPEATS, seed: int = SEED,
-) -> tuple[DataFrame, dict[object, float], dict[object, int]]:
-    """How much of each document the mix takes, the targets, and the sources' sizes.
-
-    ``members`` is the array of a document's sources, ``size`` its tokens;
-    ``weights`` maps the sources' names to their weights. The frame has the id,
-    ``members`` sorted, ``size`` and ``readings`` (how often the document is read).
+class Mix:
+    """Decisions of a mix: per membership pattern how often its documents are read.
+
+    ``members`` is the array of a document's sources, ``size`` its tokens, both
+    columns of ``docs``; ``weights`` maps the sources' names to their weights.
+    ``targets`` and ``sizes`` are by source. The decisions are at most
+    ``MAX_PATTERNS`` rows.
     """
-    # The order's key also tells the documents of a pattern apart as far as it can.
-    rows = saved(docs.select(
-        F.col(id_col).alias("id"),
-        F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))).alias("members"),
-        size.cast(WHOLE).alias("size"),
-    ).withColumn("rank", F.xxhash64(F.lit(seed), "id", "size")))
-    patterns = rows.groupBy("members").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    found = patterns.limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    sizes = {tuple(row.members): row.size for row in found}
-    by_source: dict[object, int] = {}
-    for key, total in sizes.items():
-        for name in key:
-            by_source[name] = by_source.get(name, 0) + total
-    names = sorted(by_source, key=lambda name: (name is None, name or ""))
-    share = weights(names)
-    # A token in several sources counts once in the whole.
-    whole = quotas_of(by_source, share, sum(sizes.values()), max_repeats)
-    given = routed(sizes, whole, max_repeats)
-    plan = docs.sparkSession.createDataFrame(
-        [(list(key), *divmod(given[key], sizes[key]), max(1, -(-row_count // BUCKET_ROWS)))
-         for key, row_count in ((tuple(row.members), row.rows) for row in found) if sizes[key]],
-        "members array<string>, whole bigint, rest bigint, buckets bigint")
-    return taken(rows, plan), whole, by_source
+
+    def __init__(
+        self, docs: DataFrame, members: Column, size: Column,
+        weights: Callable[[Sequence[object]], Mapping[object, float]],
+        *, id_col: str = "doc_id", max_repeats: int = MAX_REPEATS, seed: int = SEED,
+    ):
+        self.id = F.col(id_col)
+        self.members = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
+        self.size = size.cast(WHOLE)
+        self.rank = F.xxhash64(F.lit(seed), self.id, self.size)
+        rows = saved(docs.select(
+            self.id.alias("id"), self.members.alias("members"), self.size.alias("size"), self.rank.alias("rank")))
+        found = rows.groupBy("members").agg(
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MAX_PATTERNS + 1).collect()
+        if len(found) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+        by_pattern = {tuple(row.members): row.size for row in found}
+        self.sizes: dict[object, int] = {}
+        for pattern, total in by_pattern.items():
+            for name in pattern:
+                self.sizes[name] = self.sizes.get(name, 0) + total
+        share = weights(list(self.sizes))
+        self.targets = quotas_of(self.sizes, share, sum(by_pattern.values()), max_repeats)
+        given = routed(by_pattern, self.targets, max_repeats)
+        plan = docs.sparkSession.createDataFrame(
+            [(list(pattern), *divmod(given[pattern], by_pattern[pattern]), max(1, -(-row.rows // BUCKET_ROWS)))
+             for pattern, row in ((tuple(row.members), row) for row in found) if by_pattern[pattern]],
+            "members array<string>, whole bigint, rest bigint, buckets bigint")
+        decided = cuts(rows, plan)
+        self.decisions = docs.sparkSession.createDataFrame(decided.collect(), decided.schema)
+
+    def readings(self, docs: DataFrame, name: str) -> DataFrame:
+        """The documents with how often each is read, 0 to ``max_repeats``, as column ``name``."""
+        decisions = self.decisions.withColumnsRenamed({c: f"__mix_{c}" for c in self.decisions.columns})
+        of = {c: F.col(f"__mix_{c}") for c in self.decisions.columns}
+        bucket = F.pmod(self.rank, of["buckets"])
+        upto = F.struct(self.rank, self.id, self.size) <= F.struct(of["cut_rank"], of["cut_id"], of["cut_size"])
+        chosen = (bucket < of["edge"]) | ((bucket == of["edge"]) & of["cut_rank"].isNotNull() & upto)
+        times = F.coalesce(of["whole"], F.lit(0)) + F.coalesce(chosen, F.lit(False)).cast("bigint")
+        return (
+            docs.join(F.broadcast(decisions), self.members == of["members"], "left")
+            .withColumn(name, F.when(self.size > 0, times).otherwise(0).cast("int"))
+            .select(*docs.columns, name))
 
 
 def quotas_of(
     sizes: Mapping[object, int], weights: Mapping[object, float], total: int, max_repeats: int,
 ) -> dict[object, float]:
-    names = list(sizes)
+    """Target of each source by name."""
+    names = sorted(sizes, key=lambda name: (name is None, name or ""))
     targets = quotas([sizes[name] for name in names], [weights.get(name, 0) for name in names], max_repeats)
     # Overlap makes the sources' sizes add up to more than there is.
     scale = total / sum(sizes.values()) if sum(sizes.values()) else 0.0
     return dict(zip(names, [target * scale for target in targets]))
 
 
-def taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with the number of readings that the plan's amounts come to."""
-    # The plan has a row per pattern, at most MAX_PATTERNS.
-    planned = rows.join(F.broadcast(plan), "members", "left").withColumn(
+def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with the bucket and the document of each pattern where its rest ends."""
+    # The plan has a row per pattern, at most MAX_PATTERNS; so have the tables below.
+    planned = rows.where("size > 0").join(F.broadcast(plan.where("rest > 0")), "members").withColumn(
         "bucket", F.pmod("rank", F.col("buckets")))
-    sums = planned.where("rest > 0 and size > 0").groupBy("members", "bucket", "rest").agg(
-        F.sum("size").alias("bucket_size"))
+    sums = planned.groupBy("members", "bucket", "rest").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("members").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # The bucket where the rest ends: what stands before it is smaller than the rest.
+    # What stands before the bucket where the rest ends is smaller than the rest.
     edge = (
         sums.withColumn("before", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
         .where("before < rest and rest <= before + bucket_size")
         .select("members", F.col("bucket").alias("edge"), (F.col("rest") - F.col("before")).alias("open")))
-    inside = planned.where("rest > 0 and size > 0").join(F.broadcast(edge), "members").where("bucket = edge")
+    inside = planned.join(F.broadcast(edge), "members").where("bucket = edge")
     order = ["rank", "id", "size"]
     upto = Window.partitionBy("members").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     # A document belongs to the rest if at least half of it does.
@@ -216,11 +232,8 @@ def taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
         inside.withColumn("before", F.coalesce(F.sum("size").over(upto), F.lit(0)))
         .where(F.col("before") + F.col("size") / 2 <= F.col("open"))
         .groupBy("members").agg(F.max(F.struct(*order)).alias("cut")))
-    # One row per pattern each, as the plan.
-    decided = planned.join(F.broadcast(edge.join(F.broadcast(cut), "members", "left")), "members", "left")
-    chosen = (F.col("bucket") < F.col("edge")) | (
-        (F.col("bucket") == F.col("edge")) & (F.struct(*order) <= F.col("cut")))
-    return decided.select(
-        "id", "members", "size",
-        F.when(F.col("size") > 0, F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(chosen, F.lit(False)).cast("int"))
-        .otherwise(0).cast("int").alias("readings"))
+    return (
+        plan.join(F.broadcast(edge.select("members", "edge")), "members", "left")
+        .join(F.broadcast(cut), "members", "left")
+        .select("members", "whole", "buckets", "edge",
+                *[F.col(f"cut.{c}").alias(f"cut_{c}") for c in order]))

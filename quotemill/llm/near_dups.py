@@ -351,14 +351,8 @@ class Search:
             F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
-def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
-) -> DataFrame:
-    """Component of near duplicates of every document.
-
-    Columns: the id, ``n_shingles``, ``component_id`` (smallest id reachable)
-    and ``kept`` (whether the id is the component's). ``similarity`` is in percent.
-    """
+def assigned(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> DataFrame:
+    """Per document: id, text hash, set size, component (null without shingles) and the component's id."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = saved(texts.select(
         "id", F.xxhash64("text").alias("text_hash"), signatures()("text").alias("s")).select("id", "text_hash", "s.*"))
@@ -370,9 +364,37 @@ def near_duplicates(
     classes = reps.select("node", "first_id").join(linked, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     smallest = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(smallest, "label").select("node", "component_id")
-    found = signed.select("id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return found.select(
+    named = classes.join(smallest, "label").select("node", "label", "component_id")
+    return signed.select("id", "text_hash", "n_shingles", "node").join(named, "node", "left")
+
+
+def near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
+) -> DataFrame:
+    """Component of near duplicates of every document.
+
+    Columns: the id, ``n_shingles``, ``component_id`` (smallest id reachable)
+    and ``kept`` (whether the id is the component's). ``similarity`` is in percent.
+    """
+    component = F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return assigned(docs, id_col, text_col, similarity).select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
+) -> DataFrame:
+    """The documents with one row of each component, all columns as they were.
+
+    Of a component the smallest id stays, rows without an id last. Documents
+    without shingles are in no component and all stay, repeated rows once.
+    """
+    rows = assigned(docs, id_col, text_col, similarity)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first")
+    chosen = rows.where("label is not null").groupBy("label").agg(first).select("first.id", "first.text_hash")
+    alone = rows.where("label is null").select("id", "text_hash").distinct()
+    kept = chosen.unionByName(alone).withColumnsRenamed({"id": "__kept_id", "text_hash": "__kept_hash"})
+    same = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.xxhash64(text_col) == F.col("__kept_hash"))
+    stay = docs.join(kept, same, "left_semi").withColumn("__hash", F.xxhash64(text_col))
+    return stay.dropDuplicates([id_col, "__hash"]).select(*docs.columns)

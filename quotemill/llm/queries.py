@@ -95,14 +95,16 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, with its source's size and target."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    mix, targets, sizes = mixing.mixed(docs, F.array("source"), words_of(F.col("text")), mixing.cycled)
+    sized = docs.select("doc_id", "source", words_of(F.col("text")).alias("size"))
+    mix = mixing.Mix(sized, F.array("source"), F.col("size"), mixing.cycled)
     # One row per source, as many as the mix has quotas.
     sources = spark.createDataFrame(
-        [([name], sizes[name], float(targets[name])) for name in targets],
-        "members array<string>, source_size bigint, target double")
-    return mix.join(F.broadcast(sources), "members").select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target",
-        (F.col("size") * F.col("readings")).alias("taken"))
+        [(name, mix.sizes[name], float(mix.targets[name])) for name in mix.targets],
+        "name string, source_size bigint, target double")
+    return (
+        mix.readings(sized, "readings")
+        .join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name")))
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("readings")).alias("taken")))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
