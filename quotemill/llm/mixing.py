@@ -165,7 +165,9 @@ class Mix:
         self.id = F.col(id_col)
         self.members = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
         self.size = size.cast(WHOLE)
-        self.rank = F.xxhash64(F.lit(seed), self.id, self.size)
+        # Null ids hash as the empty text.
+        named = F.concat_ws(":", F.lit(str(seed)), F.coalesce(self.id.cast("string"), F.lit("")), self.size.cast("string"))
+        self.rank = F.md5(named)
         rows = saved(docs.select(
             self.id.alias("id"), self.members.alias("members"), self.size.alias("size"), self.rank.alias("rank")))
         found = rows.groupBy("members").agg(
@@ -191,7 +193,7 @@ class Mix:
         """The documents with how often each is read, 0 to ``max_repeats``, as column ``name``."""
         decisions = self.decisions.withColumnsRenamed({c: f"__mix_{c}" for c in self.decisions.columns})
         of = {c: F.col(f"__mix_{c}") for c in self.decisions.columns}
-        bucket = F.pmod(self.rank, of["buckets"])
+        bucket = bucket_of(self.rank, of["buckets"])
         upto = F.struct(self.rank, self.id, self.size) <= F.struct(of["cut_rank"], of["cut_id"], of["cut_size"])
         chosen = (bucket < of["edge"]) | ((bucket == of["edge"]) & of["cut_rank"].isNotNull() & upto)
         times = F.coalesce(of["whole"], F.lit(0)) + F.coalesce(chosen, F.lit(False)).cast("bigint")
@@ -212,11 +214,16 @@ def quotas_of(
     return dict(zip(names, [target * scale for target in targets]))
 
 
+def bucket_of(rank: Column, buckets: Column) -> Column:
+    """Bucket of a hexadecimal rank, from its first eight digits."""
+    return F.conv(F.substring(rank, 1, 8), 16, 10).cast("bigint") % buckets
+
+
 def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """The plan with the bucket and the document of each pattern where its rest ends."""
     # The plan has a row per pattern, at most MAX_PATTERNS; so have the tables below.
     planned = rows.where("size > 0").join(F.broadcast(plan.where("rest > 0")), "members").withColumn(
-        "bucket", F.pmod("rank", F.col("buckets")))
+        "bucket", bucket_of(F.col("rank"), F.col("buckets")))
     sums = planned.groupBy("members", "bucket", "rest").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("members").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # What stands before the bucket where the rest ends is smaller than the rest.

@@ -49,7 +49,121 @@ WITH v AS (
 SELECT * FROM ranked WHERE rank <= 5
 """
 
+def share(part: str, whole: str, limit: int) -> str:
+    return f"100 * ({part}) > {limit} * ({whole})"
+
+
+RULE_CASCADE = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    string_split(coalesce(text, ''), chr(10)) AS parts
+  FROM documents
+), windows AS (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM docs)
+), repeated AS (
+  SELECT r, unnest([i, i + 1, i + 2]) AS place
+  FROM windows QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
+), covered AS (
+  SELECT r, count(DISTINCT place) AS n FROM repeated GROUP BY r
+), facts AS (
+  SELECT d.*, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(parts, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    coalesce(c.n, 0) AS n_repeat_words
+  FROM docs d LEFT JOIN covered c USING (r)
+), based AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM facts
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT (base_failed
+    OR {share("n_symbols", "n_words", 10)}
+    OR NOT word_chars BETWEEN 2 * n_words AND 12 * n_words
+    OR {share("n_dup_lines", "len(lines)", 60)}
+    OR length(regexp_replace(text, '[^A-Z]', '', 'g')) > length(regexp_replace(text, '[^a-z]', '', 'g'))
+    OR {share("len(list_filter(w, lambda x: suffix(x, '!')))", "n_words", 20)}
+    OR coalesce({share("list_max(map_values(list_histogram(w)))", "n_words", 25)}, false)
+    OR {share(r"len(list_filter(w, lambda x: NOT regexp_matches(x, '[\pL]')))", "n_words", 30)}) AS kept
+FROM based
+"""
+
+# Targets in closed form: sources in order of cap by weight, the first ones capped.
+SOURCE_MIX = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, CAST({WORDS.format("coalesce(text, '')")} AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n,
+    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1 AS weight
+  FROM docs GROUP BY source
+), levels AS (
+  SELECT *, row_number() OVER up AS place,
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER below, 0) AS open_size,
+    sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS open_weight
+  FROM sources
+  WINDOW up AS (ORDER BY source_size / weight, source NULLS LAST),
+    below AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT arg_min(open_size, place) AS open_size, arg_min(open_weight, place) AS open_weight FROM levels
+  WHERE 3 * source_size * open_weight >= weight * open_size
+), targets AS (
+  SELECT s.*, least(3.0 * source_size, coalesce(CAST(open_size * weight AS DOUBLE) / open_weight, 0)) AS target
+  FROM sources s CROSS JOIN level
+), plan AS (
+  SELECT *, CAST(round_even(target, 0) AS BIGINT) // greatest(source_size, 1) AS whole,
+    CAST(round_even(target, 0) AS BIGINT) % greatest(source_size, 1) AS rest, greatest(1, CAST(ceil(n / 2000.0) AS BIGINT)) AS buckets
+  FROM targets
+), ranked AS (
+  SELECT d.*, p.* EXCLUDE (source),
+    md5('2024:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(size AS VARCHAR)) AS rank
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+), ordered AS (
+  SELECT *, coalesce(sum(size) OVER (
+    PARTITION BY source ORDER BY CAST('0x' || substr(rank, 1, 8) AS BIGINT) % buckets, rank, doc_id, size, r
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM ranked
+)
+SELECT doc_id, size, source_size, target,
+  CAST(CASE WHEN size = 0 THEN 0
+    ELSE size * (whole + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+FROM ordered
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle, least(len(w), 5) AS width
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.width = b.width AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common c JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * c.n >= 75 * (a.n + b.n - c.n)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least_id AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least_id LEFT JOIN sizes USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op4_line_spread": LINE_SPREAD,
     "op5_top_k": TOP_K,
+    "op6_rule_cascade": RULE_CASCADE,
+    "op7_source_mix": SOURCE_MIX,
+    "op8_near_duplicates": NEAR_DUPLICATES,
 }
