@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import words_of
+from quotemill.llm.common import saved, words_of
 
 MIN_SITES = 10
 SKETCH_BITS = 12
@@ -60,19 +60,22 @@ def boilerplate(found: DataFrame, min_sites: int) -> DataFrame:
     """Hashes of the lines that stand on at least ``min_sites`` sites."""
     key = ["h1", "h2"]
     margin = MARGIN * min_sites
-    # A line on several sites has several rows; those of one site need no sketch.
-    spread = (
+    # Few lines come near the threshold. They are kept apart, so that the joins
+    # with them are shuffles of their own, which the optimizer splits at lines
+    # that stand almost everywhere.
+    spread = saved(
         found.groupBy(*key)
         .agg(F.hll_sketch_agg("site", SKETCH_BITS).alias("sketch"))
-        .select(*key, F.hll_sketch_estimate("sketch").alias("sites")))
+        .select(*key, F.hll_sketch_estimate("sketch").alias("sites"))
+        .where(F.col("sites") >= min_sites - margin))
     clear = spread.where(F.col("sites") > min_sites + margin).select(*key)
-    near = spread.where(F.col("sites").between(min_sites - margin, min_sites + margin)).select(*key)
+    near = spread.where(F.col("sites") <= min_sites + margin).select(*key)
     exact = (
         found.select(*key, "site").join(near, key, "left_semi")
         .where("site is not null").distinct()
         .groupBy(*key).agg(F.count(F.lit(1)).alias("sites"))
         .where(F.col("sites") >= min_sites).select(*key))
-    return clear.unionByName(exact)
+    return saved(clear.unionByName(exact))
 
 
 # Names the documents' own columns cannot have by chance.
