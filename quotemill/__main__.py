@@ -26,6 +26,11 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group()
     source.add_argument("--servers", default="kafka:9092", help="Kafka bootstrap servers")
     source.add_argument("--files", help="read messages from files instead")
+    parser.add_argument("--group-id", help="consumer group")
+    parser.add_argument("--protocol", default="PLAINTEXT", help="security protocol of the brokers")
+    parser.add_argument("--min-partitions", type=int, help="least tasks that read a topic")
+    parser.add_argument("--max-offsets", type=int, help="most messages of a micro-batch")
+    parser.add_argument("--max-files", type=int, help="most files of a micro-batch")
     parser.add_argument("--checkpoint", required=True, help="folder of the stream's offsets")
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--table", action="store_true", help="write the catalog table")
@@ -35,26 +40,34 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--quarantine", help="folder for messages that fail the checks")
     parser.add_argument("--continuous", action="store_true", help="keep running")
     parser.add_argument("--interval", help="pace of micro-batches, such as '1 minute'")
-    parser.add_argument("--poll-interval", type=float, default=5)
+    parser.add_argument("--poll-interval", type=float, default=5, help="seconds between looks at the topic")
     parser.add_argument("--poll-timeout", type=float, default=360)
     parser.add_argument("--explain", action="store_true")
     return parser.parse_args(argv)
 
 
+def source_of(args: argparse.Namespace) -> FileTopics | KafkaTopics:
+    if args.files:
+        return FileTopics(args.files, max_files_per_trigger=args.max_files)
+    return KafkaTopics(
+        args.servers, group_id=args.group_id, security_protocol=args.protocol,
+        min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = arguments(argv)
     chosen = feed(args.feed)
     spark = spark or build_session(f"{chosen.name}-{datetime.now():%Y%m%d%H%M%S}", storage_from_env())
-    source = FileTopics(args.files) if args.files else KafkaTopics(args.servers)
+    source = source_of(args)
     if args.table:
         sinks.create_database(spark, args.database)
         sink = sinks.CatalogTable(sinks.create_table(spark, chosen, args.database))
     elif args.cassandra:
-        sink = sinks.cassandra(chosen, args.database)
+        sink = sinks.create_keyed(spark, chosen, args.database)
     else:
         sink = sinks.BatchDirectory(args.directory)
     ready = wait_until_ready(
-        lambda: source.read_batch(spark, chosen.topic), chosen,
+        lambda since: source.read_batch(spark, chosen.topic, since=since), chosen,
         poll_interval=args.poll_interval, poll_timeout=args.poll_timeout)
     if not ready:
         return 1

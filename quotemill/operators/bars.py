@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from quotemill.operators.pieces import HOT_ROWS, cut
 
 
-def money(amount: Column | str) -> Column:
-    """Exact decimal, so that sums do not depend on row order."""
+def known(amount: Column | str) -> Column:
+    """The amount, or null where it is not a number."""
     column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast("decimal(18,4)")
+    return F.when(~F.isnan(column), column)
 
 
 def ohlcv(
@@ -29,16 +29,17 @@ def ohlcv(
     """Open, high, low, close and volume per symbol and window, batch or streaming.
 
     Windows include their start and exclude their end. Trades of equal time
-    are ordered by ``ties``.
+    are ordered by ``ties``. Trades without a price count, but set none.
     """
-    place = F.struct("datetime", *ties)
+    price = known("last_price")
+    place = F.when(price.isNotNull(), F.struct("datetime", *ties))
     return (
         trades.groupBy("symbol", F.window("datetime", width).alias("bar"))
         .agg(
-            F.min_by("last_price", place).alias("open"),
-            F.max("last_price").alias("high"),
-            F.min("last_price").alias("low"),
-            F.max_by("last_price", place).alias("close"),
+            F.min_by(price, place).alias("open"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.max_by(price, place).alias("close"),
             F.sum(F.col("volume").cast("bigint")).alias("volume"),
             F.count(F.lit(1)).alias("trades"),
         )
@@ -51,15 +52,17 @@ def sliding_stats(trades: DataFrame, width_seconds: int, slide_seconds: int) ->
     """Statistics per symbol over overlapping windows.
 
     Trades are reduced to panes of one slide first; only panes are copied into
-    the windows that cover them.
+    the windows that cover them. The average is over the trades with a price.
     """
+    price = known("last_price")
     if width_seconds % slide_seconds:
         raise ValueError("the width must be a multiple of the slide")
     panes = trades.groupBy("symbol", F.window("datetime", f"{slide_seconds} seconds").alias("pane")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(money("last_price")).alias("total"),
-        F.min("last_price").alias("low"),
-        F.max("last_price").alias("high"),
+        F.count(price).alias("priced"),
+        F.sum(price).alias("total"),
+        F.min(price).alias("low"),
+        F.max(price).alias("high"),
         F.sum(F.col("volume").cast("bigint")).alias("volume"),
     )
     starts = F.array(*[
@@ -71,7 +74,7 @@ def sliding_stats(trades: DataFrame, width_seconds: int, slide_seconds: int) ->
         .groupBy("symbol", "window_start")
         .agg(
             F.sum("n").alias("trades"),
-            (F.sum("total").cast("double") / F.sum("n")).alias("avg_price"),
+            (F.sum("total") / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_price"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.sum("volume").alias("volume"),
@@ -134,11 +137,16 @@ def resample(bars: DataFrame, width: str) -> DataFrame:
 
 
 def vwap(trades: DataFrame, *by: Column | str) -> DataFrame:
-    """Volume-weighted average price; null where nothing was traded."""
-    notional = F.sum(money(F.col("last_price") * F.col("volume")))
-    volume = F.sum(money("volume"))
+    """Volume-weighted average price; null where nothing was traded at a price.
+
+    Price and volume are those of the trades that have both.
+    """
+    priced = known(F.col("last_price").cast("double"))
+    amount = known(F.col("volume").cast("double"))
+    notional = F.sum(priced * amount)
+    volume = F.sum(F.when(priced.isNotNull(), amount))
     return trades.groupBy(*by).agg(
-        (notional.cast("double") / F.nullif(volume.cast("double"), F.lit(0.0))).alias("vwap"),
-        volume.cast("double").alias("volume"),
+        (notional / F.nullif(volume, F.lit(0.0))).alias("vwap"),
+        volume.alias("volume"),
         F.count(F.lit(1)).alias("trades"),
     )

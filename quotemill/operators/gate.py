@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from quotemill.functions.parsing import fits_int, parse_message, payload_text
 from quotemill.functions.readiness import VALID
 from quotemill.sources.feeds import Feed
 
+# How far the clocks of producers may be apart.
+OVERLAP = timedelta(minutes=1)
 LOSSY_VOLUME = "volume_lossy"
 BAD_TIME = "time_unreadable"
 
@@ -57,12 +61,26 @@ def first_valid(messages: DataFrame, feed: Feed) -> DataFrame:
     return valid_messages(messages, feed).orderBy("topic", "partition", "offset").limit(1)
 
 
-def wait_until_ready(read, feed: Feed, *, poll_interval: float = 5, poll_timeout: float = 360) -> bool:
-    """Polls ``read()`` until it holds a valid message; false at the timeout."""
+def wait_until_ready(
+    read: Callable[[datetime | None], DataFrame], feed: Feed, *,
+    poll_interval: float = 5, poll_timeout: float = 360,
+) -> bool:
+    """Polls until there is a valid message; false at the timeout.
+
+    ``read`` takes the time from which messages are wanted. A poll starts where
+    the last one ended, less ``OVERLAP``, so a long head of invalid messages is
+    parsed once.
+    """
     deadline = time.monotonic() + poll_timeout
+    since = None
     while True:
-        if not valid_messages(read(), feed).isEmpty():
+        messages = read(since)
+        # Taken before the check, so what arrives meanwhile is read again.
+        newest = messages.agg(F.max("timestamp")).first()[0]
+        if not valid_messages(messages, feed).isEmpty():
             return True
+        if newest is not None:
+            since = newest - OVERLAP
         if time.monotonic() + poll_interval > deadline:
             return False
         time.sleep(poll_interval)

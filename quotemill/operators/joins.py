@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.operators.bars import money
-from quotemill.operators.pieces import HOT_ROWS, PIECE, cut, lookup
+from quotemill.operators.pieces import HOT_ROWS, cut, lookup
 
 
 def as_of(
     trades: DataFrame, bars: DataFrame, *, values: Sequence[str] = ("close",), tie: str = "id",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, probe: DataFrame | None = None,
 ) -> DataFrame:
     """Each trade with the last bar at or before its time; null if there is none.
 
     Both sides are put in one ordered sequence per symbol and the bar values
     are carried forward, so no trade is ever paired with more than one bar.
+    ``probe`` is as in ``cut``: the trades alone where bars are few beside them.
     """
     boxed = F.struct(F.col("datetime").alias("bar_datetime"), *[F.col(v).alias(f"bar_{v}") for v in values])
     quoted = bars.select("symbol", "datetime", F.lit(0).alias("_side"), boxed.alias("_bar"))
     traded = trades.select("*", F.lit(1).alias("_side"))
     mixed = traded.unionByName(quoted, allowMissingColumns=True)
-    pieces = cut(mixed, ["symbol"], ["datetime", "_side", tie], hot_rows=hot_rows)
+    pieces = cut(mixed, ["symbol"], ["datetime", "_side", tie], hot_rows=hot_rows, probe=probe)
     has_bar = F.col("_bar").isNotNull()
     pieces = pieces.carry(_earlier=(pieces.last_of(F.col("_bar"), when=has_bar), "last"))
     found = F.coalesce(F.last("_bar", ignorenulls=True).over(pieces.window), F.col("_earlier"))
@@ -37,17 +37,37 @@ def as_of(
 
 def to_bar(
     trades: DataFrame, bars: DataFrame, width: str, *, values: Sequence[str] = ("open", "close"),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Each trade with the bar whose interval contains it; trades without one are left out.
+    """Each trade with the bars whose interval contains it; trades without one are left out.
 
-    Bars start on multiples of their width, so the interval test is an equality
-    on symbol and start. There must be one bar per symbol and start.
+    A bar lasts ``width`` from its start, wherever that is. Time is cut into
+    buckets of the width; a bar stands in the one or two it touches and a trade
+    in its own, so the join is an equality with a range test on top.
     """
-    starts = trades.withColumn("bar_start", F.window("datetime", width)["start"])
-    table = bars.select(
-        "symbol", F.col("datetime").alias("bar_start"), *[F.col(v).alias(f"bar_{v}") for v in values])
-    return lookup(starts, table, ["symbol", "bar_start"], "inner", hot_rows=hot_rows)
+    placed = trades.withColumn("_bucket", bucket("datetime", width)).alias("t")
+    table = touched(bars, width, values).alias("b")
+    inside = (
+        (F.col("t.symbol") == F.col("b.symbol")) & (F.col("t._bucket") == F.col("b._bucket"))
+        & (F.col("t.datetime") >= F.col("b.bar_start"))
+        & (F.col("t.datetime") < F.col("b.bar_start") + F.expr(f"INTERVAL {width}")))
+    return placed.join(table, inside).select(
+        *[f"t.{c}" for c in trades.columns], "b.bar_start", *[f"b.bar_{v}" for v in values])
+
+
+def bucket(time: str, width: str) -> Column:
+    """Start of the bucket of ``width`` that holds a time."""
+    return F.window(time, width)["start"]
+
+
+def touched(bars: DataFrame, width: str, values: Sequence[str]) -> DataFrame:
+    """Bars with each bucket they touch: the one of their start, and the next if they reach into it."""
+    first = bars.withColumn("_first", bucket("datetime", width))
+    step = F.expr(f"INTERVAL {width}")
+    both = F.when(F.col("_first") == F.col("datetime"), F.array("_first")).otherwise(
+        F.array(F.col("_first"), F.col("_first") + step))
+    return first.select(
+        "symbol", F.col("datetime").alias("bar_start"), *[F.col(v).alias(f"bar_{v}") for v in values],
+        F.explode(both).alias("_bucket"))
 
 
 def reconcile(
@@ -70,29 +90,21 @@ def reconcile(
     )
 
 
-def positions(orders: DataFrame, fills: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def positions(orders: DataFrame, fills: DataFrame) -> DataFrame:
     """Quantity per holder and symbol from fills of orders."""
     owned = lookup(
         fills.select("order_id", "symbol", "quantity"), orders.select("order_id", "holder"),
-        ["order_id"], "inner", hot_rows=hot_rows)
-    return owned.groupBy("holder", "symbol").agg(
-        F.sum(money("quantity")).cast("double").alias("quantity"))
+        ["order_id"], "inner")
+    return owned.groupBy("holder", "symbol").agg(F.sum(F.col("quantity").cast("double")).alias("quantity"))
 
 
-def valuation(
-    positions: DataFrame, quotes: DataFrame, *,
-    hot_rows: int = HOT_ROWS, probe: DataFrame | None = None,
-) -> DataFrame:
-    """Value per holder at the latest quote; positions without one are counted.
-
-    ``probe`` may be the fills the positions were added up from.
-    """
-    priced = lookup(
-        positions, quotes.select("symbol", "price"), ["symbol"], hot_rows=hot_rows, probe=probe)
+def valuation(positions: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Value per holder at the latest quote; positions without one are counted."""
+    priced = lookup(positions, quotes.select("symbol", "price"), ["symbol"])
     return priced.groupBy("holder").agg(
         F.count(F.lit(1)).alias("positions"),
         F.count_if(F.col("price").isNull()).alias("unquoted"),
-        F.sum((F.col("quantity") * F.col("price")).cast("decimal(28,8)")).cast("double").alias("value"),
+        F.sum(F.col("quantity") * F.col("price")).alias("value"),
     )
 
 

@@ -22,9 +22,6 @@ from quotemill.session import shared_dir
 
 # Rows of one key that a single window task may sort.
 HOT_ROWS = 5_000_000
-# Range partitions the hot rows are cut into, at most. More rows make larger
-# pieces, which spill; they never stop being split.
-MAX_PIECES = 10_000
 
 PIECE = "_piece"
 
@@ -58,10 +55,10 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
             counted.groupBy(*part).agg(F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > hot_rows)
         )
-        if hot.isEmpty():
-            return None
         shared_dir(df.sparkSession)
         hot = hot.checkpoint()
+        if hot.isEmpty():
+            return None
         if prefix < len(keys):
             counted = with_keys(df, hot, part)
     return hot
@@ -194,7 +191,10 @@ def cut(
     if hot is None:
         return Pieces(whole, None, keys, order, descending, hot_rows or HOT_ROWS)
     total = hot.agg(F.sum("_rows")).first()[0]
-    pieces = min(max(2, -(-2 * total // hot_rows)), MAX_PIECES)
+    pieces = max(2, -(-2 * total // hot_rows))
+    # Both sides below read the input, which may be expensive.
+    df = df.checkpoint()
+    whole = df.withColumn(PIECE, F.lit(0))
     direction = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     # The partition number must not change between the uses below, and range
     # bounds are sampled anew by every plan, hence the checkpoint.
@@ -210,32 +210,16 @@ def cut(
 
 
 def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    *,
-    null_safe: bool = False,
-    hot_rows: int = HOT_ROWS,
-    probe: DataFrame | None = None,
+    df: DataFrame, table: DataFrame, keys: list[str], how: str = "left", *, null_safe: bool = False,
 ) -> DataFrame:
-    """Join to a table that has one row per key, also when keys of ``df`` are hot.
+    """Join to a table that has one row per key.
 
-    Rows of hot keys are not shuffled: the table's rows for those keys, at most
-    one per hot key, are broadcast to them. All other rows join on the key and
-    the optimizer picks the strategy from the measured sizes. ``null_safe``
-    lets a null key match a null key; ``probe`` is as in ``cut``.
+    The optimizer picks the strategy from the measured sizes and splits a
+    partition that one key makes too large, since only inner and left joins
+    are made. ``null_safe`` lets a null key match a null key.
     """
-
-    def match(left: DataFrame, right: DataFrame) -> DataFrame:
-        if not null_safe:
-            return left.join(right, keys, how)
-        other = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-        same = same_key("l", "r", keys, renamed="_k_")
-        return left.alias("l").join(other.alias("r"), same, how).drop(*[f"_k_{k}" for k in keys])
-
-    hot = hot_keys(df if probe is None else probe, keys, hot_rows)
-    if hot is None:
-        return match(df, table)
-    few = F.broadcast(with_keys(table, hot, keys))
-    return match(without_keys(df, hot, keys), table).unionByName(match(with_keys(df, hot, keys), few))
+    if not null_safe:
+        return df.join(table, keys, how)
+    other = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = same_key("l", "r", keys, renamed="_k_")
+    return df.alias("l").join(other.alias("r"), same, how).drop(*[f"_k_{k}" for k in keys])

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from quotemill.operators.pieces import HOT_ROWS, PIECE, cut, hot_keys, lookup
 
 
+# Ranks below this are cut off before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+SMALL_K = 1_000
+
+
 def movers(bars: DataFrame) -> DataFrame:
     """Change from open to close; bars without a positive open are left out."""
     return bars.where(F.col("open") > 0).withColumn("change", F.col("close") / F.col("open") - 1)
@@ -20,12 +24,20 @@ def top(rows: DataFrame, k: int, score: str, ties: Sequence[str]) -> DataFrame:
     return rows.orderBy(F.col(score).desc(), *ties).limit(k)
 
 
-def top_per_group(rows: DataFrame, k: int, group: str, score: str, ties: Sequence[str]) -> DataFrame:
+def top_per_group(
+    rows: DataFrame, k: int, group: str, score: str, ties: Sequence[str], *, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """The k highest rows of each group.
 
     The rank filter is applied before the shuffle too, so a large group sends
-    at most k rows per input task.
+    at most k rows per input task. Spark does so for small k only; for others
+    the rows of large groups are numbered piece by piece.
     """
+    if k >= SMALL_K:
+        # Pieces order all columns alike, ties ascending.
+        lowest_first = rows.withColumn("_down", -F.col(score))
+        numbered = cut(lowest_first, [group], ["_down", *ties], hot_rows=hot_rows).positions("place")
+        return numbered.rows().where(F.col("place") <= k).drop(PIECE, "_down")
     window = Window.partitionBy(group).orderBy(F.col(score).desc(), *ties)
     return rows.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
 
@@ -57,7 +69,7 @@ def ranks(
     ).select(group, score, "rank", "dense_rank")
     numbered = cut(rows, [group], [score, *ties], descending=True, hot_rows=hot_rows)
     numbered = numbered.positions("row_number").rows().drop(PIECE)
-    return lookup(numbered, scores, [group, score], "inner", null_safe=True, hot_rows=hot_rows)
+    return lookup(numbered, scores, [group, score], "inner", null_safe=True)
 
 
 def latest(rows: DataFrame, key: str, *, order: Sequence[str] = ("datetime", "id")) -> DataFrame:

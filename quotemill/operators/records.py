@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def unique(rows: DataFrame, watermark: str | None = None, *, time: str = "datetime") -> DataFrame:
+def unique(rows: DataFrame, remember: str | None = None) -> DataFrame:
     """One row per id.
 
     Replayed messages have equal ids and equal content, so it does not matter
-    which copy stays. On a stream, copies no further apart than the watermark
-    are dropped and the state stays bounded.
+    which copy stays. A stream remembers ids for ``remember`` after they arrive,
+    by its own clock, which bounds the state: the first copy is never dropped,
+    however old its time, and later copies are dropped while the id is known.
+    Without ``remember`` ids are never forgotten.
     """
-    if rows.isStreaming:
-        if watermark is None:
-            raise ValueError("a stream needs a watermark to forget old ids")
-        return rows.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["id"])
+    if rows.isStreaming and remember is not None:
+        return (
+            rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+            .dropDuplicatesWithinWatermark(["id"]).drop("_arrived"))
     return rows.dropDuplicates(["id"])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.operators.bars import money
+from quotemill.operators.bars import known
 from quotemill.operators.pieces import HOT_ROWS, cut, lookup
 
 
@@ -39,13 +39,13 @@ def rollup_report(trades: DataFrame) -> DataFrame:
     days = trades.groupBy("symbol", F.to_date("datetime").alias("day")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("volume").cast("bigint")).alias("v"),
-        F.sum(money(F.col("last_price") * F.col("volume"))).alias("m"),
+        F.sum(known(F.col("last_price") * F.col("volume").cast("double"))).alias("m"),
     )
     return days.rollup("symbol", "day").agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("n").alias("trades"),
         F.sum("v").alias("volume"),
-        F.sum("m").cast("double").alias("notional"),
+        F.sum("m").alias("notional"),
     )
 
 
@@ -102,41 +102,37 @@ def percentiles(
     Equal values are counted together, then the counts are added up in value
     order, so no key's values are ever held in one buffer. Nulls are left out.
     """
-    known = rows.where(F.col(value).isNotNull())
-    counted = known.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    pieces = cut(counted, [key], [value], hot_rows=hot_rows, probe=known)
+    valued = rows.where(F.col(value).isNotNull())
+    counted = valued.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = cut(counted, [key], [value], hot_rows=hot_rows, probe=valued)
     pieces = pieces.carry(_below=(F.sum("_n"), "sum"))
     running = F.sum("_n").over(pieces.window.rowsBetween(Window.unboundedPreceding, 0))
     covered = pieces.rows().select(
         F.col(key), F.col(value), (running + F.coalesce("_below", F.lit(0))).alias("_covered"))
-    totals = known.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
-    joined = lookup(
-        covered, totals, [key], "inner", null_safe=True, hot_rows=hot_rows, probe=known)
+    totals = valued.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
+    joined = lookup(covered, totals, [key], "inner", null_safe=True)
     return joined.groupBy(key).agg(*[
         F.min(F.when(F.col("_covered") * 100 >= F.col("_total") * p, F.col(value))).alias(f"p{p}")
         for p in percents
     ])
 
 
-def zscores(
-    rows: DataFrame, key: str, value: str, *, hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def zscores(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Distance of each value from its key's mean, in sample deviations.
 
     Null where the deviation is zero or unknown. Mean and deviation are partial
     aggregates joined back; the group itself is never gathered.
     """
     stats = rows.groupBy(key).agg(
-        (F.sum(money(value)).cast("double") / F.count(value)).alias("_mean"),
-        F.stddev_samp(value).alias("_dev"),
+        F.avg(known(value)).alias("_mean"),
+        F.stddev_samp(known(value)).alias("_dev"),
     )
     return (
-        lookup(rows, stats, [key], null_safe=True, hot_rows=hot_rows)
+        lookup(rows, stats, [key], null_safe=True)
         .withColumn("zscore", (F.col(value) - F.col("_mean")) / F.nullif(F.col("_dev"), F.lit(0.0)))
         .drop("_mean", "_dev")
     )
 
 
-def outliers(rows: DataFrame, key: str, value: str, limit: float = 3.0, *,
-             hot_rows: int = HOT_ROWS) -> DataFrame:
-    return zscores(rows, key, value, hot_rows=hot_rows).where(F.abs("zscore") > limit)
+def outliers(rows: DataFrame, key: str, value: str, limit: float = 3.0) -> DataFrame:
+    return zscores(rows, key, value).where(F.abs("zscore") > limit)

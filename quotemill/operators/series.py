@@ -7,10 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.operators.bars import money
+from quotemill.operators.bars import known
 from quotemill.operators.pieces import HOT_ROWS, PIECE, cut
 
 
+# Steps of a gap that are written out from one array.
+FILL_RUN = 10_000
+
+
 def returns(
     bars: DataFrame, key: str, *, price: str = "adj_close", time: str = "datetime",
     ties: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
@@ -43,10 +47,9 @@ def moving(
     """
     frame, window = cut(bars, [key], [time, *ties], hot_rows=hot_rows).with_lookback(rows - 1)
     last = window.rowsBetween(-rows + 1, 0)
-    total = F.sum(money(price)).over(last).cast("double")
     return (
-        frame.withColumn("moving_avg", total / F.nullif(F.count(price).over(last), F.lit(0)))
-        .withColumn("volatility", F.stddev_samp(price).over(last))
+        frame.withColumn("moving_avg", F.avg(known(price)).over(last))
+        .withColumn("volatility", F.stddev_samp(known(price)).over(last))
         .where("_own")
         .drop(PIECE, "_own")
     )
@@ -137,13 +140,19 @@ def fill(
 
     A missing bar repeats the last close with no volume and ``filled`` true.
     Every bar writes out the steps up to the next one, so the calendar is
-    never built apart from the data nor joined to it.
+    never built apart from the data nor joined to it. Steps are written out in
+    runs of ``FILL_RUN``, so no gap has to fit in one array.
     """
-    step = F.make_dt_interval(secs=F.lit(step_seconds))
-    until = F.greatest(F.col(time), F.coalesce(F.col("_next") - step, F.col(time)))
+    last = F.greatest(F.lit(0), F.ceil(
+        (F.unix_seconds("_next") - F.unix_seconds(time)) / step_seconds).cast("bigint") - 1)
+    runs = F.sequence(F.lit(0).cast("bigint"), F.coalesce(last, F.lit(0)), F.lit(FILL_RUN).cast("bigint"))
+    steps = F.sequence("_run", F.least(F.col("_run") + (FILL_RUN - 1), F.coalesce("_last", F.lit(0))))
+    at = F.timestamp_micros(F.unix_micros(time) + F.col("_step") * (step_seconds * 1_000_000))
     return (
         _with_next(bars, key, time, hot_rows)
-        .withColumn("_at", F.explode(F.sequence(F.col(time), until, step)))
+        .withColumns({"_last": last, "_run": F.explode(runs)})
+        .withColumn("_step", F.explode(steps))
+        .withColumn("_at", at)
         .select(
             key,
             F.col("_at").alias(time),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,25 @@ def _closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).select("symbol", "datetime", "close", "volume")
 
 
+def _in_files(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> FileTopics:
+    """The trade messages in five files by time, delivered in the given order, one per micro-batch."""
+    path = scratch_path(spark, "topic")
+    messages = inputs.trade_messages(inputs.events(spark, sf_dir))
+    last = messages.agg(F.max("offset")).first()[0] or 0
+    part = F.floor(F.col("offset") * len(set(order)) / (last + 1))
+    for number in order:
+        messages.where(part == number).write.mode("append").parquet(path)
+    return FileTopics(path, max_files_per_trigger=1)
+
+
+IN_ORDER, OUT_OF_ORDER = (0, 1, 2, 3, 4), (3, 0, 4, 1, 2)
+
+
+def _trade_stream(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> DataFrame:
+    stream = _in_files(spark, sf_dir, order).read_stream(spark, TRADES.topic)
+    return table_rows(stream, TRADES).drop("trade_conditions")
+
+
 def _streamed(spark: SparkSession, rows: DataFrame, mode: str) -> DataFrame:
     """Runs a stream to the end of its input and reads what it wrote."""
     sink = sinks.BatchDirectory(scratch_path(spark, "stream"))
@@ -58,12 +79,9 @@ def g03_unique_trades(spark, sf_dir):
 
 
 def g03_unique_trades_stream(spark, sf_dir):
-    """The trade stream joined by a copy of itself; each trade is kept once."""
-    events = inputs.event_stream(spark, sf_dir)
-    trades = inputs.trades(events).drop("trade_conditions")
-    again = inputs.trades(inputs.event_stream(spark, sf_dir)).drop("trade_conditions")
-    rows = records.unique(trades.unionByName(again), "1 hour")
-    return wall_time(_streamed(spark, rows, "append").drop("batch_id"))
+    """Files out of order, two of them delivered twice; each trade is kept once."""
+    rows = records.unique(_trade_stream(spark, sf_dir, (*OUT_OF_ORDER, 0, 3)), "1 day")
+    return wall_time(_streamed(spark, rows, "append").drop("query_id", "batch_id"))
 
 
 def g04_unified_quotes(spark, sf_dir):
@@ -78,8 +96,8 @@ def g05_ohlcv_bars(spark, sf_dir):
 
 
 def g05_ohlcv_bars_stream(spark, sf_dir):
-    """Hourly bars kept up to date by the stream; the last version of each."""
-    rows = windows.bars(inputs.trades(inputs.event_stream(spark, sf_dir)), "1 hour")
+    """Hourly bars kept up to date while files come out of order; the last version of each."""
+    rows = windows.bars(_trade_stream(spark, sf_dir, OUT_OF_ORDER), "1 hour")
     return wall_time(windows.current(_streamed(spark, rows, "update"), ["symbol", "datetime"]))
 
 
@@ -88,7 +106,18 @@ def g05_ohlcv_bars_daily_fills(spark, sf_dir):
 
 
 def g06_sliding_stats(spark, sf_dir):
-    return wall_time(bars.sliding_stats(_trades(spark, sf_dir), 7200, 3600))
+    rows = bars.sliding_stats(_trades(spark, sf_dir), 7200, 3600)
+    return wall_time(rows.withColumn("avg_price", F.round("avg_price", 9)))
+
+
+def _stored_flawed(spark, sf_dir):
+    """Rows of the trade table that miss prices, volumes, times or symbols."""
+    return table_rows(inputs.flawed_messages(inputs.events(spark, sf_dir)), TRADES)
+
+
+def g06_sliding_stats_flawed(spark, sf_dir):
+    rows = bars.sliding_stats(_stored_flawed(spark, sf_dir), 7200, 3600)
+    return wall_time(rows.withColumn("avg_price", F.round("avg_price", 9)))
 
 
 def g07_sessions(spark, sf_dir):
@@ -97,9 +126,9 @@ def g07_sessions(spark, sf_dir):
 
 
 def g07_sessions_stream(spark, sf_dir):
-    trades = inputs.trades(inputs.event_stream(spark, sf_dir)).drop("trade_conditions")
-    rows = windows.sessions(trades, "3 hours")
-    return wall_time(windows.newest(_streamed(spark, rows, "complete")))
+    """Sessions that ended an hour before the last trade; each is written once."""
+    rows = windows.sessions(_trade_stream(spark, sf_dir, IN_ORDER), "3 hours", "1 hour")
+    return wall_time(_streamed(spark, rows, "append").drop("query_id", "batch_id"))
 
 
 def g08_resample_bars(spark, sf_dir):
@@ -107,12 +136,23 @@ def g08_resample_bars(spark, sf_dir):
 
 
 def g09_vwap(spark, sf_dir):
-    return bars.vwap(_trades(spark, sf_dir), "symbol")
+    return bars.vwap(_trades(spark, sf_dir), "symbol").withColumn("vwap", F.round("vwap", 9))
+
+
+def g09_vwap_flawed(spark, sf_dir):
+    return bars.vwap(_stored_flawed(spark, sf_dir), "symbol").withColumn("vwap", F.round("vwap", 9))
+
+
+def g09_vwap_scaled(spark, sf_dir):
+    """Very small and very large prices, scaled back for the report."""
+    scaled = _trades(spark, sf_dir).withColumn("scale", F.explode(F.array(F.lit(1e-6), F.lit(1e9))))
+    rows = bars.vwap(scaled.withColumn("last_price", F.col("last_price") * F.col("scale")), "symbol", "scale")
+    return rows.withColumn("vwap", F.round(F.col("vwap") / F.col("scale"), 9))
 
 
 def g09_vwap_fills(spark, sf_dir):
     by_day = F.to_date("datetime").alias("day")
-    return bars.vwap(inputs.fills(spark, sf_dir), "symbol", by_day)
+    return bars.vwap(inputs.fills(spark, sf_dir), "symbol", by_day).withColumn("vwap", F.round("vwap", 9))
 
 
 def g10_returns(spark, sf_dir):
@@ -120,16 +160,26 @@ def g10_returns(spark, sf_dir):
     return wall_time(rows.withColumn("log_return", F.round("log_return", 9)))
 
 
+def g10_returns_stored(spark, sf_dir):
+    """Returns on the adjusted close of the stored bars."""
+    stored = table_rows(inputs.bar_messages(inputs.events(spark, sf_dir)), BARS)
+    rows = series.returns(
+        stored.select("ticker", "datetime", F.col("adj_close").cast("double").alias("adj_close")),
+        "ticker", hot_rows=BOUNDED)
+    return wall_time(rows.withColumns({
+        c: F.round(c, 6) for c in ("adj_close", "simple_return", "log_return")}))
+
+
 def g11_moving_stats(spark, sf_dir):
     rows = series.moving(_closes(spark, sf_dir), "symbol", 5, hot_rows=BOUNDED)
-    return wall_time(rows.withColumn("volatility", F.round("volatility", 6)))
+    return wall_time(rows.withColumns({"moving_avg": F.round("moving_avg", 9), "volatility": F.round("volatility", 6)}))
 
 
 def g11_moving_stats_trades(spark, sf_dir):
     """The last 20 trades of each event type, straight from the trades."""
     trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
     rows = series.moving(trades, "symbol", 20, price="last_price", ties=("id",))
-    return wall_time(rows.withColumn("volatility", F.round("volatility", 6)))
+    return wall_time(rows.withColumns({"moving_avg": F.round("moving_avg", 9), "volatility": F.round("volatility", 6)}))
 
 
 def g12_running_totals(spark, sf_dir):
@@ -180,7 +230,7 @@ def g15_with_condition(spark, sf_dir):
 
 
 def g16_rollup_report(spark, sf_dir):
-    return reports.rollup_report(_trades(spark, sf_dir))
+    return reports.rollup_report(_trades(spark, sf_dir)).withColumn("notional", F.round("notional", 4))
 
 
 def g17_distinct_symbols(spark, sf_dir):
@@ -188,7 +238,12 @@ def g17_distinct_symbols(spark, sf_dir):
 
 
 def g17_approx_distinct_symbols(spark, sf_dir):
-    return reports.approx_distinct_symbols(_trades(spark, sf_dir))
+    """Days, and whether the estimate is within a tenth of the exact number."""
+    trades = _trades(spark, sf_dir)
+    exact = reports.distinct_symbols(trades).withColumnRenamed("symbols", "exact")
+    both = reports.approx_distinct_symbols(trades).join(exact, "day")
+    allowed = F.greatest(F.lit(1.0), 0.1 * F.col("exact"))
+    return both.select("day", (F.abs(F.col("symbols") - F.col("exact")) <= allowed).alias("close"))
 
 
 def _provided(spark, sf_dir):
@@ -200,7 +255,8 @@ def _provided(spark, sf_dir):
 def g18_as_of_bar(spark, sf_dir):
     trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
     provided = _provided(spark, sf_dir).select("symbol", "datetime", "close")
-    return wall_time(joins.as_of(trades, provided))
+    # There are fewer bars than trades, so the trades say which symbols are large.
+    return wall_time(joins.as_of(trades, provided, probe=trades.select("symbol")))
 
 
 def g19_trades_to_bar(spark, sf_dir):
@@ -208,6 +264,15 @@ def g19_trades_to_bar(spark, sf_dir):
     return wall_time(joins.to_bar(trades, _provided(spark, sf_dir), "1 hour"))
 
 
+def g19_trades_to_shifted_bar(spark, sf_dir):
+    """Bars that start half past the hour, as from an exchange's opening."""
+    trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
+    half = F.expr("INTERVAL 30 MINUTES")
+    early = _trades(spark, sf_dir, "event_type").withColumn("datetime", F.col("datetime") - half)
+    shifted = bars.ohlcv(early, "1 hour").withColumn("datetime", F.col("datetime") + half)
+    return wall_time(joins.to_bar(trades, shifted, "1 hour"))
+
+
 def g19_trades_to_bar_stream(spark, sf_dir):
     """The trade stream joined to the stream of stored bar messages."""
     topic = scratch_path(spark, "topic")
@@ -217,7 +282,7 @@ def g19_trades_to_bar_stream(spark, sf_dir):
     trades = inputs.trades(inputs.event_stream(spark, sf_dir), "event_type").select(
         "id", "symbol", "datetime", "last_price")
     rows = windows.to_bar(trades, bar_rows, "1 hour", "2 hours")
-    return wall_time(_streamed(spark, rows, "append").drop("batch_id"))
+    return wall_time(_streamed(spark, rows, "append").drop("query_id", "batch_id"))
 
 
 def g20_reconcile_bars(spark, sf_dir):
@@ -234,7 +299,7 @@ def g21_valuation(spark, sf_dir):
     held = joins.positions(inputs.orders(spark, sf_dir), fills)
     quotes = ranking.latest(_trades(spark, sf_dir), "symbol").select(
         "symbol", F.col("last_price").alias("price"))
-    return joins.valuation(held, quotes, probe=fills)
+    return joins.valuation(held, quotes).withColumn("value", F.round("value", 4))
 
 
 def g22_adjusted_closes(spark, sf_dir):
@@ -292,8 +357,14 @@ def g26_percentiles(spark, sf_dir):
 
 
 def g26_approx_percentiles(spark, sf_dir):
+    """Symbols, and whether every estimate is within a twentieth of the exact value."""
     trades = _trades(spark, sf_dir, "event_type").select("symbol", "last_price")
-    return reports.approx_percentiles(trades, "symbol", "last_price", (1, 25, 50, 95, 99))
+    percents = (1, 25, 50, 95, 99)
+    exact = reports.percentiles(trades, "symbol", "last_price", percents)
+    exact = exact.withColumnsRenamed({f"p{p}": f"e{p}" for p in percents})
+    both = reports.approx_percentiles(trades, "symbol", "last_price", percents).join(exact, "symbol")
+    near = [F.abs(F.col(f"p{p}") - F.col(f"e{p}")) <= F.greatest(F.lit(1.0), 0.05 * F.col(f"e{p}")) for p in percents]
+    return both.select("symbol", reduce(lambda x, y: x & y, near).alias("close"))
 
 
 def g26_outliers(spark, sf_dir):
@@ -302,4 +373,12 @@ def g26_outliers(spark, sf_dir):
     return rows.withColumn("zscore", F.round("zscore", 6))
 
 
+def g26_outliers_scaled(spark, sf_dir):
+    """The same on prices a millionth as large."""
+    trades = _trades(spark, sf_dir, "event_type").select(
+        "id", "symbol", (F.col("last_price") * 1e-6).alias("last_price"))
+    rows = reports.outliers(trades, "symbol", "last_price", 2.5)
+    return rows.select("id", "symbol", F.round("zscore", 6).alias("zscore"))
+
+
 QUERIES = {name: query for name, query in list(globals().items()) if name[:1] == "g" and name[1:3].isdigit()}

@@ -133,6 +133,17 @@ def ingest_trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(sink.read(spark, TRADES.row).select(*TRADES.row.names))
 
 
+def ingest_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs with checkpoints of their own fill one table; neither replaces the other's rows."""
+    sink = sinks.BatchDirectory(scratch_path(spark, "trades"))
+    for half in (0, 1):
+        topic = scratch_path(spark, "topic")
+        trade_messages(spark, sf_dir).where(F.col("offset") % 2 == half).write.parquet(topic)
+        stream = FileTopics(topic).read_stream(spark, TRADES.topic)
+        run(ingest(stream, TRADES, sink, scratch_path(spark, "offsets")))
+    return flat(sink.read(spark, TRADES.row).select(*TRADES.row.names))
+
+
 def ingest_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bar messages written as files of the topic's shape, then streamed."""
     topic = scratch_path(spark, "topic")
@@ -166,7 +177,7 @@ def _catalog_table(spark: SparkSession, sf_dir: str, feed, messages: DataFrame)
     rows = table_rows(messages, feed)
     sink.write(rows, 0)
     sink.write(rows, 0)
-    return flat(spark.table(table).drop("batch_id"))
+    return flat(spark.table(table).select(*feed.row.names))
 
 
 def ingest_trades_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +214,7 @@ QUERIES = {
         decode_trades, decode_bars, trade_projection, bar_projection,
         epoch_to_timestamp, deterministic_id, random_ids, topic_routing, message_outcomes,
         valid_trades, valid_bars, accepted_trades, quarantined_trades, quarantined_bars,
-        first_valid_message, ingest_trades_stream, ingest_bars_stream, ingest_split_stream,
+        first_valid_message, ingest_trades_stream, ingest_two_checkpoints, ingest_bars_stream, ingest_split_stream,
         ingest_trades_table, ingest_bars_table, table_contract,
     )
 }

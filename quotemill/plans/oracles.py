@@ -118,7 +118,7 @@ SQL = {
           SELECT *, date_trunc('hour', datetime) AS window_start FROM trades
           UNION ALL SELECT *, date_trunc('hour', datetime) - INTERVAL 1 HOUR FROM trades)
         SELECT symbol, window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS trades,
-          CAST(sum(CAST(last_price AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS avg_price,
+          round(avg(last_price), 9) AS avg_price,
           min(last_price) AS low, max(last_price) AS high, CAST(sum(volume) AS BIGINT) AS volume
         FROM w GROUP BY symbol, window_start""",
     "g07_sessions": f"""WITH {TRADES}, a AS (
@@ -129,10 +129,10 @@ SQL = {
           count(*) AS trades, CAST(sum(volume) AS BIGINT) AS volume FROM b GROUP BY symbol, nr""",
     "g08_resample_bars": f"{DAILY} SELECT symbol, datetime, open, high, low, close, volume FROM bars",
     "g09_vwap": f"""WITH {TRADES} SELECT symbol,
-          CAST(sum(CAST(last_price * volume AS DECIMAL(18,4))) AS DOUBLE) / nullif(CAST(sum(volume) AS DOUBLE), 0) AS vwap,
+          round(sum(last_price * volume) / nullif(sum(CAST(volume AS DOUBLE)), 0), 9) AS vwap,
           CAST(sum(volume) AS DOUBLE) AS volume, count(*) AS trades FROM trades GROUP BY symbol""",
     "g09_vwap_fills": f"""WITH {FILLS} SELECT symbol, CAST(datetime AS DATE) AS day,
-          CAST(sum(CAST(last_price * volume AS DECIMAL(18,4))) AS DOUBLE) / nullif(CAST(sum(volume) AS DOUBLE), 0) AS vwap,
+          round(sum(last_price * volume) / nullif(sum(CAST(volume AS DOUBLE)), 0), 9) AS vwap,
           CAST(sum(volume) AS DOUBLE) AS volume, count(*) AS trades FROM fills GROUP BY ALL""",
     "g10_returns": f"""{HOURLY}, p AS (
           SELECT symbol, datetime, close, volume,
@@ -141,12 +141,12 @@ SQL = {
           CASE WHEN before > 0 AND close > 0 THEN round(ln(close / before), 9) END AS log_return FROM p""",
     "g11_moving_stats": f"""{HOURLY}
         SELECT symbol, datetime, close, volume,
-          CAST(sum(CAST(close AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(close) OVER w AS moving_avg,
+          round(avg(close) OVER w, 9) AS moving_avg,
           round(stddev_samp(close) OVER w, 6) AS volatility
         FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY datetime ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
     "g11_moving_stats_trades": f"""WITH {TYPED_TRADES}
         SELECT id, symbol, datetime, last_price,
-          CAST(sum(CAST(last_price AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(last_price) OVER w AS moving_avg,
+          round(avg(last_price) OVER w, 9) AS moving_avg,
           round(stddev_samp(last_price) OVER w, 6) AS volatility
         FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY datetime, id
           ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
@@ -179,7 +179,7 @@ SQL = {
     "g16_rollup_report": f"""WITH {TRADES}, d AS (SELECT *, CAST(datetime AS DATE) AS day FROM trades)
         SELECT symbol, day, CAST(grouping(symbol, day) AS INTEGER) AS level, count(*) AS trades,
           CAST(sum(volume) AS BIGINT) AS volume,
-          CAST(sum(CAST(last_price * volume AS DECIMAL(18,4))) AS DOUBLE) AS notional
+          round(sum(last_price * volume), 4) AS notional
         FROM d GROUP BY ROLLUP (symbol, day)""",
     "g17_distinct_symbols": f"""WITH {TRADES} SELECT CAST(datetime AS DATE) AS day,
           count(DISTINCT symbol) AS symbols FROM trades GROUP BY ALL""",
@@ -202,7 +202,7 @@ SQL = {
         held AS (SELECT o_custkey AS holder, symbol, sum(quantity) AS quantity
           FROM fills JOIN orders ON o_orderkey = order_id GROUP BY ALL)
         SELECT holder, count(*) AS positions, count(*) FILTER (price IS NULL) AS unquoted,
-          CAST(sum(CAST(quantity * price AS DECIMAL(28,8))) AS DOUBLE) AS value
+          round(sum(quantity * price), 4) AS value
         FROM held LEFT JOIN quotes USING (symbol) GROUP BY holder""",
     "g22_adjusted_closes": f"""WITH {FILLS}, bars AS (
           SELECT symbol, datetime, last(last_price ORDER BY {FILL_TIES}) AS close,
@@ -258,7 +258,7 @@ SQL = {
         f"min(last_price) FILTER (nr * 100 >= n * {p}) AS p{p}" for p in (1, 25, 50, 95, 99)
     ) + " FROM r GROUP BY symbol",
     "g26_outliers": f"""WITH {TYPED_TRADES}, s AS (
-          SELECT symbol, CAST(sum(CAST(last_price AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean,
+          SELECT symbol, avg(last_price) AS mean,
             stddev_samp(last_price) AS dev FROM trades GROUP BY symbol),
         z AS (SELECT id, symbol, last_price, (last_price - mean) / nullif(dev, 0) AS zscore
           FROM trades JOIN s USING (symbol))
@@ -284,13 +284,62 @@ def _contract(table: str, types: dict[str, str]) -> str:
     )
 
 
+# Rows of the trade table that the flawed messages give.
+FLAWED = """flawed AS (
+  SELECT CASE WHEN event_type = 'signup' THEN '' WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS symbol,
+    CASE WHEN event_type <> 'error' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) END AS last_price,
+    CASE WHEN event_type NOT IN ('error', 'view') AND NOT (event_type = 'purchase' AND event_id % 2 <> 0)
+      THEN CAST(floor(value) AS INTEGER) END AS volume,
+    CASE WHEN event_type <> 'error' AND NOT (event_type = 'purchase' AND event_id % 2 = 0)
+      THEN date_trunc('millisecond', ts) END AS datetime
+  FROM events)"""
+
 SQL |= {
+    "ingest_two_checkpoints": STORED_TRADES,
+    "g06_sliding_stats_flawed": f"""WITH {FLAWED}, w AS (
+          SELECT *, date_trunc('hour', datetime) AS window_start FROM flawed WHERE datetime IS NOT NULL
+          UNION ALL SELECT *, date_trunc('hour', datetime) - INTERVAL 1 HOUR FROM flawed WHERE datetime IS NOT NULL)
+        SELECT symbol, window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS trades,
+          round(avg(last_price), 9) AS avg_price, CAST(min(last_price) AS FLOAT) AS low,
+          CAST(max(last_price) AS FLOAT) AS high, CAST(sum(volume) AS BIGINT) AS volume
+        FROM w GROUP BY symbol, window_start""",
+    "g09_vwap_flawed": f"""WITH {FLAWED} SELECT symbol,
+          round(sum(last_price * volume) / nullif(sum(CAST(volume AS DOUBLE)) FILTER (last_price IS NOT NULL), 0), 9) AS vwap,
+          sum(CAST(volume AS DOUBLE)) FILTER (last_price IS NOT NULL) AS volume, count(*) AS trades
+        FROM flawed GROUP BY symbol""",
+    "g09_vwap_scaled": f"""WITH {TRADES}, s AS (SELECT *, unnest([1e-6, 1e9]::DOUBLE[]) AS scale FROM trades)
+        SELECT symbol, scale,
+          round(sum(last_price * scale * volume) / nullif(sum(CAST(volume AS DOUBLE)), 0) / scale, 9) AS vwap,
+          sum(CAST(volume AS DOUBLE)) AS volume, count(*) AS trades FROM s GROUP BY symbol, scale""",
+    "g10_returns_stored": f"""{TYPED_HOURLY}, p AS (
+          SELECT symbol AS ticker, datetime, CAST(CAST(close AS FLOAT) AS DOUBLE) AS adj_close FROM bars),
+        l AS (SELECT *, lag(adj_close) OVER (PARTITION BY ticker ORDER BY datetime) AS before FROM p)
+        SELECT ticker, datetime, round(adj_close, 6) AS adj_close,
+          round(CASE WHEN before > 0 THEN adj_close / before END - 1, 6) AS simple_return,
+          CASE WHEN before > 0 AND adj_close > 0 THEN round(ln(adj_close / before), 6) END AS log_return FROM l""",
+    "g17_approx_distinct_symbols": f"WITH {TRADES} SELECT DISTINCT CAST(datetime AS DATE) AS day, true AS close FROM trades",
+    "g19_trades_to_shifted_bar": f"""WITH {TYPED_TRADES}, early AS (
+          SELECT * REPLACE (datetime - INTERVAL 30 MINUTE AS datetime) FROM trades),
+        {_bars("bars", "early", "hour")}
+        SELECT t.id, t.symbol, t.datetime, t.last_price, b.datetime + INTERVAL 30 MINUTE AS bar_start,
+          b.open AS bar_open, b.close AS bar_close
+        FROM trades t JOIN bars b ON t.symbol = b.symbol AND t.datetime >= b.datetime + INTERVAL 30 MINUTE
+          AND t.datetime < b.datetime + INTERVAL 90 MINUTE""",
+    "g26_approx_percentiles": f"WITH {TYPED_TRADES} SELECT DISTINCT symbol, true AS close FROM trades",
+    "g26_outliers_scaled": f"""WITH {TYPED_TRADES}, s AS (
+          SELECT symbol, avg(last_price * 1e-6::DOUBLE) AS mean, stddev_samp(last_price * 1e-6::DOUBLE) AS dev
+          FROM trades GROUP BY symbol),
+        z AS (SELECT id, symbol, (last_price * 1e-6::DOUBLE - mean) / nullif(dev, 0) AS zscore FROM trades JOIN s USING (symbol))
+        SELECT id, symbol, round(zscore, 6) AS zscore FROM z WHERE abs(zscore) > 2.5""",
     "table_contract": f"""{TYPED_HOURLY}, stock_trade AS ({STORED_TRADES}),
         stock_data AS (SELECT {BAR_ROW} FROM bars)
         {_contract("stock_trade", TRADE_TYPES)} UNION ALL {_contract("stock_data", BAR_TYPES)}""",
-    "g03_unique_trades_stream": SQL["g03_unique_trades"],
-    "g05_ohlcv_bars_stream": SQL["g05_ohlcv_bars"],
-    "g07_sessions_stream": SQL["g07_sessions"],
+    "g03_unique_trades_stream": f"SELECT * EXCLUDE (trade_conditions) FROM ({STORED_TRADES})",
+    "g05_ohlcv_bars_stream": f"""WITH trades AS ({STORED_TRADES}), {_bars("bars", "trades", "hour")}
+        SELECT * FROM bars""",
+    # A session is final, and written, once the watermark has passed its end.
+    "g07_sessions_stream": f"""SELECT * FROM ({SQL["g07_sessions"]})
+        WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
     "g19_trades_to_bar_stream": f"""{TYPED_HOURLY} SELECT t.id, t.symbol, t.datetime, t.last_price,
           b.datetime AS bar_start, CAST(b.open AS FLOAT) AS bar_open, CAST(b.close AS FLOAT) AS bar_close
         FROM trades t JOIN bars b ON t.symbol = b.symbol AND date_trunc('hour', t.datetime) = b.datetime""",

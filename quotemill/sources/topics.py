@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +47,16 @@ class KafkaTopics:
     def read_stream(self, spark: SparkSession, *topics: str) -> DataFrame:
         return spark.readStream.format("kafka").options(**self.options(topics, streaming=True)).load()
 
-    def read_batch(self, spark: SparkSession, *topics: str) -> DataFrame:
-        return spark.read.format("kafka").options(**self.options(topics, streaming=False)).load()
+    def read_batch(self, spark: SparkSession, *topics: str, since: datetime | None = None) -> DataFrame:
+        """Messages there are now, or those sent from ``since`` on."""
+        options = self.options(topics, streaming=False)
+        if since is not None:
+            options |= {
+                "startingTimestamp": str(int(since.timestamp() * 1000)),
+                # A partition without newer messages has nothing to read.
+                "startingOffsetsByTimestampStrategy": "latest",
+            }
+        return spark.read.format("kafka").options(**options).load()
 
 
 @dataclass(frozen=True)
@@ -64,7 +73,12 @@ class FileTopics:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
         return of_topics(reader.load(self.path), *topics)
 
-    def read_batch(self, spark: SparkSession, *topics: str) -> DataFrame:
+    def read_batch(self, spark: SparkSession, *topics: str, since: datetime | None = None) -> DataFrame:
+        """Messages there are now, or those sent from ``since`` on."""
+        messages = self._read(spark, *topics)
+        return messages if since is None else messages.where(F.col("timestamp") >= F.lit(since))
+
+    def _read(self, spark: SparkSession, *topics: str) -> DataFrame:
         return of_topics(spark.read.schema(KAFKA_ROW).format(self.format).load(self.path), *topics)
 
 

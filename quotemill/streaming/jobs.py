@@ -59,12 +59,9 @@ def ingest(
         rows = gate.with_reason(messages, feed)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.persist()
-            try:
-                sink.write(accepted_rows(batch, feed, row_id), batch_id)
-                quarantine.write(gate.quarantined(batch), batch_id)
-            finally:
-                batch.unpersist()
+            # Each side reads the batch again; keeping it would need room for all of it.
+            sink.write(accepted_rows(batch, feed, row_id), batch_id)
+            quarantine.write(gate.quarantined(batch), batch_id)
 
     if explain:
         rows.explain(True)

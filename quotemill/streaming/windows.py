@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotemill.operators.bars import ohlcv
+from quotemill.operators.joins import bucket, touched
 
 
 def start(
@@ -34,8 +35,8 @@ def start(
 
 
 def current(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The last version of every key written in update mode."""
-    rest = [c for c in versions.columns if c not in (*keys, "batch_id")]
+    """The last version of every key one query wrote in update mode."""
+    rest = [c for c in versions.columns if c not in (*keys, "query_id", "batch_id")]
     return (
         versions.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
@@ -44,10 +45,10 @@ def current(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def newest(versions: DataFrame) -> DataFrame:
-    """The result of the last batch written in complete mode."""
+    """The result of the last batch one query wrote in complete mode."""
     last = versions.agg(F.max("batch_id").alias("_last"))
     # One row, so the broadcast is bounded.
-    return versions.join(F.broadcast(last), F.col("batch_id") == F.col("_last"), "left_semi").drop("batch_id")
+    return versions.join(F.broadcast(last), F.col("batch_id") == F.col("_last"), "left_semi").drop("query_id", "batch_id")
 
 
 def bars(trades: DataFrame, width: str, lateness: str | None = None) -> DataFrame:
@@ -76,25 +77,25 @@ def to_bar(
 ) -> DataFrame:
     """Trades of one stream with the bar of another whose interval holds them.
 
-    The bar's start is part of the join key, so a trade only meets bars of its
-    own interval. A stream cannot count keys ahead, so every interval is spread
-    over ``salts`` tasks: trades by their id, bars as one copy each. The time
-    condition tells Spark when state can go.
+    Time is cut into buckets of the width, and the bucket is part of the join
+    key; a bar stands in the one or two it touches, wherever it starts. A
+    stream cannot count keys ahead, so every bucket is spread over ``salts``
+    tasks: trades by their id, bars as one copy each. The time condition tells
+    Spark when state can go.
     """
     left = trades.withWatermark("datetime", lateness).withColumns({
-        "bar_start": F.window("datetime", width)["start"],
+        "_bucket": bucket("datetime", width),
         "_salt": F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"),
     }).alias("t")
-    right = bars.withWatermark("datetime", lateness).select(
-        "symbol", "datetime", *[F.col(v).alias(f"bar_{v}") for v in values],
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    ).alias("b")
+    right = (
+        touched(bars.withWatermark("datetime", lateness), width, values)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b"))
     inside = (
         (F.col("t.symbol") == F.col("b.symbol"))
         & (F.col("t._salt") == F.col("b._salt"))
-        & (F.col("t.bar_start") == F.col("b.datetime"))
-        & (F.col("t.datetime") >= F.col("b.datetime"))
-        & (F.col("t.datetime") < F.col("b.datetime") + F.expr(f"INTERVAL {width}"))
+        & (F.col("t._bucket") == F.col("b._bucket"))
+        & (F.col("t.datetime") >= F.col("b.bar_start"))
+        & (F.col("t.datetime") < F.col("b.bar_start") + F.expr(f"INTERVAL {width}"))
     )
-    columns = [*[f"t.{c}" for c in trades.columns], "t.bar_start", *[f"b.bar_{v}" for v in values]]
+    columns = [*[f"t.{c}" for c in trades.columns], "b.bar_start", *[f"b.bar_{v}" for v in values]]
     return left.join(right, inside).select(*columns)

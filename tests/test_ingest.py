@@ -137,14 +137,15 @@ def test_gate(spark):
     assert gate.first_valid(messages(spark, ["x"]), TRADES).isEmpty()
     seen = []
 
-    def read():
-        seen.append(1)
+    def read(since):
+        seen.append(since)
         return messages(spark, ["x"] if len(seen) < 3 else ["x", good(0)])
 
     assert gate.wait_until_ready(read, TRADES, poll_interval=0.01, poll_timeout=60)
-    assert len(seen) == 3
+    # Later polls start where the last one ended, less the overlap.
+    assert seen == [None, NOW - gate.OVERLAP, NOW - gate.OVERLAP]
     assert not gate.wait_until_ready(
-        lambda: messages(spark, ["x"]), TRADES, poll_interval=0.01, poll_timeout=0)
+        lambda since: messages(spark, ["x"]), TRADES, poll_interval=0.01, poll_timeout=0)
 
 
 def test_feeds():
@@ -177,7 +178,7 @@ def write_files(spark, path, per_file=10, files=5):
 
 
 def rows_in(df, *drop):
-    return sorted(map(repr, df.drop("batch_id", *drop).collect()))
+    return sorted(map(repr, df.drop("query_id", "batch_id", "day", *drop).collect()))
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -237,7 +238,58 @@ def test_catalog_table(spark, tmp_path):
     assert sinks.create_table(spark, TRADES, "ingest_test") == table
     assert rows_in(spark.table(table)) == rows_in(first.union(second))
     bars = sinks.create_table(spark, BARS, "ingest_test")
-    assert spark.table(bars).columns == [*BAR.names, "batch_id"]
+    assert spark.table(bars).columns == [*BAR.names, "query_id", "batch_id", "day"]
+    days = {r.day for r in spark.table(table).collect()}
+    assert days == {dt.date(2023, 11, 14)}
+    # A report on one day reads that day's files.
+    plan = spark.table(table).where("day = DATE'2023-11-14'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_new_checkpoint_adds_rows(spark, tmp_path):
+    """Another job, or a lost checkpoint, starts at batch 0 again and must not replace rows."""
+    sinks.create_database(spark, "two_runs", str(tmp_path / "db"))
+    table = sinks.CatalogTable(sinks.create_table(spark, TRADES, "two_runs"))
+    folder = sinks.BatchDirectory(str(tmp_path / "out"))
+    for run_number, first in enumerate((0, 10, 10)):
+        topic = str(tmp_path / f"topic{first}")
+        if run_number < 2:
+            messages(spark, [good(i) for i in range(5)], first=first).write.parquet(topic)
+        for name, sink in (("folder", folder), ("table", table)):
+            # The third run repeats the second on its checkpoint and finds nothing new.
+            stream = FileTopics(topic).read_stream(spark, TRADES.topic)
+            run(ingest(stream, TRADES, sink, str(tmp_path / f"{name}-{first}")))
+    assert folder.read(spark, TRADE).count() == 10
+    assert spark.table(table.table).count() == 10
+    assert folder.read(spark, TRADE).select("query_id").distinct().count() == 2
+
+
+def test_keyed_store_provisioning():
+    database, table = sinks.keyed_statements(BARS, "finance")
+    assert database == (
+        "CREATE DATABASE IF NOT EXISTS cassandra.finance "
+        "WITH DBPROPERTIES (class='SimpleStrategy', replication_factor='1')")
+    assert table.startswith("CREATE TABLE IF NOT EXISTS cassandra.finance.stock_data (`id` string, `datetime` timestamp,")
+    assert table.endswith("`ticker` string) USING cassandra PARTITIONED BY (id)")
+
+
+def test_files_are_read_from_a_time_on(spark, tmp_path):
+    messages(spark, [good(0)]).write.parquet(str(tmp_path / "topic"))
+    source = FileTopics(str(tmp_path / "topic"))
+    assert source.read_batch(spark, TRADES.topic, since=NOW).count() == 1
+    assert source.read_batch(spark, TRADES.topic, since=NOW + dt.timedelta(seconds=1)).count() == 0
+
+
+def test_job_settings_reach_the_source():
+    from quotemill.__main__ import arguments, source_of
+    common = ["trades", "--checkpoint", "c", "--table"]
+    source = source_of(arguments([
+        *common, "--servers", "k:1", "--group-id", "g", "--protocol", "SSL", "--min-partitions", "9",
+        "--max-offsets", "500"]))
+    assert source.options(["t"], streaming=True) == {
+        "kafka.bootstrap.servers": "k:1", "kafka.security.protocol": "SSL", "subscribe": "t",
+        "startingOffsets": "earliest", "kafka.group.id": "g", "minPartitions": "9", "maxOffsetsPerTrigger": "500"}
+    assert source_of(arguments([*common, "--files", "f", "--max-files", "3"])) == FileTopics("f", max_files_per_trigger=3)
 
 
 def test_keyed_store_options():

@@ -128,13 +128,13 @@ def test_as_of(trades, hourless_bars):
 
 def test_to_bar(trades, hourless_bars):
     some = hourless_bars.where(F.minute("datetime") % 9 != 0)
-    both(lambda hot: joins.to_bar(trades, some, "1 minute", hot_rows=hot))
+    both(lambda hot: joins.to_bar(trades, some, "1 minute"))
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_lookup(spark, trades, how):
     table = spark.createDataFrame([("HOT", 1), ("S1", 2), ("zz", 3), (None, 4)], "symbol string, x int")
-    both(lambda hot: lookup(trades, table, ["symbol"], how, hot_rows=hot))
+    both(lambda hot: lookup(trades, table, ["symbol"], how))
 
 
 def test_percentiles(trades):
@@ -142,7 +142,7 @@ def test_percentiles(trades):
 
 
 def test_zscores(trades):
-    both(lambda hot: reports.zscores(trades, "symbol", "last_price", hot_rows=hot))
+    both(lambda hot: reports.zscores(trades, "symbol", "last_price"))
 
 
 def test_valuation(spark, trades):
@@ -151,7 +151,7 @@ def test_valuation(spark, trades):
     quotes = spark.createDataFrame([("HOT", 1.5), ("S1", 2.0)], "symbol string, price double")
 
     def value(hot):
-        return joins.valuation(joins.positions(orders, fills, hot_rows=hot), quotes, hot_rows=hot)
+        return joins.valuation(joins.positions(orders, fills), quotes)
 
     both(value)
     assert all(r.unquoted > 0 for r in value(HOT).collect())

@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quotemill.operators import bars, ranking, reports
-from quotemill.operators.pieces import lookup
+from quotemill.operators import bars, joins, ranking, reports, series
 from quotemill.plans import analytics, ingestion, inputs
 from quotemill.sources.feeds import TRADES
 from quotemill.streaming.jobs import table_rows
@@ -69,7 +68,68 @@ def test_top_k_limits_before_the_shuffle(trades):
     assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
 
 
-def test_hot_rows_are_not_shuffled_for_a_lookup(spark, trades):
-    table = spark.range(1000).select(F.col("id").cast("string").alias("symbol"), F.col("id").alias("x"))
-    plan = plan_of(lookup(trades, table, ["symbol"], hot_rows=10))
-    assert "Union" in plan and "BroadcastHashJoin" in plan
+def jobs_of(spark, build):
+    """Jobs that building a query runs, by a job group of its own."""
+    group = f"build-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lookups_run_no_job_ahead(spark, sf_dir, trades):
+    """Building a join counts nothing; reading a table's schema is a job of its own."""
+    fills, orders = inputs.fills(spark, sf_dir), inputs.orders(spark, sf_dir)
+    quotes = ranking.latest(trades, "symbol").select("symbol", F.col("last_price").alias("price"))
+    assert jobs_of(spark, lambda: joins.valuation(joins.positions(orders, fills), quotes)) == 0
+    assert jobs_of(spark, lambda: reports.outliers(trades, "symbol", "last_price")) == 0
+
+
+def test_split_plans_read_their_input_once(spark, trades):
+    """With a large key the input is kept in the shared folder, not read by either side."""
+    rows = trades.select("id", "symbol", "datetime", "last_price")
+    split = series.moving(rows, "symbol", 5, price="last_price", ties=("id",), hot_rows=20)
+    assert plan_of(split).count("FileScan") == 0
+
+
+def test_large_k_is_numbered_in_pieces(trades):
+    few = ranking.top_per_group(trades, 1500, "symbol", "last_price", ["id"], hot_rows=20)
+    window = ranking.top_per_group(trades, 999, "symbol", "last_price", ["id"])
+    assert few.count() == window.count() == trades.count()
+    places = few.select("symbol", "id", "place").collect()
+    assert sorted(map(tuple, places)) == sorted(map(tuple, window.select("symbol", "id", "place").collect()))
+
+
+def test_a_long_gap_fits_no_array(spark):
+    rows = spark.createDataFrame(
+        [("A", 0, 1.0, 1), ("A", 3_000_000, 2.0, 1), ("B", 7, 1.0, 1)], "symbol string, s bigint, close double, volume int")
+    bars_apart = rows.withColumn("datetime", F.timestamp_seconds("s")).drop("s")
+    filled = series.fill(bars_apart, "symbol", 60)
+    assert filled.count() == 50_001 + 1
+    assert filled.where("filled").agg(F.min("close"), F.max("close")).first() == (1.0, 1.0)
+
+
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e9])
+def test_prices_of_any_size(spark, scale):
+    prices = [1.234, 1.266, None, float("nan"), 3.5]
+    rows = spark.createDataFrame(
+        [(str(n), "A", None if p is None else p * scale, 100 * (n + 1), n) for n, p in enumerate(prices)],
+        "id string, symbol string, last_price double, volume int, s int").withColumn("datetime", F.timestamp_seconds("s"))
+    row = bars.vwap(rows, "symbol").first()
+    right = (1.234 * 100 + 1.266 * 200 + 3.5 * 500) / 800
+    assert row.vwap / scale == pytest.approx(right) and row.volume == 800 and row.trades == 5
+    slid = bars.sliding_stats(rows, 60, 60).first()
+    assert slid.avg_price / scale == pytest.approx(2.0) and slid.high / scale == pytest.approx(3.5)
+    bar = bars.ohlcv(rows.where("s in (0, 2, 3)"), "1 minute").first()
+    assert (bar.open, bar.high, bar.close, bar.trades) == (1.234 * scale, 1.234 * scale, 1.234 * scale, 3)
+    moved = series.moving(rows.where("s < 2"), "symbol", 2, price="last_price", ties=("id",)).collect()
+    assert max(r.moving_avg for r in moved) / scale == pytest.approx(1.25)
+    scores = [r.zscore for r in reports.zscores(rows.where("s < 2"), "symbol", "last_price").collect()]
+    assert sorted(scores) == pytest.approx([-(0.5 ** 0.5), 0.5 ** 0.5])
+
+
+def test_huge_trades_do_not_end_the_job(spark):
+    rows = spark.createDataFrame([("1", "A", 2e14, 2_000_000_000)], "id string, symbol string, last_price double, volume int")
+    assert bars.vwap(rows, "symbol").first().vwap == pytest.approx(2e14)

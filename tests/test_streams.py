@@ -1,10 +1,13 @@
 """Event-time streams against the same operators on the whole table."""
 
+import datetime as dt
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from test_ingest import messages
 
-from quotemill.operators import bars, records
+from quotemill.operators import bars, joins, records
 from quotemill.plans import inputs
 from quotemill.schemas import TRADE
 from quotemill.session import build_session
@@ -72,7 +75,7 @@ def test_repeated_file(spark, tmp_path, parts):
     sink = sinks.BatchDirectory(str(tmp_path / "out"))
     source = FileTopics(path, max_files_per_trigger=1)
     run(ingest(source.read_stream(spark), TRADES, sink, str(tmp_path / "cp")))
-    stored = sink.read(spark, TRADE).drop("batch_id")
+    stored = sink.read(spark, TRADE).drop("query_id", "batch_id")
     clean = records.unique(stored)
     assert stored.count() == clean.count() + parts[2].count()
     assert clean.count() == stored.select("id").distinct().count()
@@ -85,8 +88,49 @@ def test_stream_drops_repeats(spark, tmp_path, parts):
     run(windows.start(rows, sink, str(tmp_path / "cp"), mode="append"))
     found = sink.read(spark, rows.schema)
     assert found.count() == found.select("id").distinct().count() == whole.select("id").distinct().count()
-    with pytest.raises(ValueError):
-        records.unique(stream)
+
+
+@pytest.mark.parametrize("remember", [None, "1 hour"])
+def test_first_copies_are_never_dropped(spark, tmp_path, parts, remember):
+    """Files out of order, far beyond the time ids are remembered: no first copy is lost."""
+    stream, whole = deliver(spark, str(tmp_path / "topic"), [parts[n] for n in (3, 0, 4, 1, 2, 0)])
+    sink = sinks.BatchDirectory(str(tmp_path / "out"))
+    rows = records.unique(stream, remember)
+    run(windows.start(rows, sink, str(tmp_path / "cp"), mode="append"))
+    found = sink.read(spark, rows.schema)
+    assert found.count() == whole.select("id").distinct().count()
+
+
+def sessions_in_parts(spark, tmp_path, parts, lateness):
+    stream, whole = deliver(spark, str(tmp_path / "topic"), parts)
+    sink = sinks.BatchDirectory(str(tmp_path / "out"))
+    rows = windows.sessions(stream, "3 hours", lateness)
+    run(windows.start(rows, sink, str(tmp_path / "cp"), mode="append"))
+    found = sink.read(spark, rows.schema)
+    last = whole.agg(F.max("datetime")).first()[0]
+    expected = [r for r in bars.sessions(whole, 10_800).collect() if r.session_end <= last - dt.timedelta(hours=1)]
+    return (
+        Counter((r.symbol, r.session_start, r.session_end, r.trades, r.volume) for r in found.collect()),
+        Counter((r.symbol, r.session_start, r.session_end, r.trades, r.volume) for r in expected))
+
+
+def test_sessions_are_written_once_when_they_end(spark, tmp_path, parts):
+    found, expected = sessions_in_parts(spark, tmp_path, parts, "1 hour")
+    assert found == expected and len(found) > 10
+
+
+def test_stream_joins_bars_of_any_start(spark, tmp_path, parts):
+    stream, whole = deliver(spark, str(tmp_path / "topic"), parts)
+    early = whole.withColumn("datetime", F.col("datetime") - F.expr("INTERVAL 30 MINUTES"))
+    shifted = bars.ohlcv(early, "1 hour").withColumn("datetime", F.col("datetime") + F.expr("INTERVAL 30 MINUTES"))
+    shifted.coalesce(1).write.parquet(str(tmp_path / "bars"))
+    bar_stream = spark.readStream.schema(shifted.schema).parquet(str(tmp_path / "bars"))
+    rows = windows.to_bar(stream, bar_stream, "1 hour", "60 days")
+    sink = sinks.BatchDirectory(str(tmp_path / "out"))
+    run(windows.start(rows, sink, str(tmp_path / "cp"), mode="append"))
+    found = sink.read(spark, rows.schema).select("id", "bar_start", "bar_open").collect()
+    expected = joins.to_bar(whole, shifted, "1 hour").select("id", "bar_start", "bar_open").collect()
+    assert Counter(found) == Counter(expected) and len(found) == whole.count()
 
 
 def test_session_edges(spark):
