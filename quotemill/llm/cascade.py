@@ -26,11 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import per_value
+from quotemill.llm.common import bounded_sample, per_value
 
-# Rows the order is estimated on, and the share of the rows they are drawn from.
+# Rows the order is estimated on.
 SAMPLE_ROWS = 2_000
-SAMPLE_SHARE = 0.1
 SAMPLE_SEED = 7
 
 BLANK_BYTES = b" \t\n\x0b\x0c\r"
@@ -195,7 +194,7 @@ def estimated_order(
     What reaches the driver is one row per combination of rejecting rules.
     """
     profile = profiler(rules)
-    sampled = docs.select(text).sample(SAMPLE_SHARE, seed=SAMPLE_SEED).limit(sample_rows)
+    sampled = bounded_sample(docs.select(text), sample_rows, SAMPLE_SEED)
     profiled = sampled.select(profile(text).alias("p")).where("p is not null")
     groups = profiled.groupBy("p.rejects").agg(
         F.count(F.lit(1)).alias("texts"),

@@ -71,6 +71,17 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{BLANKS}]++")), F.lit(0)).cast("bigint")
 
 
+def bounded_sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
+    """At most ``rows`` rows drawn from the whole table, or all of a smaller one.
+
+    The share follows the table's row count, so that what the limit gathers
+    stays near ``rows`` however large the table is.
+    """
+    total = df.count()
+    share = min(1.0, 1.5 * rows / total) if total else 1.0
+    return df.sample(share, seed=seed).limit(rows)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the shared folder, with their lineage cut."""
     from quotemill.session import shared_dir

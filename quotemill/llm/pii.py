@@ -34,14 +34,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import per_value
+from quotemill.llm.common import bounded_sample, per_value
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 
-# Rows the potentials are estimated on, and the share of the rows they are drawn from.
+# Rows the potentials are estimated on.
 SAMPLE_ROWS = 4_000
-SAMPLE_SHARE = 0.2
 SAMPLE_SEED = 11
 
 ROUNDS = 12
@@ -350,7 +349,7 @@ def estimated(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROW
     count = per_value(lambda: counts_of, T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()), T.StructField("x", T.IntegerType()),
         T.StructField("y", T.IntegerType()), T.StructField("n", T.LongType())])))
-    sampled = docs.select(text).sample(SAMPLE_SHARE, seed=SAMPLE_SEED).limit(sample_rows)
+    sampled = bounded_sample(docs.select(text), sample_rows, SAMPLE_SEED)
     counted = sampled.select(F.explode(count(text)).alias("c")).groupBy("c.name", "c.x", "c.y").agg(F.sum("c.n"))
     return potentials(tuple(row) for row in sorted(counted.collect()))
 
