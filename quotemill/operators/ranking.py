@@ -73,10 +73,19 @@ def ranks(
 
 
 def latest(rows: DataFrame, key: str, *, order: Sequence[str] = ("datetime", "id")) -> DataFrame:
-    """The last row per key."""
+    """The last row per key.
+
+    The last value of the first order column is found first, by a hash
+    aggregation of two columns; one row per key comes out, which the optimizer
+    broadcasts if it measures it as small. Only the rows at that value are put
+    in order to decide between equals.
+    """
     columns = [c for c in rows.columns if c != key]
+    newest = rows.groupBy(key).agg(F.max(order[0]).alias("_newest")).withColumnRenamed(key, "_key").alias("n")
+    at = F.col(f"r.{key}").eqNullSafe(F.col("n._key")) & F.col(f"r.{order[0]}").eqNullSafe(F.col("n._newest"))
     return (
-        rows.groupBy(key)
+        rows.alias("r").join(newest, at, "left_semi")
+        .groupBy(key)
         .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
         .select(key, "_last.*")
     )

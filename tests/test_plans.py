@@ -55,9 +55,19 @@ def test_windows_on_one_key_share_a_shuffle(spark, sf_dir):
 
 
 def test_aggregations_combine_before_the_shuffle(trades):
-    for df in (bars.ohlcv(trades, "1 hour"), ranking.latest(trades, "symbol")):
-        above, below = plan_of(df).split("Exchange", 1)
-        assert "partial_max_by" in below and "partial_" not in above
+    above, below = plan_of(bars.ohlcv(trades, "1 hour")).split("Exchange", 1)
+    assert "partial_max_by" in below and "partial_" not in above
+
+
+def test_latest_sorts_only_the_rows_of_the_last_time(trades):
+    plan = plan_of(ranking.latest(trades, "symbol"))
+    # Tied rows are sorted above the join; all rows only go through a hash aggregation.
+    assert plan.count("SortAggregate") == 2 and plan.index("SortAggregate") < plan.index("LeftSemi")
+    assert "SortAggregate" not in plan[plan.index("LeftSemi"):]
+    assert "partial_max(datetime" in plan
+    executed = ranking.latest(trades, "symbol")
+    executed.collect()
+    assert "BroadcastHashJoin" in plan_of(executed)
 
 
 def test_top_k_limits_before_the_shuffle(trades):
