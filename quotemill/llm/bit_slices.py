@@ -29,8 +29,6 @@ candidates gets them all; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
