@@ -12,12 +12,14 @@ below the threshold go no further. The others are confirmed on their full sets.
 Links are found in rounds that never pair all members of a bucket:
 
 1. every member of a bucket against the bucket's smallest member;
-2. in buckets that still hold several components, every member against a member
-   chosen by hash, so a large group meets many different ones;
+2. in wide buckets that still hold several components, every member against a
+   member chosen by hash, so a large group meets many different ones;
 3. what is left open: members outside their bucket's largest component against
-   all members of other components, in blocks. The estimate is part of the join,
-   so pairs that fail it are never rows. Buckets where this would be too much
-   work are first cut finer by a further band, which similar texts share too.
+   all members of other components, in blocks. A semi-join by estimate finds the
+   members that any comparison can concern; a task then holds a block with its
+   sets and returns links alone, so no pair that fails is ever a row. Buckets
+   where this would be too much work are first cut finer by a further band,
+   which similar texts share too.
 
 After each round linked classes become one component (alternating large-star
 and small-star steps), and members of one component are not compared again. A
@@ -57,8 +59,10 @@ SLACK = 5
 # Shingles hashed at a time, which bounds a task's memory whatever the texts.
 CHUNK = 1 << 19
 # Members of a block, comparisons of a bucket before it is cut finer, cuts at most.
-BLOCK, WORK, DEPTH = 512, 4_000_000, 3
-# Classes whose texts are picked out by a broadcast; more are joined.
+BLOCK, WORK, DEPTH = 512, 1_000_000, 3
+# Rounds in which wide buckets choose a member by hash.
+PIVOTS = 2
+# Classes whose texts or sets are picked out by a broadcast of 8 bytes each; more are joined.
 FEW = 1_000_000
 
 # Odd multipliers that make a shingle's hash depend on the order of its words.
@@ -222,24 +226,37 @@ def may_link(left: str, right: str, similarity: int) -> Column:
 def components(links: DataFrame) -> DataFrame:
     """Node and smallest node of its component, for all linked nodes but the smallest.
 
-    Alternates large-star and small-star steps until nothing changes. A node
-    with very many links is combined before the shuffle that finds its smallest
-    neighbour; the join back is split by the optimizer where it is skewed.
+    Alternates large-star and small-star steps until all edges lead to a node
+    that has no smaller neighbour. A node with very many links is combined
+    before the shuffle that finds its smallest neighbour; the join back is
+    split by the optimizer where it is skewed.
     """
-    edges = links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).where("x <> y").distinct()
-    before = None
+    edges = links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).where("x <> y")
     while True:
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         smallest = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
         large = both.join(smallest, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        large = large.where("x <> y").distinct()
         smallest = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = large.join(smallest, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        edges = saved(small.unionByName(smallest.withColumnRenamed("m", "y")).distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before:
+        small = large.join(smallest, "x").select(
+            F.explode(F.array(F.struct("x", F.col("m").alias("y")), F.struct(F.col("y").alias("x"), F.col("m").alias("y"))))
+            .alias("e")).select("e.*")
+        edges = saved(small.where("x <> y").distinct())
+        ends = edges.select(F.explode(F.array(
+            F.struct(F.col("x").alias("node"), F.lit(1).alias("above"), F.lit(0).alias("below")),
+            F.struct(F.col("y").alias("node"), F.lit(0).alias("above"), F.lit(1).alias("below")))).alias("e"))
+        open_nodes = ends.groupBy("e.node").agg(F.sum("e.above").alias("above"), F.max("e.below").alias("below"))
+        if open_nodes.where("above > 1 or (above > 0 and below > 0)").isEmpty():
             return edges.select(F.col("x").alias("node"), F.col("y").alias("label"))
-        before = now
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """The keys, marked for a broadcast if there are at most ``FEW`` of them."""
+    return F.broadcast(keys) if keys.count() <= FEW else keys
+
+
+def too_wide() -> Column:
+    """Whether comparing an open bucket across its components is too much for one step."""
+    return (F.col("all") - F.col("top")) * F.col("all") > WORK
 
 
 class Search:
@@ -256,33 +273,40 @@ class Search:
         self.links = None
 
     def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """Full sets of some classes, from the texts that stand for them.
+        """Full sets and bands of some classes, from the texts that stand for them.
 
         Texts are recognised by hash. Copies of a text give one row.
         """
-        wanted = self.reps.join(nodes, "node", "left_semi").select(F.col("text_hash").alias("_hash"))
-        if wanted.count() <= FEW:
-            wanted = F.broadcast(wanted)
+        chosen = saved(self.reps.join(nodes, "node", "left_semi").select("node", "text_hash", "bands"))
+        wanted = few(chosen.select(F.col("text_hash").alias("_hash")))
         texts = self.docs.select("text", F.xxhash64("text").alias("_hash")).join(wanted, "_hash", "left_semi")
-        return saved(
+        sets = (
             texts.select(shingles()("text").alias("s")).select("s.*")
             .groupBy("node").agg(F.first("shingles").alias("shingles")))
-
-    def add(self, edges: DataFrame, weighed: bool = False) -> None:
-        """Confirms candidate pairs of classes and merges what they link."""
-        pairs = edges.select("a", "b").distinct()
-        if not weighed:
-            a = self.light.select(F.col("node").alias("a"), "n", "planes").alias("l")
-            b = self.light.select(F.col("node").alias("b"), "n", "planes").alias("r")
-            pairs = (
-                pairs.join(a, "a").join(b, "b").where(may_link("l", "r", self.similarity)).select("a", "b"))
-        left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-        right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+        return saved(sets.join(chosen.select("node", "bands"), "node"))
+
+    def confirmed(self, edges: DataFrame) -> DataFrame:
+        """The candidate pairs whose full sets are similar enough."""
+        a = self.light.select(F.col("node").alias("a"), "n", "planes").alias("l")
+        b = self.light.select(F.col("node").alias("b"), "n", "planes").alias("r")
+        pairs = saved(
+            edges.select("a", "b").distinct()
+            .join(a, "a").join(b, "b").where(may_link("l", "r", self.similarity)).select("a", "b"))
+        sets = self.sets_at(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
         common = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - common
-        found = (
+        return (
             pairs.join(left, "a").join(right, "b")
             .where(100 * common >= self.similarity * union).select("a", "b"))
+
+    def sets_at(self, nodes: DataFrame) -> DataFrame:
+        """The kept sets of some classes."""
+        return self.sets.join(few(saved(nodes.distinct())), "node", "left_semi")
+
+    def add(self, found: DataFrame) -> None:
+        """Merges what confirmed pairs link."""
         if self.links is not None:
             found = found.unionByName(self.links.select(F.col("node").alias("a"), F.col("label").alias("b")))
         self.links = components(found)
@@ -291,64 +315,145 @@ class Search:
         """Rows with their node's component."""
         return rows.join(self.links, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
+    def opened(self, rows: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with the buckets' sizes."""
+        sizes = (
+            rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
+            .groupBy("bucket").agg(
+                F.sum("size").alias("all"), F.max("size").alias("top"), F.max_by("label", "size").alias("major"))
+            .where("all > top"))
+        return saved(rows.join(sizes, "bucket"))
+
     def run(self) -> DataFrame:
         """Node and component of every linked class."""
-        members = self.members
-        self.add(members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")))
-        order = F.xxhash64("bucket", "node")
-        rows = self.labelled(members.select("bucket", "node"))
-        chosen = rows.groupBy("bucket").agg(
-            F.max_by("node", order).alias("pivot"), F.max_by("label", order).alias("pivot_label"),
-            F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        self.add(
-            rows.join(chosen.select("bucket", "pivot", "pivot_label"), "bucket").where("label <> pivot_label")
-            .select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-        self.add(self.open_pairs(members.select("bucket", "node")), weighed=True)
+        members = self.members.select("bucket", "node")
+        self.add(self.confirmed(
+            self.members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))))
+        opened = self.opened(self.labelled(members))
+        for turn in range(PIVOTS):
+            wide = opened.where(too_wide())
+            if wide.isEmpty():
+                break
+            order = F.xxhash64(F.lit(turn), "bucket", "node")
+            chosen = wide.groupBy("bucket").agg(
+                F.max_by("node", order).alias("pivot"), F.max_by("label", order).alias("pivot_label"))
+            self.add(self.confirmed(
+                wide.join(chosen, "bucket").where("label <> pivot_label")
+                .select(F.col("pivot").alias("a"), F.col("node").alias("b"))))
+            opened = self.opened(self.labelled(members))
+        self.add(self.open_links(opened))
         return self.links
 
-    def open_pairs(self, members: DataFrame) -> DataFrame:
-        """Pairs that may link, across the components of each bucket."""
+    def open_links(self, opened: DataFrame) -> DataFrame:
+        """Links across the components of each open bucket."""
         found = []
-        rows = self.labelled(members)
         for depth in range(DEPTH + 1):
-            sizes = (
-                rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-                .groupBy("bucket").agg(
-                    F.sum("size").alias("all"), F.max("size").alias("top"), F.max_by("label", "size").alias("major"))
-                .where("all > top"))
-            opened = saved(rows.join(sizes, "bucket"))
-            too_wide = (F.col("all") - F.col("top")) * F.col("all") > WORK
-            wide = opened.where(too_wide).select("bucket", "node", "label")
+            wide = opened.where(too_wide()).select("bucket", "node", "label")
             last = depth == DEPTH or wide.isEmpty()
-            found.append(self.crossed(opened if last else opened.where(~too_wide)))
+            found.append(self.crossed(opened if last else opened.where(~too_wide())))
             if last:
                 break
-            bands = self.reps.select("node", "bands")
             finer = (
-                wide.join(bands, "node")
+                wide.join(self.reps.select("node", "bands"), "node")
                 .select("node", "label", "bucket", F.explode("bands").alias("band")).where("band <> bucket")
                 .select("node", "label", F.xxhash64("bucket", "band").alias("bucket")))
-            several = finer.groupBy("bucket").agg(
-                F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-            rows = finer.join(several.select("bucket"), "bucket", "left_semi")
+            opened = self.opened(finer)
         return reduce(DataFrame.unionByName, found)
 
     def crossed(self, opened: DataFrame) -> DataFrame:
         """Members outside the largest component against the bucket, block by block."""
-        rows = opened.join(self.light, "node").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
-        minor = F.col("label") != F.col("major")
-        kept = rows.select(
-            "bucket", "node", "label", "n", "planes", minor.alias("minor"),
-            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")).alias("r")
-        copies = rows.where(minor).select(
-            "bucket", "node", "label", "n", "planes",
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).alias("l")
+        place = F.struct(
+            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("asks"))
+        everywhere = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1), lambda block: F.struct(block.alias("block"), F.lit(True).alias("asks")))
+        # Every member stands in one block; members outside the largest component also ask in all.
+        rows = (
+            opened.join(self.light, "node")
+            .withColumns({
+                "blocks": F.ceil(F.col("all") / BLOCK).cast("int"), "minor": F.col("label") != F.col("major")})
+            .select("bucket", "node", "label", "n", "planes", "minor", F.explode(
+                F.when(F.col("minor"), F.concat(F.array(place), everywhere)).otherwise(F.array(place))).alias("at"))
+            .select("bucket", "at.block", "at.asks", "node", "label", "n", "planes", "minor"))
+        here = rows.alias("l")
+        there = rows.alias("r")
         same = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.block") == F.col("r.block"))
-        # Two minor members meet twice; one order is enough.
-        once = ~F.col("r.minor") | (F.col("l.node") < F.col("r.node"))
-        other = F.col("l.label") != F.col("r.label")
-        return copies.join(kept, same & once & other & may_link("l", "r", self.similarity)).select(
-            F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        # Two members that both ask meet twice; the one of the smaller node is enough.
+        once = F.when(F.col("l.asks"), ~F.col("r.minor") | (F.col("l.node") < F.col("r.node"))).otherwise(
+            ~F.col("l.minor") | (F.col("r.node") < F.col("l.node")))
+        other = (F.col("l.asks") != F.col("r.asks")) & (F.col("l.label") != F.col("r.label"))
+        meeting = saved(here.join(there, same & other & once & may_link("l", "r", self.similarity), "left_semi"))
+        return (
+            meeting.join(self.sets_at(meeting.select("node")), "node")
+            .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+            .mapInArrow(linker(self.similarity), "a bigint, b bigint"))
+
+
+def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function of sorted rows: one link for each asking row and component it is similar to, by block.
+
+    Two rows that share several buckets are compared in the one of their first
+    common band; in buckets cut finer, wherever they meet. Only a block's rows
+    are held. Rows of a block follow each other, possibly in several batches.
+    """
+    least = least_estimate(similarity)
+    accident = 2.0 ** -BITS
+
+    def links(rows: pa.Table) -> list[tuple[int, int]]:
+        asks, minor = (rows[c].to_numpy() for c in ("asks", "minor"))
+        node, label, n = (rows[c].to_numpy() for c in ("node", "label", "n"))
+        bits = rows["planes"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(
+            len(node), BITS, WORDS_PER_PLANE)
+        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), BANDS)
+        bucket = rows["bucket"][0].as_py()
+        shingles = rows["shingles"].combine_chunks()
+        flat = shingles.flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(shingles.value_lengths().to_numpy())
+        starts = ends - n
+        out = []
+        for row in np.flatnonzero(asks):
+            differing = np.bitwise_or.reduce(bits ^ bits[row], axis=1)
+            agreeing = HASHES - np.bitwise_count(differing).sum(axis=1, dtype=np.int64)
+            may = (
+                ~asks & (label != label[row]) & (~minor | (node > node[row]))
+                & (100 * np.minimum(n, n[row]) >= similarity * np.maximum(n, n[row]))
+                & ((agreeing / HASHES - accident) / (1 - accident) >= least))
+            others = np.flatnonzero(may)
+            if bucket in bands[row]:
+                common = bands[others] == bands[row]
+                others = others[bands[row][common.argmax(axis=1)] == bucket]
+            if not len(others):
+                continue
+            own = flat[starts[row]:ends[row]]
+            values = np.concatenate([flat[starts[k]:ends[k]] for k in others])
+            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            firsts = np.cumsum(n[others]) - n[others]
+            common = np.add.reduceat((own[at] == values).astype(np.int64), firsts)
+            similar = others[100 * common >= similarity * (n[row] + n[others] - common)]
+            reached = np.unique(label[similar], return_index=True)[1]
+            out += [(int(node[row]), int(node[similar[k]])) for k in reached]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            bucket, block = table["bucket"].to_numpy(), table["block"].to_numpy()
+            borders = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
+            found = []
+            for start, end in zip([0, *borders], borders):
+                found += links(table.slice(start, end - start))
+            # The last block may go on in the next batch.
+            held = table.slice(borders[-1] if len(borders) else 0)
+            yield packed(found)
+        if held is not None and len(held):
+            yield packed(links(held))
+
+    def packed(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
 
 
 def assigned(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> DataFrame:
@@ -390,11 +495,15 @@ def one_of_each(
     Of a component the smallest id stays, rows without an id last. Documents
     without shingles are in no component and all stay, repeated rows once.
     """
-    rows = assigned(docs, id_col, text_col, similarity)
+    rows = saved(assigned(docs, id_col, text_col, similarity))
     first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first")
     chosen = rows.where("label is not null").groupBy("label").agg(first).select("first.id", "first.text_hash")
     alone = rows.where("label is null").select("id", "text_hash").distinct()
     kept = chosen.unionByName(alone).withColumnsRenamed({"id": "__kept_id", "text_hash": "__kept_hash"})
     same = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.xxhash64(text_col) == F.col("__kept_hash"))
-    stay = docs.join(kept, same, "left_semi").withColumn("__hash", F.xxhash64(text_col))
-    return stay.dropDuplicates([id_col, "__hash"]).select(*docs.columns)
+    stay = docs.join(kept, same, "left_semi")
+    repeated = rows.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return stay
+    # Rows of equal id and text cannot be told apart by what is kept.
+    return stay.withColumn("__hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__hash"]).select(*docs.columns)
