@@ -70,9 +70,11 @@ def boilerplate(found: DataFrame, min_sites: int) -> DataFrame:
         .where(F.col("sites") >= min_sites - margin))
     clear = spread.where(F.col("sites") > min_sites + margin).select(*key)
     near = spread.where(F.col("sites") <= min_sites + margin).select(*key)
+    # Rows are combined by line and site before they meet the lines, so a line
+    # with very many rows on a few sites is a few rows.
     exact = (
-        found.select(*key, "site").join(near, key, "left_semi")
-        .where("site is not null").distinct()
+        found.where("site is not null").select(*key, "site").distinct()
+        .join(near, key, "left_semi")
         .groupBy(*key).agg(F.count(F.lit(1)).alias("sites"))
         .where(F.col("sites") >= min_sites).select(*key))
     return saved(clear.unionByName(exact))
