@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quotemill.llm.common import saved
+from quotemill.llm.common import give_back, saved
 
 SHINGLE = 5
 SIMILARITY = 75
@@ -144,32 +144,33 @@ def signatures() -> Callable[..., Column]:
     """Column function: text to its set's size, class, bit planes and band keys."""
     kind = to_arrow_type(SIGNATURE)
 
-    def signed(sets: list[np.ndarray]) -> Iterator[dict]:
+    def signed(sets: list[np.ndarray]) -> list[dict]:
         filled = [s for s in sets if len(s)]
         rows = iter(())
         if filled:
             mins = minima(filled)
             rows = iter(zip(planes(mins).tolist(), band_keys(mins).tolist()))
+        out = []
         for s in sets:
-            if len(s):
-                bits, bands = next(rows)
-                yield {"n_shingles": len(s), "node": node_of(s), "planes": bits, "bands": bands}
-            else:
-                yield {"n_shingles": 0, "node": None, "planes": None, "bands": None}
+            bits, bands = next(rows) if len(s) else (None, None)
+            out.append({
+                "n_shingles": len(s), "node": node_of(s) if len(s) else None, "planes": bits, "bands": bands})
+        return out
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out: list[dict] = []
+            out: list[pa.Array] = []
             sets: list[np.ndarray] = []
             held = 0
             for value in batch:
                 sets.append(shingle_hashes(value.as_py()))
                 held += len(sets[-1])
                 if held >= CHUNK:
-                    out.extend(signed(sets))
+                    out.append(pa.array(signed(sets), type=kind))
                     sets, held = [], 0
-            out.extend(signed(sets))
-            yield pa.array(out, type=kind)
+            out.append(pa.array(signed(sets), type=kind))
+            yield pa.concat_arrays(out)
+        give_back()
 
     return F.arrow_udf(run, SIGNATURE)
 
@@ -188,6 +189,7 @@ def shingles() -> Callable[..., Column]:
             yield pa.StructArray.from_arrays(
                 [pa.array([node_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
                 fields=list(kind))
+        give_back()
 
     return F.arrow_udf(run, shape)
 
@@ -273,17 +275,15 @@ class Search:
         self.links = None
 
     def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """Full sets and bands of some classes, from the texts that stand for them.
+        """Full sets of some classes, from the texts that stand for them.
 
         Texts are recognised by hash. Copies of a text give one row.
         """
-        chosen = saved(self.reps.join(nodes, "node", "left_semi").select("node", "text_hash", "bands"))
-        wanted = few(chosen.select(F.col("text_hash").alias("_hash")))
-        texts = self.docs.select("text", F.xxhash64("text").alias("_hash")).join(wanted, "_hash", "left_semi")
-        sets = (
+        wanted = saved(self.reps.join(nodes, "node", "left_semi").select(F.col("text_hash").alias("_hash")))
+        texts = self.docs.select("text", F.xxhash64("text").alias("_hash")).join(few(wanted), "_hash", "left_semi")
+        return saved(
             texts.select(shingles()("text").alias("s")).select("s.*")
             .groupBy("node").agg(F.first("shingles").alias("shingles")))
-        return saved(sets.join(chosen.select("node", "bands"), "node"))
 
     def confirmed(self, edges: DataFrame) -> DataFrame:
         """The candidate pairs whose full sets are similar enough."""
@@ -350,30 +350,35 @@ class Search:
         for depth in range(DEPTH + 1):
             wide = opened.where(too_wide()).select("bucket", "node", "label")
             last = depth == DEPTH or wide.isEmpty()
-            found.append(self.crossed(opened if last else opened.where(~too_wide())))
+            found.append(self.crossed(opened if last else opened.where(~too_wide()), finer=depth > 0))
             if last:
                 break
-            finer = (
+            cut = (
                 wide.join(self.reps.select("node", "bands"), "node")
                 .select("node", "label", "bucket", F.explode("bands").alias("band")).where("band <> bucket")
                 .select("node", "label", F.xxhash64("bucket", "band").alias("bucket")))
-            opened = self.opened(finer)
+            opened = self.opened(cut)
         return reduce(DataFrame.unionByName, found)
 
-    def crossed(self, opened: DataFrame) -> DataFrame:
-        """Members outside the largest component against the bucket, block by block."""
+    def crossed(self, opened: DataFrame, finer: bool) -> DataFrame:
+        """Members outside the largest component against the bucket, block by block.
+
+        Two members that share several buckets meet in the one of their first
+        common band; in buckets cut ``finer``, wherever they share one.
+        """
         place = F.struct(
             F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("asks"))
         everywhere = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1), lambda block: F.struct(block.alias("block"), F.lit(True).alias("asks")))
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda block: F.struct(block.alias("block"), F.lit(True).alias("asks")))
         # Every member stands in one block; members outside the largest component also ask in all.
         rows = (
-            opened.join(self.light, "node")
+            opened.join(self.reps.select("node", "n", "planes", "bands"), "node")
             .withColumns({
                 "blocks": F.ceil(F.col("all") / BLOCK).cast("int"), "minor": F.col("label") != F.col("major")})
-            .select("bucket", "node", "label", "n", "planes", "minor", F.explode(
+            .select("bucket", "node", "label", "n", "planes", "bands", "minor", F.explode(
                 F.when(F.col("minor"), F.concat(F.array(place), everywhere)).otherwise(F.array(place))).alias("at"))
-            .select("bucket", "at.block", "at.asks", "node", "label", "n", "planes", "minor"))
+            .select("bucket", "at.block", "at.asks", "node", "label", "n", "planes", "bands", "minor"))
         here = rows.alias("l")
         there = rows.alias("r")
         same = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.block") == F.col("r.block"))
@@ -381,18 +386,20 @@ class Search:
         once = F.when(F.col("l.asks"), ~F.col("r.minor") | (F.col("l.node") < F.col("r.node"))).otherwise(
             ~F.col("l.minor") | (F.col("r.node") < F.col("l.node")))
         other = (F.col("l.asks") != F.col("r.asks")) & (F.col("l.label") != F.col("r.label"))
-        meeting = saved(here.join(there, same & other & once & may_link("l", "r", self.similarity), "left_semi"))
+        first = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True).cast("int") - 1
+        turn = F.lit(True) if finer else F.col("l.bands")[first] == F.col("l.bucket")
+        meeting = saved(
+            here.join(there, same & other & once & may_link("l", "r", self.similarity) & turn, "left_semi"))
         return (
             meeting.join(self.sets_at(meeting.select("node")), "node")
             .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-            .mapInArrow(linker(self.similarity), "a bigint, b bigint"))
+            .mapInArrow(linker(self.similarity, finer), "a bigint, b bigint"))
 
 
-def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def linker(similarity: int, finer: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Function of sorted rows: one link for each asking row and component it is similar to, by block.
 
-    Two rows that share several buckets are compared in the one of their first
-    common band; in buckets cut finer, wherever they meet. Only a block's rows
+    Rows are compared under the same rules that chose them. Only a block's rows
     are held. Rows of a block follow each other, possibly in several batches.
     """
     least = least_estimate(similarity)
@@ -418,7 +425,7 @@ def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 & (100 * np.minimum(n, n[row]) >= similarity * np.maximum(n, n[row]))
                 & ((agreeing / HASHES - accident) / (1 - accident) >= least))
             others = np.flatnonzero(may)
-            if bucket in bands[row]:
+            if not finer:
                 common = bands[others] == bands[row]
                 others = others[bands[row][common.argmax(axis=1)] == bucket]
             if not len(others):
@@ -448,6 +455,8 @@ def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             yield packed(found)
         if held is not None and len(held):
             yield packed(links(held))
+        del held
+        give_back()
 
     def packed(found: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({
