@@ -52,12 +52,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding gives its text back."""
     ship_package(spark)
-    path = public_tokenizers.path(TOKENIZER)
-    encode, decode = bpe.encoder(spark, path), bpe.decoder(spark, path)
-    encoded = docs.select("doc_id", "lang", "source", "text", encode("text").alias("token_ids"))
-    return encoded.select(
+    coded = bpe.codec(docs, public_tokenizers.path(TOKENIZER), ["doc_id", "lang", "source", "text"])
+    return coded.select(
         "doc_id", "lang", "source", bpe.token_count(F.col("token_ids")).alias("n_tokens"), "token_ids",
-        (decode("token_ids") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

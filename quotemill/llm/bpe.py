@@ -23,18 +23,19 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Callable
-from functools import lru_cache
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import per_value
+from quotemill.llm.common import mapped_texts, per_value
 
-# Pieces whose ids a worker keeps, and the longest piece it keeps (characters).
-KEPT_PIECES = 1 << 19
+# Pieces of a generation whose ids a worker keeps, and the longest piece it keeps (characters).
+KEPT_PIECES = 1 << 16
 KEPT_LENGTH = 64
 
 # Letters and numbers that Unicode 17 added, as inclusive ranges (fixed values).
@@ -100,52 +101,55 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pieces(dict):
-    """Value of each recent piece; computes missing ones and stays bounded."""
+    """Value of each recent piece; computes missing ones and stays bounded.
+
+    When the table is full it becomes the older generation and a new one
+    starts. Pieces met again move over, so frequent ones are never computed
+    twice while rare ones are forgotten.
+    """
 
     def __init__(self, compute: Callable[[str], bytes]):
         super().__init__()
         self.compute = compute
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        value = self.compute(piece)
+        value = self.older.pop(piece, None)
+        if value is None:
+            value = self.compute(piece)
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value
 
 
+@dataclass(frozen=True)
+class Tables:
+    """A tokenizer file's content, packed: what a worker needs and no more."""
+
+    merges: bytes
+    ids: bytes
+    spelled: tuple[bytes, bytes]
+    byte_ids: tuple[int, ...]
+    special: tuple[tuple[str, int], ...]
+
+
 class Vocabulary:
-    """Tables of a byte-level BPE tokenizer file."""
-
-    def __init__(self, text: str):
-        file = json.loads(text)
-        cut = file["pre_tokenizer"] or {}
-        if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
-            raise ValueError("only byte-level tokenizers without a prefix space are supported")
-        if file.get("normalizer") or file["model"].get("ignore_merges") or file["model"].get("dropout"):
-            raise ValueError("normalizers, ignored merges and dropout are not supported")
-        letters = byte_letters()
-        ids = file["model"]["vocab"]
+    """Tables of a byte-level BPE tokenizer, ready for lookups."""
+
+    def __init__(self, tables: Tables):
+        ids, ends = np.frombuffer(tables.ids, "<u4").tolist(), np.frombuffer(tables.spelled[1], "<u4").tolist()
         self.spelled: dict[int, bytes] = {
-            number: bytes(letters[c] for c in token) for token, number in ids.items()
-            if all(c in letters for c in token)
-        }
-        self.byte_ids = [ids[c] for c, _ in sorted(letters.items(), key=lambda item: item[1])]
+            number: tables.spelled[0][start:end] for number, start, end in zip(ids, [0, *ends], ends)}
+        self.byte_ids = list(tables.byte_ids)
+        left, right, self.merged = np.frombuffer(tables.merges, "<u4").reshape(3, -1).tolist()
+        self.halves: list[tuple[int, int]] = list(zip(left, right))
         self.ranks: dict[int, int] = {}
-        self.merged: list[int] = []
-        self.halves: list[tuple[int, int]] = []
-        for merge in file["model"]["merges"]:
-            left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.ranks.setdefault(ids[left] << 32 | ids[right], len(self.merged))
-            self.merged.append(ids[left + right])
-            self.halves.append((ids[left], ids[right]))
-        self.special: dict[str, int] = {}
-        for token in file.get("added_tokens", []):
-            if token["lstrip"] or token["rstrip"] or token["single_word"] or not token["content"]:
-                raise ValueError("added tokens with stripping or word rules are not supported")
-            self.special[token["content"]] = token["id"]
-            self.spelled[token["id"]] = token["content"].encode()
+        for rank, (x, y) in enumerate(self.halves):
+            self.ranks.setdefault(x << 32 | y, rank)
+        self.special = dict(tables.special)
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = (
             regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None)
@@ -212,31 +216,68 @@ def pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@lru_cache(maxsize=2)
-def vocabulary(text: str) -> Vocabulary:
-    return Vocabulary(text)
-
+def read_tokenizer(path: str) -> Tables:
+    """Tables of a tokenizer file, read on the driver.
 
-def read_tokenizer(path: str) -> str:
-    """Content of a tokenizer file, read on the driver.
-
-    It travels to the executors with the function that uses it: its size is
-    the vocabulary's, a few megabytes, whatever the size of the corpus.
+    They travel to the executors with the function that uses them: their size
+    is the vocabulary's, a few megabytes, whatever the size of the corpus.
     """
-    with open(path, encoding="utf-8") as file:
-        return file.read()
+    with open(path, encoding="utf-8") as content:
+        file = json.load(content)
+    cut = file["pre_tokenizer"] or {}
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        raise ValueError("only byte-level tokenizers without a prefix space are supported")
+    if file.get("normalizer") or file["model"].get("ignore_merges") or file["model"].get("dropout"):
+        raise ValueError("normalizers, ignored merges and dropout are not supported")
+    letters = byte_letters()
+    ids = file["model"]["vocab"]
+    spelled = {
+        number: bytes(letters[c] for c in token) for token, number in ids.items() if all(c in letters for c in token)}
+    special = {}
+    for token in file.get("added_tokens", []):
+        if token["lstrip"] or token["rstrip"] or token["single_word"] or not token["content"]:
+            raise ValueError("added tokens with stripping or word rules are not supported")
+        special[token["content"]] = token["id"]
+        spelled[token["id"]] = token["content"].encode()
+    merges = [merge.split(" ") if isinstance(merge, str) else merge for merge in file["model"]["merges"]]
+    return Tables(
+        np.array([
+            [ids[left] for left, _ in merges], [ids[right] for _, right in merges],
+            [ids[left + right] for left, right in merges]], "<u4").tobytes(),
+        np.array(list(spelled), "<u4").tobytes(),
+        (b"".join(spelled.values()), np.cumsum([len(x) for x in spelled.values()]).astype("<u4").tobytes()),
+        tuple(ids[c] for c, _ in sorted(letters.items(), key=lambda item: item[1])),
+        tuple(special.items()),
+    )
 
 
 def encoder(spark: SparkSession, path: str) -> Callable[..., Column]:
     """Column function: text to packed ids under the tokenizer file at ``path``."""
     shared = spark.sparkContext.broadcast(read_tokenizer(path))
-    return per_value(lambda: vocabulary(shared.value).encode, T.BinaryType())
+    return per_value(lambda: Vocabulary(shared.value).encode, T.BinaryType())
 
 
 def decoder(spark: SparkSession, path: str) -> Callable[..., Column]:
     """Column function: packed ids to text."""
     shared = spark.sparkContext.broadcast(read_tokenizer(path))
-    return per_value(lambda: vocabulary(shared.value).decode, T.StringType())
+    return per_value(lambda: Vocabulary(shared.value).decode, T.StringType())
+
+
+def codec(df: DataFrame, path: str, keep: Sequence[str], text: str = "text") -> DataFrame:
+    """The kept columns, ``token_ids`` (packed) of the text, and ``decoded``, the text of those ids."""
+    shared = df.sparkSession.sparkContext.broadcast(read_tokenizer(path))
+
+    def make() -> Callable[[str | None], dict]:
+        vocab = Vocabulary(shared.value)
+
+        def one(value: str | None) -> dict:
+            packed = vocab.encode(value)
+            return {"token_ids": packed, "decoded": vocab.decode(packed)}
+
+        return one
+
+    return mapped_texts(df, text, keep, make, T.StructType([
+        T.StructField("token_ids", T.BinaryType()), T.StructField("decoded", T.StringType())]))
 
 
 def token_count(packed: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 from typing import Any
 
@@ -13,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 # Bytes between words: space and the five ASCII control characters (fixed value).
 BLANKS = r"\x20\x09-\x0D"
-WORD = rf"[^{BLANKS}]+"
+# Characters whose results a task holds before it hands them on.
+HELD_CHARS = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +64,50 @@ def per_value(make: Callable[[], Callable[[Any], Any]], returns: T.DataType) ->
         work = make()
         for batch in batches:
             yield pa.array([work(value.as_py()) for value in batch], type=kind)
+        del work
+        give_back()
 
     return F.arrow_udf(run, returns)
 
 
+def give_back() -> None:
+    """Frees what a task built; Python workers are kept for later tasks of other queries."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def mapped_texts(
+    df: DataFrame, text: str, keep: Sequence[str], make: Callable[[], Callable[[Any], dict]], fields: T.StructType,
+) -> DataFrame:
+    """The kept columns and what ``make``'s function gives for each text.
+
+    Like ``per_value`` for results about as large as the texts: they leave a
+    task in small batches, so it holds few of them at a time.
+    """
+    schema = T.StructType([*df.select(*keep).schema.fields, *fields.fields])
+    kind = to_arrow_schema(schema)
+    shape = to_arrow_type(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            values = batch.column(0)
+            start, held, rows = 0, 0, []
+            for place in range(len(values)):
+                value = values[place].as_py()
+                rows.append(work(value))
+                held += len(value or "")
+                if held >= HELD_CHARS or place == len(values) - 1:
+                    made = pa.array(rows, type=shape)
+                    kept = [column.slice(start, len(rows)) for column in batch.columns[1:]]
+                    yield pa.RecordBatch.from_arrays([*kept, *made.flatten()], schema=kind)
+                    start, held, rows = place + 1, 0, []
+        del work
+        give_back()
+
+    return df.select(F.col(text).alias("__value"), *keep).mapInArrow(run, schema)
+
+
 def words_of(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{BLANKS}]++")), F.lit(0)).cast("bigint")

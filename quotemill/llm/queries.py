@@ -125,13 +125,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
-    path = public_tokenizers.path(TOKENIZER)
-    encode, decode = bpe.encoder(spark, path), bpe.decoder(spark, path)
-    ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
-    texts = ids.select("doc_id", "ids", decode("ids").alias("decoded"))
-    return texts.select(
-        "doc_id", bpe.token_count(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
+    coded = bpe.codec(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), ["doc_id"])
+    return coded.select(
+        "doc_id", bpe.token_count(F.col("token_ids")).alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

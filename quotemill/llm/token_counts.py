@@ -23,14 +23,13 @@ rows; other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import types as T
 
-from quotemill.llm.bpe import Pieces, Vocabulary, read_tokenizer, vocabulary
+from quotemill.llm.bpe import Pieces, Vocabulary, read_tokenizer
 from quotemill.llm.common import per_value
 
 # Pairs of tokens whose border a worker remembers.
@@ -164,11 +163,6 @@ class PrefixCounter:
         return np.concatenate(out)
 
 
-@lru_cache(maxsize=2)
-def counter(text: str) -> PrefixCounter:
-    return PrefixCounter(vocabulary(text))
-
-
 def longest_within(counts: np.ndarray, budget: int) -> int:
     """Length of the longest prefix of at most ``budget`` tokens.
 
@@ -193,7 +187,7 @@ def prefix_counter(
         raise ValueError("a budget is at least 0 tokens")
 
     def make() -> Callable[[str | None], dict]:
-        counts_of = counter(shared.value).prefixes
+        counts_of = PrefixCounter(Vocabulary(shared.value)).prefixes
 
         def one(text: str | None) -> dict:
             counts = counts_of(text)
