@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from quotemill.llm.common import mapped_texts, per_value
 
 # Pieces of a generation whose ids a worker keeps, and the longest piece it keeps (characters).
-KEPT_PIECES = 1 << 16
+KEPT_PIECES = 1 << 18
 KEPT_LENGTH = 64
 
 # Letters and numbers that Unicode 17 added, as inclusive ranges (fixed values).
