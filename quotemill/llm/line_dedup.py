@@ -7,9 +7,10 @@ row per task. Lines whose estimate is far from the threshold are decided by it;
 those near it get an exact count of distinct sites, on their rows alone.
 
 Lines on at least ``min_sites`` sites are boilerplate and are removed wherever
-they stand. A document most of whose words stand in such lines is not text with
-boilerplate but a copy: it is left whole and marked, since removing its lines
-would leave a stub that no longer resembles its original.
+they stand, except from a document most of whose words stand in such lines: it
+is left whole and marked as a copy, since removing its lines would leave a stub
+that no longer resembles its original. The mark tells the share of words alone,
+not that another document like it exists; the SQL counterpart fixes this rule.
 
 Lines are identified by two 64-bit hashes. Only hashes, sites and line numbers
 are shuffled for the counts; texts move once, to meet the numbers of the lines
@@ -31,7 +32,7 @@ SKETCH_BITS = 12
 # Estimates this far from the threshold, as a share of it, are counted exactly.
 # A sketch of 2^12 registers errs by 1.6 % at one standard deviation.
 MARGIN = 0.2
-# A document with more than this share of its words in boilerplate is a copy, in percent.
+# A document with more than this share of its words in boilerplate stays whole, in percent.
 COPY_SHARE = 50
 
 BLANKS = " \t\n\x0b\x0c\r"
