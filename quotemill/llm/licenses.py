@@ -4,8 +4,10 @@ A text is lower-cased (A-Z) and cut into words of digits, letters a-z and
 non-ASCII characters. Rules are regular expressions over the words joined by
 single blanks. Hundreds of them come from a table of license families: every
 name of a family with every version and every qualifier, besides hand-written
-signatures of license texts. Each rule names one word it cannot match without;
-only rules whose word occurs are run, which leaves most texts without any.
+signatures of license texts. Each rule lists whole words, one of which every
+match of it holds, with a version joined to a short name ("gplv2", "gpl3")
+among them; only rules with such a word are run, which leaves most texts
+without any.
 
 Detections overlap: "gnu general public license version 3 or later" also holds
 the name alone. Rules have a priority, and a detection is suppressed if another
@@ -41,7 +43,8 @@ PHRASES = (
 )
 
 # Family: label stem, names, versions, whether "or later" and "only" occur.
-# Names are regular expressions over words; the gate word follows the name.
+# Names are regular expressions over words; the gate word follows the name, or
+# several of them, if a spelling of the name has another word instead.
 FAMILIES: tuple[tuple[str, tuple[tuple[str, str], ...], tuple[str, ...], bool], ...] = (
     ("gpl", (("gnu general public licen[cs]e", "gnu"), ("gnu gpl", "gpl"), ("gpl", "gpl"),
              ("general public licen[cs]e", "general")), ("1.0", "2.0", "3.0"), True),
@@ -78,7 +81,7 @@ FAMILIES: tuple[tuple[str, tuple[tuple[str, str], ...], tuple[str, ...], bool],
              ("licen[cs]e mit", "mit")), (), False),
     ("isc", (("isc licen[cs]e", "isc"),), (), False),
     ("zlib", (("zlib licen[cs]e", "zlib"), ("zlib libpng licen[cs]e", "zlib")), (), False),
-    ("unlicense", (("the unlicen[cs]e", "unlicense"),), (), False),
+    ("unlicense", (("the unlicen[cs]e", "unlicense unlicence"),), (), False),
     ("wtfpl", (("wtfpl", "wtfpl"), ("do what the fuck you want to public licen[cs]e", "fuck")), (), False),
     ("ncsa", (("university of illinois ncsa open source licen[cs]e", "ncsa"), ("ncsa licen[cs]e", "ncsa")),
      (), False),
@@ -86,7 +89,7 @@ FAMILIES: tuple[tuple[str, tuple[tuple[str, str], ...], tuple[str, ...], bool],
     ("openssl", (("openssl licen[cs]e", "openssl"),), (), False),
     ("w3c", (("w3c software notice and licen[cs]e", "w3c"), ("w3c licen[cs]e", "w3c")), (), False),
     ("vim", (("vim licen[cs]e", "vim"),), (), False),
-    ("beerware", (("beer ?ware licen[cs]e", "beerware"),), (), False),
+    ("beerware", (("beer ?ware licen[cs]e", "beerware beer"),), (), False),
 )
 
 # Creative Commons: short clauses and the words they are spelled with.
@@ -135,12 +138,23 @@ class Rule:
     name: str
     label: str
     priority: int
-    gate: bytes
+    # Every match holds one of them as a whole word.
+    gates: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
 
+    @property
+    def gate(self) -> bytes:
+        return self.gates[0]
+
 
 def rule(name: str, label: str, priority: int, gate: str, words: str) -> Rule:
-    return Rule(name, label, priority, gate.encode(), re.compile(f"(?<= ){words}(?= )".encode()))
+    return Rule(name, label, priority, tuple(gate.encode().split()), re.compile(f"(?<= ){words}(?= )".encode()))
+
+
+def joined_gate(name: str, gate: str, version: str) -> str:
+    """Gate words of a name with a version, which may be joined to the name's last word."""
+    major = version.split(".")[0]
+    return f"{gate} {gate}{major} {gate}v{major}" if name.split()[-1] == gate else gate
 
 
 def version_words(version: str) -> str:
@@ -161,12 +175,13 @@ def rules() -> tuple[Rule, ...]:
             for version in versions:
                 here, label = f"{stem}:{place}:{version}", f"{stem}-{version}"
                 words = f"{name},?{version_words(version)}"
+                gates = joined_gate(name, gate, version)
                 if qualified:
-                    out.append(rule(f"{here}:later", f"{label}-or-later", QUALIFIED, gate,
+                    out.append(rule(f"{here}:later", f"{label}-or-later", QUALIFIED, gates,
                                     f"{words}(?: of the licen[cs]e)?(?: or| and) (?:at your option )?"
                                     "(?:any )?(?:later|newer|higher)(?: version)?"))
-                    out.append(rule(f"{here}:only", f"{label}-only", QUALIFIED, gate, f"{words} only"))
-                out.append(rule(here, label, VERSIONED, gate, words))
+                    out.append(rule(f"{here}:only", f"{label}-only", QUALIFIED, gates, f"{words} only"))
+                out.append(rule(here, label, VERSIONED, gates, words))
             # A short name alone says too little.
             if " " in name or not versions:
                 out.append(rule(f"{stem}:{place}", stem, NAMED, gate, name))
@@ -235,7 +250,8 @@ class Scanner:
         self.table = word_bytes()
         self.by_gate: dict[bytes, list[Rule]] = {}
         for known in rules():
-            self.by_gate.setdefault(known.gate, []).append(known)
+            for gate in known.gates:
+                self.by_gate.setdefault(gate, []).append(known)
         self.gates = frozenset(self.by_gate)
         self.phrases = [(f" {words} ".encode(), len(words.split()), label) for words, label in PHRASES]
 
@@ -254,11 +270,11 @@ class Scanner:
                     start = number.word(at + 1)
                     places.append({"label": label, "start": start, "end": start + size})
                     at = joined.find(phrase, at + 1)
-            for gate in gates:
-                for known in self.by_gate[gate]:
-                    for match in known.pattern.finditer(joined):
-                        start = number.word(match.start())
-                        found.append((known, start, start + match.group().count(b" ") + 1))
+            # A rule runs once, however many of its words occur.
+            for known in {known.name: known for gate in gates for known in self.by_gate[gate]}.values():
+                for match in known.pattern.finditer(joined):
+                    start = number.word(match.start())
+                    found.append((known, start, start + match.group().count(b" ") + 1))
         kept = unsuppressed(found)
         strengths = [STRENGTH[known.priority] for known, _, _ in kept] + [BASE_STRENGTH] * bool(places)
         return {

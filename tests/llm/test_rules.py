@@ -39,6 +39,52 @@ def test_there_are_hundreds_of_rules_with_sound_gates():
         assert gates & {word.encode() for word in phrase.split()}
 
 
+def spellings(parsed):
+    """Every text an expression without unbounded repeats matches."""
+    out = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            found = [chr(value)]
+        elif name == "IN":
+            found = [chr(c) for _, c in value]
+        elif name == "MAX_REPEAT":
+            least, most, part = value
+            assert (least, most) == (0, 1)
+            found = ["", *spellings(part)]
+        elif name == "BRANCH":
+            found = [text for part in value[1] for text in spellings(part)]
+        elif name == "SUBPATTERN":
+            found = spellings(value[-1])
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT")
+            continue
+        out = [start + end for start in out for end in found]
+    return out
+
+
+def test_every_spelling_of_a_rule_passes_its_gate():
+    scan = licenses.Scanner()
+    for rule in licenses.rules():
+        texts = spellings(re._parser.parse(rule.pattern.pattern.decode()))
+        for text in texts:
+            assert set(rule.gates) & set(text.encode().translate(scan.table).split()), (rule.name, text)
+        assert rule.pattern.search(f" {texts[0]} ".encode())
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("released under GPLv3", ["gpl-3.0"]),
+    ("GNU GPLv2", ["gpl-2.0"]),
+    ("LGPLv2.1+ and AGPLv3 or later", ["lgpl-2.1", "agpl-3.0-or-later"]),
+    ("GPL3 only, MPLv2 and Apache2", ["gpl-3.0-only", "mpl-2.0", "apache-2.0"]),
+    ("GPLv2, which is GPL version 2", ["gpl-2.0", "gpl-2.0"]),
+    ("the beer ware license", ["beerware"]),
+    ("the Unlicence", ["unlicense"]),
+])
+def test_a_name_in_another_word_is_found(text, labels):
+    assert [found["label"] for found in licenses.Scanner()(text)["detections"]] == labels
+
+
 @pytest.mark.parametrize("text, labels", [
     ("licensed under the GNU General Public License, version 3", ["gpl-3.0"]),
     ("GNU GPL version 2 or any later version", ["gpl-2.0-or-later"]),
