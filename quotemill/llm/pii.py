@@ -14,12 +14,12 @@ an entity recognised in one place raises its label wherever it is repeated. A
 candidate becomes a span if some label's belief passes ``MIN_BELIEF``.
 
 The potentials are estimated, not set: features of spans and candidates are
-counted with the base labels as supervision, on a bounded sample of documents,
-and smoothed. Features never say whether a pattern matched.
+counted with the base labels as supervision, over all documents, and smoothed.
+Features never say whether a pattern matched.
 
 Null and empty texts have no spans. Cost is linear in the text plus a constant
 number of message rounds over its nodes. Repeated rows give repeated rows;
-other columns pass through. On an empty sample the potentials are those of the
+other columns pass through. On an empty table the potentials are those of the
 smoothing alone.
 """
 
@@ -34,15 +34,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.llm.common import bounded_sample, per_value
+from quotemill.llm.common import per_value
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 
-# Rows the potentials are estimated on.
-SAMPLE_ROWS = 4_000
-SAMPLE_SEED = 11
-
 ROUNDS = 12
 DAMPING = 0.5
 MIN_BELIEF = 0.6
@@ -340,17 +336,16 @@ def spans_of(text: str | None, model: Potentials) -> tuple[list[Node], list[Node
     return base, added
 
 
-def estimated(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Potentials:
-    """Potentials from a sample of at most ``sample_rows`` rows.
+def estimated(docs: DataFrame, text: str = "text") -> Potentials:
+    """Potentials from all rows.
 
     What reaches the driver is one row per feature and label, and per pair of
-    labels: a few hundred, whatever the sample.
+    labels: a few hundred, whatever the table.
     """
     count = per_value(lambda: counts_of, T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()), T.StructField("x", T.IntegerType()),
         T.StructField("y", T.IntegerType()), T.StructField("n", T.LongType())])))
-    sampled = bounded_sample(docs.select(text), sample_rows, SAMPLE_SEED)
-    counted = sampled.select(F.explode(count(text)).alias("c")).groupBy("c.name", "c.x", "c.y").agg(F.sum("c.n"))
+    counted = docs.select(F.explode(count(text)).alias("c")).groupBy("c.name", "c.x", "c.y").agg(F.sum("c.n"))
     return potentials(tuple(row) for row in sorted(counted.collect()))
 
 

@@ -242,6 +242,24 @@ def test_skip_edges_grow_with_the_nodes():
     assert len(nodes) == 300 and len(pii.skip_edges(nodes)) <= 2 * len(nodes)
 
 
+def test_potentials_count_every_document(spark):
+    texts = ["call +1 (706) 555-6754 now"] * 5000 + ["ip 1.2.3.4"]
+    counts = Counter()
+    for text in texts:
+        for c in pii.counts_of(text):
+            counts[c["name"], c["x"], c["y"]] += c["n"]
+    expected = pii.potentials((*key, n) for key, n in counts.items())
+    # Sums do not depend on which rows arrive first.
+    for parts in (1, 7):
+        model = pii.estimated(frame(spark, texts).repartition(parts))
+        assert model.features.keys() == expected.features.keys()
+        for ours, theirs in [
+            (model.prior, expected.prior), (model.chain, expected.chain), (model.skip, expected.skip),
+            *[(model.features[name], expected.features[name]) for name in expected.features],
+        ]:
+            assert (ours == theirs).all()
+
+
 def test_personal_data_query(spark, tmp_path, sf_dir):
     given = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + ODD_TEXTS + fuzzed(80, 9)
     folder = stored(frame(spark, given).withColumn("spans", F.lit(1)), tmp_path)
