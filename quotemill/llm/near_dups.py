@@ -17,9 +17,8 @@ Links are found in rounds that never pair all members of a bucket:
 3. what is left open: members outside their bucket's largest component against
    all members of other components, in blocks. A semi-join by estimate finds the
    members that any comparison can concern; a task then holds a block with its
-   sets and returns links alone, so no pair that fails is ever a row. Buckets
-   where this would be too much work are first cut finer by a further band,
-   which similar texts share too.
+   sets and returns links alone, so no pair that fails is ever a row. Wide
+   buckets are compared like the others, in more blocks.
 
 After each round linked classes become one component (alternating large-star
 and small-star steps), and members of one component are not compared again. A
@@ -58,8 +57,8 @@ SEED = 20_240_229
 SLACK = 5
 # Shingles hashed at a time, which bounds a task's memory whatever the texts.
 CHUNK = 1 << 19
-# Members of a block, comparisons of a bucket before it is cut finer, cuts at most.
-BLOCK, WORK, DEPTH = 512, 1_000_000, 3
+# Members of a block, comparisons of a bucket before members are chosen by hash in it.
+BLOCK, WORK = 512, 1_000_000
 # Rounds in which wide buckets choose a member by hash.
 PIVOTS = 2
 # Classes whose texts or sets are picked out by a broadcast of 8 bytes each; more are joined.
@@ -257,7 +256,7 @@ def few(keys: DataFrame) -> DataFrame:
 
 
 def too_wide() -> Column:
-    """Whether comparing an open bucket across its components is too much for one step."""
+    """Whether an open bucket is compared with members chosen by hash before all others."""
     return (F.col("all") - F.col("top")) * F.col("all") > WORK
 
 
@@ -341,30 +340,14 @@ class Search:
                 wide.join(chosen, "bucket").where("label <> pivot_label")
                 .select(F.col("pivot").alias("a"), F.col("node").alias("b"))))
             opened = self.opened(self.labelled(members))
-        self.add(self.open_links(opened))
+        self.add(self.crossed(opened))
         return self.links
 
-    def open_links(self, opened: DataFrame) -> DataFrame:
-        """Links across the components of each open bucket."""
-        found = []
-        for depth in range(DEPTH + 1):
-            wide = opened.where(too_wide()).select("bucket", "node", "label")
-            last = depth == DEPTH or wide.isEmpty()
-            found.append(self.crossed(opened if last else opened.where(~too_wide()), finer=depth > 0))
-            if last:
-                break
-            cut = (
-                wide.join(self.reps.select("node", "bands"), "node")
-                .select("node", "label", "bucket", F.explode("bands").alias("band")).where("band <> bucket")
-                .select("node", "label", F.xxhash64("bucket", "band").alias("bucket")))
-            opened = self.opened(cut)
-        return reduce(DataFrame.unionByName, found)
-
-    def crossed(self, opened: DataFrame, finer: bool) -> DataFrame:
+    def crossed(self, opened: DataFrame) -> DataFrame:
         """Members outside the largest component against the bucket, block by block.
 
         Two members that share several buckets meet in the one of their first
-        common band; in buckets cut ``finer``, wherever they share one.
+        common band.
         """
         place = F.struct(
             F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("asks"))
@@ -387,16 +370,16 @@ class Search:
             ~F.col("l.minor") | (F.col("r.node") < F.col("l.node")))
         other = (F.col("l.asks") != F.col("r.asks")) & (F.col("l.label") != F.col("r.label"))
         first = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True).cast("int") - 1
-        turn = F.lit(True) if finer else F.col("l.bands")[first] == F.col("l.bucket")
+        turn = F.col("l.bands")[first] == F.col("l.bucket")
         meeting = saved(
             here.join(there, same & other & once & may_link("l", "r", self.similarity) & turn, "left_semi"))
         return (
             meeting.join(self.sets_at(meeting.select("node")), "node")
             .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-            .mapInArrow(linker(self.similarity, finer), "a bigint, b bigint"))
+            .mapInArrow(linker(self.similarity), "a bigint, b bigint"))
 
 
-def linker(similarity: int, finer: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Function of sorted rows: one link for each asking row and component it is similar to, by block.
 
     Rows are compared under the same rules that chose them. Only a block's rows
@@ -425,9 +408,8 @@ def linker(similarity: int, finer: bool) -> Callable[[Iterator[pa.RecordBatch]],
                 & (100 * np.minimum(n, n[row]) >= similarity * np.maximum(n, n[row]))
                 & ((agreeing / HASHES - accident) / (1 - accident) >= least))
             others = np.flatnonzero(may)
-            if not finer:
-                common = bands[others] == bands[row]
-                others = others[bands[row][common.argmax(axis=1)] == bucket]
+            common = bands[others] == bands[row]
+            others = others[bands[row][common.argmax(axis=1)] == bucket]
             if not len(others):
                 continue
             own = flat[starts[row]:ends[row]]

@@ -326,6 +326,27 @@ def test_components_equal_comparing_all_pairs(spark, tmp_path, monkeypatch, work
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows.values())
 
 
+def test_a_pair_whose_only_common_band_is_a_wide_bucket_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "WORK", 0)
+    monkeypatch.setattr(near_dups, "PIVOTS", 0)
+    draw = random.Random(14)
+    pair = [f"b{k}" for k in range(100)]
+    texts = [" ".join(pair), " ".join([*pair[:-2], "x", "y"])]
+    texts += [" ".join(f"w{draw.randrange(10**6)}" for _ in range(100)) for _ in range(40)]
+    sign = near_dups.signatures()
+    docs = frame(spark, texts)
+    signed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), sign("text").alias("s"))
+    # All share the first band and no other.
+    own = F.transform(F.sequence(F.lit(2), F.lit(near_dups.BANDS)), lambda band: 100 * (F.col("doc_id") + 1) + band)
+    reps = signed.select(
+        "text_hash", "s.node", F.col("s.n_shingles").alias("n"), "s.planes",
+        F.concat(F.array(F.lit(1).cast("bigint")), own).alias("bands")).localCheckpoint()
+    nodes = [r.node for r in signed.orderBy("doc_id").select("s.node").collect()]
+    assert min(nodes) not in nodes[:2]
+    links = near_dups.Search(docs, reps, near_dups.SIMILARITY).run()
+    assert {(r.node, r.label) for r in links.collect()} == {(max(nodes[:2]), min(nodes[:2]))}
+
+
 def test_one_of_each_component_stays(spark):
     texts = near_texts(random.Random(11))
     docs = frame(spark, texts + texts[:3], ids=[*range(len(texts)), 0, 1, 2])
