@@ -7,8 +7,9 @@ document again costs more each time (0 for the first reading, then 1, 2, ...),
 so per pattern there is one arc per reading with rising cost, and fresh text is
 used up before anything is repeated, across all patterns at once. Successive
 shortest paths give the cheapest flow that fills the quotas as far as capacity
-allows. The number of patterns is bounded by ``MAX_PATTERNS``, whatever the
-number of documents.
+allows. Only patterns that are connected by common sources need one flow; a
+source without overlap gives its quota or all its readings. Sources and patterns
+are kept on the driver, however many; documents are not.
 
 The flow says how many tokens each pattern gives. Whole readings apply to every
 document of a pattern; the rest of a reading goes to documents in the order of
@@ -30,7 +31,7 @@ the seed and the rows alone, not on their partitioning.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ from quotemill.llm.common import saved
 
 MAX_REPEATS = 3
 SEED = 2024
-# Patterns the flow may have, and documents of a bucket on average.
-MAX_PATTERNS = 20_000
+# Patterns whose decisions are broadcast (more are joined), and documents of a bucket on average.
+FEW_PATTERNS = 20_000
 BUCKET_ROWS = 2_000
 WHOLE = "bigint"
 
@@ -60,7 +61,8 @@ def quotas(sizes: Sequence[int], weights: Sequence[float], max_repeats: int = MA
         for k in capped:
             target[k] = float(max_repeats * sizes[k])
             left -= target[k]
-        free = [k for k in free if k not in set(capped)]
+        done = set(capped)
+        free = [k for k in free if k not in done]
     return target
 
 
@@ -119,11 +121,49 @@ class Network:
                 node = self.head[by[node] ^ 1]
 
 
+def connected(patterns: Iterable[tuple]) -> list[list[tuple]]:
+    """The patterns in groups that have no source in common."""
+    parent: dict[object, object] = {}
+
+    def root(name: object) -> object:
+        while parent[name] != name:
+            parent[name] = parent[parent[name]]
+            name = parent[name]
+        return name
+
+    groups: dict[object, list[tuple]] = {}
+    patterns = [key for key in patterns if key]
+    for key in patterns:
+        for name in key:
+            parent.setdefault(name, name)
+            parent[root(name)] = root(key[0])
+    for key in patterns:
+        groups.setdefault(root(key[0]), []).append(key)
+    return list(groups.values())
+
+
 def routed(
     patterns: Mapping[tuple, int], targets: Mapping[object, float], max_repeats: int = MAX_REPEATS,
 ) -> dict[tuple, int]:
     """Tokens each pattern gives, repeats counted, at least cost of repetition."""
-    names = list(targets)
+    given = dict.fromkeys(patterns, 0)
+    for group in connected(patterns):
+        if len(group) == 1 and len(group[0]) == 1:
+            key, = group
+            given[key] = min(max_repeats * patterns[key], round(targets.get(key[0], 0)))
+        else:
+            own = {name for key in group for name in key}
+            given |= flowed(
+                {key: patterns[key] for key in group}, {name: targets[name] for name in own if name in targets},
+                max_repeats)
+    return given
+
+
+def flowed(
+    patterns: Mapping[tuple, int], targets: Mapping[object, float], max_repeats: int = MAX_REPEATS,
+) -> dict[tuple, int]:
+    """Tokens each pattern of a connected group gives, by min-cost flow."""
+    names = sorted(targets, key=lambda name: (name is None, str(name)))
     keys = sorted(patterns, key=lambda key: [(name is None, str(name)) for name in key])
     network = Network(2 + len(keys) + len(names))
     source, sink = 0, 1
@@ -152,8 +192,7 @@ class Mix:
 
     ``members`` is the array of a document's sources, ``size`` its tokens, both
     columns of ``docs``; ``weights`` maps the sources' names to their weights.
-    ``targets`` and ``sizes`` are by source. The decisions are at most
-    ``MAX_PATTERNS`` rows.
+    ``targets`` and ``sizes`` are by source. The decisions are one row per pattern.
     """
 
     def __init__(
@@ -170,9 +209,8 @@ class Mix:
         rows = saved(docs.select(
             self.id.alias("id"), self.members.alias("members"), self.size.alias("size"), self.rank.alias("rank")))
         found = rows.groupBy("members").agg(
-            F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MAX_PATTERNS + 1).collect()
-        if len(found) > MAX_PATTERNS:
-            raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
+        self.few = len(found) <= FEW_PATTERNS
         by_pattern = {tuple(row.members): row.size for row in found}
         self.sizes: dict[object, int] = {}
         for pattern, total in by_pattern.items():
@@ -185,8 +223,13 @@ class Mix:
             [(list(pattern), *divmod(given[pattern], by_pattern[pattern]), max(1, -(-row.rows // BUCKET_ROWS)))
              for pattern, row in ((tuple(row.members), row) for row in found) if by_pattern[pattern]],
             "members array<string>, whole bigint, rest bigint, buckets bigint")
-        decided = cuts(rows, plan)
-        self.decisions = docs.sparkSession.createDataFrame(decided.collect(), decided.schema)
+        decided = cuts(rows, plan, self.small)
+        self.decisions = (
+            docs.sparkSession.createDataFrame(decided.collect(), decided.schema) if self.few else saved(decided))
+
+    def small(self, table: DataFrame) -> DataFrame:
+        """A table of at most one row per pattern, marked for a broadcast if there are few."""
+        return F.broadcast(table) if self.few else table
 
     def readings(self, docs: DataFrame, name: str) -> DataFrame:
         """The documents with how often each is read, 0 to ``max_repeats``, as column ``name``."""
@@ -197,7 +240,7 @@ class Mix:
         chosen = (bucket < of["edge"]) | ((bucket == of["edge"]) & of["cut_rank"].isNotNull() & upto)
         times = F.coalesce(of["whole"], F.lit(0)) + F.coalesce(chosen, F.lit(False)).cast("bigint")
         return (
-            docs.join(F.broadcast(decisions), self.members == of["members"], "left")
+            docs.join(self.small(decisions), self.members == of["members"], "left")
             .withColumn(name, F.when(self.size > 0, times).otherwise(0).cast("int"))
             .select(*docs.columns, name))
 
@@ -218,10 +261,10 @@ def bucket_of(rank: Column, buckets: Column) -> Column:
     return F.conv(F.substring(rank, 1, 8), 16, 10).cast("bigint") % buckets
 
 
-def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def cuts(rows: DataFrame, plan: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The plan with the bucket and the document of each pattern where its rest ends."""
-    # The plan has a row per pattern, at most MAX_PATTERNS; so have the tables below.
-    planned = rows.where("size > 0").join(F.broadcast(plan.where("rest > 0")), "members").withColumn(
+    # The plan has a row per pattern; so have at most the tables below.
+    planned = rows.where("size > 0").join(small(plan.where("rest > 0")), "members").withColumn(
         "bucket", bucket_of(F.col("rank"), F.col("buckets")))
     sums = planned.groupBy("members", "bucket", "rest").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("members").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -230,7 +273,7 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
         sums.withColumn("before", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
         .where("before < rest and rest <= before + bucket_size")
         .select("members", F.col("bucket").alias("edge"), (F.col("rest") - F.col("before")).alias("open")))
-    inside = planned.join(F.broadcast(edge), "members").where("bucket = edge")
+    inside = planned.join(small(edge), "members").where("bucket = edge")
     order = ["rank", "id", "size"]
     upto = Window.partitionBy("members").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     # A document belongs to the rest if at least half of it does.
@@ -239,7 +282,7 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
         .where(F.col("before") + F.col("size") / 2 <= F.col("open"))
         .groupBy("members").agg(F.max(F.struct(*order)).alias("cut")))
     return (
-        plan.join(F.broadcast(edge.select("members", "edge")), "members", "left")
-        .join(F.broadcast(cut), "members", "left")
+        plan.join(small(edge.select("members", "edge")), "members", "left")
+        .join(small(cut), "members", "left")
         .select("members", "whole", "buckets", "edge",
                 *[F.col(f"cut.{c}").alias(f"cut_{c}") for c in order]))

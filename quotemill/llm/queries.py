@@ -103,7 +103,7 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name string, source_size bigint, target double")
     return (
         mix.readings(sized, "readings")
-        .join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name")))
+        .join(mix.small(sources), F.col("source").eqNullSafe(F.col("name")))
         .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("readings")).alias("taken")))
 
 

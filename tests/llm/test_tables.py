@@ -243,6 +243,28 @@ def test_overlapping_sources_fill_both_quotas(spark):
     assert got == pytest.approx(5000, abs=30)
 
 
+def test_flow_of_separate_groups_is_the_flow_of_all():
+    draw = random.Random(15)
+    for _ in range(10):
+        patterns = {key: draw.randint(0, 9) for key in [("a",), ("b",), ("b", "c"), ("c", None), (None,), ("d",), ()]}
+        targets = {name: draw.randint(0, 20) for name in ("a", "b", "c", "d", None)}
+        ours, whole = mixing.routed(patterns, targets), mixing.flowed(patterns, targets)
+        costs = [sum(max(0, given[k] - r * patterns[k]) for k in patterns for r in (1, 2)) for given in (ours, whole)]
+        assert sum(ours.values()) == sum(whole.values()) and costs[0] == costs[1]
+        assert all(ours[key] == whole[key] for key in [("a",), ("d",), ()])
+
+
+def test_mix_of_very_many_sources(spark):
+    n = 20_100
+    docs = spark.range(n * 2).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % n).alias("source"), F.lit(5).alias("size"))
+    mix = mixing.Mix(docs, F.array("source"), F.col("size"), mixing.cycled)
+    assert len(mix.targets) == n
+    got = {r.source: r.n for r in mix.readings(docs, "times").groupBy("source").agg(
+        F.sum(F.col("times") * F.col("size")).alias("n")).collect()}
+    assert len(got) == n and all(abs(got[name] - target) <= 2.5 for name, target in mix.targets.items())
+
+
 def check_mix(rows, n_rows):
     assert len(rows) == n_rows
     by_source = {}
