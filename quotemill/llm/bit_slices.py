@@ -20,8 +20,9 @@ size. Queries are copied to every block and rows to every chunk; no pair of row
 and query leaves a task except the k best of a block, which a second step
 merges.
 
-Vectors that are null, or hold null or non-finite components or components
-beyond 2^26 after quantising, take no part. Rows of equal id and vector count
+Vectors that are null, or hold null or non-finite components, take no part. A
+component that does not fit 64 bits after quantising, or a chosen score that does
+not, is an error; within that, scores are exact whatever their size. Rows of equal id and vector count
 once; a query never meets rows of its own id. Vectors of different lengths are
 compared as if the shorter were filled up with zeros. A query with fewer than k
 candidates gets them all; an empty table gives no rows.
@@ -41,7 +42,8 @@ CHUNK_QUERIES = 8_192
 # Queries a chunk holds at least before it is made smaller for the sake of cores.
 LEAST_QUERIES = 64
 SCALE = 256
-LARGEST = 1 << 26
+# Quantised components fit 64 bits.
+LARGEST = 2.0 ** 63
 
 Slices = list[np.ndarray]
 
@@ -49,16 +51,19 @@ Slices = list[np.ndarray]
 def quantised(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of each component, or null if the vector takes no part."""
     scaled = F.transform(vector, lambda x: F.lit(scale) * x.cast("double"))
-    fits = F.forall(scaled, lambda x: x.isNotNull() & (F.abs(x) < LARGEST) & ~F.isnan(x))
-    return F.when(fits, F.transform(scaled, lambda x: F.floor(x).cast("int")))
+    # Not-a-number is above infinity.
+    finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    fits = F.forall(scaled, lambda x: (x >= -LARGEST) & (x < LARGEST))
+    error = F.raise_error(F.lit("a quantised component does not fit 64 bits")).cast("array<bigint>")
+    return F.when(finite & fits, F.transform(scaled, lambda x: F.floor(x).cast("bigint"))).when(finite, error)
 
 
 def bitmaps(values: np.ndarray, bits: int) -> Slices:
     """Slices of non-negative values, lowest first, rows packed 64 to a word."""
-    padded = np.zeros(-(-len(values) // 64) * 64, dtype=np.int64)
+    padded = np.zeros(-(-len(values) // 64) * 64, dtype=np.uint64)
     padded[:len(values)] = values
     return [
-        np.packbits((padded >> bit & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+        np.packbits((padded >> np.uint64(bit) & np.uint64(1)).astype(np.uint8), bitorder="little").view(np.uint64)
         for bit in range(bits)]
 
 
@@ -102,10 +107,12 @@ class Block:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order].astype(np.int64)
         low, high = (int(self.vectors.min()), int(self.vectors.max())) if vectors.size else (0, 0)
+        self.largest = max(abs(low), abs(high))
         # Values are shifted to start at 0; the shift is the same for all rows.
         self.bits = max(1, (high - low).bit_length())
-        self.slices = [bitmaps(column - low, self.bits) for column in self.vectors.T]
-        self.present = bitmaps(np.ones(len(ids), dtype=np.int64), 1)[0]
+        shifted = self.vectors.view(np.uint64) - np.uint64(low % (1 << 64))
+        self.slices = [bitmaps(column, self.bits) for column in shifted.T]
+        self.present = bitmaps(np.ones(len(ids), dtype=np.uint64), 1)[0]
         self.complements = [[~s & self.present for s in column] for column in self.slices]
 
     def score(self, query: np.ndarray) -> Slices:
@@ -121,6 +128,16 @@ class Block:
                     total = added(total, source[place])
         return total
 
+    def exact(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Scores of some rows, by Python's integers where 64 bits could overflow."""
+        weights = [int(w) for w in query]
+        if self.largest * sum(map(abs, weights)) < 1 << 63:
+            return self.vectors[rows] @ query.astype(np.int64)
+        scores = [sum(x * w for x, w in zip(vector, weights)) for vector in self.vectors[rows].tolist()]
+        if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
+            raise OverflowError("a score does not fit 64 bits")
+        return np.array(scores, dtype=np.int64)
+
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows, ties by smaller id."""
         open_rows = self.present.copy()
@@ -142,8 +159,9 @@ class Block:
                 open_rows = ones
         # Rows are in order of id, so the first of the tied rows are the smaller ids.
         rows = np.concatenate([members(chosen), members(open_rows)[:k - taken]])
-        scores = self.vectors[rows] @ query.astype(np.int64)
-        order = np.lexsort((self.ids[rows], -scores))
+        scores = self.exact(rows, query)
+        # The complement is in reverse order, also of the smallest integer.
+        order = np.lexsort((self.ids[rows], ~scores))
         return self.ids[rows][order], scores[order]
 
 

@@ -121,6 +121,32 @@ def test_top_k_with_ties_nulls_and_lengths(spark, blocks):
     assert len(found) == len(set(found))
 
 
+def test_top_k_keeps_large_components(spark, tmp_path):
+    draw = random.Random(16)
+    sizes = [0.5, 3.0, 262_144.0, -262_144.0, 1e6, -3e5, 1e7]
+    rows = [(k, [draw.choice(sizes) for _ in range(3)]) for k in range(120)]
+    rows += [(200, [2.0 ** 22, 1.0, 0.0]), (201, [-2.0 ** 22, 0.25, 1.0]), (250, [0.0, 1.0, 0.0]), (300, [float("inf")] * 3)]
+    found = bit_slices.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5).collect()
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in found} == brute_top(rows, 5)
+    # The contract's SQL sums in 64 bits and keeps the same vectors.
+    folder = stored(vectors(spark, rows[:120]), tmp_path, "embeddings")
+    against_sql(spark, "op5_top_k", folder, ["embeddings"])
+
+
+def test_scores_are_exact_or_an_error():
+    values = np.array([[2**62, -2**62], [-2**63, 2**63 - 1], [2**62, -2**62 + 1], [5, 3]])
+    block = bit_slices.Block(np.arange(4), values)
+    ids, scores = block.best(9, np.array([1, 1]), 4)
+    assert list(zip(ids.tolist(), scores.tolist())) == [(3, 8), (2, 1), (0, 0), (1, -1)]
+    with pytest.raises(OverflowError):
+        block.best(9, np.array([4, 0]), 1)
+
+
+def test_components_beyond_64_bits_are_an_error(spark):
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        bit_slices.top_k(vectors(spark, [(0, [1e30]), (1, [1.0])]), F.col("vec_id") % 50 == 0, 5).collect()
+
+
 @pytest.mark.parametrize("rows", [[], [(0, [1.0])], [(0, [1.0]), (1, [0.5])], [(k, [0.0, 0.0]) for k in range(101)]])
 def test_top_k_of_few_or_equal_rows(spark, rows):
     found = bit_slices.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5)
