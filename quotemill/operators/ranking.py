@@ -34,10 +34,14 @@ def top_per_group(
     the rows of large groups are numbered piece by piece.
     """
     if k >= SMALL_K:
-        # Pieces order all columns alike, ties ascending.
-        lowest_first = rows.withColumn("_down", -F.col(score))
-        numbered = cut(lowest_first, [group], ["_down", *ties], hot_rows=hot_rows).positions("place")
-        return numbered.rows().where(F.col("place") <= k).drop(PIECE, "_down")
+        # Pieces order all columns alike, ties ascending. Descending scores start
+        # with not-a-number and end with null.
+        value = F.col(score)
+        down = {
+            "_null": value.isNull().cast("int"), "_number": (~F.isnan(value.cast("double"))).cast("int"),
+            "_down": -value}
+        numbered = cut(rows.withColumns(down), [group], [*down, *ties], hot_rows=hot_rows).positions("place")
+        return numbered.rows().where(F.col("place") <= k).drop(PIECE, *down)
     window = Window.partitionBy(group).orderBy(F.col(score).desc(), *ties)
     return rows.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
 

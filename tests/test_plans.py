@@ -112,6 +112,17 @@ def test_large_k_is_numbered_in_pieces(trades):
     assert sorted(map(tuple, places)) == sorted(map(tuple, window.select("symbol", "id", "place").collect()))
 
 
+def test_both_rankings_order_nulls_and_not_a_number_alike(spark):
+    scores = [None, float("nan"), float("inf"), float("-inf"), None, float("nan")] + [float(k % 400) for k in range(1100)]
+    rows = spark.createDataFrame([("A", k, score) for k, score in enumerate(scores)], "name string, id int, score double")
+    window, pieces = (
+        {r.place: r.id for r in ranking.top_per_group(rows, k, "name", "score", ["id"], hot_rows=20).collect()}
+        for k in (999, 1000))
+    assert len(window) == 999 and len(pieces) == 1000
+    assert window == {place: pieces[place] for place in window}
+    assert [pieces[place] for place in (1, 2, 3)] == [1, 5, 2]
+
+
 def test_a_long_gap_fits_no_array(spark):
     rows = spark.createDataFrame(
         [("A", 0, 1.0, 1), ("A", 3_000_000, 2.0, 1), ("B", 7, 1.0, 1)], "symbol string, s bigint, close double, volume int")
