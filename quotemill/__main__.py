@@ -7,10 +7,10 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.operators.gate import wait_until_ready
 from quotemill.session import build_session, storage_from_env
@@ -54,6 +54,11 @@ def source_of(args: argparse.Namespace) -> FileTopics | KafkaTopics:
         min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets)
 
 
+def whole_topic(source: FileTopics | KafkaTopics, spark: SparkSession, topic: str) -> Callable[..., DataFrame]:
+    """Reads all messages at every poll: one that arrives late may carry an old time, or none."""
+    return lambda since: source.read_batch(spark, topic)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = arguments(argv)
     chosen = feed(args.feed)
@@ -67,7 +72,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     else:
         sink = sinks.BatchDirectory(args.directory)
     ready = wait_until_ready(
-        lambda since: source.read_batch(spark, chosen.topic, since=since), chosen,
+        whole_topic(source, spark, chosen.topic), chosen,
         poll_interval=args.poll_interval, poll_timeout=args.poll_timeout)
     if not ready:
         return 1

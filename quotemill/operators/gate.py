@@ -67,9 +67,10 @@ def wait_until_ready(
 ) -> bool:
     """Polls until there is a valid message; false at the timeout.
 
-    ``read`` takes the time from which messages are wanted. A poll starts where
-    the last one ended, less ``OVERLAP``, so a long head of invalid messages is
-    parsed once.
+    ``read`` takes the time from which messages are wanted and may give more. A
+    poll asks from where the last one ended, less ``OVERLAP``; a reader that
+    follows that parses a long head of invalid messages once, but misses a
+    message that arrives later with an older time or none. The job's does not.
     """
     deadline = time.monotonic() + poll_timeout
     since = None

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quotemill.__main__ import main
+from quotemill.__main__ import main, whole_topic
 from quotemill.functions import parsing
 from quotemill.functions.identity import message_id, random_id
 from quotemill.operators import gate
@@ -148,6 +148,23 @@ def test_gate(spark):
         lambda since: messages(spark, ["x"]), TRADES, poll_interval=0.01, poll_timeout=0)
 
 
+@pytest.mark.parametrize("late", [NOW - dt.timedelta(days=1), None])
+def test_a_late_message_with_an_old_time_is_seen(spark, tmp_path, late):
+    path = str(tmp_path / "topic")
+    first = messages(spark, ["x"])
+    first.write.parquet(path)
+    read, polls = whole_topic(FileTopics(path), spark, first.first()["topic"]), []
+
+    def polled(since):
+        polls.append(since)
+        if len(polls) == 2:
+            messages(spark, [good(0)]).withColumn(
+                "timestamp", F.lit(late).cast("timestamp")).write.mode("append").parquet(path)
+        return read(since)
+
+    assert gate.wait_until_ready(polled, TRADES, poll_interval=0.01, poll_timeout=5)
+
+
 def test_feeds():
     assert feed("trades").full_table == "finance.stock_trade"
     assert feed("bars").full_table == "finance.stock_data"
