@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import bit_slices, bpe, cascade, licenses, line_dedup, mixing, near_dups, pii, quality, token_counts
+from quotemill.llm import (
+    bit_slices, bpe, cascade, licenses, line_dedup, merkle, mixing, near_dups, pii, quality, token_counts)
 from quotemill.llm.common import documents, labels, ship_package, words_of
 from quotemill.llm.sql import SQL  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 TOP = 5
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +135,17 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; a fifth of them is received in lower case."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*merkle.FIELDS)
+    lowered = F.translate("text", UPPER, UPPER.lower())
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(docs, seen={"text": lowered}, when=tampered)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_license_scan": op2_license_scan,
@@ -144,4 +157,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_merkle": op11_merkle,
 }

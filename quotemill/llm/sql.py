@@ -160,10 +160,83 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM least_id LEFT JOIN sizes USING (doc_id)
 """
 
+# CRC-32 (polynomial 0xEDB88320, fixed value) of a decimal number's text.
+CRC32 = """xor(4294967295, list_reduce(
+  list_transform(range(1, length({0}) + 1), lambda i: CAST(ascii(substr({0}, i, 1)) AS BIGINT)),
+  lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+    lambda c, bit: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)), 4294967295))"""
+
+
+def merkle(levels: int) -> str:
+    """The manifest's SQL for trees of at most 16^``levels`` leaves, and as many trees.
+
+    Two towers of levels: ``l`` over the leaves of each source, ``r`` over the
+    subroots. A single node passes a level unchanged.
+    """
+    fields = " || ".join(
+        f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR), '-')"
+        for name in ("doc_id", "source", "lang", "n_chars", "{text}"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+leaves AS MATERIALIZED (
+  SELECT *, CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 5 = 0
+    THEN sha256({fields.format(text=lowered)}) ELSE leaf END AS seen
+  FROM (SELECT *, sha256({fields.format(text="text")}) AS leaf, coalesce('1' || source, '0') AS tree FROM documents)
+), l0 AS MATERIALIZED (
+  SELECT doc_id, leaf, tree, seen, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    leaf AS hash FROM leaves
+)"""]
+
+    def tower(name: str) -> None:
+        for k in range(levels):
+            parts.append(f"""
+{name}k{k} AS MATERIALIZED (
+  SELECT tree, pos // 16 AS run, list(hash ORDER BY pos) AS kids FROM {name}{k} GROUP BY tree, pos // 16
+), {name}s{k} AS MATERIALIZED (SELECT tree, count(*) AS size FROM {name}{k} GROUP BY tree
+), {name}{k + 1} AS MATERIALIZED (
+  SELECT tree, run AS pos, CASE WHEN size > 1 THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS hash
+  FROM {name}k{k} JOIN {name}s{k} USING (tree)
+)""")
+
+    def climbed(rows: str, name: str) -> str:
+        for k in range(levels):
+            parts.append(f"""
+{rows}{k + 1} AS MATERIALIZED (
+  SELECT c.* EXCLUDE (pos, node, proof), pos // 16 AS pos,
+    CASE WHEN size > 1 THEN sha256(array_to_string(kids[:pos % 16], '') || node || array_to_string(kids[pos % 16 + 2:], ''))
+      ELSE node END AS node,
+    proof || CASE WHEN size > 1 THEN array_to_string(kids[:pos % 16], '') || array_to_string(kids[pos % 16 + 2:], '')
+      ELSE '' END AS proof
+  FROM {rows}{k} c JOIN {name}k{k} p ON p.tree = c.tree AND p.run = c.pos // 16 JOIN {name}s{k} s ON s.tree = c.tree
+)""")
+        return f"{rows}{levels}"
+
+    tower("l")
+    parts.append(f"""
+r0 AS MATERIALIZED (
+  SELECT 0 AS tree, tree AS name, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, hash FROM l{levels}
+)""")
+    tower("r")
+    parts.append("a0 AS (SELECT doc_id, leaf, tree, pos, seen AS node, '' AS proof FROM l0)")
+    below = climbed("a", "l")
+    parts.append(f"""
+b0 AS (
+  SELECT c.doc_id, c.leaf, s.hash AS subroot, 0 AS tree, s.pos, c.node, c.proof
+  FROM {below} c JOIN r0 s ON s.name = c.tree
+)""")
+    last = climbed("b", "r")
+    return f"""
+WITH {",".join(parts)}
+SELECT doc_id, leaf, subroot, r.hash AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = r.hash AS verified
+FROM {last} CROSS JOIN r{levels} r
+"""
+
+
 SQL: dict[str, str] = {
     "op4_line_spread": LINE_SPREAD,
     "op5_top_k": TOP_K,
     "op6_rule_cascade": RULE_CASCADE,
     "op7_source_mix": SOURCE_MIX,
     "op8_near_duplicates": NEAR_DUPLICATES,
+    "op11_merkle": merkle(6),
 }
