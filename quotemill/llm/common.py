@@ -84,7 +84,10 @@ def mapped_texts(
     Like ``per_value`` for results about as large as the texts: they leave a
     task in small batches, so it holds few of them at a time.
     """
-    schema = T.StructType([*df.select(*keep).schema.fields, *fields.fields])
+    # Names of our own on the way: a dot in a name would be taken for a field.
+    chosen = df.select(
+        F.col(f"`{text}`").alias("__value"), *[F.col(f"`{name}`").alias(f"__{k}") for k, name in enumerate(keep)])
+    schema = T.StructType([*chosen.schema.fields[1:], *fields.fields])
     kind = to_arrow_schema(schema)
     shape = to_arrow_type(fields)
 
@@ -105,7 +108,7 @@ def mapped_texts(
         del work
         give_back()
 
-    return df.select(F.col(text).alias("__value"), *keep).mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema).toDF(*keep, *fields.names)
 
 
 def words_of(text: Column) -> Column:

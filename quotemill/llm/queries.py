@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,12 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.llm import (
-    bit_slices, bpe, cascade, licenses, line_dedup, merkle, mixing, near_dups, pii, quality, token_counts)
+    bit_slices, bpe, cascade, licenses, line_dedup, merkle, mixing, near_dups, packing,
+    periodic, pii, quality, token_counts)
 from quotemill.llm.common import documents, labels, ship_package, words_of
 from quotemill.llm.sql import SQL  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+# Its words end at blanks, which it drops.
+WORD_TOKENIZER = "word_bpe_49k.json"
+END_TOKEN = 2
 TOP = 5
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -146,6 +151,47 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root", "verified")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 4096 tokens, similar ones together."""
+    found = packing.corpus(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), END_TOKEN, by_word=True)
+    return packing.pack(found).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which is made to repeat from some word on."""
+
+    def looped(number: object, words: list[bytes]) -> list[bytes]:
+        mark = 1 if number is None else zlib.crc32(str(number).encode())
+        if mark % 10 or not words:
+            return words
+        seed = mark // 10
+        start = seed % len(words)
+        period = 1 + (len(words) - start) // (3 + seed % 8)
+        return words[:start] + [words[start + k % period] for k in range(len(words) - start)]
+
+    found = periodic.collapsed(documents(spark, sf_dir), change=looped)
+
+    def better(a: Column, b: Column) -> Column:
+        """Order of two runs: the greater length by period, then the smaller start and period."""
+        gain = b["length"] * a["period"] - a["length"] * b["period"]
+        by_place = F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(
+            F.signum(a["period"] - b["period"]))
+        return F.when(gain != 0, F.signum(gain)).otherwise(by_place).cast("int")
+
+    best = F.get(F.array_sort("runs", better), F.lit(0))
+    line = F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_license_scan": op2_license_scan,
@@ -158,4 +204,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
     "op11_merkle": op11_merkle,
+    "op12_packing": op12_packing,
+    "op13_runs": op13_runs,
 }

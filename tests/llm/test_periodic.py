@@ -1,0 +1,138 @@
+"""Periodic runs against trying every period, and the query's digests."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from llm.helpers import ODD_TEXTS, frame, stored, words
+from quotemill.llm import periodic
+from quotemill.llm.queries import QUERIES
+
+
+def every_period(found, shortest=24):
+    """Runs by comparing each word with the one a period later, for all periods."""
+    least = {}
+    for period in range(1, len(found) // 3 + 1):
+        start = 0
+        while start + period < len(found):
+            end = start
+            while end + period < len(found) and found[end] == found[end + period]:
+                end += 1
+            length = end - start + period
+            if end > start and length >= max(shortest, 3 * period):
+                least.setdefault((start, length), period)
+            start = end + 1
+    return sorted(((s, n, p) for (s, n), p in least.items()), key=lambda run: (run[0], run[2]))
+
+
+def looping_texts(draw, count):
+    out = []
+    for _ in range(count):
+        kinds = draw.choice([1, 2, 3, 6])
+        text = [b"%d" % draw.randrange(kinds) for _ in range(draw.randint(0, 90))]
+        for _ in range(draw.randint(0, 3)):
+            period = draw.randint(1, 11)
+            unit = [b"%d" % draw.randrange(kinds) for _ in range(period)]
+            place = draw.randint(0, len(text))
+            text[place:place] = (unit * 20)[:draw.randint(period, 9 * period)]
+        if draw.random() < 0.3:
+            text = text + [b"z"] + text * draw.randint(1, 4)
+        out.append(text)
+    return out
+
+
+@pytest.mark.parametrize("shortest", [3, 7, 24, 40])
+def test_runs_equal_trying_every_period(shortest):
+    texts = looping_texts(random.Random(shortest), 400)
+    found = periodic.find_runs(texts, shortest)
+    assert found == [every_period(text, shortest) for text in texts]
+    assert sum(map(len, found)) > 100
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=60), max_size=4))
+def test_runs_of_any_texts(texts):
+    assert periodic.find_runs(texts, 6) == [every_period(text, 6) for text in texts]
+
+
+def test_a_shared_passage_and_long_texts():
+    # The same line over and over with another word each time, and two texts of one period.
+    passage = [b"p%d" % k for k in range(20)]
+    lines = [word for k in range(1500) for word in [b"n%d" % k, *passage]]
+    whole = [b"w%d" % (k % 7) for k in range(100_000)]
+    found = periodic.find_runs([lines, whole, whole[:23], [b"x"] * 24])
+    assert found == [[], [(0, 100_000, 7)], [], [(0, 24, 1)]]
+
+
+def test_runs_meet_across_each_other():
+    # Three runs of period 2 inside one of period 41, exactly three periods long.
+    text = ([b"a", b"b"] * 20 + [b"c"]) * 3
+    assert periodic.find_runs([text]) == [every_period(text)]
+    assert periodic.find_runs([text]) == [[(0, 40, 2), (0, 123, 41), (41, 40, 2), (82, 40, 2)]]
+
+
+def looped(number, found):
+    mark = zlib.crc32(str(number).encode())
+    if number is None or mark % 10 or not found:
+        return found
+    seed, n = mark // 10, len(found)
+    a = seed % n
+    p = 1 + (n - a) // (3 + seed % 8)
+    return [found[i] if i < a else found[a + (i - a) % p] for i in range(n)]
+
+
+def expected(rows):
+    out = []
+    for row in rows:
+        text = looped(row.doc_id, words(row.text))
+        runs = every_period(text)
+        stays = [not any(s + p <= k < s + n for s, n, p in runs) for k in range(len(text))]
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None,) * 3)
+        listed = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+        rest = " ".join(word for word, stay in zip(text, stays) if stay)
+        out.append((
+            row.doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(rest.encode()).hexdigest()))
+    return Counter(out)
+
+
+def found(spark, folder):
+    df = QUERIES["op13_runs"](spark, str(folder))
+    assert [kind for _, kind in df.dtypes] == ["bigint"] * 6 + ["string"] * 2
+    return Counter(tuple(row) for row in df.collect())
+
+
+def test_query_on_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = docs.where("n_chars < 6000")
+    ours = Counter({row: n for row, n in found(spark, sf_dir).items()})
+    theirs = expected(short.collect())
+    assert not theirs - ours
+    assert sum(row[1] > 0 for row in theirs) > 5
+
+
+def test_query_on_odd_and_repeated_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(periodic, "HELD_WORDS", 50)
+    draw = random.Random(3)
+    texts = ODD_TEXTS + [b" ".join(text).decode() for text in looping_texts(draw, 150)]
+    texts += ["tick\ttock\n" * 15] * 5 + ["é ß " * 30 + "\x1c\x85"]
+    ids = [draw.choice([None, k, k % 9]) for k in range(len(texts))]
+    docs = frame(spark, texts, ids=ids).withColumns({
+        "runs": F.lit(1), "collapsed": F.lit("x"), "start": F.lit(0), "a.b": F.lit(2)})
+    stored(docs, tmp_path)
+    assert found(spark, tmp_path) == expected(docs.collect())
+
+
+def test_other_columns_pass(spark):
+    df = spark.createDataFrame([("k", "a b " * 20, 1), (None, None, 2)], "`key.x` string, body string, runs int")
+    out = periodic.collapsed(df.withColumnRenamed("runs", "own"), id_col="key.x", text_col="body", keep=["own"]).collect()
+    assert [tuple(r) for r in out] == [("k", 1, 40, [(0, 40, 2)], "a b"), (None, 2, 0, [], "")]
+    with pytest.raises(ValueError):
+        periodic.collapsed(df, id_col="key.x", text_col="body", shortest=2)
