@@ -25,20 +25,20 @@ where a sequence ends. An empty table gives no pieces. Other columns stay out.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
-from tokenizers import Tokenizer
 
-from quotemill.llm.common import give_back, mapped_texts
+from quotemill.llm.common import give_back
+from quotemill.llm.word_ids import WholeTexts, Words, library, width_of
 from quotemill.session import scratch_path
 
 SEQUENCE = 4096
@@ -47,8 +47,8 @@ SHARD_TOKENS = 1 << 19
 # BM25: how soon repeats of a term saturate, and how much length counts (usual values).
 SATURATION = 1.2
 LENGTH_SHARE = 0.75
-# Words whose ids a task remembers.
-KEPT_WORDS = 1 << 18
+# Bytes of texts a task encodes at a time, or one text if that is longer.
+HELD_BYTES = 1 << 25
 
 PIECES = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -56,53 +56,6 @@ PIECES = T.StructType([
     T.StructField("offset", T.LongType()), T.StructField("ids", T.BinaryType())])
 
 
-def library(spelled: str) -> Tokenizer:
-    """The tokenizer of a file's text, without truncation and padding."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    made = Tokenizer.from_str(spelled)
-    made.no_truncation()
-    made.no_padding()
-    return made
-
-
-class WordEncoder:
-    """Ids of texts under a tokenizer that drops blanks, so that words encode alone.
-
-    Words are parted at space and the control characters 9 to 13; a word with
-    any other kind of blank in it goes to the library as it is.
-    """
-
-    def __init__(self, tokenizer: Tokenizer, width: str):
-        self.tokenizer = tokenizer
-        self.width = width
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        fresh = [word for word in dict.fromkeys(words) if word not in self.known]
-        if len(self.known) + len(fresh) > KEPT_WORDS:
-            self.known.clear()
-            fresh = list(dict.fromkeys(words))
-        coded = self.tokenizer.encode_batch_fast([word.decode() for word in fresh], add_special_tokens=False)
-        for word, code in zip(fresh, coded):
-            self.known[word] = np.array(code.ids, dtype=self.width).tobytes()
-
-    def __call__(self, text: str | None) -> bytes:
-        words = (text or "").encode().split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.known.__getitem__, words))
-
-
-def whole_texts(tokenizer: Tokenizer, width: str) -> Callable[[str | None], bytes]:
-    """Ids of texts under any tokenizer, text by text."""
-    def one(text: str | None) -> bytes:
-        (code,) = tokenizer.encode_batch_fast([text or ""], add_special_tokens=False)
-        return np.array(code.ids, dtype=width).tobytes()
-    return one
-
-
 @dataclass(frozen=True)
 class Corpus:
     """Token ids of all documents, in the shared folder, and counts over them."""
@@ -120,45 +73,77 @@ class Corpus:
         return np.log1p((self.documents - self.holders + 0.5) / (self.holders + 0.5))
 
 
-def width_of(vocabulary: int) -> str:
-    return "<u2" if vocabulary <= 1 << 16 else "<u4"
-
-
 def corpus(
     docs: DataFrame, tokenizer: str, end: int, *, id_col: str = "doc_id", text_col: str = "text",
     by_word: bool = False,
 ) -> Corpus:
     """Encodes the documents, each closed by the token ``end``, and counts their terms.
 
-    ``by_word`` states that the tokenizer cuts at blanks and drops them.
+    ``by_word`` states that the tokenizer is of the kind ``word_ids`` describes.
     """
     spark = docs.sparkSession
     spelled = Path(tokenizer).read_text(encoding="utf-8")
     size = max(library(spelled).get_vocab_size(), end + 1)
     width = width_of(size)
     shared = spark.sparkContext.broadcast(spelled)
-    close = np.array([end], dtype=width).tobytes()
-
-    def make() -> Callable[[str | None], dict]:
-        made = library(shared.value)
-        encode = WordEncoder(made, width) if by_word else whole_texts(made, width)
-        return lambda text: {"ids": encode(text) + close}
-
     # Equal rows get numbers of their own, kept with the table.
     chosen = docs.select(
         F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("id"),
         F.monotonically_increasing_id().alias("row"))
+    schema = T.StructType([*chosen.schema.fields[1:], T.StructField("ids", T.BinaryType())])
+    shape = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = library(shared.value)
+        encode = (Words if by_word else WholeTexts)(made, width)
+        close = np.array([end], dtype=width).tobytes()
+        for batch in batches:
+            column = batch.column(0)
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            # Parts of about as many bytes, so that results do not pile up beside their texts.
+            parts = np.cumsum(sizes, dtype=np.int64) // HELD_BYTES
+            for part in np.split(np.arange(len(column)), np.flatnonzero(np.diff(parts)) + 1):
+                if not len(part):
+                    continue
+                texts = [text or "" for text in column.slice(part[0], len(part)).to_pylist()]
+                ids = pa.array([found + close for found in encode(texts)], pa.binary())
+                kept = [c.slice(part[0], len(part)) for c in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays([*kept, ids], schema=shape)
+        give_back()
+
     path = scratch_path(spark, "tokens")
-    mapped_texts(chosen, "text", ["id", "row"], make, T.StructType([T.StructField("ids", T.BinaryType())])) \
-        .write.option("compression", "zstd").parquet(path)
+    chosen.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     tokens = spark.read.parquet(path)
     holders, documents, terms = counted(tokens, width, size)
     return Corpus(tokens, width, holders, documents, terms / documents if documents else 0.0)
 
 
-def terms_of(ids: pa.Scalar, width: str) -> np.ndarray:
-    """A document's ids without the closing one."""
-    return np.frombuffer(ids.as_buffer(), dtype=width)[:-1]
+def flat(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of documents, and where each document starts and the last one ends."""
+    size = np.dtype(width).itemsize
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset:column.offset + len(column) + 1]
+    ids = np.frombuffer(column.buffers()[2], dtype=width, count=offsets[-1] // size)
+    return ids[offsets[0] // size:], (offsets - offsets[0]) // size
+
+
+def postings(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's different terms and how often it has them, by term and then document.
+
+    The closing token of a document is no term. Both sorts of short integers are
+    linear in the ids.
+    """
+    lengths = np.diff(bounds) - 1
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    inside = np.ones(len(ids), dtype=bool)
+    inside[bounds[1:] - 1] = False
+    terms = ids[inside]
+    order = np.argsort(terms, kind="stable")
+    terms, owner = terms[order], owner[order]
+    fresh = np.ones(len(terms), dtype=bool)
+    fresh[1:] = (terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1])
+    starts = np.flatnonzero(fresh)
+    return terms[starts], owner[starts], np.diff(np.append(starts, len(terms)))
 
 
 def counted(tokens: DataFrame, width: str, size: int) -> tuple[np.ndarray, int, int]:
@@ -167,11 +152,11 @@ def counted(tokens: DataFrame, width: str, size: int) -> tuple[np.ndarray, int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(size + 2, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                terms = terms_of(ids, width)
-                found[np.unique(terms)] += 1
-                found[size] += 1
-                found[size + 1] += len(terms)
+            ids, bounds = flat(batch.column(0), width)
+            terms, _, _ = postings(ids, bounds)
+            found[:size] += np.bincount(terms, minlength=size)
+            found[size] += batch.num_rows
+            found[size + 1] += len(ids) - batch.num_rows
         present = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(present), pa.array(found[present])], names=["term", "n"])
 
@@ -187,26 +172,26 @@ def counted(tokens: DataFrame, width: str, size: int) -> tuple[np.ndarray, int,
 def keyed(found: Corpus) -> DataFrame:
     """The token table with each document's key: its rarest term in two documents or more, or -1."""
     spark = found.tokens.sparkSession
-    rarity = found.holders.astype(np.float64)
-    rarity[rarity < 2] = np.inf
-    shared = spark.sparkContext.broadcast(rarity)
+    shared_by = np.flatnonzero(found.holders >= 2)
+    rarest = shared_by[np.argsort(found.holders[shared_by], kind="stable")]
+    # A term's place among them; terms of one document, and none, come last.
+    place = np.full(len(found.holders), len(rarest), dtype=np.int32)
+    place[rarest] = np.arange(len(rarest), dtype=np.int32)
+    shared = spark.sparkContext.broadcast((place, np.append(rarest, -1)))
     width = found.width
     schema = T.StructType([
         *found.tokens.schema.fields, T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
     shape = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = shared.value
+        place, term = shared.value
         for batch in batches:
-            keys, sizes = [], []
-            for ids in batch.column("ids"):
-                terms = terms_of(ids, width)
-                scores = rarity[terms]
-                best = scores.min(initial=np.inf)
-                keys.append(int(terms[scores == best].min()) if best < np.inf else -1)
-                sizes.append(len(terms) + 1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], schema=shape)
+            ids, bounds = flat(batch.column("ids"), width)
+            places = place[ids]
+            places[bounds[1:] - 1] = len(term) - 1
+            least = np.minimum.reduceat(places, bounds[:-1]) if batch.num_rows else places
+            columns = [pa.array(term[least], pa.int64()), pa.array(np.diff(bounds).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema=shape)
 
     return found.tokens.mapInArrow(run, schema)
 
@@ -236,21 +221,18 @@ class Index:
     """BM25 inverted index of one shard's documents."""
 
     def __init__(self, documents: list[np.ndarray], weights: np.ndarray, mean: float):
-        size = len(weights)
-        lengths = np.array([len(ids) - 1 for ids in documents])
-        owner = np.repeat(np.arange(len(documents), dtype=np.int64), lengths)
-        terms = np.concatenate([ids[:-1] for ids in documents])
-        pairs, times = np.unique(owner * size + terms, return_counts=True)
-        owner, terms = pairs // size, pairs % size
-        drag = SATURATION * (1 - LENGTH_SHARE + LENGTH_SHARE * lengths / max(mean, 1.0))
-        impact = weights[terms] * times * (SATURATION + 1) / (times + drag[owner])
+        bounds = np.cumsum([0, *map(len, documents)])
+        terms, self.holders, times = postings(np.concatenate(documents), bounds)
         self.count = len(documents)
-        # A document's terms, by their place in the lists below.
-        self.firsts = np.searchsorted(owner, np.arange(len(documents) + 1))
-        kinds, self.terms = np.unique(terms, return_inverse=True)
-        order = np.argsort(self.terms, kind="stable")
-        self.holders, self.impact = owner[order], impact[order]
-        self.starts = np.searchsorted(self.terms[order], np.arange(len(kinds) + 1))
+        drag = SATURATION * (1 - LENGTH_SHARE + LENGTH_SHARE * (np.diff(bounds) - 1) / max(mean, 1.0))
+        self.impact = weights[terms] * times * (SATURATION + 1) / (times + drag[self.holders])
+        fresh = np.ones(len(terms), dtype=bool)
+        fresh[1:] = terms[1:] != terms[:-1]
+        self.starts = np.append(np.flatnonzero(fresh), len(terms))
+        # A document's terms, by their place in the lists.
+        order = np.argsort(self.holders, kind="stable")
+        self.terms = (np.cumsum(fresh) - 1)[order]
+        self.firsts = np.searchsorted(self.holders[order], np.arange(len(documents) + 1))
 
     def ranked(self, document: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with a document, best first."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm.helpers import ODD_TEXTS, frame, stored
-from quotemill.llm import packing
+from quotemill.llm import packing, word_ids
 from quotemill.llm.queries import QUERIES
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -71,7 +71,7 @@ def test_query_on_the_documents(spark, sf_dir, library):
 
 
 def test_words_encode_alone_and_odd_rows(spark, tmp_path, monkeypatch, library):
-    monkeypatch.setattr(packing, "KEPT_WORDS", 40)
+    monkeypatch.setattr(packing, "HELD_BYTES", 900)
     # Every code point beside a blank, between letters and after another of its kind.
     every = [chr(k) for k in range(0x3000) if not 0xD800 <= k < 0xE000]
     texts = ODD + ["".join(f" {c}a{c}{c} " for c in every[k:k + 256]) for k in range(0, len(every), 256)]
@@ -80,6 +80,23 @@ def test_words_encode_alone_and_odd_rows(spark, tmp_path, monkeypatch, library):
     check_pieces(rows, dict(enumerate(texts)), library)
 
 
+def test_plain_texts_encode_as_the_library_does(library):
+    draw = random.Random(13)
+    signs = [chr(k) for k in [*range(9, 14), *range(32, 127), *range(0xA1, 0x100)]]
+    texts = [f"{a}{b}a {a}'{b}" for a in signs for b in draw.sample(signs, 12)]
+    for size in (1, 3, 8, 30, 200):
+        texts += ["".join(draw.choices(signs, k=size)) for _ in range(300)]
+        texts += ["".join(draw.choices("aeEéÉßs't 1.,-\n", k=size)) for _ in range(300)]
+    assert all(word_ids.PLAIN.fullmatch(text) for text in texts)
+    encode = word_ids.Words(word_ids.library(open(WORDS, encoding="utf-8").read()), "<u2")
+    found = encode([*texts, "", "  ", "x<|endoftext|>", "日"])
+    expected = [library.encode(text, add_special_tokens=False).ids for text in [*texts, "", "  ", "x<|endoftext|>", "日"]]
+    assert [list(np.frombuffer(ids, "<u2")) for ids in found] == expected
+    assert encode([]) == [] and encode(["", ""]) == [b"", b""]
+    with pytest.raises(ValueError):
+        word_ids.Words(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), "<u2")
+
+
 def test_null_ids_repeated_rows_and_no_rows(spark, tmp_path):
     docs = frame(spark, ["same words here"] * 50 + [None] * 30, ids=[None] * 80)
     rows = QUERIES["op12_packing"](spark, stored(docs, tmp_path)).collect()
