@@ -7,13 +7,13 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from quotemill.operators.gate import wait_until_ready
-from quotemill.session import build_session, storage_from_env
+from quotemill.operators.gate import wait_on_stream
+from quotemill.session import build_session, scratch_path, storage_from_env
 from quotemill.sources.feeds import DATABASE, FEEDS, feed
 from quotemill.sources.topics import FileTopics, KafkaTopics
 from quotemill.streaming import sinks
@@ -38,6 +38,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     target.add_argument("--directory", help="write batch directories here")
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--quarantine", help="folder for messages that fail the checks")
+    parser.add_argument("--quality", help="folder for quality counts of every batch")
     parser.add_argument("--continuous", action="store_true", help="keep running")
     parser.add_argument("--interval", help="pace of micro-batches, such as '1 minute'")
     parser.add_argument("--poll-interval", type=float, default=5, help="seconds between looks at the topic")
@@ -54,11 +55,6 @@ def source_of(args: argparse.Namespace) -> FileTopics | KafkaTopics:
         min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets)
 
 
-def whole_topic(source: FileTopics | KafkaTopics, spark: SparkSession, topic: str) -> Callable[..., DataFrame]:
-    """Reads all messages at every poll: one that arrives late may carry an old time, or none."""
-    return lambda since: source.read_batch(spark, topic)
-
-
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = arguments(argv)
     chosen = feed(args.feed)
@@ -71,14 +67,15 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         sink = sinks.create_keyed(spark, chosen, args.database)
     else:
         sink = sinks.BatchDirectory(args.directory)
-    ready = wait_until_ready(
-        whole_topic(source, spark, chosen.topic), chosen,
+    ready = wait_on_stream(
+        lambda: source.read_stream(spark, chosen.topic), chosen, scratch_path(spark, f"ready-{chosen.name}"),
         poll_interval=args.poll_interval, poll_timeout=args.poll_timeout)
     if not ready:
         return 1
     run(ingest(
         source.read_stream(spark, chosen.topic), chosen, sink, args.checkpoint,
         quarantine=sinks.BatchDirectory(args.quarantine) if args.quarantine else None,
+        quality=sinks.BatchDirectory(args.quality) if args.quality else None,
         interval=args.interval, continuous=args.continuous, explain=args.explain))
     return 0
 

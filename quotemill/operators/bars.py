@@ -20,6 +20,20 @@ def known(amount: Column | str) -> Column:
     return F.when(~F.isnan(column), column)
 
 
+def bar_values(ties: Sequence[str] = ("id",)) -> list[Column]:
+    """What a bar holds of its trades, as aggregates."""
+    price = known("last_price")
+    place = F.when(price.isNotNull(), F.struct("datetime", *ties))
+    return [
+        F.min_by(price, place).alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, place).alias("close"),
+        F.sum(F.col("volume").cast("bigint")).alias("volume"),
+        F.count(F.lit(1)).alias("trades"),
+    ]
+
+
 def ohlcv(
     trades: DataFrame,
     width: str,
@@ -31,18 +45,9 @@ def ohlcv(
     Windows include their start and exclude their end. Trades of equal time
     are ordered by ``ties``. Trades without a price count, but set none.
     """
-    price = known("last_price")
-    place = F.when(price.isNotNull(), F.struct("datetime", *ties))
     return (
         trades.groupBy("symbol", F.window("datetime", width).alias("bar"))
-        .agg(
-            F.min_by(price, place).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, place).alias("close"),
-            F.sum(F.col("volume").cast("bigint")).alias("volume"),
-            F.count(F.lit(1)).alias("trades"),
-        )
+        .agg(*bar_values(ties))
         .select("symbol", F.col("bar.start").alias("datetime"),
                 "open", "high", "low", "close", "volume", "trades")
     )

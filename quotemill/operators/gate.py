@@ -85,3 +85,34 @@ def wait_until_ready(
         if time.monotonic() + poll_interval > deadline:
             return False
         time.sleep(poll_interval)
+
+
+def wait_on_stream(
+    read: Callable[[], DataFrame], feed: Feed, checkpoint_location: str, *,
+    poll_interval: float = 5, poll_timeout: float = 360,
+) -> bool:
+    """Polls a topic until there is a valid message; false at the timeout.
+
+    ``read`` gives the topic as a stream. A poll is a run of it over the
+    messages there are; the checkpoint carries the offsets (of files, the list
+    of those seen) from poll to poll, so every message is parsed once, whenever
+    it arrives and whatever time it bears. A new checkpoint looks at the whole
+    topic. Messages after the first valid batch are left unread.
+    """
+    found = []
+
+    def look(batch: DataFrame, batch_id: int) -> None:
+        if not found and not valid_messages(batch, feed).isEmpty():
+            found.append(batch_id)
+
+    deadline = time.monotonic() + poll_timeout
+    while True:
+        query = (
+            read().writeStream.foreachBatch(look).option("checkpointLocation", checkpoint_location)
+            .queryName(f"ready-{feed.name}").trigger(availableNow=True).start())
+        query.awaitTermination()
+        if found:
+            return True
+        if time.monotonic() + poll_interval > deadline:
+            return False
+        time.sleep(poll_interval)

@@ -70,6 +70,63 @@ def touched(bars: DataFrame, width: str, values: Sequence[str]) -> DataFrame:
         F.explode(both).alias("_bucket"))
 
 
+def width_of(level: Column) -> Column:
+    """Units in a block of a level."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+
+
+def cover(first: Column, end: Column, top: int) -> Column:
+    """Aligned blocks of 2^level units that make up ``[first, end)``, at most two a level up to ``top``.
+
+    A level gives its first block if that is odd and its last if it is even,
+    counted among those that fit; pairs of others are a block of the next level.
+    """
+    def blocks(level: Column) -> Column:
+        size = width_of(level)
+        low, high = -F.floor(-first / size), F.floor(end / size)
+        some = low < high
+        return F.array(
+            F.when(some & (F.pmod(low, F.lit(2)) == 1), F.struct(level.alias("level"), low.alias("block"))),
+            F.when(some & (F.pmod(high, F.lit(2)) == 1), F.struct(level.alias("level"), (high - 1).alias("block"))))
+
+    found = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(top)), blocks))
+    return F.filter(found, lambda block: block.isNotNull())
+
+
+def to_any_bar(
+    trades: DataFrame, bars: DataFrame, unit: str, *, end: str = "bar_end", values: Sequence[str] = ("open", "close"),
+) -> DataFrame:
+    """Each trade with all bars ``[datetime, end)`` that contain it, whatever their lengths.
+
+    Time is cut into blocks of 1, 2, 4, ... units. A bar stands once for each
+    block of its cover, about twice the logarithm of its length, and a trade
+    once for each level that any bar uses, so the join is an equality, and with
+    bars on the unit's grid every match is a result. Ends off the grid are
+    rounded outwards and tested. Bars without a start, an end or a length
+    contain nothing.
+    """
+    step = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {unit})")
+    start, stop = F.unix_micros("datetime"), F.unix_micros(end)
+    table = bars.where(F.col("datetime") < F.col(end)).select(
+        "symbol", F.col("datetime").alias("bar_start"), F.col(end).alias("bar_end"),
+        *[F.col(v).alias(f"bar_{v}") for v in values],
+        F.floor(start / step).alias("_first"), (-F.floor(-stop / step)).alias("_end"))
+    longest = table.agg(F.max(F.col("_end") - F.col("_first"))).first()[0] or 1
+    top = int(longest).bit_length()
+    covered = table.withColumn("_cover", F.explode(cover(F.col("_first"), F.col("_end"), top))).select(
+        "*", "_cover.level", "_cover.block").drop("_cover", "_first", "_end")
+    # At most one row per level, some forty.
+    levels = sorted(row["level"] for row in covered.select("level").distinct().collect())
+    placed = trades.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumn(
+        "block", F.floor(F.floor(F.unix_micros("datetime") / step) / width_of(F.col("level"))))
+    inside = (
+        (F.col("t.symbol") == F.col("b.symbol")) & (F.col("t.level") == F.col("b.level"))
+        & (F.col("t.block") == F.col("b.block"))
+        & (F.col("t.datetime") >= F.col("b.bar_start")) & (F.col("t.datetime") < F.col("b.bar_end")))
+    return placed.alias("t").join(covered.alias("b"), inside).select(
+        *[f"t.{c}" for c in trades.columns], "b.bar_start", "b.bar_end", *[f"b.bar_{v}" for v in values])
+
+
 def reconcile(
     ours: DataFrame, theirs: DataFrame, *,
     values: Sequence[str] = ("open", "high", "low", "close", "volume"),

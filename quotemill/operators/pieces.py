@@ -25,11 +25,27 @@ HOT_ROWS = 5_000_000
 
 PIECE = "_piece"
 
+
+def composed(name: str, earlier: WindowSpec) -> Column:
+    """Affine maps ``x -> a x + b`` of the earlier pieces, applied one after another.
+
+    Two maps compose to a third, so a recurrence is a scan whose parts may be
+    taken apart anywhere. There is one map per piece.
+    """
+    none = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    maps = F.collect_list(name).over(earlier)
+    return F.when(F.size(maps) > 0, F.aggregate(maps, none, lambda done, step: F.struct(
+        (step["a"] * done["a"]).alias("a"), (step["a"] * done["b"] + step["b"]).alias("b"))))
+
+
+# How values of a key's earlier pieces become one.
 FOLDS = {
-    "sum": F.sum,
-    "max": F.max,
-    "product": F.product,
-    "last": lambda c: F.last(c, ignorenulls=True),
+    "sum": lambda name, earlier: F.sum(name).over(earlier),
+    "max": lambda name, earlier: F.max(name).over(earlier),
+    "product": lambda name, earlier: F.product(name).over(earlier),
+    "first": lambda name, earlier: F.first(name, ignorenulls=True).over(earlier),
+    "last": lambda name, earlier: F.last(name, ignorenulls=True).over(earlier),
+    "affine": composed,
 }
 
 
@@ -108,8 +124,8 @@ class Pieces:
         """Adds values folded over the earlier pieces of the same key.
 
         Each ``name=(aggregate, fold)`` adds a column. ``aggregate`` is computed
-        per piece and ``fold`` is one of sum, max, product, last. The column
-        is null in a key's first piece.
+        per piece and ``fold`` is one of ``FOLDS``. The column is null in a
+        key's first piece.
         """
         kinds = self.plain.select(*[agg.alias(name) for name, (agg, _) in before.items()]).schema
         plain = self.plain.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in kinds])
@@ -121,7 +137,7 @@ class Pieces:
             *[agg.alias(name) for name, (agg, _) in before.items()])
         folded = per_piece.select(
             *[F.col(k).alias(f"_k_{k}") for k in [*self.keys, PIECE]],
-            *[FOLDS[fold](name).over(earlier).cast(kinds[name].dataType).alias(name)
+            *[FOLDS[fold](name, earlier).cast(kinds[name].dataType).alias(name)
               for name, (_, fold) in before.items()],
         )
         hot = (

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill.operators.bars import known
 from quotemill.operators.pieces import HOT_ROWS, cut, lookup
@@ -61,28 +62,43 @@ def approx_distinct_symbols(trades: DataFrame, rsd: float = 0.02) -> DataFrame:
         F.approx_count_distinct("symbol", rsd).alias("symbols"))
 
 
-def trade_quality(trades: DataFrame) -> DataFrame:
-    """Counts of trades that miss or break a rule, in one pass."""
-    return trades.agg(
+def trade_checks() -> list[Column]:
+    """Counts of trades that miss or break a rule, as aggregates."""
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("symbol").isNull() | (F.col("symbol") == "")).alias("no_symbol"),
         F.count_if(F.col("datetime").isNull()).alias("no_time"),
         F.count_if(~F.coalesce(F.col("last_price") > 0, F.lit(False))).alias("no_positive_price"),
         F.count_if(~F.coalesce(F.col("volume") > 0, F.lit(False))).alias("no_positive_volume"),
-    )
+    ]
 
 
-def bar_quality(bars: DataFrame) -> DataFrame:
-    """Counts of bars that miss or break a rule, in one pass."""
+def bar_checks(symbol: str = "symbol") -> list[Column]:
+    """Counts of bars that miss or break a rule, as aggregates."""
     inside = F.col("open").between(F.col("low"), F.col("high")) & F.col("close").between(
         F.col("low"), F.col("high"))
-    return bars.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("symbol").isNull() | F.col("datetime").isNull()).alias("no_key"),
+        F.count_if(F.col(symbol).isNull() | F.col("datetime").isNull()).alias("no_key"),
         F.count_if(~F.coalesce(F.col("high") >= F.col("low"), F.lit(False))).alias("high_below_low"),
         F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside_range"),
         F.count_if(~F.coalesce(F.col("volume") > 0, F.lit(False))).alias("no_positive_volume"),
-    )
+    ]
+
+
+def checks(row: T.StructType) -> list[Column]:
+    """The checks of a stored table, told from its columns."""
+    return trade_checks() if "last_price" in row.names else bar_checks("ticker")
+
+
+def trade_quality(trades: DataFrame) -> DataFrame:
+    """Counts of trades that miss or break a rule, in one pass."""
+    return trades.agg(*trade_checks())
+
+
+def bar_quality(bars: DataFrame) -> DataFrame:
+    """Counts of bars that miss or break a rule, in one pass."""
+    return bars.agg(*bar_checks())
 
 
 def approx_percentiles(

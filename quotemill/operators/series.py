@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.operators.bars import known
-from quotemill.operators.pieces import HOT_ROWS, PIECE, cut
+from quotemill.operators.pieces import HOT_ROWS, PIECE, Pieces, cut
 
 
 # Steps of a gap that are written out from one array.
@@ -55,6 +56,92 @@ def moving(
     )
 
 
+# A block of an exponential average, in time constants: long enough that nothing
+# from before the last block counts in double precision (e^-200), short enough
+# that weights within a block neither overflow nor vanish.
+BLOCK_DECAY = 200.0
+
+
+def _recurrence(
+    pieces: Pieces, value: str, first: Column | None, alpha: float, name: str,
+) -> Pieces:
+    """Adds ``s`` with ``s = (1 - alpha) s + alpha value`` along each key, from ``first`` or 0.
+
+    Every step is an affine map of the last state. Rows are numbered where they
+    have a value; blocks of them are summed with growing weights, a block starts
+    from the end of the one before, and a piece from the composed maps of the
+    pieces before it. Rows without a value repeat the state.
+    """
+    keep = 1.0 - alpha
+    block = max(1, math.ceil(BLOCK_DECAY / -math.log(keep))) if keep > 0 else 1
+    so_far = pieces.window.rowsBetween(Window.unboundedPreceding, 0)
+    before = pieces.window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*pieces.keys, PIECE, "_block").orderBy(*pieces.sorting).rowsBetween(
+        Window.unboundedPreceding, 0)
+    counted = F.col(value).isNotNull()
+    place = F.pmod(F.col("_number") - 1, F.lit(block))
+    weight = F.pow(F.lit(keep), F.lit(1.0) * F.col("_place")) if keep > 0 else F.lit(1.0)
+
+    def local(rows: DataFrame) -> DataFrame:
+        """The state with nothing before the block, and the end of the block before."""
+        numbered = (
+            rows.withColumn("_number", F.count(value).over(so_far))
+            .withColumns({"_block": F.greatest(F.lit(0), F.floor((F.col("_number") - 1) / block)), "_place": place}))
+        summed = numbered.withColumn(
+            "_own", alpha * weight * F.coalesce(F.sum(F.when(counted, F.col(value) / weight)).over(inside), F.lit(0.0)))
+        ends = F.when(counted & (F.col("_place") == block - 1), F.col("_own"))
+        started = summed.withColumn("_start", F.last(ends, ignorenulls=True).over(before))
+        # The state if the piece started from nothing.
+        return started.withColumn(
+            "_alone", F.col("_own") + keep * weight * F.coalesce("_start", F.lit(0.0)))
+
+    pieces = pieces.transform(local)
+    whole = F.struct(
+        F.pow(F.lit(keep), F.count(value)).alias("a"),
+        F.coalesce(pieces.last_of(F.col("_alone"), when=counted), F.lit(0.0)).alias("b"))
+    pieces = pieces.carry(_map=(whole, "affine"))
+    begin = F.lit(0.0) if first is None else first
+    entered = F.coalesce(F.col("_map")["a"] * begin + F.col("_map")["b"], begin)
+    # What came in has decayed once per value of the piece so far.
+    decayed = F.pow(F.lit(keep), F.lit(1.0) * F.col("_number")) * entered
+    state = F.when(F.col("_number") == 0, F.when(F.col("_map").isNotNull(), entered)).otherwise(F.col("_alone") + decayed)
+    return pieces.transform(lambda rows: rows.withColumn(name, state).drop(
+        "_number", "_block", "_place", "_own", "_start", "_alone", "_map"))
+
+
+def exponential(
+    bars: DataFrame, key: str, alpha: float, *, price: str = "close", time: str = "datetime",
+    ties: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Exponential average of the price and volatility around it.
+
+    The average starts at a key's first price and moves ``alpha`` of the way to
+    each price. The variance weighs squared distances from the average before
+    the price the same way, from 0; ``volatility`` is its root. Bars without a
+    price repeat both; before the first price they are null.
+    """
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha is above 0 and at most 1")
+    pieces = cut(bars, [key], [time, *ties], hot_rows=hot_rows)
+    pieces = pieces.transform(lambda rows: rows.withColumn("_price", known(F.col(price).cast("double"))))
+    priced = F.col("_price").isNotNull()
+    opening = F.min_by("_price", F.when(priced, F.struct(time, *ties)))
+    so_far = pieces.window.rowsBetween(Window.unboundedPreceding, 0)
+    pieces = pieces.carry(_opened=(opening, "first")).transform(lambda rows: rows.withColumn(
+        "_first", F.coalesce("_opened", F.first("_price", ignorenulls=True).over(so_far))))
+    pieces = _recurrence(pieces, "_price", F.col("_first"), alpha, "average")
+    # The average before each price; of the first one, itself.
+    pieces = pieces.carry(_average=(pieces.last_of(F.col("average"), when=priced), "last"))
+    before = F.coalesce(
+        F.last("average", ignorenulls=True).over(pieces.window.rowsBetween(Window.unboundedPreceding, -1)), F.col("_average"))
+    pieces = pieces.transform(lambda rows: rows.withColumn("_before", before).withColumn(
+        "_gap", F.when(priced, F.pow(F.coalesce(F.col("_price") - F.col("_before"), F.lit(0.0)), F.lit(2.0)))))
+    pieces = _recurrence(pieces, "_gap", None, alpha, "_spread")
+    variance = F.when(F.col("average").isNotNull(), (1.0 - alpha) * F.coalesce("_spread", F.lit(0.0)))
+    return pieces.rows().withColumn("volatility", F.sqrt(variance)).drop(
+        PIECE, "_price", "_opened", "_first", "_average", "_before", "_gap", "_spread")
+
+
 def running(
     trades: DataFrame, keys: Sequence[str], *, price: str = "last_price", volume: str = "volume",
     order: Sequence[str] = ("datetime", "id"), hot_rows: int | None = HOT_ROWS,

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.operators import bars, gate, joins, ranking, records, reports, series
+from quotemill.operators import bars, gate, joins, partials, ranking, records, reports, series
 from quotemill.plans import inputs
 from quotemill.plans.inputs import FILL_TIES, wall_time
 from quotemill.session import scratch_path
 from quotemill.sources.feeds import BARS, TRADES
 from quotemill.sources.topics import FileTopics
+from quotemill.streaming import joins as stream_joins
 from quotemill.streaming import sinks, windows
-from quotemill.streaming.jobs import run, table_rows
+from quotemill.streaming.jobs import ingest, run, table_rows
 
 # Bars built here hold one row per symbol and hour or day, so a symbol has at
 # most 8,784 rows a year and its window needs no split.
@@ -53,6 +55,43 @@ def _trade_stream(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> D
     return table_rows(stream, TRADES).drop("trade_conditions")
 
 
+def _parts(rows: DataFrame, time: str, path: str, bounds: tuple[int, int], closing: DataFrame) -> str:
+    """Files by time, in order, with one row long after all others at the end.
+
+    The last row only moves the watermark, so that what it closes is written.
+    """
+    low, high = bounds
+    part = F.floor((F.unix_millis(time) - low) * 3 / (high - low + 1))
+    for number in range(3):
+        rows.where(part == number).coalesce(1).write.mode("append").parquet(path)
+    closing.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _running(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The trades by event type and a provider's bars of them, as two streams that move on together."""
+    events = inputs.events(spark, sf_dir)
+    provided = _provided(spark, sf_dir).select("symbol", "datetime", *BAR_VALUES)
+    hour = F.date_trunc("hour", F.min("ts"))
+    low, high = events.agg(F.unix_millis(hour), F.unix_millis(F.max("ts"))).first()
+    bounds = (low or 0, high or 0)
+    later = F.expr("INTERVAL 1 YEAR")
+    last = events.orderBy(F.desc("event_id")).limit(1).withColumns({
+        "event_id": F.col("event_id") + 1, "ts": F.col("ts") + later})
+    topic = _parts(
+        inputs.trade_messages(events), "timestamp", scratch_path(spark, "topic"), bounds, inputs.trade_messages(last))
+    bars_path = _parts(
+        provided, "datetime", scratch_path(spark, "bars"), bounds,
+        provided.orderBy(F.desc("datetime")).limit(1).withColumn("datetime", F.col("datetime") + later))
+    stored = table_rows(FileTopics(topic, max_files_per_trigger=1).read_stream(spark, TRADES.topic), TRADES)
+    trades = stored.withColumn("symbol", F.col("trade_conditions")[0]).drop("trade_conditions")
+    bar_stream = spark.readStream.schema(provided.schema).option("maxFilesPerTrigger", 1).parquet(bars_path)
+    return trades, bar_stream
+
+
+BAR_VALUES = ("open", "high", "low", "close", "volume")
+
+
 def _streamed(spark: SparkSession, rows: DataFrame, mode: str) -> DataFrame:
     """Runs a stream to the end of its input and reads what it wrote."""
     sink = sinks.BatchDirectory(scratch_path(spark, "stream"))
@@ -101,6 +140,13 @@ def g05_ohlcv_bars_stream(spark, sf_dir):
     return wall_time(windows.current(_streamed(spark, rows, "update"), ["symbol", "datetime"]))
 
 
+def g05_bar_ladder_stream(spark, sf_dir):
+    """Bars of one, five and sixty minutes in one stream, each width made of the one before."""
+    trades, _ = _running(spark, sf_dir)
+    rows = windows.rungs(trades, ("1 minute", "5 minutes", "1 hour"), "1 hour")
+    return wall_time(_streamed(spark, rows, "append").drop("query_id", "batch_id"))
+
+
 def g05_ohlcv_bars_daily_fills(spark, sf_dir):
     return wall_time(bars.ohlcv(inputs.fills(spark, sf_dir), "1 day", ties=FILL_TIES))
 
@@ -233,6 +279,37 @@ def g16_rollup_report(spark, sf_dir):
     return reports.rollup_report(_trades(spark, sf_dir)).withColumn("notional", F.round("notional", 4))
 
 
+def _kept_up(spark: SparkSession, sf_dir: str, make: Callable[[str], partials.Store]) -> partials.Store:
+    """Partials of the stored trades, refreshed each time the table has grown."""
+    topic, offsets = scratch_path(spark, "topic"), scratch_path(spark, "offsets")
+    sink = sinks.BatchDirectory(scratch_path(spark, "trades"))
+    store = make(scratch_path(spark, "partials"))
+    messages = inputs.trade_messages(inputs.events(spark, sf_dir))
+    last = messages.agg(F.max("offset")).first()[0] or 0
+    for part in range(3):
+        messages.where(F.floor(F.col("offset") * 3 / (last + 1)) == part).write.mode("append").parquet(topic)
+        run(ingest(FileTopics(topic).read_stream(spark, TRADES.topic), TRADES, sink, offsets))
+        store.refresh(sink.read(spark, TRADES.row))
+    return store
+
+
+def g16_rollup_incremental(spark, sf_dir):
+    """The rollup from partials that each read only the batches written since the last."""
+    store = _kept_up(spark, sf_dir, partials.daily_totals)
+    return partials.rollup_report(store, spark).withColumn("notional", F.round("notional", 4))
+
+
+RANGES = (("2024-01-01", "2024-01-03"), ("2024-01-02", "2024-01-20"), ("2024-01-01", "2024-12-31"))
+
+
+def g17_symbols_by_range(spark, sf_dir):
+    """Different symbols in ranges of days, from daily sketches."""
+    store = _kept_up(spark, sf_dir, partials.daily_symbols)
+    ranges = spark.createDataFrame(RANGES, "first string, last string").select(
+        F.to_date("first").alias("first"), F.to_date("last").alias("last"))
+    return partials.symbols_between(store, ranges)
+
+
 def g17_distinct_symbols(spark, sf_dir):
     return reports.distinct_symbols(_trades(spark, sf_dir))
 
@@ -259,6 +336,15 @@ def g18_as_of_bar(spark, sf_dir):
     return wall_time(joins.as_of(trades, provided, probe=trades.select("symbol")))
 
 
+def g18_as_of_bar_stream(spark, sf_dir):
+    """The trade stream with the last bar of the running bar stream, in keyed state."""
+    trades, provided = _running(spark, sf_dir)
+    with stream_joins.keyed_state(spark):
+        rows = stream_joins.as_of(trades.select("id", "symbol", "datetime", "last_price"), provided, "1 hour")
+        found = _streamed(spark, rows, "append")
+    return wall_time(found.drop("query_id", "batch_id"))
+
+
 def g19_trades_to_bar(spark, sf_dir):
     trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
     return wall_time(joins.to_bar(trades, _provided(spark, sf_dir), "1 hour"))
@@ -293,6 +379,15 @@ def g20_reconcile_bars(spark, sf_dir):
         "volume_diff"))
 
 
+def g20_reconcile_bars_stream(spark, sf_dir):
+    """Own hourly bars beside the provider's while both run; lone ones once their hour has closed."""
+    trades, provided = _running(spark, sf_dir)
+    rows = stream_joins.reconcile(trades, provided, "1 hour", "1 hour")
+    found = _streamed(spark, rows, "append").drop("query_id", "batch_id")
+    return wall_time(found.withColumns({
+        f"{v}_diff": F.round(f"{v}_diff", 4) for v in ("open", "high", "low", "close")}))
+
+
 def g21_valuation(spark, sf_dir):
     """Holdings from fills, valued at the last trade of the symbol."""
     fills = inputs.fills(spark, sf_dir)
@@ -336,6 +431,14 @@ def g24_both_sources(spark, sf_dir):
     return joins.in_both(_trades(spark, sf_dir), inputs.fills(spark, sf_dir))
 
 
+def g24_both_sources_sketch(spark, sf_dir):
+    """Symbols of trades, of fills and of both, from sketches of each side's days."""
+    store = _kept_up(spark, sf_dir, lambda path: partials.daily_symbols(path, 16))
+    filled = inputs.fills(spark, sf_dir).groupBy(F.to_date("datetime").alias("day")).agg(
+        F.theta_sketch_agg("symbol", 16).alias("symbols"))
+    return partials.symbols_in_both(store.rows(spark), filled, 16)
+
+
 def g24_surplus_rows(spark, sf_dir):
     """Symbol and day of trades that the purchases do not account for."""
     days = _trades(spark, sf_dir).select("symbol", F.to_date("datetime").alias("day"), "trade_conditions")
@@ -367,6 +470,22 @@ def g26_approx_percentiles(spark, sf_dir):
     return both.select("symbol", reduce(lambda x, y: x & y, near).alias("close"))
 
 
+def g26_range_percentiles(spark, sf_dir):
+    """Prices of a range of days from daily sketches: their number, and whether ranks are within one percent."""
+    first, last, percents = "2024-01-02", "2024-01-25", (1, 25, 50, 95, 99)
+    kind = F.col("trade_conditions")[0]
+    store = _kept_up(spark, sf_dir, lambda path: partials.daily_prices(path, kind))
+    found = partials.price_percentiles(store, spark, first, last, percents)
+    trades = _trades(spark, sf_dir, "event_type").where(F.to_date("datetime").between(first, last))
+    price = F.col("last_price").cast("float").cast("double")
+    ranks = trades.join(found, "symbol").groupBy("symbol", "n").agg(*[
+        F.struct((F.count_if(price < F.col(f"p{p}")) / F.count(F.lit(1))).alias("below"),
+                 (F.count_if(price <= F.col(f"p{p}")) / F.count(F.lit(1))).alias("upto")).alias(f"r{p}")
+        for p in percents])
+    near = [(F.col(f"r{p}.below") <= p / 100 + 0.01) & (F.col(f"r{p}.upto") >= p / 100 - 0.01) for p in percents]
+    return ranks.select("symbol", "n", reduce(lambda x, y: x & y, near).alias("close"))
+
+
 def g26_outliers(spark, sf_dir):
     trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "last_price")
     rows = reports.outliers(trades, "symbol", "last_price", 2.5)

@@ -68,6 +68,7 @@ REASON = f"""CASE WHEN {OUTCOME} <> 'valid' THEN {OUTCOME}
   WHEN event_type = 'purchase' THEN 'time_unreadable' END"""
 
 STORED_TRADES = f"SELECT {TRADE_ROW} FROM events"
+STORED_BY_TYPE = f"SELECT * REPLACE (trade_conditions AS symbol) FROM ({STORED_TRADES})"
 STORED_BARS = f"{TYPED_HOURLY} SELECT {BAR_ROW} FROM bars"
 
 SQL = {
@@ -340,6 +341,37 @@ SQL |= {
     # A session is final, and written, once the watermark has passed its end.
     "g07_sessions_stream": f"""SELECT * FROM ({SQL["g07_sessions"]})
         WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+    "g16_rollup_incremental": f"""WITH d AS (SELECT *, CAST(datetime AS DATE) AS day FROM ({STORED_TRADES}))
+        SELECT symbol, day, CAST(grouping(symbol, day) AS INTEGER) AS level, count(*) AS trades,
+          CAST(sum(volume) AS BIGINT) AS volume, round(sum(CAST(last_price AS DOUBLE) * volume), 4) AS notional
+        FROM d GROUP BY ROLLUP (symbol, day)""",
+    "g17_symbols_by_range": f"""WITH {TRADES}, r AS (
+          SELECT CAST(a AS DATE) AS first, CAST(b AS DATE) AS last FROM (VALUES
+            ('2024-01-01', '2024-01-03'), ('2024-01-02', '2024-01-20'), ('2024-01-01', '2024-12-31')) AS v (a, b))
+        SELECT first, last, count(DISTINCT symbol) AS symbols, count(*) AS trades
+        FROM trades JOIN r ON CAST(datetime AS DATE) BETWEEN first AND last GROUP BY first, last""",
+    "g24_both_sources_sketch": f"""WITH {TRADES}, {FILLS}, a AS (SELECT DISTINCT symbol FROM trades),
+        b AS (SELECT DISTINCT symbol FROM fills)
+        SELECT (SELECT count(*) FROM a) AS left_symbols, (SELECT count(*) FROM b) AS right_symbols,
+          (SELECT count(*) FROM a JOIN b USING (symbol)) AS both""",
+    "g26_range_percentiles": f"""WITH {TYPED_TRADES} SELECT symbol, count(*) AS n, true AS close FROM trades
+        WHERE CAST(datetime AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-25' GROUP BY symbol""",
+    "g05_bar_ladder_stream": " UNION ALL ".join(f"""
+        SELECT * FROM (WITH trades AS ({STORED_BY_TYPE}) SELECT '{width}' AS width, symbol,
+          time_bucket(INTERVAL {width}, datetime) AS datetime,
+          first(last_price ORDER BY datetime, id) AS open, max(last_price) AS high, min(last_price) AS low,
+          last(last_price ORDER BY datetime, id) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trades
+        FROM trades GROUP BY ALL)""" for width in ("1 minute", "5 minutes", "1 hour")),
+    "g18_as_of_bar_stream": f"""{PROVIDED} SELECT t.id, t.symbol, t.datetime, CAST(t.last_price AS FLOAT) AS last_price,
+          p.datetime AS bar_datetime, p.close AS bar_close
+        FROM trades t ASOF LEFT JOIN provided p ON t.symbol = p.symbol AND t.datetime >= p.datetime""",
+    # Own bars hold stored prices, of single precision; the provider's do not.
+    "g20_reconcile_bars_stream": f"""{PROVIDED}, stored AS ({STORED_BY_TYPE}), {_bars('ours', 'stored', 'hour')}
+        SELECT coalesce(o.symbol, p.symbol) AS symbol, coalesce(o.datetime, p.datetime) AS datetime,
+          CASE WHEN p.symbol IS NULL THEN 'theirs' WHEN o.symbol IS NULL THEN 'ours' END AS missing,
+          {", ".join(f"round(CAST(o.{v} AS DOUBLE) - p.{v}, 4) AS {v}_diff" for v in ("open", "high", "low", "close"))},
+          o.volume - p.volume AS volume_diff
+        FROM ours o FULL JOIN provided p ON o.symbol = p.symbol AND o.datetime = p.datetime""",
     "g19_trades_to_bar_stream": f"""{TYPED_HOURLY} SELECT t.id, t.symbol, t.datetime, t.last_price,
           b.datetime AS bar_start, CAST(b.open AS FLOAT) AS bar_open, CAST(b.close AS FLOAT) AS bar_close
         FROM trades t JOIN bars b ON t.symbol = b.symbol AND date_trunc('hour', t.datetime) = b.datetime""",

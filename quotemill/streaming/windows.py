@@ -8,12 +8,13 @@ Nothing is rewritten, so the cost of a batch follows what changed in it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quotemill.operators.bars import ohlcv
+from quotemill.operators.bars import bar_values, ohlcv
 from quotemill.operators.joins import bucket, touched
 
 
@@ -60,6 +61,35 @@ def bars(trades: DataFrame, width: str, lateness: str | None = None) -> DataFram
     return ohlcv(timed, width)
 
 
+def ladder(trades: DataFrame, widths: Sequence[str], lateness: str) -> dict[str, DataFrame]:
+    """Bars of several widths of a trade stream, each made of the ones before, for append mode.
+
+    Widths ascend, each a multiple of the one before. A bar leaves a step when
+    the watermark passes its end and enters the next one, so only the first step
+    keeps state per trade minute, and every bar is written once.
+    """
+    timed = trades.withWatermark("datetime", lateness)
+    step = timed.groupBy("symbol", F.window("datetime", widths[0]).alias("bar")).agg(*bar_values())
+    out = {widths[0]: step}
+    for width in widths[1:]:
+        opened = F.when(F.col("open").isNotNull(), F.col("bar.start"))
+        step = step.groupBy("symbol", F.window(F.window_time("bar"), width).alias("wider")).agg(
+            F.min_by("open", opened).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+            F.max_by("close", opened).alias("close"), F.sum("volume").alias("volume"),
+            F.sum("trades").alias("trades")).withColumnRenamed("wider", "bar")
+        out[width] = step
+    return out
+
+
+def rungs(trades: DataFrame, widths: Sequence[str], lateness: str) -> DataFrame:
+    """All bars of a ladder in one stream, with their width."""
+    steps = [
+        step.select(F.lit(width).alias("width"), "symbol", F.col("bar.start").alias("datetime"),
+                    "open", "high", "low", "close", "volume", "trades")
+        for width, step in ladder(trades, widths, lateness).items()]
+    return reduce(lambda one, two: one.unionByName(two), steps)
+
+
 def sessions(trades: DataFrame, gap: str, lateness: str | None = None) -> DataFrame:
     """Sessions of a trade stream, for complete mode or, with a bound, append."""
     timed = trades.withWatermark("datetime", lateness) if lateness else trades

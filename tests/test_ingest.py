@@ -2,14 +2,15 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from quotemill.__main__ import main, whole_topic
+from quotemill.__main__ import main
 from quotemill.functions import parsing
 from quotemill.functions.identity import message_id, random_id
-from quotemill.operators import gate
+from quotemill.operators import gate, reports
 from quotemill.schemas import BAR, BAR_MESSAGE, KAFKA_ROW, TRADE, TRADE_MESSAGE
 from quotemill.session import STORAGE_OPTIONS, storage_from_env
 from quotemill.sources.feeds import BARS, TRADES, feed
@@ -148,21 +149,112 @@ def test_gate(spark):
         lambda since: messages(spark, ["x"]), TRADES, poll_interval=0.01, poll_timeout=0)
 
 
+@pytest.fixture
+def rows_read(spark):
+    """Input rows of every micro-batch of the queries a test runs."""
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    class Log(StreamingQueryListener):
+        def __init__(self):
+            self.rows, self.ended = {}, set()
+
+        def onQueryStarted(self, event):
+            self.rows[event.runId] = 0
+
+        def onQueryProgress(self, event):
+            # Events of queries that a test before this one ran may still come.
+            if event.progress.runId in self.rows:
+                self.rows[event.progress.runId] += event.progress.numInputRows
+
+        def onQueryTerminated(self, event):
+            self.ended.add(event.runId)
+
+        def of(self, queries):
+            """Rows per query, once its end was heard."""
+            deadline = time.monotonic() + 20
+            while len(self.ended & set(self.rows)) < queries and time.monotonic() < deadline:
+                time.sleep(0.05)
+            return list(self.rows.values())
+
+    log = Log()
+    spark.streams.addListener(log)
+    yield log
+    spark.streams.removeListener(log)
+
+
 @pytest.mark.parametrize("late", [NOW - dt.timedelta(days=1), None])
-def test_a_late_message_with_an_old_time_is_seen(spark, tmp_path, late):
-    path = str(tmp_path / "topic")
-    first = messages(spark, ["x"])
-    first.write.parquet(path)
-    read, polls = whole_topic(FileTopics(path), spark, first.first()["topic"]), []
-
-    def polled(since):
-        polls.append(since)
-        if len(polls) == 2:
-            messages(spark, [good(0)]).withColumn(
+def test_a_late_message_with_an_old_time_is_seen(spark, tmp_path, late, rows_read):
+    """It arrives in the third poll, and no poll reads what an earlier one has read."""
+    path, polls = str(tmp_path / "topic"), []
+    messages(spark, ["x", "y", "z"]).write.parquet(path)
+
+    def polled():
+        polls.append(len(polls))
+        if len(polls) == 3:
+            messages(spark, [good(0)], first=3).withColumn(
                 "timestamp", F.lit(late).cast("timestamp")).write.mode("append").parquet(path)
-        return read(since)
+        return FileTopics(path).read_stream(spark, TRADES.topic)
+
+    assert gate.wait_on_stream(polled, TRADES, str(tmp_path / "cp"), poll_interval=0.01, poll_timeout=60)
+    assert rows_read.of(3) == [3, 0, 1]
+
+
+def test_gate_on_a_stream_times_out_and_takes_the_first_batch(spark, tmp_path, rows_read):
+    topic = str(tmp_path / "topic")
+    messages(spark, ["x"] * 5).coalesce(1).write.parquet(topic)
 
-    assert gate.wait_until_ready(polled, TRADES, poll_interval=0.01, poll_timeout=5)
+    def read():
+        return FileTopics(topic, max_files_per_trigger=1).read_stream(spark, TRADES.topic)
+
+    assert not gate.wait_on_stream(read, TRADES, str(tmp_path / "cp"), poll_interval=0.01, poll_timeout=0)
+    assert not gate.wait_on_stream(
+        lambda: FileTopics(topic).read_stream(spark, "other"), TRADES, str(tmp_path / "cp2"), poll_timeout=0)
+    messages(spark, [good(0)], first=5).coalesce(1).write.mode("append").parquet(topic)
+    assert gate.wait_on_stream(read, TRADES, str(tmp_path / "cp"), poll_interval=0.01, poll_timeout=0)
+
+
+def test_a_split_batch_is_read_once(spark, tmp_path, rows_read):
+    topic = str(tmp_path / "topic")
+    write_files(spark, topic, files=3)
+    source = FileTopics(topic, max_files_per_trigger=1)
+    stored, held, counts = (sinks.BatchDirectory(str(tmp_path / name)) for name in ("out", "held", "quality"))
+    run(ingest(source.read_stream(spark, TRADES.topic), TRADES, stored, str(tmp_path / "cp"), quarantine=held,
+               quality=counts))
+    assert rows_read.of(1) == [30]
+    assert stored.read(spark, TRADE).count() + spark.read.parquet(held.path).count() == 30
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_quality_of_every_batch_comes_with_its_write(spark, tmp_path, split, rows_read):
+    topic = str(tmp_path / "topic")
+    write_files(spark, topic, files=4)
+    messages(spark, ['{"p":-1,"s":"","v":0}', "broken", good(3)], first=99).coalesce(1).write.mode("append").parquet(topic)
+    source = FileTopics(topic, max_files_per_trigger=1)
+    stored, counts = (sinks.BatchDirectory(str(tmp_path / name)) for name in ("out", "quality"))
+    held = sinks.BatchDirectory(str(tmp_path / "held")) if split else None
+    run(ingest(source.read_stream(spark, TRADES.topic), TRADES, stored, str(tmp_path / "cp"), quarantine=held,
+               quality=counts))
+    assert rows_read.of(1) == [43]
+    found = {r.batch_id: r for r in spark.read.parquet(counts.path).drop("query_id").collect()}
+    rows = stored.read(spark, TRADE)
+    assert set(found) == set(range(5))
+    for number, row in found.items():
+        expected = reports.trade_quality(rows.where(F.col("batch_id") == number)).first().asDict()
+        assert {k: v for k, v in row.asDict().items() if k != "batch_id"} == expected
+    assert sum(row["no_symbol"] for row in found.values()) == (0 if split else 8)
+
+
+def test_quality_of_bars(spark, tmp_path):
+    texts = ['{"Datetime":"2024-01-02 09:30:00+00:00","Open":1,"High":2,"Low":0.5,"Close":1.5,"Volume":10,"ticker":"A"}',
+             '{"Datetime":"2024-01-02 09:31:00+00:00","Open":3,"High":2,"Low":0.5,"Close":1.5,"Volume":0,"ticker":"A"}',
+             '{"Datetime":"2024-01-02 09:32:00+00:00","Open":1,"High":0.2,"Low":0.5,"Close":1.5,"Volume":1,"ticker":"A"}',
+             '{"Open":1}']
+    messages(spark, texts, topic=BARS.topic).write.parquet(str(tmp_path / "topic"))
+    counts = sinks.BatchDirectory(str(tmp_path / "quality"))
+    run(ingest(FileTopics(str(tmp_path / "topic")).read_stream(spark), BARS, sinks.BatchDirectory(str(tmp_path / "out")),
+               str(tmp_path / "cp"), quality=counts))
+    (row,) = spark.read.parquet(counts.path).collect()
+    assert (row["rows"], row.no_key, row.high_below_low, row.outside_range, row.no_positive_volume) == (4, 1, 2, 3, 2)
 
 
 def test_feeds():
