@@ -21,8 +21,11 @@ def as_of(
     ``probe`` is as in ``cut``: the trades alone where bars are few beside them.
     """
     boxed = F.struct(F.col("datetime").alias("bar_datetime"), *[F.col(v).alias(f"bar_{v}") for v in values])
-    quoted = bars.select("symbol", "datetime", F.lit(0).alias("_side"), boxed.alias("_bar"))
-    traded = trades.select("*", F.lit(1).alias("_side"))
+    # The key is named anew on both sides: a union of two tables laid out by it keeps
+    # that layout only if the key is the projection's own.
+    symbol = F.col("symbol").alias("symbol")
+    quoted = bars.select(symbol, "datetime", F.lit(0).alias("_side"), boxed.alias("_bar"))
+    traded = trades.select(*[symbol if c == "symbol" else F.col(c) for c in trades.columns], F.lit(1).alias("_side"))
     mixed = traded.unionByName(quoted, allowMissingColumns=True)
     pieces = cut(mixed, ["symbol"], ["datetime", "_side", tie], hot_rows=hot_rows, probe=probe)
     has_bar = F.col("_bar").isNotNull()

@@ -102,8 +102,12 @@ class Pieces:
 
     @property
     def window(self) -> WindowSpec:
-        """Rows of one piece in order."""
-        return Window.partitionBy(*self.keys, PIECE).orderBy(*self.sorting)
+        """Rows of one piece in order.
+
+        Without large keys a key is one piece, and rows that are laid out by key need no shuffle.
+        """
+        parts = self.keys if self.hot is None else [*self.keys, PIECE]
+        return Window.partitionBy(*parts).orderBy(*self.sorting)
 
     @property
     def sorting(self) -> list[Column]:

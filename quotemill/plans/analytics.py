@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.operators import bars, gate, joins, partials, ranking, records, reports, series
+from quotemill.operators import bars, gate, joins, lots, partials, ranking, records, reports, series
 from quotemill.plans import inputs
 from quotemill.plans.inputs import FILL_TIES, wall_time
 from quotemill.session import scratch_path
 from quotemill.sources.feeds import BARS, TRADES
 from quotemill.sources.topics import FileTopics
 from quotemill.streaming import joins as stream_joins
-from quotemill.streaming import sinks, windows
+from quotemill.streaming import compaction, sinks, windows
 from quotemill.streaming.jobs import ingest, run, table_rows
 
 # Bars built here hold one row per symbol and hour or day, so a symbol has at
@@ -228,6 +229,18 @@ def g11_moving_stats_trades(spark, sf_dir):
     return wall_time(rows.withColumns({"moving_avg": F.round("moving_avg", 9), "volatility": F.round("volatility", 6)}))
 
 
+def g11_exponential(spark, sf_dir):
+    rows = series.exponential(_closes(spark, sf_dir), "symbol", 0.1837, hot_rows=BOUNDED)
+    return wall_time(rows.withColumns({c: F.round(c, 7) for c in ("average", "volatility")}))
+
+
+def g11_exponential_trades(spark, sf_dir):
+    """Straight from the trades of each event type, which may be cut into pieces."""
+    trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
+    rows = series.exponential(trades, "symbol", 0.0613, price="last_price", ties=("id",))
+    return wall_time(rows.withColumns({c: F.round(c, 7) for c in ("average", "volatility")}))
+
+
 def g12_running_totals(spark, sf_dir):
     trades = _trades(spark, sf_dir, "event_type").drop("trade_conditions").withColumn(
         "day", F.to_date("datetime"))
@@ -323,6 +336,25 @@ def g17_approx_distinct_symbols(spark, sf_dir):
     return both.select("day", (F.abs(F.col("symbols") - F.col("exact")) <= allowed).alias("close"))
 
 
+def g18_as_of_bar_compacted(spark, sf_dir):
+    """The join on a table that compaction has laid out by symbol, without a shuffle."""
+    topic, offsets = scratch_path(spark, "topic"), scratch_path(spark, "offsets")
+    sink = sinks.BatchDirectory(scratch_path(spark, "trades"))
+    database = f"compacted_{uuid.uuid4().hex}"
+    sinks.create_database(spark, database, scratch_path(spark, database))
+    table = compaction.BucketedTable(f"{database}.trades", scratch_path(spark, "marks"), "symbol", buckets=8)
+    messages = inputs.trade_messages(inputs.events(spark, sf_dir).withColumn("user_id", F.col("event_type")))
+    for half in (0, 1):
+        messages.where(F.col("offset") % 2 == half).write.mode("append").parquet(topic)
+        run(ingest(FileTopics(topic).read_stream(spark, TRADES.topic), TRADES, sink, offsets))
+        table.compact(sink.read(spark, TRADES.row))
+    provided = f"{database}.bars"
+    _provided(spark, sf_dir).select("symbol", "datetime", "close").repartition(8, "symbol").write.format(
+        "parquet").bucketBy(8, "symbol").sortBy("symbol", "datetime").saveAsTable(provided)
+    trades = table.read(spark).select("id", "symbol", "datetime", "last_price")
+    return wall_time(joins.as_of(trades, spark.table(provided), probe=trades.select("symbol")))
+
+
 def _provided(spark, sf_dir):
     """Bars of a provider that only sees trades with a volume."""
     trades = _trades(spark, sf_dir, "event_type").where(F.col("volume") > 0)
@@ -359,6 +391,20 @@ def g19_trades_to_shifted_bar(spark, sf_dir):
     return wall_time(joins.to_bar(trades, shifted, "1 hour"))
 
 
+def g19_trades_to_any_bar(spark, sf_dir):
+    """Bars from five minutes to a day, and off the hour, in one join."""
+    trades = _trades(spark, sf_dir, "event_type").select("id", "symbol", "datetime", "last_price")
+    source = _trades(spark, sf_dir, "event_type")
+    table = None
+    for width, shift in (("5 minutes", 0), ("1 hour", 30), ("4 hours", 0), ("1 day", 0)):
+        moved = F.make_dt_interval(mins=F.lit(shift))
+        part = bars.ohlcv(source.withColumn("datetime", F.col("datetime") - moved), width)
+        part = part.withColumn("datetime", F.col("datetime") + moved).withColumn(
+            "bar_end", F.col("datetime") + F.expr(f"INTERVAL {width}"))
+        table = part if table is None else table.unionByName(part)
+    return wall_time(joins.to_any_bar(trades, table, "1 minute"))
+
+
 def g19_trades_to_bar_stream(spark, sf_dir):
     """The trade stream joined to the stream of stored bar messages."""
     topic = scratch_path(spark, "topic")
@@ -397,6 +443,33 @@ def g21_valuation(spark, sf_dir):
     return joins.valuation(held, quotes).withColumn("value", F.round("value", 4))
 
 
+def _sided(spark, sf_dir):
+    """Fills at whole cents of which even lines are sales, and which side each is on."""
+    fills = inputs.fills(spark, sf_dir).withColumn("last_price", F.round(F.col("last_price") * F.col("quantity"), 2))
+    return fills, F.col("line") % 2 == 1
+
+
+def g21_lots(spark, sf_dir):
+    """Sales matched to the earliest open buys of their symbol."""
+    fills, bought = _sided(spark, sf_dir)
+    matched = lots.fifo(fills, ["symbol"], bought, order=LOT_ORDER, quantity="quantity")
+    return wall_time(matched.withColumns({c: F.round(c, 4) for c in ("buy_price", "sale_price", "gain")}))
+
+
+def g21_gains(spark, sf_dir):
+    """Realised and open gain per symbol, open lots at the symbol's last fill."""
+    fills, bought = _sided(spark, sf_dir)
+    how = {"order": LOT_ORDER, "quantity": "quantity"}
+    place = F.struct(*LOT_ORDER)
+    quotes = fills.groupBy("symbol").agg(F.max_by("last_price", place).alias("price"))
+    rows = lots.gains(
+        lots.fifo(fills, ["symbol"], bought, **how), lots.open_lots(fills, ["symbol"], bought, **how), quotes, ["symbol"])
+    return rows.withColumns({c: F.round(c, 3) for c in ("realised", "cost", "open_gain")})
+
+
+LOT_ORDER = ("datetime", "order_id", "line")
+
+
 def g22_adjusted_closes(spark, sf_dir):
     rows = series.adjust(inputs.daily_bars(spark, sf_dir), "symbol", hot_rows=BOUNDED)
     return wall_time(rows.select(
@@ -450,6 +523,30 @@ def g25_trade_quality(spark, sf_dir):
     return reports.trade_quality(table_rows(inputs.flawed_messages(inputs.events(spark, sf_dir)), TRADES))
 
 
+def g25_quality_in_flight(spark, sf_dir):
+    """Quality counts of each micro-batch, observed while its rows are written."""
+    messages = inputs.flawed_messages(inputs.events(spark, sf_dir))
+    topic = scratch_path(spark, "topic")
+    for part in range(3):
+        messages.where(F.col("offset") % 3 == part).coalesce(1).write.mode("append").parquet(topic)
+    stream = FileTopics(topic, max_files_per_trigger=1).read_stream(spark, TRADES.topic)
+    counts = sinks.BatchDirectory(scratch_path(spark, "quality"))
+    run(ingest(stream, TRADES, sinks.BatchDirectory(scratch_path(spark, "trades")), scratch_path(spark, "offsets"),
+               quality=counts))
+    return spark.read.parquet(counts.path).drop("query_id")
+
+
+def g25_flawed_bars(spark, sf_dir):
+    """Bars whose high, low, open or volume some hours break."""
+    hour = F.hour("datetime")
+    flawed = _hourly(spark, sf_dir).withColumns({
+        "high": F.when(hour % 5 == 0, F.col("low") - 1).otherwise(F.col("high")),
+        "open": F.when(hour % 7 == 0, F.col("high") + 1).otherwise(F.col("open")),
+        "volume": F.when(hour % 3 == 0, 0).otherwise(F.col("volume")),
+        "symbol": F.when(hour == 11, F.lit(None)).otherwise(F.col("symbol"))})
+    return reports.bar_quality(flawed)
+
+
 def g25_bar_quality(spark, sf_dir):
     return reports.bar_quality(_hourly(spark, sf_dir))
 

@@ -266,6 +266,31 @@ SQL = {
         SELECT id, symbol, last_price, round(zscore, 6) AS zscore FROM z WHERE abs(zscore) > 2.5""",
 }
 
+ANY_BARS = (("5 minutes", 0), ("1 hour", 30), ("4 hours", 0), ("1 day", 0))
+
+# Units bought and units sold of each symbol, counted along its fills.
+LOTS = f"""WITH {FILLS}, u AS (
+  SELECT * REPLACE (round(last_price * quantity, 2) AS last_price), line % 2 = 1 AS buy, round(quantity, 6) AS units,
+    sum(round(quantity, 6)) OVER (PARTITION BY symbol, line % 2 ORDER BY datetime, order_id, line) AS upto, upto - units AS since
+  FROM fills WHERE quantity > 0)"""
+
+
+def _exponential(source: str, rows: str, price: str, alpha: float, columns: str, order: str) -> str:
+    """Average and volatility, row after row of each symbol."""
+    return f"""{source}, n AS (
+      SELECT {columns}, {price} AS x, row_number() OVER (PARTITION BY symbol ORDER BY {order}) AS nr FROM {rows}),
+    walk AS (
+      WITH RECURSIVE w AS (
+        SELECT symbol, nr, x AS average, CAST(0 AS DOUBLE) AS variance FROM n WHERE nr = 1
+        UNION ALL
+        SELECT n.symbol, n.nr, {1 - alpha}::DOUBLE * w.average + {alpha}::DOUBLE * n.x,
+          {1 - alpha}::DOUBLE * (w.variance + {alpha}::DOUBLE * (n.x - w.average) * (n.x - w.average))
+        FROM w JOIN n ON n.symbol = w.symbol AND n.nr = w.nr + 1)
+      SELECT * FROM w)
+    SELECT {", ".join(f"n.{c.strip()}" for c in columns.split(","))}, round(average, 7) AS average,
+      round(sqrt(variance), 7) AS volatility FROM n JOIN walk USING (symbol, nr)"""
+
+
 TRADE_TYPES = {
     "id": "string", "trade_conditions": "array<string>", "last_price": "float", "symbol": "string",
     "datetime": "timestamp", "volume": "int",
@@ -341,6 +366,57 @@ SQL |= {
     # A session is final, and written, once the watermark has passed its end.
     "g07_sessions_stream": f"""SELECT * FROM ({SQL["g07_sessions"]})
         WHERE session_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+    "g11_exponential": _exponential(HOURLY, "bars", "close", 0.1837, "symbol, datetime, close, volume", "datetime"),
+    "g11_exponential_trades": _exponential(
+        f"WITH {TYPED_TRADES}", "trades", "last_price", 0.0613, "id, symbol, datetime, last_price", "datetime, id"),
+    "g19_trades_to_any_bar": f"""WITH {TYPED_TRADES}, {", ".join(
+        f"""b{n} AS (SELECT symbol, time_bucket(INTERVAL {width}, datetime - INTERVAL {shift} MINUTE,
+              TIMESTAMP '2000-01-01') + INTERVAL {shift} MINUTE AS bar_start,
+            first(last_price ORDER BY datetime, id) AS bar_open, last(last_price ORDER BY datetime, id) AS bar_close
+          FROM trades GROUP BY ALL)""" for n, (width, shift) in enumerate(ANY_BARS))},
+        b AS ({" UNION ALL ".join(
+        f"SELECT *, bar_start + INTERVAL {width} AS bar_end FROM b{n}" for n, (width, _) in enumerate(ANY_BARS))})
+        SELECT t.id, t.symbol, t.datetime, t.last_price, bar_start, bar_end, bar_open, bar_close
+        FROM trades t JOIN b ON t.symbol = b.symbol AND t.datetime >= bar_start AND t.datetime < bar_end""",
+    "g18_as_of_bar_compacted": f"""{PROVIDED} SELECT t.id, t.symbol, t.datetime, CAST(t.last_price AS FLOAT) AS last_price,
+          p.datetime AS bar_datetime, p.close AS bar_close
+        FROM trades t ASOF LEFT JOIN provided p ON t.symbol = p.symbol AND t.datetime >= p.datetime""",
+    "g21_lots": f"""{LOTS} SELECT b.symbol, b.datetime AS buy_datetime, b.order_id AS buy_order_id, b.line AS buy_line,
+          round(b.last_price, 4) AS buy_price, s.datetime AS sale_datetime, s.order_id AS sale_order_id,
+          s.line AS sale_line, round(s.last_price, 4) AS sale_price,
+          CAST(least(b.upto, s.upto) - greatest(b.since, s.since) AS DOUBLE) AS quantity,
+          round(CAST(least(b.upto, s.upto) - greatest(b.since, s.since) AS DOUBLE) * (s.last_price - b.last_price), 4) AS gain
+        FROM u b JOIN u s ON b.symbol = s.symbol AND b.buy AND NOT s.buy AND b.since < s.upto AND s.since < b.upto""",
+    "g21_gains": f"""{LOTS}, m AS (
+          SELECT b.symbol, CAST(least(b.upto, s.upto) - greatest(b.since, s.since) AS DOUBLE) AS q,
+            s.last_price - b.last_price AS gain
+          FROM u b JOIN u s ON b.symbol = s.symbol AND b.buy AND NOT s.buy AND b.since < s.upto AND s.since < b.upto),
+        t AS (SELECT symbol, coalesce(max(upto) FILTER (buy), 0) AS bought, coalesce(max(upto) FILTER (NOT buy), 0) AS sold,
+          last(last_price ORDER BY datetime, order_id, line) AS quote FROM u GROUP BY symbol),
+        o AS (SELECT symbol, last_price, quote, CASE WHEN buy THEN 1 ELSE -1 END
+            * CAST(upto - greatest(since, CASE WHEN buy THEN sold ELSE bought END) AS DOUBLE) AS q
+          FROM u JOIN t USING (symbol) WHERE upto > CASE WHEN buy THEN sold ELSE bought END),
+        c AS (SELECT symbol, sum(q) AS closed, sum(q * gain) AS realised FROM m GROUP BY symbol),
+        p AS (SELECT symbol, sum(q) AS open, sum(q * last_price) AS cost, sum(q * (quote - last_price)) AS open_gain
+          FROM o GROUP BY symbol)
+        SELECT symbol, closed, round(realised, 3) AS realised, open, round(cost, 3) AS cost, round(open_gain, 3) AS open_gain
+        FROM c FULL JOIN p USING (symbol)""",
+    "g25_quality_in_flight": """SELECT event_id % 3 AS batch_id, count(*) AS rows,
+          count(*) FILTER (event_type IN ('error', 'signup')) AS no_symbol,
+          count(*) FILTER (event_type = 'error' OR (event_type = 'purchase' AND event_id % 2 = 0)) AS no_time,
+          count(*) FILTER (event_type = 'error' OR value <= 0) AS no_positive_price,
+          count(*) FILTER (event_type IN ('error', 'view') OR (event_type = 'purchase' AND event_id % 2 <> 0)
+            OR floor(value) <= 0) AS no_positive_volume
+        FROM events GROUP BY event_id % 3""",
+    "g25_flawed_bars": f"""{HOURLY}, h AS (SELECT *, hour(datetime) AS hr FROM bars),
+        f AS (SELECT CASE WHEN hr = 11 THEN NULL ELSE symbol END AS symbol, datetime, low, close,
+            CASE WHEN hr % 5 = 0 THEN low - 1 ELSE high END AS high,
+            CASE WHEN hr % 7 = 0 THEN high + 1 ELSE open END AS open,
+            CASE WHEN hr % 3 = 0 THEN 0 ELSE volume END AS volume FROM h)
+        SELECT count(*) AS rows, count(*) FILTER (symbol IS NULL OR datetime IS NULL) AS no_key,
+          count(*) FILTER (NOT high >= low) AS high_below_low,
+          count(*) FILTER (NOT (open BETWEEN low AND high AND close BETWEEN low AND high)) AS outside_range,
+          count(*) FILTER (NOT volume > 0) AS no_positive_volume FROM f""",
     "g16_rollup_incremental": f"""WITH d AS (SELECT *, CAST(datetime AS DATE) AS day FROM ({STORED_TRADES}))
         SELECT symbol, day, CAST(grouping(symbol, day) AS INTEGER) AS level, count(*) AS trades,
           CAST(sum(volume) AS BIGINT) AS volume, round(sum(CAST(last_price AS DOUBLE) * volume), 4) AS notional

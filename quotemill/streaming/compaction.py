@@ -45,13 +45,16 @@ class BucketedTable:
             return 0
         run = self.progress.next_run(spark)
         shaped = rows.drop("query_id", "batch_id", "day").withColumn("day", F.to_date(self.time))
-        exists = spark.catalog.tableExists(self.table)
-        if exists:
-            spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (run = {run})")
-        (
-            self._dealt(shaped, hot_rows).withColumn("run", F.lit(run).cast("bigint"))
-            .write.mode("append").format("parquet").partitionBy("run", "day")
-            .bucketBy(self.buckets, self.symbol).sortBy(self.symbol, self.time).saveAsTable(self.table))
+        if not spark.catalog.tableExists(self.table):
+            (
+                shaped.limit(0).withColumn("run", F.lit(run).cast("bigint")).write.format("parquet")
+                .partitionBy("run", "day").bucketBy(self.buckets, self.symbol).sortBy(self.symbol, self.time)
+                .saveAsTable(self.table))
+        columns = [f"`{name}`" for name in spark.table(self.table).columns if name not in ("run", "day")]
+        # Whatever a failed run of this number wrote goes.
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} PARTITION (run = {run}, day) "
+            f"SELECT {', '.join(columns)}, day FROM {{rows}}", rows=self._dealt(shaped, hot_rows))
         self.progress.commit(spark, run, ahead)
         return len(ahead)
 
