@@ -20,16 +20,15 @@ WITH docs AS (
   SELECT l.*, line <> '' AS worded, b.line IS NOT NULL AS hit FROM lines l LEFT JOIN boilerplate b USING (line)
 ), counted AS (
   SELECT r, count(*) FILTER (worded) AS n_lines, count(*) FILTER (hit) AS n_hits,
-    coalesce(sum({WORDS.format("raw")}) FILTER (hit), 0) AS hit_words, sum({WORDS.format("raw")}) AS words,
     coalesce(string_agg(raw, chr(10) ORDER BY number) FILTER (NOT hit), '') AS cleaned
   FROM marked GROUP BY r
+), judged AS (
+  SELECT *, n_hits > 0 AND n_hits = n_lines AND count(*) OVER (PARTITION BY text) >= 2 AS is_copy
+  FROM docs JOIN counted USING (r)
 )
-SELECT doc_id,
-  CASE WHEN n_hits = 0 OR 100 * hit_words > 50 * words THEN text ELSE cleaned END AS text,
-  n_lines, n_hits AS n_boilerplate,
-  CASE WHEN 100 * hit_words > 50 * words THEN 0 ELSE n_hits END AS n_removed,
-  100 * hit_words > 50 * words AS is_copy
-FROM docs JOIN counted USING (r)
+SELECT doc_id, CASE WHEN n_hits = 0 OR is_copy THEN text ELSE cleaned END AS text,
+  n_lines, n_hits AS n_boilerplate, CASE WHEN is_copy THEN 0 ELSE n_hits END AS n_removed, is_copy
+FROM judged
 """
 
 TOP_K = """

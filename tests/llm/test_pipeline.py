@@ -32,8 +32,8 @@ def trimmed(line):
 
 
 def clean(rows):
-    """Texts without lines on ten sources or more, unless most words stand in such lines."""
-    sites = {}
+    """Texts without lines on ten sources or more; whole if no line is left and the text stands twice."""
+    sites, times = {}, Counter(row.text for row in rows)
     for row in rows:
         for line in (row.text or "").split("\n"):
             if row.source is not None:
@@ -42,8 +42,8 @@ def clean(rows):
     for row in rows:
         lines = (row.text or "").split("\n")
         hit = [bool(trimmed(line)) and len(sites.get(trimmed(line), ())) >= 10 for line in lines]
-        lost = sum(len(words(line)) for line, h in zip(lines, hit) if h)
-        whole = not any(hit) or 2 * lost > len(words(row.text))
+        copy = times[row.text] > 1 and sum(hit) == sum(bool(trimmed(line)) for line in lines)
+        whole = not any(hit) or copy
         out[row.doc_id] = row.text if whole else "\n".join(line for line, h in zip(lines, hit) if not h)
     return out
 

@@ -78,6 +78,33 @@ def test_copies_stay_whole_and_marked(spark):
     assert {r.text for r in rows} == {same, "other"}
 
 
+def test_only_proven_copies_stay_whole(spark):
+    """Boilerplate goes from short texts too, and from a lone text that has nothing else."""
+    notice = "a long shared notice of many more words than the page that carries it has of its own"
+    texts = [f"own words {k}\n{notice}" for k in range(20)] + [notice, f"{notice}\n\n{notice}", "lone", notice + "\n"]
+    rows = line_dedup.without_boilerplate(frame(spark, texts, [f"s{k}" for k in range(24)])).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == [f"own words {k}" for k in range(20)] + ["", "", "lone", ""]
+    assert not any(r.is_copy for r in rows)
+    twice = frame(spark, [*texts, notice], [f"s{k}" for k in range(25)])
+    found = {r.doc_id: r for r in line_dedup.without_boilerplate(twice).collect()}
+    assert [number for number, r in found.items() if r.is_copy] == [20, 24] and found[24].text == notice
+
+
+def test_many_boilerplate_lines_of_one_text(spark):
+    shared = [f"line {k} of a very long page" for k in range(30_000)]
+    texts = ["\n".join(["top", *shared, f"end {k}"]) for k in range(10)]
+    rows = line_dedup.with_clean_text(frame(spark, texts, [f"s{k}" for k in range(10)])).collect()
+    assert {r.text for r in rows} == {f"end {k}" for k in range(10)}
+
+
+def test_names_with_dots_and_own_names(spark):
+    docs = frame(spark, ["both\nx1", "both\nx2", "both"] * 6, [f"s{k}" for k in range(18)]).withColumns({
+        "a.b": F.lit(1), "t1": F.lit("x"), "is_copy": F.lit(None).cast("int")})
+    out = line_dedup.with_clean_text(docs.withColumnRenamed("text", "the.text"), text_col="the.text")
+    assert out.columns == [c if c != "text" else "the.text" for c in docs.columns]
+    assert sorted(r["the.text"] for r in out.collect()) == ["both"] * 6 + ["x1"] * 6 + ["x2"] * 6
+
+
 def test_line_plan_is_native(spark, sf_dir):
     plan = queries.op4_line_spread(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for slow in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"):
