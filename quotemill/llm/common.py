@@ -133,3 +133,11 @@ def saved(df: DataFrame) -> DataFrame:
 
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

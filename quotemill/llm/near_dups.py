@@ -15,10 +15,12 @@ Links are found in rounds that never pair all members of a bucket:
 2. in wide buckets that still hold several components, every member against a
    member chosen by hash, so a large group meets many different ones;
 3. what is left open: members outside their bucket's largest component against
-   all members of other components, in blocks. A semi-join by estimate finds the
-   members that any comparison can concern; a task then holds a block with its
-   sets and returns links alone, so no pair that fails is ever a row. Wide
-   buckets are compared like the others, in more blocks.
+   all members of other components, in a grid of blocks: those that ask are cut
+   into blocks as well as those that are asked, and a cell of the grid holds one
+   block of each. A semi-join by estimate finds the members that any comparison
+   can concern; a task then holds a cell with its sets and returns links alone,
+   so no pair that fails is ever a row. However wide a bucket, a cell is as
+   large; there are more of them.
 
 After each round linked classes become one component (alternating large-star
 and small-star steps), and members of one component are not compared again. A
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quotemill.llm.common import give_back, saved
+from quotemill.llm.common import give_back, saved, unused
 
 SHINGLE = 5
 SIMILARITY = 75
@@ -57,8 +59,10 @@ SEED = 20_240_229
 SLACK = 5
 # Shingles hashed at a time, which bounds a task's memory whatever the texts.
 CHUNK = 1 << 19
-# Members of a block, comparisons of a bucket before members are chosen by hash in it.
+# Members of a block at most, comparisons of a bucket before members are chosen by hash in it.
 BLOCK, WORK = 512, 1_000_000
+# Share of a block that is filled on average, as members are dealt by hash.
+FILL = 0.75
 # Rounds in which wide buckets choose a member by hash.
 PIVOTS = 2
 # Classes whose texts or sets are picked out by a broadcast of 8 bytes each; more are joined.
@@ -344,27 +348,15 @@ class Search:
         return self.links
 
     def crossed(self, opened: DataFrame) -> DataFrame:
-        """Members outside the largest component against the bucket, block by block.
+        """Members outside the largest component against the bucket, cell by cell.
 
         Two members that share several buckets meet in the one of their first
         common band.
         """
-        place = F.struct(
-            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("asks"))
-        everywhere = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda block: F.struct(block.alias("block"), F.lit(True).alias("asks")))
-        # Every member stands in one block; members outside the largest component also ask in all.
-        rows = (
-            opened.join(self.reps.select("node", "n", "planes", "bands"), "node")
-            .withColumns({
-                "blocks": F.ceil(F.col("all") / BLOCK).cast("int"), "minor": F.col("label") != F.col("major")})
-            .select("bucket", "node", "label", "n", "planes", "bands", "minor", F.explode(
-                F.when(F.col("minor"), F.concat(F.array(place), everywhere)).otherwise(F.array(place))).alias("at"))
-            .select("bucket", "at.block", "at.asks", "node", "label", "n", "planes", "bands", "minor"))
+        rows = self.cells(opened)
         here = rows.alias("l")
         there = rows.alias("r")
-        same = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.block") == F.col("r.block"))
+        same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in CELL])
         # Two members that both ask meet twice; the one of the smaller node is enough.
         once = F.when(F.col("l.asks"), ~F.col("r.minor") | (F.col("l.node") < F.col("r.node"))).otherwise(
             ~F.col("l.minor") | (F.col("r.node") < F.col("l.node")))
@@ -375,15 +367,48 @@ class Search:
             here.join(there, same & other & once & may_link("l", "r", self.similarity) & turn, "left_semi"))
         return (
             meeting.join(self.sets_at(meeting.select("node")), "node")
-            .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+            .repartition(*CELL).sortWithinPartitions(*CELL)
             .mapInArrow(linker(self.similarity), "a bigint, b bigint"))
 
+    def cells(self, opened: DataFrame) -> DataFrame:
+        """The open buckets' members in the cells of their grids.
+
+        A member stands in one block, in the cells of all blocks that ask; one
+        outside the largest component also asks, from one block, in the cells of
+        all blocks it stands against. So every asking member meets every other.
+        """
+        def dealt(seed: int, blocks: str) -> Column:
+            return F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(blocks)).cast("int")
+
+        def cell(block: Column, asking: Column, asks: bool) -> Column:
+            return F.struct(block.alias("block"), asking.alias("asking"), F.lit(asks).alias("asks"))
+
+        def upto(blocks: str) -> Column:
+            return F.sequence(F.lit(0), F.col(blocks) - 1)
+
+        stands = F.transform(upto("asking_blocks"), lambda k: cell(dealt(0, "blocks"), k, False))
+        asked = F.transform(upto("blocks"), lambda k: cell(k, dealt(1, "asking_blocks"), True))
+        filled = FILL * BLOCK
+        return (
+            opened.join(self.reps.select("node", "n", "planes", "bands"), "node")
+            .withColumns({
+                "blocks": F.ceil(F.col("all") / filled).cast("int"),
+                "asking_blocks": F.ceil((F.col("all") - F.col("top")) / filled).cast("int"),
+                "minor": F.col("label") != F.col("major")})
+            .select("bucket", "node", "label", "n", "planes", "bands", "minor", F.explode(
+                F.when(F.col("minor"), F.concat(stands, asked)).otherwise(stands)).alias("at"))
+            .select("bucket", "at.block", "at.asking", "at.asks", "node", "label", "n", "planes", "bands", "minor"))
+
+
+# What names a cell of the grids.
+CELL = ("bucket", "block", "asking")
+
 
 def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Function of sorted rows: one link for each asking row and component it is similar to, by block.
+    """Function of sorted rows: one link for each asking row and component it is similar to, by cell.
 
-    Rows are compared under the same rules that chose them. Only a block's rows
-    are held. Rows of a block follow each other, possibly in several batches.
+    Rows are compared under the same rules that chose them. Only a cell's rows
+    are held. Rows of a cell follow each other, possibly in several batches.
     """
     least = least_estimate(similarity)
     accident = 2.0 ** -BITS
@@ -427,12 +452,12 @@ def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
-            bucket, block = table["bucket"].to_numpy(), table["block"].to_numpy()
-            borders = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
+            places = [table[name].to_numpy() for name in CELL]
+            borders = np.flatnonzero(np.any([place[1:] != place[:-1] for place in places], axis=0)) + 1
             found = []
             for start, end in zip([0, *borders], borders):
                 found += links(table.slice(start, end - start))
-            # The last block may go on in the next batch.
+            # The last cell may go on in the next batch.
             held = table.slice(borders[-1] if len(borders) else 0)
             yield packed(found)
         if held is not None and len(held):
@@ -449,7 +474,7 @@ def linker(similarity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 def assigned(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> DataFrame:
     """Per document: id, text hash, set size, component (null without shingles) and the component's id."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = saved(texts.select(
         "id", F.xxhash64("text").alias("text_hash"), signatures()("text").alias("s")).select("id", "text_hash", "s.*"))
     reps = saved(
@@ -484,17 +509,22 @@ def one_of_each(
     """The documents with one row of each component, all columns as they were.
 
     Of a component the smallest id stays, rows without an id last. Documents
-    without shingles are in no component and all stay, repeated rows once.
+    without shingles are in no component and all stay, repeated rows once. Of
+    rows with equal id and text one stays, also if they differ elsewhere.
     """
     rows = saved(assigned(docs, id_col, text_col, similarity))
     first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first")
     chosen = rows.where("label is not null").groupBy("label").agg(first).select("first.id", "first.text_hash")
     alone = rows.where("label is null").select("id", "text_hash").distinct()
     kept = chosen.unionByName(alone).withColumnsRenamed({"id": "__kept_id", "text_hash": "__kept_hash"})
-    same = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.xxhash64(text_col) == F.col("__kept_hash"))
+    number, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    same = number.eqNullSafe(F.col("__kept_id")) & (F.xxhash64(text) == F.col("__kept_hash"))
     stay = docs.join(kept, same, "left_semi")
     repeated = rows.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         return stay
     # Rows of equal id and text cannot be told apart by what is kept.
-    return stay.withColumn("__hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__hash"]).select(*docs.columns)
+    own = [unused(docs, name) for name in ("__id", "__hash")]
+    return (
+        stay.withColumns({own[0]: number, own[1]: F.xxhash64(text)}).dropDuplicates(own)
+        .select(*[F.col(f"`{name}`") for name in docs.columns]))

@@ -158,7 +158,8 @@ def training_rows(
     # At most 2 * rows_per_label rows, which bounds the broadcast and the collect.
     few = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "_id"))
     texts = (
-        docs.where(F.length("text") <= longest_text)
+        # Other columns may have any name.
+        docs.select("doc_id", "text").where(F.length("text") <= longest_text)
         .join(few, F.col("doc_id") == F.col("_id"))
         .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
     found = sorted(texts.collect(), key=lambda row: row.doc_id)

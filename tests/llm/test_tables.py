@@ -469,3 +469,53 @@ def test_near_duplicates_of_nothing(spark, tmp_path):
     assert queries.op8_near_duplicates(spark, stored(frame(spark, []), tmp_path)).count() == 0
     rows = queries.op8_near_duplicates(spark, stored(frame(spark, [None, "", " "]), tmp_path)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows) == [(k, 0, k, True) for k in range(3)]
+
+
+def templated(count, draw):
+    """Pages of one template at similarity about 0.6: alike enough to share bands, too far apart to link."""
+    shared = [f"t{k}" for k in range(150)]
+    return [" ".join(shared + [f"o{number}-{k}" for k in range(50)]) for number in range(count)] + [
+        " ".join(shared + [f"o{draw.randrange(count)}-{k}" for k in range(50)])]
+
+
+@pytest.mark.parametrize("count", [300, 1200])
+def test_cells_of_a_wide_bucket_stay_small(spark, monkeypatch, count):
+    """However many members ask in a bucket, a cell holds two blocks at most; every pair meets once."""
+    monkeypatch.setattr(near_dups, "BLOCK", 64)
+    rows = [(7, number, number if number % 3 else 0, count, count // 3, 0, [number] * 2) for number in range(count)]
+    opened = spark.createDataFrame(
+        [(r[0], r[1], r[2], r[3], r[4], r[5]) for r in rows], "bucket bigint, node bigint, label bigint, all bigint, top bigint, major bigint")
+    search = near_dups.Search.__new__(near_dups.Search)
+    search.reps = spark.range(count).select(
+        F.col("id").alias("node"), F.lit(10).alias("n"), F.array(F.lit(0)).alias("planes"), F.array(F.lit(7)).alias("bands"))
+    cells = search.cells(opened).collect()
+    sizes = Counter((r.block, r.asking) for r in cells)
+    assert max(sizes.values()) <= 2 * 64
+    stands, asks = {}, {}
+    for r in cells:
+        (asks if r.asks else stands).setdefault((r.block, r.asking), []).append(r.node)
+    met = Counter((a, s) for cell, askers in asks.items() for a in askers for s in stands.get(cell, []))
+    assert met == Counter((a, s) for a in range(count) if a % 3 for s in range(count))
+
+
+def test_templated_pages_equal_comparing_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 32)
+    texts = templated(150, random.Random(3))
+    docs = frame(spark, texts)
+    out = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs).collect()}
+    assert out == dict(enumerate(brute_components(list(enumerate(texts)))))
+
+
+def test_near_duplicates_of_names_with_dots_and_own_names(spark):
+    docs = frame(spark, ["one two three four five six"] * 3 + ["other words stand here alone now"], ids=[1, 1, 2, 3])
+    docs = docs.withColumnsRenamed({"doc_id": "doc.id", "text": "the.text"}).withColumns({
+        "__hash": F.lit("x"), "__id": F.lit(1), "node": F.lit(2), "label": F.lit("y")})
+    out = near_dups.one_of_each(docs, id_col="doc.id", text_col="the.text")
+    assert out.columns == docs.columns
+    assert sorted((r["doc.id"], r["__hash"]) for r in out.collect()) == [(1, "x"), (3, "x")]
+
+
+def test_quality_fits_beside_columns_of_any_name(spark):
+    docs = frame(spark, [f"text {k} of some length" for k in range(60)]).withColumns({"label": F.lit(1), "_id": F.lit("x"), "other": F.lit(0)})
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], QUALITY)
+    assert quality.fit(docs, labels) == quality.fit(docs.select("doc_id", "text"), labels)
