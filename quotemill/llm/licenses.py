@@ -2,9 +2,10 @@
 
 A text is lower-cased (A-Z) and cut into words of digits, letters a-z and
 non-ASCII characters. Rules are regular expressions over the words joined by
-single blanks. Hundreds of them come from a table of license families: every
-name of a family with every version and every qualifier, besides hand-written
-signatures of license texts. Each rule lists whole words, one of which every
+single blanks: some two hundred hand-written signatures of license texts, heads
+and notices, and the names of license families with their versions and
+qualifiers. A plus sign after a version means that or a later one. Expressions
+after an SPDX tag are read identifier by identifier. Each rule lists whole words, one of which every
 match of it holds, with a version joined to a short name ("gplv2", "gpl3")
 among them; only rules with such a word are run, which leaves most texts
 without any.
@@ -26,13 +27,14 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import types as T
 
 from quotemill.llm.common import per_value
+from quotemill.llm.license_sentences import IDENTIFIERS, SENTENCES
 
 # Phrases and their labels (fixed values).
 PHRASES = (
@@ -127,6 +129,8 @@ SIGNATURES = (
     ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "domain"),
 )
 
+MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
+
 # Priorities: a whole sentence, a qualified version, a version, a bare name.
 SENTENCE, QUALIFIED, VERSIONED, NAMED = 4, 3, 2, 1
 STRENGTH = {SENTENCE: 1.0, QUALIFIED: 0.95, VERSIONED: 0.9, NAMED: 0.6}
@@ -148,7 +152,7 @@ class Rule:
 
 
 def rule(name: str, label: str, priority: int, gate: str, words: str) -> Rule:
-    return Rule(name, label, priority, tuple(gate.encode().split()), re.compile(f"(?<= ){words}(?= )".encode()))
+    return Rule(name, label, priority, tuple(gate.encode().split()), re.compile(f"(?<= )(?:{words})(?= )".encode()))
 
 
 def joined_gate(name: str, gate: str, version: str) -> str:
@@ -160,7 +164,8 @@ def joined_gate(name: str, gate: str, version: str) -> str:
 def version_words(version: str) -> str:
     """Words a version is written with; a zero minor number may be missing."""
     major, minor = version.split(".")
-    digits = f"{major}(?: 0)?(?! [0-9]+ )" if minor == "0" else f"{major} {minor}"
+    # Another number may be the minor one, unless it is the day of a date.
+    digits = f"{major}(?: 0)?(?! [0-9]{{1,2}} (?!(?:{MONTHS}) ))" if minor == "0" else f"{major} {minor}"
     return f"(?: (?:version|ver|v))? ?v?{digits}"
 
 
@@ -170,6 +175,8 @@ def rules() -> tuple[Rule, ...]:
     out = []
     for label, words, gate in SIGNATURES:
         out.append(rule(f"text:{label}:{len(out)}", label, SENTENCE, gate, words))
+    for label, words, gate in SENTENCES:
+        out.append(rule(f"text:{label}:{len(out)}", label, SENTENCE, gate, words))
     for stem, names, versions, qualified in FAMILIES:
         for place, (name, gate) in enumerate(names):
             for version in versions:
@@ -199,17 +206,54 @@ def rules() -> tuple[Rule, ...]:
         for place, words in enumerate((f"bsd {digit} clause", f"{digit} clause bsd", f"{spelled} clause bsd")):
             out.append(rule(f"bsd-{digit}:{place}", f"bsd-{digit}-clause", VERSIONED, "bsd", words))
     out.append(rule("bsd", "bsd", NAMED, "bsd", "bsd licen[cs]e"))
-    # Identifiers as they stand in source files.
+    return tuple(out)
+
+
+def spelled(label: str) -> tuple[bytes, ...]:
+    """An identifier as the words it is cut into."""
+    return tuple(re.split(rb"[-.]", label.encode()))
+
+
+@lru_cache(maxsize=1)
+def identifiers() -> dict[tuple[bytes, ...], Rule]:
+    """Known SPDX identifiers by their words."""
+    labels = [*IDENTIFIERS]
     for stem, _, versions, qualified in FAMILIES:
         for version in versions or ("",):
             label = f"{stem}-{version}" if version else stem
-            words = f"spdx license identifier {label.replace('-', ' ').replace('.', ' ')}"
-            out.append(rule(f"spdx:{label}", label, SENTENCE, "spdx", words))
-            if qualified:
-                for suffix in ("only", "or-later"):
-                    out.append(rule(f"spdx:{label}-{suffix}", f"{label}-{suffix}", SENTENCE, "spdx",
-                                    f"{words} {suffix.replace('-', ' ')}"))
-    return tuple(out)
+            labels += [label, *[f"{label}-{suffix}" for suffix in ("only", "or-later") if qualified]]
+    labels += [f"cc-{clauses}-{version}" for clauses, _ in CLAUSES for version in CC_VERSIONS]
+    found = {}
+    for label in labels:
+        words = spelled(label)
+        found[words] = rule(f"spdx:{label}", label, SENTENCE, "spdx", " ".join(word.decode() for word in words))
+    return found
+
+
+TAG = (b"spdx", b"license", b"identifier")
+LONGEST = 6
+LATER = {f"{stem}-{version}" for stem, _, versions, qualified in FAMILIES if qualified for version in versions}
+
+
+def tagged(words: list[bytes]) -> list[tuple[Rule, int, int]]:
+    """Identifiers of the expressions after SPDX tags, each with the words it stands in."""
+    known, out = identifiers(), []
+    for place in [k for k, word in enumerate(words) if word == TAG[0] and tuple(words[k:k + 3]) == TAG]:
+        start = place + 3
+        while True:
+            sizes = [n for n in range(LONGEST, 0, -1) if tuple(words[start:start + n]) in known]
+            if not sizes:
+                break
+            end = start + sizes[0]
+            # The first identifier owns the tag.
+            out.append((known[tuple(words[start:end])], place if start == place + 3 else start, end))
+            if words[end:end + 1] == [b"with"]:
+                # An exception's name, up to the next operator.
+                end = next((k for k in range(end + 1, min(end + 9, len(words))) if words[k] in (b"or", b"and")), len(words))
+            if words[end:end + 1] not in ([b"or"], [b"and"]):
+                break
+            start = end + 1
+    return out
 
 
 def word_bytes() -> bytes:
@@ -248,7 +292,7 @@ class Scanner:
 
     def __init__(self) -> None:
         self.table = word_bytes()
-        self.by_gate: dict[bytes, list[Rule]] = {}
+        self.by_gate: dict[bytes, list[Rule]] = {TAG[0]: []}
         for known in rules():
             for gate in known.gates:
                 self.by_gate.setdefault(gate, []).append(known)
@@ -256,7 +300,8 @@ class Scanner:
         self.phrases = [(f" {words} ".encode(), len(words.split()), label) for words, label in PHRASES]
 
     def __call__(self, text: str | None) -> dict:
-        words = (text or "").encode("utf-8", "surrogatepass").translate(self.table).split()
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        words = raw.translate(self.table).split()
         gates = self.gates.intersection(words)
         places: list[dict] = []
         found: list[tuple[Rule, int, int]] = []
@@ -275,6 +320,9 @@ class Scanner:
                 for match in known.pattern.finditer(joined):
                     start = number.word(match.start())
                     found.append((known, start, start + match.group().count(b" ") + 1))
+            found += tagged(words) if TAG[0] in gates else []
+            if b"+" in raw:
+                found = self.or_later(found, raw)
         kept = unsuppressed(found)
         strengths = [STRENGTH[known.priority] for known, _, _ in kept] + [BASE_STRENGTH] * bool(places)
         return {
@@ -287,6 +335,21 @@ class Scanner:
         }
 
 
+    def or_later(self, found: list[tuple[Rule, int, int]], raw: bytes) -> list[tuple[Rule, int, int]]:
+        """The detections, with those whose last word a plus sign follows labelled as that version or later."""
+        signs = [match.end() for match in re.finditer(rb"[0-9](?=\+)", raw)]
+        plus, done, number = set(), 0, 0
+        for end in signs:
+            number += len(raw[done:end].translate(self.table).split())
+            # A word cut by the border would count twice.
+            plus.add(number - 1)
+            done = end
+        return [
+            (replace(known, label=f"{known.label}-or-later", name=f"{known.name}+", priority=max(known.priority, QUALIFIED))
+             if end - 1 in plus and known.label in LATER else known, start, end)
+            for known, start, end in found]
+
+
 class Numbering:
     """Word number of a place in the joined words."""
 

@@ -63,6 +63,64 @@ def spellings(parsed):
     return out
 
 
+HEADS = [
+    ("gpl-2.0", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991"),
+    ("gpl-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+    ("lgpl-2.1", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999"),
+    ("lgpl-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+    ("agpl-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007"),
+    ("gfdl-1.3", "GNU Free Documentation License\nVersion 1.3, 3 November 2008"),
+    ("apache-2.0", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/"),
+    ("mpl-2.0", "Mozilla Public License Version 2.0\n=================================="),
+    ("mpl-1.1", "Mozilla Public License Version 1.1"),
+    ("epl-2.0", "Eclipse Public License - v 2.0"),
+    ("epl-1.0", "Eclipse Public License - v 1.0"),
+    ("cddl-1.0", "COMMON DEVELOPMENT AND DISTRIBUTION LICENSE (CDDL) Version 1.0"),
+    ("mit", "The MIT License (MIT)\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this "
+            "software and associated documentation files"),
+    ("isc", "ISC License\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without "
+            "fee is hereby granted"),
+    ("bsd-2-clause", "BSD 2-Clause License"),
+    ("bsd-3-clause", "BSD 3-Clause License"),
+    ("bsd-4-clause", "All advertising materials mentioning features or use of this software must display the following "
+                     "acknowledgement:"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer."),
+    ("zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("bsl-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("wtfpl", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"),
+    ("artistic-2.0", "The Artistic License 2.0\n\nCopyright (c) 2000-2006, The Perl Foundation."),
+    ("ofl-1.1", "SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007"),
+    ("eupl-1.2", "EUROPEAN UNION PUBLIC LICENCE v. 1.2"),
+    ("mulanpsl-2.0", "Mulan Permissive Software License, Version 2"),
+    ("blueoak-1.0.0", "# Blue Oak Model License\n\nVersion 1.0.0"),
+    ("busl-1.1", "Business Source License 1.1"),
+    ("sspl-1.0", "Server Side Public License\nVERSION 1, OCTOBER 16, 2018"),
+    ("elastic-2.0", "Elastic License 2.0"),
+    ("cc0-1.0", "CC0 1.0 Universal"),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("upl-1.0", "The Universal Permissive License (UPL), Version 1.0"),
+    ("python-2.0", "PYTHON SOFTWARE FOUNDATION LICENSE VERSION 2"),
+    ("mit", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+            "THE WARRANTIES OF MERCHANTABILITY"),
+]
+
+
+@pytest.mark.parametrize("label, head", HEADS)
+def test_heads_of_licenses_give_exact_ids(label, head):
+    found = licenses.Scanner()(f"Some project.\n\n{head}\n\nMore text follows here")
+    assert label in {detection["label"] for detection in found["detections"]}
+    assert found["score"] >= (0.9 if "." in label else 0.6)
+
+
+@pytest.mark.parametrize("label", sorted({"-".join(w.decode() for w in words) for words in licenses.identifiers()})[:400])
+def test_tags_give_their_identifier(label):
+    known = {"-".join(w.decode() for w in words): rule.label for words, rule in licenses.identifiers().items()}
+    (found,) = licenses.Scanner()(f"// SPDX-License-Identifier: {known[label].upper()}\n")["detections"]
+    assert found["label"] == known[label]
+
+
 def test_every_spelling_of_a_rule_passes_its_gate():
     scan = licenses.Scanner()
     for rule in licenses.rules():
@@ -75,7 +133,16 @@ def test_every_spelling_of_a_rule_passes_its_gate():
 @pytest.mark.parametrize("text, labels", [
     ("released under GPLv3", ["gpl-3.0"]),
     ("GNU GPLv2", ["gpl-2.0"]),
-    ("LGPLv2.1+ and AGPLv3 or later", ["lgpl-2.1", "agpl-3.0-or-later"]),
+    ("LGPLv2.1+ and AGPLv3 or later", ["lgpl-2.1-or-later", "agpl-3.0-or-later"]),
+    ("GPL-2.0+ or GPL-2.0", ["gpl-2.0-or-later", "gpl-2.0"]),
+    ("1+1 and 2 + 2 C++11 code under GPLv3+, not GPL 3", ["gpl-3.0-or-later", "gpl-3.0"]),
+    ("the GPL version 3 29 words on", []),
+    ("GPL version 2 of 3 June 1999, LGPL version 3, 4 July 2007", ["gpl-2.0", "lgpl-3.0"]),
+    ("SPDX-License-Identifier: Apache-2.0 OR MIT\nor ISC", ["apache-2.0", "mit", "isc"]),
+    ("SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0 OR BSD-3-Clause) */ mit",
+     ["gpl-2.0-or-later", "bsd-3-clause"]),
+    ("SPDX-License-Identifier: BUSL-1.1", ["busl-1.1"]),
+    ("SPDX-License-Identifier: LicenseRef-Own", []),
     ("GPL3 only, MPLv2 and Apache2", ["gpl-3.0-only", "mpl-2.0", "apache-2.0"]),
     ("GPLv2, which is GPL version 2", ["gpl-2.0", "gpl-2.0"]),
     ("the beer ware license", ["beerware"]),
