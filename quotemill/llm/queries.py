@@ -102,16 +102,12 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, with its source's size and target."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    sized = docs.select("doc_id", "source", words_of(F.col("text")).alias("size"))
-    mix = mixing.Mix(sized, F.array("source"), F.col("size"), mixing.cycled)
-    # One row per source, as many as the mix has quotas.
-    sources = spark.createDataFrame(
-        [(name, mix.sizes[name], float(mix.targets[name])) for name in mix.targets],
-        "name string, source_size bigint, target double")
-    return (
-        mix.readings(sized, "readings")
-        .join(mix.small(sources), F.col("source").eqNullSafe(F.col("name")))
-        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("readings")).alias("taken")))
+    sized = docs.select("doc_id", "source", "text", words_of(F.col("text")).alias("size"))
+    mix = mixing.Mix(sized, F.col("source"), F.col("size"), F.col("text"))
+    read = mix.readings(sized, "readings").drop("text").alias("d")
+    sources = mix.sources.alias("s")
+    return read.join(sources, F.col("d.source").eqNullSafe(F.col("s.source"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("readings")).alias("taken"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,48 +89,6 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM based
 """
 
-# Targets in closed form: sources in order of cap by weight, the first ones capped.
-SOURCE_MIX = rf"""
-WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, source, CAST({WORDS.format("coalesce(text, '')")} AS BIGINT) AS size
-  FROM documents
-), sources AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n,
-    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1 AS weight
-  FROM docs GROUP BY source
-), levels AS (
-  SELECT *, row_number() OVER up AS place,
-    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER below, 0) AS open_size,
-    sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS open_weight
-  FROM sources
-  WINDOW up AS (ORDER BY source_size / weight, source NULLS LAST),
-    below AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), level AS (
-  SELECT arg_min(open_size, place) AS open_size, arg_min(open_weight, place) AS open_weight FROM levels
-  WHERE 3 * source_size * open_weight >= weight * open_size
-), targets AS (
-  SELECT s.*, least(3.0 * source_size, coalesce(CAST(open_size * weight AS DOUBLE) / open_weight, 0)) AS target
-  FROM sources s CROSS JOIN level
-), plan AS (
-  SELECT *, CAST(round_even(target, 0) AS BIGINT) // greatest(source_size, 1) AS whole,
-    CAST(round_even(target, 0) AS BIGINT) % greatest(source_size, 1) AS rest, greatest(1, CAST(ceil(n / 2000.0) AS BIGINT)) AS buckets
-  FROM targets
-), ranked AS (
-  SELECT d.*, p.* EXCLUDE (source),
-    md5('2024:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(size AS VARCHAR)) AS rank
-  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
-), ordered AS (
-  SELECT *, coalesce(sum(size) OVER (
-    PARTITION BY source ORDER BY CAST('0x' || substr(rank, 1, 8) AS BIGINT) % buckets, rank, doc_id, size, r
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM ranked
-)
-SELECT doc_id, size, source_size, target,
-  CAST(CASE WHEN size = 0 THEN 0
-    ELSE size * (whole + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken
-FROM ordered
-"""
-
 NEAR_DUPLICATES = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
@@ -235,7 +193,6 @@ SQL: dict[str, str] = {
     "op4_line_spread": LINE_SPREAD,
     "op5_top_k": TOP_K,
     "op6_rule_cascade": RULE_CASCADE,
-    "op7_source_mix": SOURCE_MIX,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op11_merkle": merkle(6),
 }

@@ -16,7 +16,7 @@ DOCUMENT_QUERIES = sorted(set(SQL) - {"op5_top_k"})
 def test_every_operator_has_one_query():
     assert sorted(name.split("_")[0] for name in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     # Labels, spans, scores and token ids come from methods SQL cannot express.
-    assert set(QUERIES) - set(SQL) == {"op1_pii", "op2_license_scan", "op3_quality", "op9_token_counts", "op10_bpe_codec",
+    assert set(QUERIES) - set(SQL) == {"op7_source_mix", "op1_pii", "op2_license_scan", "op3_quality", "op9_token_counts", "op10_bpe_codec",
                                         "op12_packing", "op13_runs"}
 
 
