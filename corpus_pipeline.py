@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.llm import bpe, line_dedup, mixing, near_dups, quality
-from quotemill.llm.common import labels, ship_package, words_of
+from quotemill.llm.common import labels, ship_package, unused, words_of
 from quotemill.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,10 +43,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Brings sources to their target weights; a document read twice stands twice."""
     ship_package(spark)
-    mix = mixing.Mix(docs, F.array("source"), words_of(F.col("text")), mixing.cycled)
-    read = mix.readings(docs, "__readings").where("__readings > 0")
-    again = F.explode(F.sequence(F.lit(1), F.col("__readings")))
-    return read.withColumn("__reading", again).select(*docs.columns)
+    mix = mixing.Mix(docs, F.col("source"), words_of(F.col("text")), F.col("text"))
+    times, turn = unused(docs, "__readings"), unused(docs, "__reading")
+    read = mix.readings(docs, times).where(F.col(times) > 0)
+    again = F.explode(F.sequence(F.lit(1), F.col(times)))
+    return read.withColumn(turn, again).select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
