@@ -4,18 +4,23 @@ Base spans come from four patterns, each applied leftmost and non-overlapping;
 a match that fails its check is dropped. They are never removed.
 
 The field decides on what the patterns miss: numbers and addresses written in
-another way, and repeats of an entity in part. Its nodes, in text order, are the
-base spans, whose labels are fixed, and the candidates. Neighbours are joined
+another way, repeats of an entity in part, and credentials, for which there is
+no base pattern (kind ``secret``). A credential is a long run of letters and
+digits of high entropy; one that a word such as ``token`` or ``password``
+announces is known, and what it looks like and where it is repeated tells others.
+The field's nodes, in text order, are the known ones (base spans and announced
+credentials), whose labels are fixed, and the candidates. Neighbours are joined
 in a chain, unless a skip edge joins them. Skip edges join nodes that are far apart but repeat each other: the
-same digits, the same last digits, the same account name. A key's nodes are
+same digits, the same last digits, the same account name, the same credential. A key's nodes are
 joined in a row and to the key's first node, so edges grow with the nodes.
 Loopy sum-product message passing with damping runs over both kinds of edges, so
 an entity recognised in one place raises its label wherever it is repeated. A
-candidate becomes a span if some label's belief passes ``MIN_BELIEF``.
+candidate becomes a span if a skip edge joins it to another node and some label's
+belief passes ``MIN_BELIEF``. Documents without a known node are left alone.
 
 The potentials are estimated, not set: features of spans and candidates are
-counted with the base labels as supervision, over all documents, and smoothed.
-Features never say whether a pattern matched.
+counted with the known labels as supervision, over all documents, and smoothed.
+Features never say whether a pattern matched, nor what announced a credential.
 
 Null and empty texts have no spans. Cost is linear in the text plus a constant
 number of message rounds over its nodes. Repeated rows give repeated rows;
@@ -25,7 +30,9 @@ smoothing alone.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
@@ -36,8 +43,11 @@ from pyspark.sql import types as T
 
 from quotemill.llm.common import per_value
 
+# Kinds of base spans, and all that the field tells apart.
 KINDS = ("email", "ip", "card", "phone")
-OTHER = len(KINDS)
+LABELS = (*KINDS, "secret")
+SECRET = LABELS.index("secret")
+OTHER = len(LABELS)
 
 ROUNDS = 12
 DAMPING = 0.5
@@ -70,6 +80,14 @@ CUES = {
     "server": "ip", "address": "contact",
 }
 BEFORE = 40
+# Credentials: runs of letters, digits and signs of base 64, and what announces one (fixed values).
+RUN = re.compile(r"[A-Za-z0-9_+/-]{16,}+=*")
+ANNOUNCED = re.compile(
+    r"(?:api|access|private|secret|auth|client|account|session|service)?[_ -]?"
+    r"(?:key|secret|token|password|passwd|pwd|passphrase|credentials?|bearer)(?:[_ -]?id)?"
+    r"[\"'`]?\s{0,3}(?:[=:]|=>|:=)?\s{0,3}[\"'`]?\Z", re.IGNORECASE)
+# Bits a character carries at least: random hexadecimal has near 4, words of a language about 3.
+LEAST_BITS = 2.6
 DIGITS = re.compile(r"[0-9]+")
 
 
@@ -131,9 +149,35 @@ def base_spans(text: str) -> list[Node]:
     return sorted(found, key=lambda node: (node.start, KINDS.index(node.kind)))
 
 
+def bits(text: str) -> float:
+    """Entropy of the text's characters."""
+    total = len(text)
+    return -sum(n / total * math.log2(n / total) for n in Counter(text).values())
+
+
+def credentials(text: str) -> list[tuple[int, int]]:
+    """Runs that may be credentials: letters and digits mixed, in no order a word has."""
+    out = []
+    for match in RUN.finditer(text):
+        run = match.group()
+        digits = sum(c.isdigit() for c in run)
+        if digits >= 3 and digits < len(run) - 2 and bits(run) >= LEAST_BITS:
+            out.append(match.span())
+    return out
+
+
+def announced(text: str, start: int) -> bool:
+    """Whether the words before a place announce a credential there."""
+    return ANNOUNCED.search(text, max(0, start - BEFORE), start) is not None
+
+
 def candidates(text: str, base: list[Node]) -> list[Node]:
     """Stretches outside base spans that the field decides on."""
-    found = [match.span() for match in NUMBER.finditer(text)]
+    found = credentials(text)
+    secret = set(found)
+    if not base:
+        return [Node(None, start, end, text[start:end]) for start, end in found]
+    found += [match.span() for match in NUMBER.finditer(text)]
     if "at" in text:
         found += [match.span() for match in SPELLED.finditer(text)]
     names = {account(node.text) for node in base if node.kind == "email"}
@@ -142,7 +186,8 @@ def candidates(text: str, base: list[Node]) -> list[Node]:
         found += [match.span() for match in NAME.finditer(text) if match.group().strip(".") in names]
     out, taken, place = [], 0, 0
     ordered = sorted(base, key=lambda node: node.start)
-    for start, end in sorted(set(found), key=lambda span: (span[0], -span[1])):
+    # A number inside a credential is part of it, so credentials come first.
+    for start, end in sorted(set(found), key=lambda span: (span[0], span not in secret, -span[1])):
         while place < len(ordered) and ordered[place].end <= start:
             place += 1
         clear = place >= len(ordered) or ordered[place].start >= end
@@ -152,6 +197,7 @@ def candidates(text: str, base: list[Node]) -> list[Node]:
     return out
 
 
+HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 NAME = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]+(?![A-Za-z0-9_%+@-])")
 
 
@@ -170,6 +216,10 @@ def features(text: str, node: Node) -> list[str]:
         f"dots:{min(node.text.count('.'), 4)}",
         f"gaps:{min(sum(c in ' -()' for c in node.text), 6)}",
     ]
+    if RUN.fullmatch(node.text):
+        out += [
+            f"run:{'hex' if HEX.fullmatch(node.text) else 'mixed' if node.text.isalnum() else 'signs'}",
+            f"length:{min(len(node.text) // 8, 10)}", f"bits:{int(2 * bits(node.text))}"]
     for word in re.findall(r"[A-Za-z-]+", text[max(0, node.start - BEFORE):node.start])[-3:]:
         cue = CUES.get(word.lower())
         if cue:
@@ -179,6 +229,8 @@ def features(text: str, node: Node) -> list[str]:
 
 def keys(node: Node) -> list[str]:
     """What two nodes must share to be joined by a skip edge."""
+    if RUN.fullmatch(node.text) and any(c.isalpha() for c in node.text):
+        return [f"secret:{node.text}"]
     digits = digits_of(node.text)
     out = []
     if len(digits) >= TAIL and sum(c.isalpha() for c in node.text) == 0:
@@ -224,10 +276,17 @@ class Potentials:
         return self.prior + np.mean([self.features.get(f, unknown) for f in features(text, node)], axis=0)
 
 
+def label_of(text: str, node: Node) -> int:
+    """Label of a known node: of its kind, or a credential that is announced; else ``OTHER``."""
+    if node.kind is not None:
+        return LABELS.index(node.kind)
+    return SECRET if RUN.fullmatch(node.text) and announced(text, node.start) else OTHER
+
+
 def counts_of(text: str | None) -> list[dict]:
     """Counts a document adds to the estimate: features by label, labels by edge."""
     nodes = all_nodes(text or "", base_spans(text or ""))
-    labels = [OTHER if node.kind is None else KINDS.index(node.kind) for node in nodes]
+    labels = [label_of(text or "", node) for node in nodes]
     out: dict[tuple[str, int, int], int] = {}
 
     def add(name: str, x: int, y: int) -> None:
@@ -308,11 +367,13 @@ def spans_of(text: str | None, model: Potentials) -> tuple[list[Node], list[Node
     """Base spans and the spans the field adds."""
     text = text or ""
     base = base_spans(text)
-    # Only a repeat of a known entity, however distant, can be recognised.
-    nodes = all_nodes(text, base) if base else []
+    nodes = all_nodes(text, base)
     if len(nodes) == len(base):
         return base, []
-    fixed = np.array([OTHER if node.kind is None else KINDS.index(node.kind) for node in nodes])
+    fixed = np.array([label_of(text, node) for node in nodes])
+    # Only a repeat of a known entity, however distant, can be recognised.
+    if (fixed == OTHER).all():
+        return base, []
     unary = np.stack([model.unary(text, node) for node in nodes])
     known = fixed != OTHER
     unary[known] = -50.0
@@ -330,9 +391,9 @@ def spans_of(text: str | None, model: Potentials) -> tuple[list[Node], list[Node
     belief = beliefs(unary, edges, pair)
     best = belief[:, :OTHER].argmax(axis=1)
     added = [
-        Node(KINDS[best[k]], node.start, node.end, node.text)
+        Node(LABELS[best[k]], node.start, node.end, node.text)
         for k, node in enumerate(nodes)
-        if not known[k] and linked[k] and belief[k, best[k]] >= MIN_BELIEF]
+        if node.kind is None and (known[k] or linked[k] and belief[k, best[k]] >= MIN_BELIEF)]
     return base, added
 
 
@@ -360,7 +421,7 @@ def finder(spark: SparkSession, model: Potentials) -> Callable[..., Column]:
         def one(text: str | None) -> list[dict]:
             base, added = spans_of(text, shared.value)
             spans = [(node, False) for node in base] + [(node, True) for node in added]
-            spans.sort(key=lambda span: (span[0].start, KINDS.index(span[0].kind)))
+            spans.sort(key=lambda span: (span[0].start, LABELS.index(span[0].kind)))
             return [
                 {"kind": node.kind, "start": node.start, "end": node.end, "added": extra}
                 for node, extra in spans]
