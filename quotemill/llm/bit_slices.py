@@ -12,13 +12,17 @@ The score's own slices then give the best rows from the most significant slice
 downward (O'Neil and Quass): rows with the bit set beat those without, as long
 as there are not more of them than places left. What remains tied on every
 slice is the boundary; it is resolved exactly, by the smaller id. Scores are
-recomputed as integers for the chosen rows alone.
-
-Rows and queries meet in a grid: rows are dealt to blocks and queries to chunks
-by hash, and each task holds one block and one chunk, whatever the table's
-size. Queries are copied to every block and rows to every chunk; no pair of row
-and query leaves a task except the k best of a block, which a second step
-merges.
+recomputed as integers for the chosen rows alone, whose components are read
+back from the slices.
+
+Rows are dealt to blocks by hash, and a block's index is built once, as a row of
+a table in the shared folder: the ids, and the slices, which are all that is
+known of the vectors from then on (nine bits a component instead of 64). Queries
+are dealt to chunks and each task holds one block's index and one chunk,
+whatever the table's size. Queries are copied to every block and indexes to
+every chunk; no pair of row and query leaves a task except the k best of a
+block, which a second step merges. Bitmaps are long, so that a step of an
+addition works on many rows at once.
 
 Vectors that are null, or hold null or non-finite components, take no part. A
 component that does not fit 64 bits after quantising, or a chosen score that does
@@ -34,13 +38,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quotemill.llm.common import saved
 
 # Rows of a block and queries of a chunk, on average.
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 131_072
 CHUNK_QUERIES = 8_192
 # Queries a chunk holds at least before it is made smaller for the sake of cores.
 LEAST_QUERIES = 64
+# Bits of an index, at 16 a component.
+INDEX_BITS = 1 << 29
 SCALE = 256
 # Quantised components fit 64 bits.
 LARGEST = 2.0 ** 63
@@ -101,39 +108,55 @@ def members(bitmap: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Bit-sliced index of some rows."""
+    """Bit-sliced index of some rows, in order of their ids."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, low: int, slices: np.ndarray):
+        """``slices`` has a bitmap for each component and bit, of values less ``low``."""
+        self.ids, self.low, self.slices = ids, low, slices
+        self.bits = slices.shape[1]
+        self.present = bitmaps(np.ones(len(ids), dtype=np.uint64), 1)[0]
+        self.complements = ~slices & self.present
+        self.largest = max(abs(low), abs(low + (1 << self.bits) - 1))
+
+    @classmethod
+    def of(cls, ids: np.ndarray, vectors: np.ndarray) -> Block:
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order].astype(np.int64)
-        low, high = (int(self.vectors.min()), int(self.vectors.max())) if vectors.size else (0, 0)
-        self.largest = max(abs(low), abs(high))
+        vectors = vectors[order].astype(np.int64)
+        low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
         # Values are shifted to start at 0; the shift is the same for all rows.
-        self.bits = max(1, (high - low).bit_length())
-        shifted = self.vectors.view(np.uint64) - np.uint64(low % (1 << 64))
-        self.slices = [bitmaps(column, self.bits) for column in shifted.T]
-        self.present = bitmaps(np.ones(len(ids), dtype=np.uint64), 1)[0]
-        self.complements = [[~s & self.present for s in column] for column in self.slices]
+        bits = max(1, (high - low).bit_length())
+        shifted = vectors.view(np.uint64) - np.uint64(low % (1 << 64))
+        words = -(-len(ids) // 64)
+        slices = np.empty((vectors.shape[1], bits, words), dtype=np.uint64)
+        for place, column in enumerate(shifted.T):
+            slices[place] = bitmaps(column, bits)
+        return cls(ids[order], low, slices)
+
+    def values(self, rows: np.ndarray) -> list[list[int]]:
+        """Components of some rows, read back from the slices."""
+        held = self.slices[:, :, rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)
+        places = np.uint64(1) << np.arange(self.bits, dtype=np.uint64)
+        whole = (held * places[None, :, None]).sum(axis=1, dtype=np.uint64)
+        return [[int(x) + self.low for x in row] for row in whole.T.tolist()]
 
     def score(self, query: np.ndarray) -> Slices:
         """Slices of the query's scores, less a constant common to all rows."""
         total: Slices = []
-        weights = [abs(int(w)) for w in query]
+        # Components that the block lacks are zero.
+        weights = [abs(int(w)) for w in query[:len(self.slices)]]
         for bit in reversed(range(max((w.bit_length() for w in weights), default=0))):
             if total:
                 total = [np.zeros_like(self.present), *total]
             for place, weight in enumerate(weights):
                 if weight >> bit & 1:
                     source = self.slices if query[place] > 0 else self.complements
-                    total = added(total, source[place])
+                    total = added(total, list(source[place]))
         return total
 
     def exact(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Scores of some rows, by Python's integers where 64 bits could overflow."""
+        """Scores of some rows, as Python's integers, whatever their size."""
         weights = [int(w) for w in query]
-        if self.largest * sum(map(abs, weights)) < 1 << 63:
-            return self.vectors[rows] @ query.astype(np.int64)
-        scores = [sum(x * w for x, w in zip(vector, weights)) for vector in self.vectors[rows].tolist()]
+        scores = [sum(x * w for x, w in zip(vector, weights)) for vector in self.values(rows)]
         if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
             raise OverflowError("a score does not fit 64 bits")
         return np.array(scores, dtype=np.int64)
@@ -180,20 +203,33 @@ def width_of(vectors: pa.Array) -> int:
     return int(max(vectors.value_lengths().to_numpy(zero_copy_only=False), default=0)) if len(vectors) else 0
 
 
+INDEX = "block int, ids binary, low bigint, width int, bits int, slices binary"
+
+
+def indexed(rows: pa.Table) -> pa.Table:
+    """One row: the index of a block's rows."""
+    own = rows["vector"].combine_chunks()
+    block = Block.of(rows["vec_id"].to_numpy(), matrix(own, width_of(own)))
+    return pa.table({
+        "block": pa.array([rows["block"][0].as_py()], pa.int32()), "ids": [block.ids.astype("<i8").tobytes()],
+        "low": pa.array([block.low], pa.int64()), "width": pa.array([block.slices.shape[0]], pa.int32()),
+        "bits": pa.array([block.bits], pa.int32()), "slices": [block.slices.astype("<u8").tobytes()]})
+
+
 def searched(k: int):
     """Function of one grid cell: the k best rows of its block for each of its queries."""
 
-    def cell(rows: pa.Table, queries: pa.Table) -> pa.Table:
+    def cell(index: pa.Table, queries: pa.Table) -> pa.Table:
         ids: list[int] = []
-        ranks: list[int] = []
         found: list[int] = []
         scores: list[int] = []
-        if len(rows) and len(queries):
-            own = rows["vector"].combine_chunks()
+        if len(index) and len(queries):
+            (row,) = index.to_pylist()
+            block = Block(
+                np.frombuffer(row["ids"], "<i8"), row["low"],
+                np.frombuffer(row["slices"], "<u8").reshape(row["width"], row["bits"], -1))
             asked = queries["vector"].combine_chunks()
-            width = max(width_of(own), width_of(asked))
-            block = Block(rows["vec_id"].to_numpy(), matrix(own, width))
-            for query_id, query in zip(queries["vec_id"].to_pylist(), matrix(asked, width)):
+            for query_id, query in zip(queries["vec_id"].to_pylist(), matrix(asked, width_of(asked))):
                 best, values = block.best(query_id, query, k)
                 ids += [query_id] * len(best)
                 found += best.tolist()
@@ -219,7 +255,10 @@ def top_k(
             F.coalesce(is_query, F.lit(False)).alias("asks"))
         .where("vec_id is not null and vector is not null")
         .dropDuplicates(["vec_id", "vector"]))
-    sizes = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("asks").alias("queries")).first()
+    sizes = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("asks").alias("queries"), F.max(F.size("vector")).alias("width")).first()
+    # An index is one row of a table, so long vectors make smaller blocks.
+    block_rows = max(1, min(block_rows, INDEX_BITS // (16 * max(1, sizes.width or 1))))
     blocks, chunks = max(1, -(-sizes.rows // block_rows)), max(1, -(-sizes.queries // chunk_queries))
     # A small table has few blocks; smaller chunks then give every core a cell.
     cores = vectors.sparkSession.sparkContext.defaultParallelism
@@ -231,7 +270,9 @@ def top_k(
     def all_of(parts: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
-    candidates = rows.select("vec_id", "vector", dealt("block", blocks).alias("block"), all_of(chunks).alias("chunk"))
+    placed = rows.select("vec_id", "vector", dealt("block", blocks).alias("block"))
+    index = saved(placed.groupBy("block").applyInArrow(indexed, INDEX))
+    candidates = index.withColumn("chunk", all_of(chunks))
     queries = rows.where("asks").select(
         "vec_id", "vector", dealt("chunk", chunks).alias("chunk"), all_of(blocks).alias("block"))
     found = candidates.groupBy("block", "chunk").cogroup(queries.groupBy("block", "chunk")).applyInArrow(

@@ -162,7 +162,7 @@ def test_top_k_keeps_large_components(spark, tmp_path):
 
 def test_scores_are_exact_or_an_error():
     values = np.array([[2**62, -2**62], [-2**63, 2**63 - 1], [2**62, -2**62 + 1], [5, 3]])
-    block = bit_slices.Block(np.arange(4), values)
+    block = bit_slices.Block.of(np.arange(4), values)
     ids, scores = block.best(9, np.array([1, 1]), 4)
     assert list(zip(ids.tolist(), scores.tolist())) == [(3, 8), (2, 1), (0, 0), (1, -1)]
     with pytest.raises(OverflowError):
@@ -183,7 +183,7 @@ def test_top_k_of_few_or_equal_rows(spark, rows):
 def test_sliced_sums_equal_integers():
     draw = np.random.default_rng(3)
     values = draw.integers(-700, 700, size=(130, 9))
-    block = bit_slices.Block(np.arange(130), values)
+    block = bit_slices.Block.of(np.arange(130), values)
     for query in draw.integers(-300, 300, size=(20, 9)):
         scores = sum(
             np.unpackbits(s.view(np.uint8), bitorder="little")[:130].astype(np.int64) << bit
