@@ -274,6 +274,30 @@ def test_kafka_options():
     assert "maxOffsetsPerTrigger" not in source.options(["a"], streaming=False)
 
 
+def test_kafka_writer_options():
+    source = KafkaTopics("k:1", group_id="g", security_protocol="SSL", starting_offsets="latest", extra={"kafka.acks": "all"})
+    options = {"kafka.bootstrap.servers": "k:1", "kafka.security.protocol": "SSL", "kafka.acks": "all"}
+    assert source.sending() == options
+    assert source.sending("finnhub_stock") == {**options, "topic": "finnhub_stock"}
+
+
+def test_messages_written_to_a_topic_are_read_back(spark, tmp_path):
+    topic = FileTopics(str(tmp_path / "topic"))
+    first = messages(spark, [good(0), "broken", None])
+    topic.write(first.drop("timestampType"), TRADES.topic)
+    topic.write(messages(spark, [good(1)], topic="other", first=3))
+    whole = topic.read_batch(spark)
+    assert whole.schema == KAFKA_ROW and whole.count() == 4
+    assert topic.read_batch(spark, TRADES.topic).select("offset", "value").exceptAll(first.select("offset", "value")).isEmpty()
+    # A stream sends each message once, over a restart on its checkpoint too.
+    target = FileTopics(str(tmp_path / "copy"))
+    for _ in range(2):
+        run(target.write_stream(topic.read_stream(spark, TRADES.topic), str(tmp_path / "cp"), "copied"))
+    copied = target.read_batch(spark, "copied")
+    assert sorted(r["offset"] for r in copied.collect()) == [0, 1, 2]
+    assert rows_in(table_rows(copied, TRADES).drop("id")) == rows_in(table_rows(first, TRADES).drop("id"))
+
+
 def test_storage_settings():
     found = storage_from_env({"MINIO_ENDPOINT": "http://x", "AWS_ACCESS_KEY_ID": "", "OTHER": "1"})
     assert found == {"endpoint_url": "http://x"}
