@@ -215,3 +215,18 @@ def price_percentiles(store: Store, spark: SparkSession, first: str, last: str,
     return merged(inside, ["symbol"], store.measures).select(
         "symbol", size.alias("n"), *[
             F.when(size > 0, F.kll_sketch_get_quantile_double("prices", F.lit(p / 100))).alias(f"p{p}") for p in percents])
+
+
+def last_versions(path: str, keys: Sequence[str], values: Sequence[str]) -> Store:
+    """The last version of every key that a stream wrote in update mode.
+
+    Superseded versions are read once; what a refresh has read, and after a
+    ``compact`` the store's own older runs, may be removed.
+    """
+    version = F.struct("batch_id", *values)
+    return Store(path, {key: F.col(key) for key in keys}, (Measure("version", F.max(version), F.max("version")),))
+
+
+def current(store: Store, spark: SparkSession) -> DataFrame:
+    """The rows of ``last_versions``, as ``windows.current`` gives them from all versions."""
+    return store.read(spark).select(*store.keys, "version.*").drop("batch_id")

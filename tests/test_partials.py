@@ -182,3 +182,22 @@ def read_schema():
 
     from quotemill.streaming.sinks import RUN
     return T.StructType([*TRADE.fields, *RUN.fields])
+
+
+def test_last_versions_equal_reading_all_of_them(spark, tmp_path):
+    from quotemill.streaming import windows
+    schema = "symbol string, datetime timestamp, close double, trades bigint"
+    sink = BatchDirectory(str(tmp_path / "bars"))
+    store = partials.last_versions(str(tmp_path / "partials"), ["symbol", "datetime"], ["close", "trades"])
+    draw = random.Random(8)
+    whole = spark.createDataFrame([], schema).schema
+    for batch in range(5):
+        rows = {(draw.choice(["A", "B", None]), START + dt.timedelta(hours=draw.randrange(6))) for _ in range(9)}
+        put(sink, spark.createDataFrame([(*key, draw.choice([None, draw.random()]), batch) for key in rows], schema), "one", batch)
+        if batch % 2:
+            store.refresh(sink.read(spark, whole))
+    store.refresh(sink.read(spark, whole))
+    expected = sorted(map(repr, windows.current(sink.read(spark, whole), ["symbol", "datetime"]).collect()))
+    assert sorted(map(repr, partials.current(store, spark).collect())) == expected
+    store.compact(spark)
+    assert sorted(map(repr, partials.current(store, spark).collect())) == expected
