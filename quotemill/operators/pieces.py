@@ -6,7 +6,7 @@ partitioned by key and order, so a key spans many partitions, and each
 partition becomes a piece with its own window. What a piece needs from the
 pieces before it, such as a running total, is a value per piece: it is
 aggregated, folded in piece order and joined back. That table has one row per
-piece, so broadcasting it is bounded by the number of range partitions.
+key and piece, and is broadcast while there are few pieces.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from quotemill.session import shared_dir
 # Rows of one key that a single window task may sort.
 HOT_ROWS = 5_000_000
 
+# Keys or pieces that are broadcast; more are joined by shuffle.
+FEW = 1_000_000
+
 PIECE = "_piece"
 
 
@@ -62,7 +65,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
 
     The first key column alone is counted before the full key, so that the
     common case costs one aggregation over few groups. There are at most
-    rows / ``hot_rows`` such keys, which makes the result safe to broadcast.
+    rows / ``hot_rows`` such keys.
     """
     counted = df
     for prefix in sorted({1, len(keys)}):
@@ -80,13 +83,18 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     return hot
 
 
+def few(table: DataFrame) -> DataFrame:
+    """A stored table, marked for a broadcast if it has at most ``FEW`` rows."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def with_keys(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in the small table ``chosen``."""
-    return df.alias("l").join(F.broadcast(chosen).alias("r"), same_key("l", "r", keys), "left_semi")
+    return df.alias("l").join(few(chosen).alias("r"), same_key("l", "r", keys), "left_semi")
 
 
 def without_keys(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    return df.alias("l").join(F.broadcast(chosen).alias("r"), same_key("l", "r", keys), "left_anti")
+    return df.alias("l").join(few(chosen).alias("r"), same_key("l", "r", keys), "left_anti")
 
 
 @dataclass(frozen=True)
@@ -99,6 +107,8 @@ class Pieces:
     order: list[str]
     descending: bool
     hot_rows: int
+    # Range partitions of the large keys.
+    count: int = 0
 
     @property
     def window(self) -> WindowSpec:
@@ -146,7 +156,7 @@ class Pieces:
         )
         hot = (
             self.hot.alias("l")
-            .join(F.broadcast(folded).alias("r"),
+            .join((F.broadcast(folded) if self.count <= FEW else folded).alias("r"),
                   same_key("l", "r", [*self.keys, PIECE], renamed="_k_"), "left")
             .select("l.*", *[f"r.{name}" for name in before])
         )
@@ -226,7 +236,7 @@ def cut(
     )
     return Pieces(
         without_keys(df, hot, keys).withColumn(PIECE, F.lit(0)),
-        ranged, keys, order, descending, hot_rows)
+        ranged, keys, order, descending, hot_rows, int(pieces))
 
 
 def lookup(
