@@ -249,7 +249,8 @@ def top_k(
 
     Columns: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
     """
-    rows = (
+    # Counted, indexed and asked, so quantised once.
+    rows = saved(
         vectors.select(
             F.col(id_col).cast("bigint").alias("vec_id"), quantised(F.col(vector_col)).alias("vector"),
             F.coalesce(is_query, F.lit(False)).alias("asks"))
