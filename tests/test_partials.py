@@ -201,3 +201,26 @@ def test_last_versions_equal_reading_all_of_them(spark, tmp_path):
     assert sorted(map(repr, partials.current(store, spark).collect())) == expected
     store.compact(spark)
     assert sorted(map(repr, partials.current(store, spark).collect())) == expected
+
+
+def test_partials_and_compaction_of_the_catalog_table(spark, tmp_path):
+    """The job's own table, partitioned by run and day, is read batch by batch as well."""
+    from quotemill.sources.feeds import TRADES
+    from quotemill.streaming import sinks
+    from quotemill.streaming.compaction import BucketedTable
+    name = f"partials_{tmp_path.name}"
+    sinks.create_database(spark, name, str(tmp_path / "db"))
+    table = sinks.create_table(spark, TRADES, name)
+    sink = sinks.CatalogTable(table)
+    store = partials.daily_totals(str(tmp_path / "partials"))
+    moved = BucketedTable(f"{name}.by_symbol", str(tmp_path / "marks"), buckets=4)
+    for batch in range(3):
+        sink.write(trades(spark, batch), batch)
+        assert store.refresh(spark.table(table)) == 1
+        assert moved.compact(spark.table(table)) == 1
+        # A batch that is repeated, as after a restart, is not read twice.
+        sink.write(trades(spark, batch), batch)
+        assert store.refresh(spark.table(table)) == 0
+    assert rounded(partials.rollup_report(store, spark)) == rounded(reports.rollup_report(spark.table(table)))
+    assert sorted(map(repr, moved.read(spark).select(*TRADE.names).collect())) == sorted(
+        map(repr, spark.table(table).select(*TRADE.names).collect()))
