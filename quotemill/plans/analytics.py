@@ -342,15 +342,15 @@ def g18_as_of_bar_compacted(spark, sf_dir):
     sink = sinks.BatchDirectory(scratch_path(spark, "trades"))
     database = f"compacted_{uuid.uuid4().hex}"
     sinks.create_database(spark, database, scratch_path(spark, database))
-    table = compaction.BucketedTable(f"{database}.trades", scratch_path(spark, "marks"), "symbol", buckets=8)
+    table = compaction.BucketedTable(f"{database}.trades", scratch_path(spark, "marks"), "symbol", buckets=4)
     messages = inputs.trade_messages(inputs.events(spark, sf_dir).withColumn("user_id", F.col("event_type")))
     for half in (0, 1):
         messages.where(F.col("offset") % 2 == half).write.mode("append").parquet(topic)
         run(ingest(FileTopics(topic).read_stream(spark, TRADES.topic), TRADES, sink, offsets))
         table.compact(sink.read(spark, TRADES.row))
     provided = f"{database}.bars"
-    _provided(spark, sf_dir).select("symbol", "datetime", "close").repartition(8, "symbol").write.format(
-        "parquet").bucketBy(8, "symbol").sortBy("symbol", "datetime").saveAsTable(provided)
+    _provided(spark, sf_dir).select("symbol", "datetime", "close").repartition(4, "symbol").write.format(
+        "parquet").bucketBy(4, "symbol").sortBy("symbol", "datetime").saveAsTable(provided)
     trades = table.read(spark).select("id", "symbol", "datetime", "last_price")
     return wall_time(joins.as_of(trades, spark.table(provided), probe=trades.select("symbol")))
 
