@@ -372,7 +372,8 @@ def g18_as_of_bar_stream(spark, sf_dir):
     """The trade stream with the last bar of the running bar stream, in keyed state."""
     trades, provided = _running(spark, sf_dir)
     with stream_joins.keyed_state(spark):
-        rows = stream_joins.as_of(trades.select("id", "symbol", "datetime", "last_price"), provided, "1 hour")
+        rows = stream_joins.as_of(
+            trades.select("id", "symbol", "datetime", "last_price"), provided, "1 hour", slot="6 hours", salts=4)
         found = _streamed(spark, rows, "append")
     return wall_time(found.drop("query_id", "batch_id"))
 

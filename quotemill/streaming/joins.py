@@ -94,20 +94,18 @@ def last_bar(slot: int, values: int) -> StatefulProcessor:
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            end = expiredTimerInfo.getExpiryTimeInMs() * 1000
-            # Timers may come in any order: whatever ended before this one is settled first.
-            ended = sorted({
-                number for state in (self.bars, self.trades) for (number,) in state.keys()
-                if (number + 1) * slot <= end})
+            # Timers come in the order of their times, so slots are settled one after another.
+            number = expiredTimerInfo.getExpiryTimeInMs() * 1000 // slot - 1
             last = plain(self.carried.get()) if self.carried.exists() else None
-            for number in ended:
-                bars = sorted(self._taken(self.bars, number), key=lambda bar: bar[0])
-                place = 0
-                for at, trade in sorted(self._taken(self.trades, number), key=lambda pair: pair[0]):
-                    while place < len(bars) and bars[place][0] <= at:
-                        last, place = bars[place], place + 1
-                    yield self.made(*trade, *(last or (None,) * (values + 1)))
-                last = bars[-1] if bars else last
+            if last is not None and last[0] >= (number + 1) * slot:
+                raise RuntimeError("a later slot was settled before this one")
+            bars = sorted(self._taken(self.bars, number), key=lambda bar: bar[0])
+            place = 0
+            for at, trade in sorted(self._taken(self.trades, number), key=lambda pair: pair[0]):
+                while place < len(bars) and bars[place][0] <= at:
+                    last, place = bars[place], place + 1
+                yield self.made(*trade, *(last or (None,) * (values + 1)))
+            last = bars[-1] if bars else last
             if last is not None:
                 self.carried.update(last)
 
@@ -130,8 +128,8 @@ def as_of(
 ) -> DataFrame:
     """Each trade of one stream with the last bar of another at or before its time.
 
-    A trade is written when the watermark passes the end of its time slot; the
-    slower stream sets the watermark. A stream cannot count keys ahead, so every
+    A trade is written when the watermark passes the end of its time slot; longer
+    slots cost less state traffic and delay more. The slower stream sets the watermark. A stream cannot count keys ahead, so every
     symbol is spread over ``salts`` keys: trades by their id, bars as one copy
     each. A symbol holds one bar a time. A trade without a time is written at
     once, without a bar; a bar without one is left out.
