@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.operators.pieces import HOT_ROWS, cut, lookup
+from quotemill.session import shared_dir
+
+# Blocks of bars that are broadcast, some 20 MB; more are joined by shuffle.
+FEW_BLOCKS = 200_000
 
 
 def as_of(
@@ -114,19 +118,26 @@ def to_any_bar(
         "symbol", F.col("datetime").alias("bar_start"), F.col(end).alias("bar_end"),
         *[F.col(v).alias(f"bar_{v}") for v in values],
         F.floor(start / step).alias("_first"), (-F.floor(-stop / step)).alias("_end"))
+    # Read three times below, and built of many trades.
+    shared_dir(bars.sparkSession)
+    table = table.checkpoint()
     longest = table.agg(F.max(F.col("_end") - F.col("_first"))).first()[0] or 1
     top = int(longest).bit_length()
     covered = table.withColumn("_cover", F.explode(cover(F.col("_first"), F.col("_end"), top))).select(
         "*", "_cover.level", "_cover.block").drop("_cover", "_first", "_end")
     # At most one row per level, some forty.
-    levels = sorted(row["level"] for row in covered.select("level").distinct().collect())
+    counts = {row["level"]: row["count"] for row in covered.groupBy("level").count().collect()}
+    levels = sorted(counts)
     placed = trades.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumn(
         "block", F.floor(F.floor(F.unix_micros("datetime") / step) / width_of(F.col("level"))))
     inside = (
         (F.col("t.symbol") == F.col("b.symbol")) & (F.col("t.level") == F.col("b.level"))
         & (F.col("t.block") == F.col("b.block"))
         & (F.col("t.datetime") >= F.col("b.bar_start")) & (F.col("t.datetime") < F.col("b.bar_end")))
-    return placed.alias("t").join(covered.alias("b"), inside).select(
+    # The optimizer takes both sides for as small as before they were repeated, so the
+    # method is told: bars go out while they are few by count, trades never do.
+    method = "broadcast" if sum(counts.values()) <= FEW_BLOCKS else "merge"
+    return placed.alias("t").join(covered.alias("b").hint(method), inside).select(
         *[f"t.{c}" for c in trades.columns], "b.bar_start", "b.bar_end", *[f"b.bar_{v}" for v in values])
 
 

@@ -192,3 +192,19 @@ def test_covers_are_exact_and_short(spark):
         units = Counter(k for block in row.cover for k in range(block.block << block.level, (block.block + 1) << block.level))
         assert units == Counter(range(row.a, row.a + row.n))
         assert len(row.cover) <= 2 * max(1, row.n.bit_length())
+
+
+@pytest.mark.parametrize("few, method", [(200_000, "BroadcastHashJoin Inner BuildRight"), (0, "SortMergeJoin")])
+def test_any_bar_never_broadcasts_the_repeated_trades(spark, monkeypatch, few, method):
+    """By file size the trades look like the smaller side; they stand once a level."""
+    monkeypatch.setattr(joins, "FEW_BLOCKS", few, raising=False)
+    trades = spark.range(3).select(
+        F.col("id").cast("string").alias("id"), F.lit("A").alias("symbol"),
+        F.timestamp_seconds(F.lit(100) + F.col("id")).alias("datetime"))
+    bars = spark.range(2000).select(
+        F.lit("A").alias("symbol"), F.timestamp_seconds(F.col("id")).alias("datetime"),
+        F.timestamp_seconds(F.col("id") + 50).alias("bar_end"), F.lit(1.0).alias("open"), F.lit(2.0).alias("close"))
+    found = joins.to_any_bar(trades, bars, "1 second")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert " ".join(method.split()[:1]) in plan and method.split()[-1] in plan and "BuildLeft" not in plan
+    assert found.count() == 150
