@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.operators import bars, gate, joins, lots, partials, ranking, records, reports, series
 from quotemill.plans import inputs
 from quotemill.plans.inputs import FILL_TIES, wall_time
-from quotemill.session import scratch_path
+from quotemill.session import scratch_path, shared_dir
 from quotemill.sources.feeds import BARS, TRADES
 from quotemill.sources.topics import FileTopics
 from quotemill.streaming import joins as stream_joins
@@ -37,15 +37,43 @@ def _closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).select("symbol", "datetime", "close", "volume")
 
 
+# Rows of one delivered file. A part with more is dealt over several files, so that tasks share it.
+FILE_ROWS = 100_000
+
+# Dealing this many rows to a file leaves no file without any.
+LEAST_ROWS = 1_000
+
+# Files of a part at most; a file stream keeps 10,000 of those it has listed.
+MOST_FILES = 200
+
+
+def _deliver(
+    rows: DataFrame, part: Column, order: Sequence[int], path: str,
+    shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> int:
+    """Writes the parts of the rows in the given order; tells how many files each has.
+
+    All parts have equally many, so a stream that takes that many files a
+    micro-batch gets one part a micro-batch. Rows are dealt before ``shape``
+    is applied, so that their number of tasks follows the rows and not the layout of the input.
+    """
+    counted = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {row["part"]: row["n"] for row in counted.where(F.col("part").isin(*order)).collect()}
+    most, least = max(sizes.values(), default=0), min(sizes.values(), default=0)
+    files = max(1, min(-(-most // FILE_ROWS), least // LEAST_ROWS, MOST_FILES))
+    for number in [number for number in order if number in sizes] or order[:1]:
+        shape(rows.where(part == number).repartition(files)).write.mode("append").parquet(path)
+    return files
+
+
 def _in_files(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> FileTopics:
-    """The trade messages in five files by time, delivered in the given order, one per micro-batch."""
+    """The trade messages in five parts by time, delivered in the given order, one per micro-batch."""
     path = scratch_path(spark, "topic")
-    messages = inputs.trade_messages(inputs.events(spark, sf_dir))
-    last = messages.agg(F.max("offset")).first()[0] or 0
-    part = F.floor(F.col("offset") * len(set(order)) / (last + 1))
-    for number in order:
-        messages.where(part == number).write.mode("append").parquet(path)
-    return FileTopics(path, max_files_per_trigger=1)
+    events = inputs.events(spark, sf_dir)
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.floor(F.col("event_id") * len(set(order)) / (last + 1))
+    files = _deliver(events, part, order, path, inputs.trade_messages)
+    return FileTopics(path, max_files_per_trigger=files)
 
 
 IN_ORDER, OUT_OF_ORDER = (0, 1, 2, 3, 4), (3, 0, 4, 1, 2)
@@ -56,37 +84,41 @@ def _trade_stream(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> D
     return table_rows(stream, TRADES).drop("trade_conditions")
 
 
-def _parts(rows: DataFrame, time: str, path: str, bounds: tuple[int, int], closing: DataFrame) -> str:
-    """Files by time, in order, with one row long after all others at the end.
+def _parts(
+    rows: DataFrame, time: str, path: str, bounds: tuple[int, int], closing: DataFrame,
+    shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> int:
+    """Files by time, in order, with one row long after all others at the end; tells the files of a micro-batch.
 
     The last row only moves the watermark, so that what it closes is written.
     """
     low, high = bounds
     part = F.floor((F.unix_millis(time) - low) * 3 / (high - low + 1))
-    for number in range(3):
-        rows.where(part == number).coalesce(1).write.mode("append").parquet(path)
-    closing.coalesce(1).write.mode("append").parquet(path)
-    return path
+    files = _deliver(rows, part, (0, 1, 2), path, shape)
+    shape(closing.coalesce(1)).write.mode("append").parquet(path)
+    return files
 
 
 def _running(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The trades by event type and a provider's bars of them, as two streams that move on together."""
     events = inputs.events(spark, sf_dir)
-    provided = _provided(spark, sf_dir).select("symbol", "datetime", *BAR_VALUES)
+    shared_dir(spark)
+    # Counted, dealt in parts and closed; built once.
+    provided = _provided(spark, sf_dir).select("symbol", "datetime", *BAR_VALUES).checkpoint()
     hour = F.date_trunc("hour", F.min("ts"))
     low, high = events.agg(F.unix_millis(hour), F.unix_millis(F.max("ts"))).first()
     bounds = (low or 0, high or 0)
     later = F.expr("INTERVAL 1 YEAR")
     last = events.orderBy(F.desc("event_id")).limit(1).withColumns({
         "event_id": F.col("event_id") + 1, "ts": F.col("ts") + later})
-    topic = _parts(
-        inputs.trade_messages(events), "timestamp", scratch_path(spark, "topic"), bounds, inputs.trade_messages(last))
-    bars_path = _parts(
-        provided, "datetime", scratch_path(spark, "bars"), bounds,
+    topic, bars_path = scratch_path(spark, "topic"), scratch_path(spark, "bars")
+    files = _parts(events, "ts", topic, bounds, last, inputs.trade_messages)
+    bar_files = _parts(
+        provided, "datetime", bars_path, bounds,
         provided.orderBy(F.desc("datetime")).limit(1).withColumn("datetime", F.col("datetime") + later))
-    stored = table_rows(FileTopics(topic, max_files_per_trigger=1).read_stream(spark, TRADES.topic), TRADES)
+    stored = table_rows(FileTopics(topic, max_files_per_trigger=files).read_stream(spark, TRADES.topic), TRADES)
     trades = stored.withColumn("symbol", F.col("trade_conditions")[0]).drop("trade_conditions")
-    bar_stream = spark.readStream.schema(provided.schema).option("maxFilesPerTrigger", 1).parquet(bars_path)
+    bar_stream = spark.readStream.schema(provided.schema).option("maxFilesPerTrigger", bar_files).parquet(bars_path)
     return trades, bar_stream
 
 

@@ -1,0 +1,35 @@
+"""Parts of a topic: every micro-batch is one part, however many files it was dealt over."""
+
+from pyspark.sql import functions as F
+
+from quotemill.plans import analytics
+
+
+def batches(spark, path, files, offsets):
+    seen = []
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", files).parquet(path)
+    query = stream.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(row.id for row in batch.collect())))
+    query.option("checkpointLocation", offsets).trigger(availableNow=True).start().awaitTermination()
+    return seen
+
+
+def test_a_batch_is_a_part_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(analytics, "FILE_ROWS", 100)
+    monkeypatch.setattr(analytics, "LEAST_ROWS", 20)
+    path = str(tmp_path / "topic")
+    # The third part has no rows, the first is in one task of the input.
+    rows = spark.range(0, 2000, 1, 4).where("id < 1000 or id >= 1500")
+    files = analytics._deliver(rows, F.floor(F.col("id") / 500), (3, 0, 1, 2, 0), path)
+    assert files == 5
+    assert len(list((tmp_path / "topic").glob("*.parquet"))) == 4 * files
+    parts = {n: list(range(500 * n, 500 * n + 500)) for n in (0, 1, 3)}
+    assert batches(spark, path, files, str(tmp_path / "offsets")) == [parts[3], parts[0], parts[1], parts[0]]
+
+
+def test_a_small_part_and_no_part(spark, tmp_path):
+    path = str(tmp_path / "small")
+    assert analytics._deliver(spark.range(0, 9, 1, 3), F.floor(F.col("id") / 5), (1, 0), path) == 1
+    assert batches(spark, path, 1, str(tmp_path / "offsets")) == [[5, 6, 7, 8], [0, 1, 2, 3, 4]]
+    path = str(tmp_path / "none")
+    assert analytics._deliver(spark.range(0), F.floor(F.col("id") / 5), (1, 0), path) == 1
+    assert spark.read.parquet(path).isEmpty()
