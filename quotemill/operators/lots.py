@@ -16,47 +16,68 @@ be missing and then its gain is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.operators.pieces import HOT_ROWS, PIECE, cut, lookup
+from quotemill.operators.pieces import HOT_ROWS, cut, hot_keys, lookup
 
 SCALE = 1_000_000
 
 
-def counted(
-    fills: DataFrame, keys: Sequence[str], bought: Column, *, order: Sequence[str], quantity: str, price: str,
-    hot_rows: int | None,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Intervals:
     """Fills as intervals of units: side (true for buys), start and end, and the fill itself."""
+
+    rows: DataFrame
+    # As for ``cut``: None where no key has more fills than one task may sort. Rows are then laid out by key.
+    hot_rows: int | None
+
+
+def counted(
+    fills: DataFrame, keys: Sequence[str], bought: Column, *, order: Sequence[str] = ("datetime", "id"),
+    quantity: str = "volume", price: str = "last_price", hot_rows: int | None = HOT_ROWS,
+) -> Intervals:
+    """Fills with the place of their units among their key's buys or sales.
+
+    Keys are counted once, for this and for all that follows. Where none is
+    large, rows are shuffled once, by key, and every later step works inside that layout.
+    """
+    keys = list(keys)
+    if hot_rows is not None and hot_keys(fills.select(*keys), keys, hot_rows) is None:
+        hot_rows = None
     units = F.round(F.col(quantity).cast("double") * SCALE).cast("bigint")
     sided = fills.select(
         *keys, *[F.col(c).alias(f"_o{n}") for n, c in enumerate(order)], bought.alias("_buy"),
         units.alias("_units"), F.struct(*order, F.col(price).cast("double").alias("price")).alias("_fill")
     ).where("_units > 0 and _buy is not null")
+    sided = sided if hot_rows is not None else sided.repartition(*keys)
     pieces = cut(sided, [*keys, "_buy"], [f"_o{n}" for n in range(len(order))], hot_rows=hot_rows)
     pieces = pieces.carry(_ahead=(F.sum("_units"), "sum"))
     end = F.coalesce("_ahead", F.lit(0)) + F.sum("_units").over(
         pieces.window.rowsBetween(Window.unboundedPreceding, 0))
-    return pieces.rows().withColumn("_end", end).select(
-        *keys, "_buy", (F.col("_end") - F.col("_units")).alias("_start"), "_end", "_fill")
+    return Intervals(pieces.rows().withColumn("_end", end).select(
+        *keys, "_buy", (F.col("_end") - F.col("_units")).alias("_start"), "_end", "_fill"), hot_rows)
 
 
 def fifo(
     fills: DataFrame, keys: Sequence[str], bought: Column, *, order: Sequence[str] = ("datetime", "id"),
     quantity: str = "volume", price: str = "last_price", hot_rows: int | None = HOT_ROWS,
+    intervals: Intervals | None = None,
 ) -> DataFrame:
     """Matched lots: one row per overlap of a buy and a sale, with quantity and gain.
 
     ``bought`` tells the side of a fill and ``order`` is unique within a key.
     ``buy_`` and ``sale_`` columns hold the order columns and the price.
+    ``intervals`` are those of ``counted`` with the same arguments, where they are at hand.
     """
     keys = list(keys)
-    intervals = counted(fills, keys, bought, order=order, quantity=quantity, price=price, hot_rows=hot_rows)
+    intervals = intervals or counted(
+        fills, keys, bought, order=order, quantity=quantity, price=price, hot_rows=hot_rows)
     boxed = F.struct("_end", "_fill")
     sides = {"_bought": F.when(F.col("_buy"), boxed), "_sold": F.when(~F.col("_buy"), boxed)}
-    pieces = cut(intervals.withColumns(sides), keys, ["_start", "_buy"], hot_rows=hot_rows)
+    pieces = cut(intervals.rows.withColumns(sides), keys, ["_start", "_buy"], hot_rows=intervals.hot_rows)
     pieces = pieces.carry(**{
         f"{name}_before": (pieces.last_of(F.col(name), when=F.col(name).isNotNull()), "last") for name in sides})
     so_far = pieces.window.rowsBetween(Window.unboundedPreceding, 0)
@@ -75,17 +96,28 @@ def fifo(
 def open_lots(
     fills: DataFrame, keys: Sequence[str], bought: Column, *, order: Sequence[str] = ("datetime", "id"),
     quantity: str = "volume", price: str = "last_price", hot_rows: int | None = HOT_ROWS,
+    intervals: Intervals | None = None,
 ) -> DataFrame:
-    """What is left of each fill after all matches; sold short lots have a negative quantity."""
+    """What is left of each fill after all matches; sold short lots have a negative quantity.
+
+    ``intervals`` are as in ``fifo``.
+    """
     keys = list(keys)
-    intervals = counted(fills, keys, bought, order=order, quantity=quantity, price=price, hot_rows=hot_rows)
-    ends = intervals.groupBy(*keys).agg(
-        *[F.coalesce(F.max(F.when(F.col("_buy") == side, F.col("_end"))), F.lit(0)).alias(name)
-          for name, side in (("_total_sold", False), ("_total_bought", True))])
-    other = F.when(F.col("_buy"), F.col("_total_sold")).otherwise(F.col("_total_bought"))
+    intervals = intervals or counted(
+        fills, keys, bought, order=order, quantity=quantity, price=price, hot_rows=hot_rows)
+    totals = {
+        name: F.max(F.when(F.col("_buy") == side, F.col("_end")))
+        for name, side in (("_total_sold", False), ("_total_bought", True))}
+    if intervals.hot_rows is None:
+        whole = Window.partitionBy(*keys)
+        both = intervals.rows.withColumns({name: total.over(whole) for name, total in totals.items()})
+    else:
+        ends = intervals.rows.groupBy(*keys).agg(*[total.alias(name) for name, total in totals.items()])
+        both = lookup(intervals.rows, ends, keys, "inner", null_safe=True)
+    other = F.coalesce(F.when(F.col("_buy"), F.col("_total_sold")).otherwise(F.col("_total_bought")), F.lit(0))
     left = F.col("_end") - F.greatest("_start", other)
     sign = F.when(F.col("_buy"), 1.0).otherwise(-1.0)
-    return lookup(intervals, ends, keys, "inner", null_safe=True).where(left > 0).select(
+    return both.where(left > 0).select(
         *keys, *[F.col(f"_fill.{c}") for c in (*order, "price")], (sign * left / SCALE).alias("quantity"))
 
 

@@ -495,6 +495,7 @@ def g21_gains(spark, sf_dir):
     how = {"order": LOT_ORDER, "quantity": "quantity"}
     place = F.struct(*LOT_ORDER)
     quotes = fills.groupBy("symbol").agg(F.max_by("last_price", place).alias("price"))
+    how["intervals"] = lots.counted(fills, ["symbol"], bought, **how)
     rows = lots.gains(
         lots.fifo(fills, ["symbol"], bought, **how), lots.open_lots(fills, ["symbol"], bought, **how), quotes, ["symbol"])
     return rows.withColumns({c: F.round(c, 3) for c in ("realised", "cost", "open_gain")})

@@ -208,3 +208,18 @@ def test_any_bar_never_broadcasts_the_repeated_trades(spark, monkeypatch, few, m
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert " ".join(method.split()[:1]) in plan and method.split()[-1] in plan and "BuildLeft" not in plan
     assert found.count() == 150
+
+
+def test_gains_shuffle_the_fills_once(spark):
+    """Matches and open lots of small keys work inside one layout by key."""
+    rows = spark.range(40).select(
+        F.pmod("id", F.lit(3)).cast("string").alias("symbol"), F.col("id").alias("datetime"), "id",
+        (F.col("id") * 1.0).alias("last_price"), (F.col("id") + 1).alias("volume"), (F.hash("id") % 2 == 0).alias("buy"))
+    keys, bought = ["symbol"], F.col("buy")
+    shared = lots.counted(rows, keys, bought)
+    assert shared.hot_rows is None and lots.counted(rows, keys, bought, hot_rows=5).hot_rows == 5
+    for work in (lots.fifo, lots.open_lots):
+        found = work(rows, keys, bought, intervals=shared)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
+        assert Counter(found.collect()) == Counter(work(rows, keys, bought, hot_rows=5).collect())
