@@ -61,6 +61,10 @@ def moving(
 # that weights within a block neither overflow nor vanish.
 BLOCK_DECAY = 200.0
 
+# Rows of one key that a single task takes through an exponential average. Its
+# windows feed one another, so a task holds every row several times.
+NESTED_ROWS = 1_000_000
+
 
 def _recurrence(
     pieces: Pieces, value: str, first: Column | None, alpha: float, name: str,
@@ -111,7 +115,7 @@ def _recurrence(
 
 def exponential(
     bars: DataFrame, key: str, alpha: float, *, price: str = "close", time: str = "datetime",
-    ties: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
+    ties: Sequence[str] = (), hot_rows: int | None = NESTED_ROWS,
 ) -> DataFrame:
     """Exponential average of the price and volatility around it.
 

@@ -1,6 +1,7 @@
 """Lots against a queue, exponential averages against the loop, bars of any length against all pairs."""
 
 import datetime as dt
+import inspect
 import math
 import random
 from collections import Counter, deque
@@ -223,3 +224,8 @@ def test_gains_shuffle_the_fills_once(spark):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1 and "Join" not in plan
         assert Counter(found.collect()) == Counter(work(rows, keys, bought, hot_rows=5).collect())
+
+
+def test_exponential_bounds_a_task_below_other_series(spark):
+    """Rows of a key beyond the bound are cut, without being asked to."""
+    assert inspect.signature(series.exponential).parameters["hot_rows"].default <= 1_000_000
